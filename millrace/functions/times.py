@@ -3,6 +3,8 @@ except where an instant (TIMESTAMP) has to be shown as local time."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,7 +34,7 @@ STRFTIME = {
     "%a": "EEE",
     "%A": "EEEE",
     "%j": "DDD",
-    "%%": "%",
+    "%%": "'%'",
 }
 
 
@@ -74,19 +76,15 @@ def parse_datetime(text: Column) -> Column:
 
 
 def java_pattern(strftime: str) -> str:
-    """A strftime format as a Spark datetime pattern; literal letters are quoted."""
-    out, i = [], 0
-    while i < len(strftime):
-        token = strftime[i : i + 2]
-        if strftime[i] == "%":
-            if token not in STRFTIME:
-                raise ValueError(f"unsupported strftime directive {token!r} in {strftime!r}")
-            out.append(STRFTIME[token])
-            i += 2
-            continue
-        char = strftime[i]
-        out.append("''" if char == "'" else f"'{char}'" if char.isalpha() or char in "[]{}#" else char)
-        i += 1
+    """A strftime format as a Spark datetime pattern; literal text is quoted."""
+    out = []
+    for directive, literal in re.findall(r"(%.?)|([^%]+)", strftime):
+        if literal:
+            out.append("'" + literal.replace("'", "''") + "'")
+        elif directive in STRFTIME:
+            out.append(STRFTIME[directive])
+        else:
+            raise ValueError(f"unsupported strftime directive {directive!r} in {strftime!r}")
     return "".join(out)
 
 

@@ -1,0 +1,52 @@
+"""DataFrame -> DataFrame operators."""
+
+from millrace.operators.clean import clean, cleaning_stats
+from millrace.operators.convert import conversion_stats, convert
+from millrace.operators.documents import normalize_documents
+from millrace.operators.enrich import enrich, enrichment_stats
+from millrace.operators.flatten import array_shapes, flatten, flatten_long, flattening_stats
+from millrace.operators.load import (
+    create_table_sql,
+    describe_table,
+    duplicate_keys,
+    flat_table,
+    infer_sql_types,
+    last_per_key,
+    load,
+    load_result,
+    merge_into,
+    run_sql,
+    upsert,
+)
+from millrace.operators.mapping import map_fields
+from millrace.operators.parse import parse_json_records, split_rejects
+from millrace.operators.schema import discover_schema
+
+__all__ = [
+    "array_shapes",
+    "clean",
+    "cleaning_stats",
+    "conversion_stats",
+    "convert",
+    "create_table_sql",
+    "describe_table",
+    "discover_schema",
+    "duplicate_keys",
+    "enrich",
+    "enrichment_stats",
+    "flat_table",
+    "flatten",
+    "flatten_long",
+    "flattening_stats",
+    "infer_sql_types",
+    "last_per_key",
+    "load",
+    "load_result",
+    "map_fields",
+    "merge_into",
+    "normalize_documents",
+    "parse_json_records",
+    "run_sql",
+    "split_rejects",
+    "upsert",
+]

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.names import META, field, record_columns, require_columns
+from millrace.functions.names import META, carried_columns, field, record_columns, require_columns
 from millrace.functions.times import format_instant
 
 # Output column names.
@@ -72,8 +72,7 @@ def enrich(
         added[name] = F.lit(value)
 
     own = [added.pop(n).alias(n) if n in added else field(n) for n in record_columns(df)]
-    meta = [field(META)] if META in df.columns else []
-    return df.select(*own, *[c.alias(n) for n, c in added.items()], *meta)
+    return df.select(*own, *[c.alias(n) for n, c in added.items()], *carried_columns(df))
 
 
 def enrichment_counts(**options) -> dict[str, Column]:

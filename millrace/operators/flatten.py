@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.names import META, field, record_columns
+from millrace.functions.names import carried_columns, field, record_columns, type_text
 from millrace.functions.text import json_text, python_text
 
 ARRAY_MODES = ("index", "enumerate", "concat")
@@ -311,7 +311,7 @@ def flatten(
     """
     opts = FlattenOptions(**options)
     names = record_columns(df)
-    meta = [field(META)] if META in df.columns else []
+    meta = carried_columns(df)
     if opts.max_depth <= 0:
         whole = F.to_json(F.struct(*[field(n) for n in names]))
         return df.select(whole.alias("deep_object"), *meta)
@@ -393,7 +393,7 @@ def _open_columns(df: DataFrame, name: str, opts: FlattenOptions, max_columns: i
         if isinstance(dtype, T.StringType):
             out.append((row["path"], json_text(value, T.VariantType()), dtype))
         else:
-            out.append((row["path"], F.try_variant_get(value, "$", dtype.simpleString()), dtype))
+            out.append((row["path"], F.try_variant_get(value, "$", type_text(dtype)), dtype))
     return df, out
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.names import META, field, record_columns, require_columns
+from millrace.functions.names import META, carried_columns, field, record_columns, require_columns
 from millrace.functions.text import python_text
 
 Mappings = Mapping[str, Mapping[str, Sequence[str]]]
@@ -52,7 +52,6 @@ def map_fields(
     Columns of different types that meet in one target become text.
     """
     columns = record_columns(df)
-    meta = [field(META)] if META in df.columns else []
 
     if source_type is not None:
         plans = {None: _targets(columns, field_mappings.get(source_type, {}), keep_unmapped_fields, case_sensitive)}
@@ -70,7 +69,7 @@ def map_fields(
         for target, sources in plan.items():
             place = columns.index(sources[0])
             first[target] = min(first.get(target, place), place)
-    source = F.coalesce(field(META).getField("source_type"), F.lit("")) if meta else None
+    source = F.coalesce(field(META).getField("source_type"), F.lit("")) if source_type is None else None
 
     out = []
     for target in sorted(first, key=lambda t: first[t]):
@@ -97,7 +96,7 @@ def map_fields(
         ).otherwise(default)
         dtype = T.StringType() if as_text else df.schema[next(iter(feeding))].dataType
         out.append(value.cast(dtype).alias(target))
-    return df.select(*out, *meta)
+    return df.select(*out, *carried_columns(df))
 
 
 def mapped_targets(field_mappings: Mappings) -> int:

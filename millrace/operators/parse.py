@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.jsons import is_json, is_object_text, json_value, read_json
-from millrace.functions.names import META, field, record_columns, require_columns
+from millrace.functions.names import META, field, record_columns, require_columns, type_text
 from millrace.operators.schema import as_struct_type, discover_schema
 
 # The columns a failed row carries and its status.
@@ -91,7 +91,7 @@ def parse_json_records(
         record = F.col("_record")
         fields = {f.name: record.getField(f.name) for f in schema.fields}
         if schema.fields:
-            value = F.when(is_object, json_value(doc, schema.simpleString()))
+            value = F.when(is_object, json_value(doc, type_text(schema)))
             parsed = parsed.withColumn("_record", value)
 
     extra = {}
@@ -118,8 +118,8 @@ def _structured_records(df, column, schema, meta, strict_mode) -> DataFrame:
         if schema == "variant":
             fields = {"data": F.when(is_object, raw)}
         else:
-            schema = as_struct_type(discover_schema(df, raw) if schema is None else schema)
-            df = df.withColumn("_record", F.try_variant_get(raw, "$", schema.simpleString()))
+            schema = as_struct_type(discover_schema(df, F.when(is_object, raw)) if schema is None else schema)
+            df = df.withColumn("_record", F.try_variant_get(raw, "$", type_text(schema)))
             fields = {f.name: F.col("_record").getField(f.name) for f in schema.fields}
         reason = F.when(missing, error).when(~is_object, "not an object")
         content = F.to_json(raw)

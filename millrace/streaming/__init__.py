@@ -1,0 +1,19 @@
+"""Structured Streaming entry points."""
+
+from millrace.streaming.stream import (
+    merge_batches,
+    shared_folder,
+    standardized_stream,
+    start_append,
+    start_batches,
+    upsert_folders,
+)
+
+__all__ = [
+    "merge_batches",
+    "shared_folder",
+    "standardized_stream",
+    "start_append",
+    "start_batches",
+    "upsert_folders",
+]
