@@ -72,6 +72,18 @@ def python_text(value: Column, dtype: T.DataType) -> Column:
     return value.cast("string")
 
 
+def variant_scalar_text(value: Column) -> Column:
+    """Text of a VARIANT scalar; a real number keeps its point (``100.0``, not ``100``)."""
+    kind = F.schema_of_variant(value)
+    plain = F.try_variant_get(value, "$", "string")
+    # A DECIMAL of scale 0 that a BIGINT could hold was written with a fraction.
+    return (
+        F.when(kind.rlike(r"^DECIMAL\((?:[1-9]|1[0-8]),0\)$"), F.concat(plain, F.lit(".0")))
+        .when(kind == "DOUBLE", number_text(F.try_variant_get(value, "$", "double")))
+        .otherwise(plain)
+    )
+
+
 def json_text(value: Column, dtype: T.DataType) -> Column:
     """Nested values as JSON text; scalars as their plain text."""
     if isinstance(dtype, (T.StructType, T.ArrayType, T.MapType)):
@@ -80,5 +92,5 @@ def json_text(value: Column, dtype: T.DataType) -> Column:
         nested = F.try_variant_get(value, "$", "map<string,variant>").isNotNull() | (
             F.try_variant_get(value, "$", "array<variant>").isNotNull()
         )
-        return F.when(nested, F.to_json(value)).otherwise(value.try_cast("string"))
+        return F.when(nested, F.to_json(value)).otherwise(variant_scalar_text(value))
     return value.cast("string")

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.names import carried_columns, field, record_columns, type_text
-from millrace.functions.text import json_text, python_text
+from millrace.functions.text import json_text, python_text, variant_scalar_text
 
 ARRAY_MODES = ("index", "enumerate", "concat")
 NULL_MODES = ("keep", "remove", "empty_string")
@@ -520,7 +520,7 @@ def _is_nested(value: Column) -> Column:
 
 
 def _scalar_text(value: Column) -> Column:
-    text = F.try_variant_get(value, "$", "string")
+    text = variant_scalar_text(value)
     is_bool = F.schema_of_variant(value) == "BOOLEAN"
     return F.when(is_bool, F.initcap(text)).otherwise(F.coalesce(text, F.lit("")))
 
