@@ -77,8 +77,10 @@ def variant_scalar_text(value: Column) -> Column:
     kind = F.schema_of_variant(value)
     plain = F.try_variant_get(value, "$", "string")
     # A DECIMAL of scale 0 that a BIGINT could hold was written with a fraction.
+    real = F.startswith(kind, F.lit("DECIMAL")) & kind.rlike(r"\((?:[1-9]|1[0-8]),0\)$")
     return (
-        F.when(kind.rlike(r"^DECIMAL\((?:[1-9]|1[0-8]),0\)$"), F.concat(plain, F.lit(".0")))
+        F.when(kind.isin("STRING", "BIGINT", "BOOLEAN"), plain)
+        .when(real, F.concat(plain, F.lit(".0")))
         .when(kind == "DOUBLE", number_text(F.try_variant_get(value, "$", "double")))
         .otherwise(plain)
     )

@@ -572,64 +572,122 @@ def _last_entries(entries: Column) -> Column:
 # Long form
 
 
+def _one(path: Column, value: Column) -> Column:
+    return F.struct(path.alias("path"), value.cast("string").alias("value"))
+
+
 def _pair(path: Column, value: Column) -> Column:
-    return F.array(F.struct(path.alias("path"), value.cast("string").alias("value")))
+    return F.array(_one(path, value))
 
 
-def _pairs(value: Column, dtype: T.DataType, path: Column, static: str | None, depth: int, opts: FlattenOptions) -> Column:
-    """ARRAY<STRUCT<path, value>> of one typed value; ``static`` is its path if constant."""
-    none = F.array().cast(f"array<{ENTRY}>")
-    if opts.null_value_handling == "keep":
-        missing = _pair(path, F.lit(None))
-    else:
-        missing = none if opts.null_value_handling == "remove" else _pair(path, F.lit(""))
+@dataclass(frozen=True)
+class _Part:
+    """Some entries of a record: exactly one (a struct) or any number (an array)."""
 
-    if _is_object(dtype) and opts.flatten_objects:
+    column: Column
+    single: bool
+
+
+def _joined(parts: Sequence[_Part]) -> Column:
+    """One array of all parts; neighbouring single entries share an array literal."""
+    arrays: list[Column] = []
+    run: list[Column] = []
+    for part in parts:
+        if part.single:
+            run.append(part.column)
+            continue
+        if run:
+            arrays.append(F.array(*run))
+            run = []
+        arrays.append(part.column)
+    if run or not arrays:
+        arrays.append(F.array(*run) if run else _no_pairs())
+    return arrays[0] if len(arrays) == 1 else F.concat(*arrays)
+
+
+def _no_pairs() -> Column:
+    return F.array().cast(f"array<{ENTRY}>")
+
+
+def _missing(path: Column, opts: FlattenOptions) -> Column:
+    if opts.null_value_handling == "remove":
+        return _no_pairs()
+    return _pair(path, F.lit(None) if opts.null_value_handling == "keep" else F.lit(""))
+
+
+def _is_opened(dtype: T.DataType, opts: FlattenOptions) -> bool:
+    return (_is_object(dtype) and opts.flatten_objects) or (_is_array(dtype) and opts.flatten_arrays)
+
+
+def _leaf(value: Column, dtype: T.DataType, path: Column, opts: FlattenOptions) -> _Part:
+    text = json_text(value, dtype)
+    if opts.null_value_handling == "keep":
+        return _Part(_one(path, text), True)
+    if opts.null_value_handling == "empty_string":
+        return _Part(_one(path, F.coalesce(text, F.lit(""))), True)
+    return _Part(F.when(value.isNull(), _no_pairs()).otherwise(_pair(path, text)), False)
+
+
+def _parts(
+    value: Column, dtype: T.DataType, path: Column, static: str | None, depth: int, opts: FlattenOptions
+) -> list[_Part]:
+    """Entries of one typed value; ``static`` is its path if it is the same in every row."""
+    if not _is_opened(dtype, opts):
+        return [_leaf(value, dtype, path, opts)]
+    if _is_object(dtype):
         if depth + 1 >= opts.max_depth:
             body = _pair(path, F.to_json(value))
         elif not dtype.fields:
             body = _pair(path, F.lit("{}"))
         else:
-            body = F.concat(*[_member_pairs(value, f, path, static, depth + 1, opts) for f in dtype.fields])
-    elif _is_array(dtype) and opts.flatten_arrays:
-        if opts.preserve_arrays:
-            body = _pair(path, F.to_json(value))
-        else:
-            body = _array_pairs(value, dtype.elementType, path, depth, opts, none)
+            body = _joined([p for f in dtype.fields for p in _member_parts(value, f, path, static, depth + 1, opts)])
+    elif opts.preserve_arrays:
+        body = _pair(path, F.to_json(value))
     else:
-        body = _pair(path, json_text(value, dtype))
-    return F.when(value.isNull(), missing).otherwise(body)
+        body = _array_pairs(value, dtype.elementType, path, depth, opts)
+    return [_Part(F.when(value.isNull(), _missing(path, opts)).otherwise(body), False)]
 
 
-def _member_pairs(parent: Column, f: T.StructField, path: Column, static: str | None, depth: int, opts) -> Column:
-    inner = F.concat(path, F.lit(opts.separator + f.name))
+def _member_parts(parent: Column, f: T.StructField, path: Column, static: str | None, depth: int, opts) -> list[_Part]:
     inner_static = None if static is None else opts.child(static, f.name)
-    value = parent.getField(f.name)
-    return _ruled_pairs(value, f.dataType, F.lit(inner_static) if inner_static else inner, inner_static, depth, opts)
+    inner = F.lit(inner_static) if inner_static else F.concat(path, F.lit(opts.separator + f.name))
+    return _ruled_parts(parent.getField(f.name), f.dataType, inner, inner_static, depth, opts)
 
 
-def _ruled_pairs(value, dtype, path, static, depth, opts) -> Column:
-    pairs = _pairs(value, dtype, path, static, depth, opts)
+def _ruled_parts(value, dtype, path, static, depth, opts) -> list[_Part]:
+    parts = _parts(value, dtype, path, static, depth, opts)
     for rule_path, rule in opts.custom_flatteners.items():
         if static is not None and static != rule_path:
             continue
-        ruled = _pair(path, json_text(*_apply_rule(value, dtype, rule)))
-        pairs = ruled if static is not None else F.when(path == rule_path, ruled).otherwise(pairs)
-    return pairs
+        ruled = _one(path, json_text(*_apply_rule(value, dtype, rule)))
+        if static is not None:
+            return [_Part(ruled, True)]
+        parts = [_Part(F.when(path == rule_path, F.array(ruled)).otherwise(_joined(parts)), False)]
+    return parts
+
 
+def _array_pairs(value: Column, element: T.DataType, path: Column, depth: int, opts: FlattenOptions) -> Column:
+    def inner_path(i: Column) -> Column:
+        return F.concat(path, opts.suffix_column(i))
 
-def _array_pairs(value, element, path, depth, opts, none) -> Column:
     def item(x: Column, i: Column) -> Column:
-        return _pairs(x, element, F.concat(path, opts.suffix_column(i)), None, depth, opts)
+        return _joined(_parts(x, element, inner_path(i), None, depth, opts))
 
     if opts.array_handling == "concat":
         joined = _joined_scalars(value, element)
-        own = F.when(joined.isNotNull(), _pair(path, joined)).otherwise(none)
+        own = F.when(joined.isNotNull(), _pair(path, joined)).otherwise(_no_pairs())
         if _is_complex(element):
             spread = F.flatten(F.transform(F.filter(value, lambda x: x.isNotNull()), item))
             own = F.concat(spread, own)
-        return F.when(F.size(value) == 0, _pair(path, F.lit("[]"))).otherwise(own)
-    return F.when(F.size(value) == 0, _pair(path, F.lit("[]"))).otherwise(F.flatten(F.transform(value, item)))
+    elif _is_opened(element, opts):
+        own = F.flatten(F.transform(value, item))
+    else:
+        # Scalars need no array of their own.
+        blank = F.lit("") if opts.null_value_handling == "empty_string" else F.lit(None)
+        own = F.transform(value, lambda x, i: _one(inner_path(i), F.coalesce(json_text(x, element), blank)))
+        if opts.null_value_handling == "remove":
+            own = F.filter(own, lambda e: e.getField("value").isNotNull())
+    return F.when(F.size(value) == 0, _pair(path, F.lit("[]"))).otherwise(own)
 
 
 def _may_collide(df: DataFrame, names: Sequence[str], opts: FlattenOptions) -> bool:
@@ -652,30 +710,33 @@ def _may_collide(df: DataFrame, names: Sequence[str], opts: FlattenOptions) -> b
 
 def record_entries(df: DataFrame, names: Sequence[str], opts: FlattenOptions) -> Column:
     """ARRAY<STRUCT<path STRING, value STRING>> of a whole record."""
-    parts = []
+    parts: list[_Part] = []
     for name in names:
         dtype = df.schema[name].dataType
         if _is_open(dtype):
             rule = opts.custom_flatteners.get(name)
             variant = _as_variant(field(name), dtype)
             if rule is not None:
-                parts.append(_pair(F.lit(name), json_text(_open_rule(variant, rule), T.VariantType())))
+                parts.append(_Part(_one(F.lit(name), json_text(_open_rule(variant, rule), T.VariantType())), True))
                 continue
             opened = open_entries(variant, F.lit(name), opts)
-            parts.append(_text_entries(opened))
+            parts.append(_Part(_text_entries(opened, opts), False))
         else:
-            parts.append(_ruled_pairs(field(name), dtype, F.lit(name), name, 0, opts))
-    entries = F.concat(*parts)
-    return _last_entries(entries) if _may_collide(df, names, opts) else entries
+            parts += _ruled_parts(field(name), dtype, F.lit(name), name, 0, opts)
+    return _joined(parts)
+
 
+def _entry_text(value: Column, opts: FlattenOptions) -> Column:
+    """Text of an entry's value; only some options leave nested values in the entries."""
+    whole = opts.flatten_objects and opts.flatten_arrays and not opts.custom_flatteners
+    text = variant_scalar_text(value) if whole else json_text(value, T.VariantType())
+    return F.when(~F.is_variant_null(value), text)
 
-def _text_entries(entries: Column) -> Column:
+
+def _text_entries(entries: Column, opts: FlattenOptions) -> Column:
     return F.transform(
         entries,
-        lambda e: F.struct(
-            e.getField("path").alias("path"),
-            F.when(~F.is_variant_null(e.getField("value")), json_text(e.getField("value"), T.VariantType())).alias("value"),
-        ),
+        lambda e: F.struct(e.getField("path").alias("path"), _entry_text(e.getField("value"), opts).alias("value")),
     )
 
 
@@ -689,14 +750,22 @@ def flatten_long(df: DataFrame, keys: Sequence[str] = (), *, record: str | None
     opts = FlattenOptions(**options)
     keep = [field(k) for k in keys]
     if record is not None:
-        variant = _as_variant(field(record), df.schema[record].dataType)
-        entries = _text_entries(_last_entries(open_entries(variant, F.lit(""), opts, depth=-1)))
+        value = _as_variant(field(record), df.schema[record].dataType)
+        opened = df.select(*keep, open_entries(value, F.lit(""), opts, depth=-1).alias("_entries"))
+        exploded = opened.select(*keep, F.explode(_last_entries(F.col("_entries"))).alias("_entry"))
+        # Text is made after the explode, where it runs in generated code.
+        return exploded.select(
+            *keep, F.col("_entry.path").alias("path"), _entry_text(F.col("_entry.value"), opts).alias("value")
+        )
+
+    names = [n for n in record_columns(df) if n not in keys]
+    if opts.max_depth <= 0:
+        entries = _pair(F.lit("deep_object"), F.to_json(F.struct(*[field(n) for n in names])))
     else:
-        names = [n for n in record_columns(df) if n not in keys]
-        if opts.max_depth <= 0:
-            entries = _pair(F.lit("deep_object"), F.to_json(F.struct(*[field(n) for n in names])))
-        else:
-            entries = record_entries(df, names, opts)
+        entries = record_entries(df, names, opts)
+    if _may_collide(df, names, opts):
+        df = df.select(*keep, entries.alias("_entries"))
+        entries = _last_entries(F.col("_entries"))
     exploded = df.select(*keep, F.explode(entries).alias("_entry"))
     return exploded.select(*keep, F.col("_entry.path").alias("path"), F.col("_entry.value").alias("value"))
 

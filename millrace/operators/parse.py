@@ -135,11 +135,16 @@ def _structured_records(df, column, schema, meta, strict_mode) -> DataFrame:
 
 
 def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(records without the dead-letter columns, rejects with only them and ``_meta``)."""
+    """(records without the dead-letter columns, rejects with only them and ``_meta``).
+
+    The verdict passes through a generator: a plain filter on it would be copied below the
+    parsing projection by the optimizer, and every text parsed once more to decide it.
+    """
     require_columns(df, *REJECT_COLUMNS)
-    good = df.where(F.col("parsing_status").isNull()).drop(*REJECT_COLUMNS)
+    flagged = df.withColumn("_failed", F.explode(F.array(F.col("parsing_status").isNotNull())))
+    good = flagged.where(~F.col("_failed")).drop("_failed", *REJECT_COLUMNS)
     keep = [*REJECT_COLUMNS, *([META] if META in df.columns else [])]
-    rejects = df.where(F.col("parsing_status") == FAILED).select(*keep)
+    rejects = flagged.where("_failed").select(*keep)
     return good, rejects
 
 

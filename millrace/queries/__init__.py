@@ -11,6 +11,8 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.sources.files import spread
+
 
 class Query(NamedTuple):
     run: Callable[[SparkSession, str], DataFrame]
@@ -21,6 +23,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def heavy_table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
+    """The columns of a table for row-wise work, on all cores even if it is one row group."""
+    return spread(table(spark, folder, name).select(*(columns or ["*"])))
+
+
 def all_queries() -> dict[str, Query]:
     from millrace.queries import cleaning, flattening, loading, parsing, shaping, whole
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.operators.flatten import array_shapes, flatten, flatten_long, flattening_stats
-from millrace.queries import Query, table
+from millrace.queries import Query, heavy_table, table
 
 # Arrays of varying length, the same on both sides: list contents and length.
 _FLAGS = "array(l_returnflag, l_linestatus, CAST(l_linenumber AS STRING))"
@@ -15,7 +15,8 @@ _LENGTH = "CAST(l_orderkey % 4 AS INT)"
 
 def lines(spark, folder):
     """Line items: an object two levels deep, a scalar array, an array of objects."""
-    return table(spark, folder, "lineitem").select(
+    columns = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+    return heavy_table(spark, folder, "lineitem", *columns).select(
         F.col("l_orderkey").alias("id"),
         F.col("l_linenumber").alias("line"),
         F.expr("named_struct('qty', l_quantity, 'money', named_struct('price', l_extendedprice, 'tax', l_tax))").alias("item"),
@@ -98,7 +99,7 @@ def flatten_index_long(spark, folder):
 
 
 def flatten_document_words(spark, folder):
-    df = table(spark, folder, "documents").select("doc_id", F.split("text", " ").alias("words"))
+    df = heavy_table(spark, folder, "documents", "doc_id", "text").select("doc_id", F.split("text", " ").alias("words"))
     return flatten_long(df, ["doc_id"])
 
 
@@ -160,7 +161,7 @@ OPEN_JSON = (
 
 
 def open_records(spark, folder):
-    return table(spark, folder, "orders").select("o_orderkey", F.try_parse_json(F.expr(OPEN_JSON)).alias("data"))
+    return heavy_table(spark, folder, "orders").select("o_orderkey", F.try_parse_json(F.expr(OPEN_JSON)).alias("data"))
 
 
 def flatten_open_long(spark, folder):

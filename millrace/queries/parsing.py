@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.documents import normalize_documents, variant_document_metadata
 from millrace.operators.parse import parse_json_records, split_rejects
-from millrace.queries import Query, table
+from millrace.queries import Query, heavy_table, table
 from millrace.sources.documents import plain_documents
 from millrace.sources.kafka import kafka_messages
 from millrace.sources.match import match
@@ -35,7 +35,7 @@ LINE_JSON = (
 
 def messages(spark: SparkSession, folder: str, text: str = "props") -> DataFrame:
     """Events as messages."""
-    return table(spark, folder, "events").select(
+    return heavy_table(spark, folder, "events", "event_id", "user_id", "event_type", "props").select(
         F.expr(text).alias("raw_value"),
         F.lit("events").alias("topic"),
         F.expr("CAST(user_id % 4 AS INT)").alias("partition"),
@@ -49,8 +49,13 @@ def parse_event_props(spark, folder):
     return good.select(F.col("_meta.offset").alias("event_id"), "k", F.col("_meta.key").alias("event_type"))
 
 
+def line_messages(spark, folder):
+    columns = ["l_orderkey", "l_linenumber", "l_extendedprice", "l_tax", "l_returnflag", "l_linestatus"]
+    return heavy_table(spark, folder, "lineitem", *columns).select(F.expr(LINE_JSON).alias("raw_value"))
+
+
 def parse_declared_schema(spark, folder):
-    df = table(spark, folder, "lineitem").select(F.expr(LINE_JSON).alias("raw_value"))
+    df = line_messages(spark, folder)
     schema = "order bigint, flags array<string>, price struct<gross:double,tax:double>, note string"
     good, _ = split_rejects(parse_json_records(df, schema))
     return good.select(
@@ -64,7 +69,7 @@ def parse_declared_schema(spark, folder):
 
 
 def parse_discovered_schema(spark, folder):
-    df = table(spark, folder, "lineitem").select(F.expr(LINE_JSON).alias("raw_value"))
+    df = line_messages(spark, folder)
     good, _ = split_rejects(parse_json_records(df))
     return good.select(
         F.col("order").alias("order_key"),

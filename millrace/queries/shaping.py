@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.operators.convert import conversion_stats, convert
 from millrace.operators.enrich import enrich, enrichment_stats
 from millrace.operators.mapping import map_fields
-from millrace.queries import Query, table
+from millrace.queries import Query, heavy_table, table
 from millrace.queries.parsing import messages
 from millrace.operators.parse import parse_json_records, split_rejects
 
@@ -68,7 +68,7 @@ _IS_NUMBER = f"regexp_matches({_PLAIN}, '^[+-]?[0-9]+([.][0-9]*)?(e[0-9]+)?$')"
 
 
 def _texts(spark, folder):
-    return table(spark, folder, "lineitem").select(
+    return heavy_table(spark, folder, "lineitem", "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity").select(
         "l_orderkey", "l_linenumber", F.expr(NUMBER_TEXT).alias("amount"), F.expr(_FLAG_TEXT).alias("flag")
     )
 
@@ -105,7 +105,7 @@ def convert_numbers(spark, folder):
 
 
 def convert_str(spark, folder):
-    df = table(spark, folder, "orders").select(
+    df = heavy_table(spark, folder, "orders", "o_orderkey", "o_custkey", "o_totalprice").select(
         "o_orderkey",
         F.col("o_totalprice").alias("price"),
         (F.col("o_totalprice") * 1000).cast("bigint").cast("double").alias("milli"),

@@ -11,7 +11,7 @@ from millrace.operators.documents import normalize_documents
 from millrace.operators.parse import parse_json_records, split_rejects
 from millrace.plans.config import spec_from_config
 from millrace.plans.standardize import count_aggregates, run, standardize
-from millrace.queries import Query, table
+from millrace.queries import Query, heavy_table, table
 from millrace.queries.cleaning import EMAIL, PHONE
 from millrace.streaming.stream import shared_folder, standardized_stream, start_append, start_batches, upsert_folders
 
@@ -77,12 +77,12 @@ def _output(df: DataFrame) -> DataFrame:
 
 
 def standardize_people(spark, folder):
-    parsed = parse_json_records(_people(table(spark, folder, "customer")), handle_malformed=False)
+    parsed = parse_json_records(_people(heavy_table(spark, folder, "customer")), handle_malformed=False)
     return _output(standardize(split_rejects(parsed)[0], spec_from_config(CONFIG)))
 
 
 def standardize_events(spark, folder):
-    df = table(spark, folder, "events").select(
+    df = heavy_table(spark, folder, "events").select(
         F.col("props").alias("raw_value"), F.lit("events").alias("topic"), F.col("event_id").alias("offset"), F.col("event_type").alias("key")
     )
     good, _ = split_rejects(parse_json_records(df, "k string", handle_malformed=False))
@@ -95,7 +95,7 @@ def standardize_events(spark, folder):
 
 
 def standardize_documents(spark, folder):
-    df = table(spark, folder, "orders").select(
+    df = heavy_table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("_id"),
         F.struct(F.concat(F.lit(" "), "o_orderpriority").alias("priority"), F.col("o_orderdate").alias("placed")).alias("order"),
         F.array("o_orderstatus", F.lit(None).cast("string")).alias("marks"),
