@@ -32,12 +32,22 @@ def text_to_double(text: Column) -> Column:
 
 def double_to_long(number: Column) -> Column:
     """Truncate toward zero; NULL for NaN, infinities and values beyond 64 bits."""
-    return F.when(number < F.lit(2.0**63), number.try_cast("bigint"))
+    # Spark casts 2^63 to the greatest BIGINT, which no smaller DOUBLE reaches.
+    return F.nullif(number.try_cast("bigint"), F.lit(2**63 - 1))
+
+
+def text_to_long(text: Column) -> Column:
+    return double_to_long(text_to_double(text))
+
+
+def text_to_bool(text: Column) -> Column:
+    token = F.lower(text)
+    return F.when(token.isin(*TRUE_TEXTS), True).when(token.isin(*FALSE_TEXTS), False)
 
 
 def to_int(value: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.StringType):
-        return double_to_long(text_to_double(strip(value)))
+        return text_to_long(strip(value))
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         return double_to_long(value.cast("double"))
     if isinstance(dtype, _NUMERIC):
@@ -57,8 +67,7 @@ def to_bool(value: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.BooleanType):
         return value
     if isinstance(dtype, T.StringType):
-        token = F.lower(strip(value))
-        return F.when(token.isin(*TRUE_TEXTS), True).when(token.isin(*FALSE_TEXTS), False)
+        return text_to_bool(strip(value))
     if isinstance(dtype, T.NumericType):
         return value != F.lit(0).cast(dtype)
     return F.lit(None).cast("boolean")
@@ -81,3 +90,11 @@ CONVERTERS = {
     "str": (python_text, T.StringType()),
     "datetime": (to_datetime, T.StringType()),
 }
+
+# The same for text that is stripped already.
+TEXT_READERS = {
+    "int": text_to_long,
+    "float": text_to_double,
+    "bool": text_to_bool,
+    "datetime": parse_datetime,
+}

@@ -45,14 +45,14 @@ def number_text(number: Column) -> Column:
     scientific = F.format_string(
         "%se%s%02d", mantissa, F.when(exponent < 0, "-").otherwise("+"), F.abs(exponent)
     )
-    return (
+    rewritten = F.when(exponent.between(-4, 15), plain).otherwise(scientific)
+    words = (
         F.when(F.isnan(number), "nan")
-        .when(raw == "Infinity", "inf")
-        .when(raw == "-Infinity", "-inf")
-        .when(~F.contains(raw, F.lit("E")), raw)
-        .when(exponent.between(-4, 15), plain)
-        .otherwise(scientific)
+        .when(number == float("inf"), "inf")
+        .when(number == float("-inf"), "-inf")
+        .otherwise(raw)
     )
+    return F.when(F.contains(raw, F.lit("E")), rewritten).otherwise(words)
 
 
 def python_text(value: Column, dtype: T.DataType) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -27,6 +27,16 @@ COUNTERS = (
     "phones_cleaned",
     "validation_errors",
 )
+# The rules and whether they are on by default.
+RULES = {
+    "trim_whitespace": True,
+    "remove_empty_strings": True,
+    "standardize_nulls": True,
+    "validate_emails": False,
+    "clean_phone_numbers": False,
+}
+COUNTER = "_count {}"
+_OfName = Callable[[str], Column]
 _NOT_PHONE = r"(?U)[^\d+]"
 
 
@@ -36,71 +46,12 @@ def _named(name: str, parts: Iterable[str]) -> bool:
 
 def active_rules(**options) -> list[str]:
     """Names of the cleaning rules that are on, for the lineage row."""
-    defaults = {
-        "trim_whitespace": True,
-        "remove_empty_strings": True,
-        "standardize_nulls": True,
-        "validate_emails": False,
-        "clean_phone_numbers": False,
-    }
-    return [rule for rule, default in defaults.items() if options.get(rule, default)]
-
-
-def _checked(value, cleaned, pattern, kind, strict):
-    """(result, accepted flag, error flag) of one validation step; NULL and "" pass by."""
-    given = value.isNotNull() & (value != "")
-    if pattern is None:
-        return F.when(given, cleaned).otherwise(value), given, F.lit(False)
-    valid = matches_at_start(cleaned, pattern)
-    kept = value
-    if strict:
-        message = F.concat(F.lit(f"Invalid {kind} format: "), value)
-        kept = F.raise_error(message).cast("string")
-    result = F.when(given & valid, cleaned).when(given, kept).otherwise(value)
-    return result, given & valid, given & ~valid
-
-
-def _clean_column(name: str, opts: Mapping) -> tuple[Column, dict[str, Column]]:
-    """The cleaned value of one string column and its 0/1 counters."""
-    flags: dict[str, list[Column]] = {counter: [] for counter in COUNTERS}
-    value = field(name)
-    if opts["trim_whitespace"]:
-        stripped = strip(value)
-        flags["fields_trimmed"].append(stripped != value)
-        value = stripped
-    if opts["standardize_nulls"]:
-        tokens = list(opts["null_values"])
-        flags["nulls_standardized"].append(value.isin(tokens))
-        value = F.when(~value.isin(tokens), value)
-    rules, strict = opts["validation_rules"], opts["strict_validation"]
-    if opts["validate_emails"] and name in opts["email_columns"]:
-        cleaned = strip(F.lower(value))
-        value, ok, bad = _checked(value, cleaned, rules.get("email"), "email", strict)
-        # Without a pattern an address is lower-cased but not counted as validated.
-        flags["emails_validated"].append(ok if "email" in rules else F.lit(False))
-        flags["validation_errors"].append(bad)
-    if opts["clean_phone_numbers"] and name in opts["phone_columns"]:
-        cleaned = F.regexp_replace(value, _NOT_PHONE, "")
-        value, ok, bad = _checked(value, cleaned, rules.get("phone"), "phone", strict)
-        flags["phones_cleaned"].append(ok)
-        flags["validation_errors"].append(bad)
-    if opts["remove_empty_strings"]:
-        value = F.nullif(value, F.lit(""))
-    counts = {
-        counter: reduce(lambda a, b: a + b, [F.when(f, 1).otherwise(0) for f in fs])
-        for counter, fs in flags.items()
-        if fs
-    }
-    return value, counts
+    return [rule for rule, default in RULES.items() if options.get(rule, default)]
 
 
 def _options(df: DataFrame, options: Mapping) -> tuple[dict, list[str]]:
     known = {
-        "trim_whitespace": True,
-        "remove_empty_strings": True,
-        "standardize_nulls": True,
-        "validate_emails": False,
-        "clean_phone_numbers": False,
+        **RULES,
         "null_values": NULL_VALUES,
         "validation_rules": VALIDATION_RULES,
         "strict_validation": False,
@@ -112,13 +63,88 @@ def _options(df: DataFrame, options: Mapping) -> tuple[dict, list[str]]:
         raise ValueError(f"unknown cleaning options {sorted(unknown)}")
     opts = {**known, **options}
     strings = [n for n in record_columns(df) if isinstance(df.schema[n].dataType, T.StringType)]
-    if opts["email_columns"] is None:
-        opts["email_columns"] = [n for n in strings if _named(n, EMAIL_NAMES)]
-    if opts["phone_columns"] is None:
-        opts["phone_columns"] = [n for n in strings if _named(n, PHONE_NAMES)]
+    for kind, parts in (("email_columns", EMAIL_NAMES), ("phone_columns", PHONE_NAMES)):
+        chosen = opts[kind]
+        opts[kind] = [n for n in strings if (_named(n, parts) if chosen is None else n in chosen)]
     return opts, strings
 
 
+class _Steps:
+    """Successive projections over the string columns, so that each value is made once.
+
+    With ``counting`` every step also adds to integer columns, one per counter.
+    """
+
+    def __init__(self, df: DataFrame, counting: bool):
+        self.counters = [COUNTER.format(name) for name in COUNTERS] if counting else []
+        self.df = df.withColumns({name: F.lit(0) for name in self.counters}) if counting else df
+
+    def apply(self, names: Sequence[str], change: _OfName, **flags: _OfName) -> None:
+        """Replace each named column by ``change(name)``; a counter grows where its flag holds."""
+        if not names:
+            return
+        out = {name: change(name) for name in names}
+        for counter, flag in flags.items():
+            held = COUNTER.format(counter)
+            if held in self.counters:
+                ones = [F.when(flag(name), 1).otherwise(0) for name in names]
+                out[held] = reduce(lambda a, b: a + b, ones, field(held))
+        self.df = self.df.select(*[out[n].alias(n) if n in out else field(n) for n in self.df.columns])
+
+    def validate(self, names: Sequence[str], kind: str, cleaned: _OfName, opts: Mapping, counter: str) -> None:
+        """Put the cleaned text in place where it is valid; "" and NULL pass by.
+
+        Without a pattern every cleaned text is taken; only phone numbers are counted then.
+        """
+        if not names:
+            return
+        pattern = opts["validation_rules"].get(kind)
+        held = {name: f"_try {name}" for name in names}
+        self.df = self.df.withColumns({held[n]: F.when(field(n) != "", cleaned(n)) for n in names})
+
+        def tried(name: str) -> Column:
+            return field(held[name])
+
+        def valid(name: str) -> Column:
+            return tried(name).isNotNull() if pattern is None else matches_at_start(tried(name), pattern)
+
+        def change(name: str) -> Column:
+            kept = field(name)
+            if opts["strict_validation"]:
+                failure = F.raise_error(F.concat(F.lit(f"Invalid {kind} format: "), kept)).cast("string")
+                kept = F.when(tried(name).isNotNull(), failure).otherwise(kept)
+            return F.when(valid(name), tried(name)).otherwise(kept)
+
+        flags: dict[str, _OfName] = {} if pattern is None and kind == "email" else {counter: valid}
+        if pattern is not None:
+            flags["validation_errors"] = lambda name: tried(name).isNotNull() & ~valid(name)
+        self.apply(names, change, **flags)
+        self.df = self.df.drop(*held.values())
+
+
+def _run(df: DataFrame, options: Mapping, counting: bool) -> DataFrame:
+    opts, strings = _options(df, options)
+    steps = _Steps(df, counting)
+    if opts["trim_whitespace"]:
+        steps.apply(strings, lambda n: strip(field(n)), fields_trimmed=lambda n: strip(field(n)) != field(n))
+    if opts["standardize_nulls"]:
+        tokens = list(opts["null_values"])
+        steps.apply(
+            strings,
+            lambda n: F.when(~field(n).isin(tokens), field(n)),
+            nulls_standardized=lambda n: field(n).isin(tokens),
+        )
+    if opts["validate_emails"]:
+        steps.validate(opts["email_columns"], "email", lambda n: strip(F.lower(field(n))), opts, "emails_validated")
+    if opts["clean_phone_numbers"]:
+        steps.validate(
+            opts["phone_columns"], "phone", lambda n: F.regexp_replace(field(n), _NOT_PHONE, ""), opts, "phones_cleaned"
+        )
+    if opts["remove_empty_strings"]:
+        steps.apply(strings, lambda n: F.nullif(field(n), F.lit("")))
+    return steps.df
+
+
 def clean(df: DataFrame, **options) -> DataFrame:
     """Clean every top-level string column; other columns pass through.
 
@@ -127,26 +153,22 @@ def clean(df: DataFrame, **options) -> DataFrame:
     strict_validation (off), email_columns / phone_columns (found by name).
     A value that fails validation keeps its trimmed text.
     """
-    opts, strings = _options(df, options)
-    return df.select(
-        *[_clean_column(n, opts)[0].alias(n) if n in strings else field(n) for n in df.columns]
-    )
+    return _run(df, options, counting=False)
 
 
-def cleaning_counts(df: DataFrame, **options) -> dict[str, Column]:
-    """Per-row counters of what ``clean`` would do to this frame."""
-    opts, strings = _options(df, options)
-    totals = {counter: F.lit(0) for counter in COUNTERS}
-    for name in strings:
-        for counter, one in _clean_column(name, opts)[1].items():
-            totals[counter] = totals[counter] + one
-    return totals
+def clean_counted(df: DataFrame, **options) -> DataFrame:
+    """``clean`` with each row's counters in further columns (``counter_columns``)."""
+    return _run(df, options, counting=True)
+
+
+def counter_columns() -> dict[str, Column]:
+    """Counter name -> its column in a ``clean_counted`` frame."""
+    return {name: field(COUNTER.format(name)) for name in COUNTERS}
 
 
 def cleaning_stats(df: DataFrame, **options) -> DataFrame:
     """One row: records_processed and the summed counters."""
-    counts = cleaning_counts(df, **options)
-    return df.agg(
+    return clean_counted(df, **options).agg(
         F.count(F.lit(1)).alias("records_processed"),
-        *[F.coalesce(F.sum(one), F.lit(0)).alias(name) for name, one in counts.items()],
+        *[F.coalesce(F.sum(one), F.lit(0)).alias(name) for name, one in counter_columns().items()],
     )

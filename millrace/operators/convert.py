@@ -2,60 +2,70 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.casts import CONVERTERS
+from millrace.functions.casts import CONVERTERS, TEXT_READERS
 from millrace.functions.names import field, record_columns
 from millrace.functions.text import python_text, strip
 
 # What a failed conversion yields, by target type.
 DEFAULT_VALUES = {"int": 0, "float": 0.0, "bool": False, "str": "", "datetime": None}
 _BLANK_DEFAULTS = {"int": 0, "float": 0.0}
+COUNTER = "_count {}"
 
 
-def _convert_column(
-    df: DataFrame, name: str, target: str, strict: bool, defaults: Mapping
-) -> tuple[Column, Column, Column]:
-    """(value, succeeded, failed); both flags are false for NULL."""
+def _fallback(df: DataFrame, name: str, target: str, strict: bool, defaults: Mapping) -> tuple[Column, T.DataType]:
+    """What a present value becomes if it cannot be converted, and the column's type then."""
     value, dtype = field(name), df.schema[name].dataType
-    present = value.isNotNull()
-    if target not in CONVERTERS:
-        return value, F.lit(False), present
-    converter, out_type = CONVERTERS[target]
-    converted = converter(value, dtype)
-    if target == "str":
-        return converted, present, F.lit(False)
-
-    # Blank text never raises for numbers: it takes the default, even in strict mode.
-    is_text = isinstance(dtype, T.StringType)
-    blank = (strip(value) == "") if is_text and target in _BLANK_DEFAULTS else F.lit(False)
-    done = converted.isNotNull()
-    failed = present & ~done
-
-    if strict:
+    out_type = CONVERTERS[target][1]
+    keeps_original = not strict and target not in defaults
+    if keeps_original:
+        # No default: the original stays, so the column has to be text.
+        out_type = T.StringType()
+        fallback = python_text(value, dtype)
+    elif strict:
         message = F.concat(
             F.lit(f"Type conversion failed for field '{name}': Cannot convert '"),
             python_text(value, dtype),
             F.lit(f"' to {target}"),
         )
         fallback = F.raise_error(message).cast(out_type)
-    elif target in defaults:
-        fallback = F.lit(defaults[target]).cast(out_type)
     else:
-        # No default: the original stays, so the column has to be text.
-        fallback = python_text(value, dtype)
-        converted = python_text(converted, out_type)
-        out_type = T.StringType()
-    result = F.when(done, converted)
-    if target in _BLANK_DEFAULTS and is_text:
-        empty = F.lit(defaults.get(target, _BLANK_DEFAULTS[target]))
-        result = result.when(blank, empty.cast(out_type))
-    result = result.when(failed, fallback)
-    return result, done, failed
+        fallback = F.lit(defaults[target]).cast(out_type)
+    if target in _BLANK_DEFAULTS and isinstance(dtype, T.StringType):
+        # Blank text never raises for numbers: it takes the default, even in strict mode.
+        blank = F.lit(defaults.get(target, _BLANK_DEFAULTS[target])).cast(out_type)
+        fallback = F.when(field(_text(name)) == "", blank).otherwise(fallback)
+    return F.when(value.isNotNull(), fallback), out_type
+
+
+def _text(name: str) -> str:
+    return f"_text {name}"
+
+
+def _done(name: str) -> str:
+    return f"_done {name}"
+
+
+def _attempts(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
+    """Add the converted value of every named column, NULL where the conversion failed.
+
+    Texts are stripped in a projection of their own, so each is stripped and read once.
+    """
+    texts = {n for n, target in rules.items() if target in TEXT_READERS and isinstance(df.schema[n].dataType, T.StringType)}
+    if texts:
+        df = df.withColumns({_text(n): strip(field(n)) for n in texts})
+    tried = {}
+    for name, target in rules.items():
+        if name in texts:
+            tried[_done(name)] = TEXT_READERS[target](field(_text(name)))
+        elif target in CONVERTERS:
+            tried[_done(name)] = CONVERTERS[target][0](field(name), df.schema[name].dataType)
+    return df.withColumns(tried) if tried else df
 
 
 def _rules(df: DataFrame, conversions: Mapping[str, str]) -> dict[str, str]:
@@ -63,6 +73,45 @@ def _rules(df: DataFrame, conversions: Mapping[str, str]) -> dict[str, str]:
     return {name: target for name, target in conversions.items() if name in names}
 
 
+def _counts(df: DataFrame, names: Sequence[str], rules: Mapping[str, str]) -> dict[str, Column]:
+    totals = {"successful": F.lit(0), "failed": F.lit(0), "skipped": F.lit(0)}
+
+    def add(counter: str, flag: Column) -> None:
+        totals[counter] = totals[counter] + F.when(flag, 1).otherwise(0)
+
+    for name in names:
+        present = field(name).isNotNull()
+        if name not in rules:
+            add("skipped", present)
+        elif rules[name] not in CONVERTERS:
+            add("failed", present)
+        else:
+            done = field(_done(name)).isNotNull()
+            add("successful", done)
+            add("failed", present & ~done)
+    return totals
+
+
+def _convert(df: DataFrame, conversions: Mapping[str, str], strict: bool, defaults: Mapping | None, counting: bool) -> DataFrame:
+    defaults = DEFAULT_VALUES if defaults is None else defaults
+    rules = _rules(df, conversions)
+    names, columns = record_columns(df), df.columns
+    df = _attempts(df, rules)
+    out = []
+    for name in columns:
+        target = rules.get(name)
+        if target not in CONVERTERS:
+            out.append(field(name))
+            continue
+        fallback, out_type = _fallback(df, name, target, strict, defaults)
+        done = field(_done(name))
+        if out_type != CONVERTERS[target][1]:
+            done = python_text(done, CONVERTERS[target][1])
+        out.append(F.coalesce(done, fallback).alias(name))
+    counts = _counts(df, names, rules) if counting else {}
+    return df.select(*out, *[one.alias(COUNTER.format(name)) for name, one in counts.items()])
+
+
 def convert(
     df: DataFrame,
     type_conversions: Mapping[str, str],
@@ -76,38 +125,24 @@ def convert(
     ``default_values`` names none for the type the original text is kept and the column
     becomes STRING. ``strict_mode`` fails the job instead. Unknown types leave the column.
     """
-    defaults = DEFAULT_VALUES if default_values is None else default_values
-    rules = _rules(df, type_conversions)
-    return df.select(
-        *[
-            _convert_column(df, n, rules[n], strict_mode, defaults)[0].alias(n) if n in rules else field(n)
-            for n in df.columns
-        ]
-    )
+    return _convert(df, type_conversions, strict_mode, default_values, counting=False)
 
 
-def conversion_counts(df: DataFrame, type_conversions: Mapping[str, str]) -> dict[str, Column]:
-    """Per-row counters over the fields that are present (not NULL)."""
-    rules = _rules(df, type_conversions)
-    totals = {"successful": F.lit(0), "failed": F.lit(0), "skipped": F.lit(0)}
+def convert_counted(df: DataFrame, type_conversions: Mapping[str, str], **options) -> DataFrame:
+    """``convert`` with each row's counters, over its present fields, in further columns."""
+    return _convert(
+        df, type_conversions, options.get("strict_mode", False), options.get("default_values"), counting=True
+    )
 
-    def add(counter: str, flag: Column) -> None:
-        totals[counter] = totals[counter] + F.when(flag, 1).otherwise(0)
 
-    for name in record_columns(df):
-        if name in rules:
-            _, done, failed = _convert_column(df, name, rules[name], False, DEFAULT_VALUES)
-            add("successful", done)
-            add("failed", failed)
-        else:
-            add("skipped", field(name).isNotNull())
-    return totals
+def counter_columns() -> dict[str, Column]:
+    """Counter name -> its column in a ``convert_counted`` frame."""
+    return {name: field(COUNTER.format(name)) for name in ("successful", "failed", "skipped")}
 
 
 def conversion_stats(df: DataFrame, type_conversions: Mapping[str, str]) -> DataFrame:
     """One row: successful, failed and skipped fields, and the number of rules."""
-    counts = conversion_counts(df, type_conversions)
-    return df.agg(
-        *[F.coalesce(F.sum(one), F.lit(0)).alias(name) for name, one in counts.items()],
+    return convert_counted(df, type_conversions).agg(
+        *[F.coalesce(F.sum(one), F.lit(0)).alias(name) for name, one in counter_columns().items()],
         F.lit(len(type_conversions)).alias("conversions_attempted"),
     )

@@ -384,14 +384,19 @@ def _open_columns(df: DataFrame, name: str, opts: FlattenOptions, max_columns: i
     if len(found) > max_columns:
         raise ValueError(f"{name} has more than {max_columns} paths; use flatten_long")
     held = f"_paths of {name}"
-    pairs = F.transform(_last_entries(entries), lambda e: F.struct(e.getField("path"), e.getField("value")))
+    df = df.withColumn(f"_entries of {name}", entries)
+    last = _last_entries(field(f"_entries of {name}"))
+    pairs = F.transform(last, lambda e: F.struct(e.getField("path"), e.getField("value")))
     df = df.withColumn(held, F.map_from_entries(pairs))
+    found = sorted(found, key=lambda r: r["path"])
+    at = {r["path"]: f"_value of {r['path']}" for r in found}
+    df = df.withColumns({at[path]: F.element_at(field(held), F.lit(path)) for path in at}) if at else df
     out = []
-    for row in sorted(found, key=lambda r: r["path"]):
+    for row in found:
         dtype = storage_type(from_variant_schema(row["type"]))
-        value = F.element_at(field(held), F.lit(row["path"]))
+        value = field(at[row["path"]])
         if isinstance(dtype, T.StringType):
-            out.append((row["path"], json_text(value, T.VariantType()), dtype))
+            out.append((row["path"], _entry_text(value, opts), dtype))
         else:
             out.append((row["path"], F.try_variant_get(value, "$", type_text(dtype)), dtype))
     return df, out

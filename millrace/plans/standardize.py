@@ -21,8 +21,10 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.names import COUNTS, field
-from millrace.operators.clean import active_rules, clean, cleaning_counts
-from millrace.operators.convert import conversion_counts, convert
+from millrace.operators.clean import active_rules, clean, clean_counted
+from millrace.operators.clean import counter_columns as cleaning_counters
+from millrace.operators.convert import convert, convert_counted
+from millrace.operators.convert import counter_columns as conversion_counters
 from millrace.operators.enrich import enrich, enrichment_counts
 from millrace.operators.flatten import flatten, flattening_counts
 from millrace.operators.mapping import map_fields, mapped_targets
@@ -74,15 +76,26 @@ def _apply(df: DataFrame, stage: str, options: dict) -> DataFrame:
     return enrich(df, **options)
 
 
-def _counters(df: DataFrame, stage: str, options: dict) -> dict[str, Column]:
+def _apply_counted(df: DataFrame, stage: str, options: dict) -> DataFrame:
+    """The stage, with its counters joined to ``_counts``."""
     if stage == "clean":
-        return cleaning_counts(df, **options)
+        return _keep_counts(clean_counted(df, **options), stage, cleaning_counters())
+    if stage == "convert":
+        return _keep_counts(convert_counted(df, **options), stage, conversion_counters())
     if stage == "flatten":
         own = {k: v for k, v in options.items() if k not in ("widths", "max_columns")}
-        return flattening_counts(df, **own)
-    if stage == "convert":
-        return conversion_counts(df, options["type_conversions"])
-    return enrichment_counts(**options) if stage == "enrich" else {}
+        df = _keep_counts(df, stage, flattening_counts(df, **own))
+    elif stage == "enrich":
+        df = _keep_counts(df, stage, enrichment_counts(**options))
+    return _apply(df, stage, options)
+
+
+def _keep_counts(df: DataFrame, stage: str, counts: Mapping[str, Column]) -> DataFrame:
+    known = df.schema[COUNTS].dataType.names if COUNTS in df.columns else []
+    held = [field(COUNTS).getField(n).alias(n) for n in known]
+    joined = F.struct(*held, *[c.alias(f"{stage}.{n}") for n, c in counts.items()])
+    spent = [n for n in df.columns if n.startswith("_count ")]
+    return df.withColumn(COUNTS, joined).drop(*spent)
 
 
 def standardize(df: DataFrame, spec: Mapping, *, counters: bool = False) -> DataFrame:
@@ -96,22 +109,12 @@ def standardize(df: DataFrame, spec: Mapping, *, counters: bool = False) -> Data
         options = stage_options(spec, stage)
         if options is None:
             continue
-        if counters:
-            df = _with_counts(df, stage, _counters(df, stage, options))
-        df = _apply(df, stage, options)
+        df = _apply_counted(df, stage, options) if counters else _apply(df, stage, options)
     for extra in spec.get("extra", ()):
         df = df.transform(extra)
     return df
 
 
-def _with_counts(df: DataFrame, stage: str, counts: Mapping[str, Column]) -> DataFrame:
-    if not counts:
-        return df
-    known = df.schema[COUNTS].dataType.names if COUNTS in df.columns else []
-    held = [field(COUNTS).getField(n).alias(n) for n in known]
-    return df.withColumn(COUNTS, F.struct(*held, *[c.alias(f"{stage}.{n}") for n, c in counts.items()]))
-
-
 def count_aggregates(df: DataFrame) -> list[Column]:
     """Aggregates over ``_counts``, named ``stage.counter``."""
     names = df.schema[COUNTS].dataType.names if COUNTS in df.columns else []
