@@ -11,7 +11,7 @@ expanded level by level inside one expression, so any mixture of shapes is handl
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
-from dataclasses import dataclass, field as data_field
+from dataclasses import dataclass, field as data_field, replace
 from functools import reduce
 from typing import NamedTuple
 
@@ -25,6 +25,7 @@ from millrace.functions.text import json_text, python_text, variant_scalar_text
 ARRAY_MODES = ("index", "enumerate", "concat")
 NULL_MODES = ("keep", "remove", "empty_string")
 ENTRY = "struct<path:string,value:string>"
+COUNTER = "_count {}"
 STATS = ("objects_flattened", "arrays_flattened", "fields_created", "max_depth_reached")
 
 
@@ -452,7 +453,17 @@ def _open_rule(value: Column, rule: Mapping[str, str]) -> Column:
     return value
 
 
-def _expand(entry: Column, opts: FlattenOptions) -> Column:
+# With measuring on, entries without a path mark what was opened: an object, an array, or an
+# object at the depth cap. They are counted by ``_measure_open`` and never output.
+_OBJECT, _ARRAY, _CAPPED = "object", "array", "capped"
+
+
+def _marks(measure: bool, depth: Column, *kinds: str) -> list[Column]:
+    none = F.lit(None).cast("string")
+    return [F.array(*[_entry(none, _variant_text(kind), depth, False) for kind in kinds])] if measure else []
+
+
+def _expand(entry: Column, opts: FlattenOptions, measure: bool = False) -> Column:
     """One level: an unfinished entry becomes the entries of its members."""
     path, value, depth = entry.getField("path"), entry.getField("value"), entry.getField("depth")
     own = depth + 1
@@ -471,10 +482,14 @@ def _expand(entry: Column, opts: FlattenOptions) -> Column:
 
         whole = F.when(path == "", "deep_object").otherwise(path)
         capped = F.array(_entry(whole, _variant_text(F.to_json(value)), depth, False))
+        opened = F.transform(F.map_entries(found), child)
+        if measure:
+            capped = F.concat(*_marks(True, own, _OBJECT, _CAPPED), capped)
+            opened = F.concat(*_marks(True, own, _OBJECT), opened)
         return (
-            F.when(own >= opts.max_depth, capped)
-            .when(F.size(found) == 0, done(_variant_text("{}")))
-            .otherwise(F.transform(F.map_entries(found), child))
+            F.when(F.size(found) == 0, done(_variant_text("{}")))
+            .when(own >= opts.max_depth, capped)
+            .otherwise(opened)
         )
 
     def items(found: Column) -> Column:
@@ -494,6 +509,8 @@ def _expand(entry: Column, opts: FlattenOptions) -> Column:
             spread = F.concat(
                 spread, F.when(F.size(simple) > 0, done(_variant_text(text))).otherwise(_nothing())
             )
+        if measure:
+            spread = F.concat(*_marks(True, depth, _ARRAY), spread)
         return F.when(F.size(found) == 0, done(_variant_text("[]"))).otherwise(spread)
 
     def scalar() -> Column:
@@ -530,7 +547,7 @@ def _scalar_text(value: Column) -> Column:
     return F.when(is_bool, F.initcap(text)).otherwise(F.coalesce(text, F.lit("")))
 
 
-def open_entries(value: Column, path: Column, opts: FlattenOptions, depth: int = 0) -> Column:
+def open_entries(value: Column, path: Column, opts: FlattenOptions, depth: int = 0, measure: bool = False) -> Column:
     """ARRAY<STRUCT<path, value VARIANT, ...>> of everything under a VARIANT value.
 
     ``depth`` is that of the record the value is a field of; -1 when the value is the record
@@ -545,7 +562,7 @@ def open_entries(value: Column, path: Column, opts: FlattenOptions, depth: int =
         return F.exists(entries, lambda e: e.getField("todo"))
 
     def step(state: Column, _: Column) -> Column:
-        opened = F.flatten(F.transform(state.getField("entries"), lambda e: _expand(e, opts)))
+        opened = F.flatten(F.transform(state.getField("entries"), lambda e: _expand(e, opts, measure)))
         after = _let(opened, lambda es: F.struct(unfinished(es).alias("more"), es.alias("entries")))
         return F.when(state.getField("more"), after).otherwise(state)
 
@@ -836,24 +853,60 @@ def _added(parts: Sequence[dict[str, Column]]) -> dict[str, Column]:
     return out
 
 
-def flattening_counts(df: DataFrame, **options) -> dict[str, Column]:
-    """Per-row counters of what ``flatten`` would do; NULL counts as absent.
+def _measure_open(entries: Column) -> dict[str, Column]:
+    """The four counters of one open value from its measured entries."""
+
+    def marked(kind: str) -> Column:
+        return F.filter(
+            entries,
+            lambda e: e.getField("path").isNull() & (F.try_variant_get(e.getField("value"), "$", "string") == kind),
+        )
+
+    depths = F.transform(marked(_OBJECT), lambda e: e.getField("depth"))
+    fields = F.filter(entries, lambda e: e.getField("path").isNotNull())
+    return {
+        "objects_flattened": F.size(marked(_OBJECT)),
+        "arrays_flattened": F.size(marked(_ARRAY)),
+        "fields_created": F.size(fields) - F.size(marked(_CAPPED)),
+        "max_depth_reached": F.coalesce(F.array_max(depths), F.lit(0)),
+    }
+
 
-    VARIANT and MAP columns are measured by their top value only.
+def flatten_measured(df: DataFrame, **options) -> DataFrame:
+    """The frame as it is, with each row's flattening counters in further columns.
+
+    They tell what ``flatten`` would do with these options; NULL counts as absent.
     """
     opts = FlattenOptions(**options)
+    names, columns = record_columns(df), df.columns
     if opts.max_depth <= 0:
-        return {k: F.lit(0) for k in STATS}
-    return _added([_measure(field(n), df.schema[n].dataType, n, 0, opts) for n in record_columns(df)])
+        return df.withColumns({COUNTER.format(k): F.lit(0) for k in STATS})
+    parts = [dict.fromkeys(STATS, F.lit(0))]
+    for name in names:
+        dtype = df.schema[name].dataType
+        if not _is_open(dtype) or name in opts.custom_flatteners:
+            parts.append(_measure(field(name), dtype, name, 0, opts))
+            continue
+        counted = replace(opts, null_value_handling="remove")
+        entries = open_entries(_as_variant(field(name), dtype), F.lit(name), counted, measure=True)
+        df = df.withColumn(f"_measured {name}", entries)
+        counts = _measure_open(field(f"_measured {name}"))
+        parts.append({k: F.when(field(name).isNotNull(), counts[k]).otherwise(0) for k in STATS})
+    counts = [one.alias(COUNTER.format(k)) for k, one in _added(parts).items()]
+    return df.select(*[field(n) for n in columns], *counts)
+
+
+def counter_columns() -> dict[str, Column]:
+    """Counter name -> its column in a ``flatten_measured`` frame."""
+    return {name: field(COUNTER.format(name)) for name in STATS}
 
 
 def flattening_stats(df: DataFrame, **options) -> DataFrame:
     """One row: records_processed, the summed counters and the greatest depth."""
-    counts = flattening_counts(df, **options)
-    return df.agg(
+    return flatten_measured(df, **options).agg(
         F.count(F.lit(1)).alias("records_processed"),
         *[
             F.coalesce((F.max if k == "max_depth_reached" else F.sum)(one), F.lit(0)).alias(k)
-            for k, one in counts.items()
+            for k, one in counter_columns().items()
         ],
     )

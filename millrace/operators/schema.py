@@ -52,7 +52,24 @@ def discover_schema(df: DataFrame, value: Column) -> T.StructType:
         raise ValueError("a stream needs an explicit schema; discovery reads all rows first")
     text = df.select(F.schema_of_variant_agg(value).alias("schema")).first()["schema"]
     dtype = from_variant_schema(text)
-    return storage_type(dtype) if isinstance(dtype, T.StructType) else T.StructType([])
+    schema = storage_type(dtype) if isinstance(dtype, T.StructType) else T.StructType([])
+    if df.sparkSession.conf.get("spark.sql.caseSensitive") != "true":
+        _check_case(schema, "record")
+    return schema
+
+
+def _check_case(dtype: T.DataType, where: str) -> None:
+    """Raise where two fields differ by case only: Spark could not tell them apart."""
+    if isinstance(dtype, T.ArrayType):
+        _check_case(dtype.elementType, where + "[]")
+    if not isinstance(dtype, T.StructType):
+        return
+    seen: dict[str, str] = {}
+    for f in dtype.fields:
+        other = seen.setdefault(f.name.lower(), f.name)
+        if other != f.name:
+            raise ValueError(f"{where} has both {other!r} and {f.name!r}: set spark.sql.caseSensitive to true")
+        _check_case(f.dataType, f"{where}.{f.name}")
 
 
 def as_struct_type(schema: T.StructType | str) -> T.StructType:

@@ -26,7 +26,8 @@ from millrace.operators.clean import counter_columns as cleaning_counters
 from millrace.operators.convert import convert, convert_counted
 from millrace.operators.convert import counter_columns as conversion_counters
 from millrace.operators.enrich import enrich, enrichment_counts
-from millrace.operators.flatten import flatten, flattening_counts
+from millrace.operators.flatten import counter_columns as flattening_counters
+from millrace.operators.flatten import flatten, flatten_measured
 from millrace.operators.mapping import map_fields, mapped_targets
 from millrace.operators.parse import FAILED, REJECT_COLUMNS
 
@@ -84,7 +85,7 @@ def _apply_counted(df: DataFrame, stage: str, options: dict) -> DataFrame:
         return _keep_counts(convert_counted(df, **options), stage, conversion_counters())
     if stage == "flatten":
         own = {k: v for k, v in options.items() if k not in ("widths", "max_columns")}
-        df = _keep_counts(df, stage, flattening_counts(df, **own))
+        df = _keep_counts(flatten_measured(df, **own), stage, flattening_counters())
     elif stage == "enrich":
         df = _keep_counts(df, stage, enrichment_counts(**options))
     return _apply(df, stage, options)

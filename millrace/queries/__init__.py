@@ -24,7 +24,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def heavy_table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
-    """The columns of a table for row-wise work, on all cores even if it is one row group."""
+    """A table, or some columns of it, for costly row-wise work: on all cores, see ``spread``."""
     return spread(table(spark, folder, name).select(*(columns or ["*"])))
 
 

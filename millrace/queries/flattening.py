@@ -13,10 +13,10 @@ _FLAGS_LIST = "[l_returnflag, l_linestatus, CAST(l_linenumber AS STRING)]"
 _LENGTH = "CAST(l_orderkey % 4 AS INT)"
 
 
-def lines(spark, folder):
+def lines(spark, folder, read=table):
     """Line items: an object two levels deep, a scalar array, an array of objects."""
     columns = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
-    return heavy_table(spark, folder, "lineitem", *columns).select(
+    return read(spark, folder, "lineitem").select(*columns).select(
         F.col("l_orderkey").alias("id"),
         F.col("l_linenumber").alias("line"),
         F.expr("named_struct('qty', l_quantity, 'money', named_struct('price', l_extendedprice, 'tax', l_tax))").alias("item"),
@@ -95,7 +95,7 @@ def flatten_nulls_removed(spark, folder):
 
 
 def flatten_index_long(spark, folder):
-    return flatten_long(lines(spark, folder), ["id", "line"])
+    return flatten_long(lines(spark, folder, heavy_table), ["id", "line"])
 
 
 def flatten_document_words(spark, folder):
@@ -186,6 +186,11 @@ def flattening_counts(spark, folder):
     return flattening_stats(lines(spark, folder))
 
 
+def open_flattening_counts(spark, folder):
+    df = open_records(spark, folder)
+    return flattening_stats(df.select("o_orderkey", F.try_variant_get("data", "$.v", "variant").alias("v")))
+
+
 def array_shape_report(spark, folder):
     """The array lengths that set the wide form's columns, next to the frame's size."""
     df = lines(spark, folder)
@@ -389,6 +394,13 @@ QUERIES = {
         CAST(sum(5 + greatest({_LENGTH}, 1) + CASE WHEN {_HAS_RATE} THEN 4 ELSE 2 END) AS BIGINT) AS fields_created,
         2 AS max_depth_reached FROM lineitem""",
     ),
+    "flattening_stats_open": Query(
+        open_flattening_counts,
+        f"""SELECT count(*) AS records_processed,
+        CAST(sum(CASE {_OPEN_MOD} WHEN 0 THEN 2 WHEN 1 THEN 1 ELSE 0 END) AS BIGINT) AS objects_flattened,
+        count(*) FILTER ({_OPEN_MOD} = 1) AS arrays_flattened,
+        CAST(sum(1 + CASE {_OPEN_MOD} WHEN 2 THEN 1 ELSE 2 END) AS BIGINT) AS fields_created, 2 AS max_depth_reached FROM orders""",
+    ),
     "array_shapes": Query(
         array_shape_report,
         f"""SELECT count(*) AS records, max({_LENGTH}) AS flags_longest, bool_or({_LENGTH} = 0) AS flags_empty,

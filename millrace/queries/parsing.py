@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.operators.documents import normalize_documents, variant_document_metadata
 from millrace.operators.parse import parse_json_records, split_rejects
 from millrace.queries import Query, heavy_table, table
-from millrace.sources.documents import plain_documents
+from millrace.sources.documents import parse_document_text, plain_documents, read_documents
 from millrace.sources.kafka import kafka_messages
 from millrace.sources.match import match
 
@@ -208,6 +208,28 @@ def match_null_equality(spark, folder):
     return match(_line_documents(spark, folder), {"place": None, "l_linenumber": {"$in": [1, 2]}}).select("l_orderkey", "l_linenumber")
 
 
+def read_documents_query(spark, folder):
+    query = {"o_orderstatus": "F", "o_totalprice": {"$lt": 250000.0}}
+    df = read_documents(spark, "parquet", path=f"{folder}/orders.parquet", query=query)
+    return df.select("o_orderkey", "o_totalprice")
+
+
+def read_documents_limit(spark, folder):
+    """The cap is the feature; which documents come is not fixed, so they are counted."""
+    df = read_documents(spark, "parquet", path=f"{folder}/orders.parquet", query={"o_orderstatus": "F"}, limit=100)
+    return df.agg(F.count(F.lit(1)).alias("n"), F.min("o_orderstatus").alias("status"))
+
+
+def parse_document_lines(spark, folder):
+    """Orders as Extended JSON text, some of it cut off."""
+    text = (
+        """'{"_id": {"$oid": "' || CAST(o_orderkey AS STRING) || '"}, "total": {"$numberDouble": "' || CAST(o_totalprice AS STRING)"""
+        """ || '"}, "cust": {"id": {"$numberLong": "' || CAST(o_custkey AS STRING) || '"}}' || CASE WHEN o_orderkey % 10 = 3 THEN '' ELSE '}' END"""
+    )
+    documents, _ = parse_document_text(heavy_table(spark, folder, "orders").select(F.expr(text).alias("line")), "line")
+    return documents.select("_id", "total", F.col("cust.id").alias("customer"))
+
+
 def _order_documents(spark, folder):
     return table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("_id"),
@@ -357,6 +379,19 @@ QUERIES = {
         match_null_equality,
         "SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_returnflag = 'R' AND l_linenumber IN (1, 2)",
     ),
+    "read_documents_query": Query(
+        read_documents_query,
+        "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' AND o_totalprice < 250000",
+    ),
+    "read_documents_limit": Query(
+        read_documents_limit,
+        "SELECT least(100, count(*)) AS n, min(o_orderstatus) AS status FROM orders WHERE o_orderstatus = 'F'",
+    ),
+    "parse_document_lines": Query(
+        parse_document_lines,
+        """SELECT CAST(o_orderkey AS STRING) AS _id, o_totalprice AS total, o_custkey AS customer FROM orders
+        WHERE o_orderkey % 10 <> 3""",
+    ),
     "normalize_order_documents": Query(
         normalize_order_documents,
         f"""SELECT CAST(o_orderkey AS STRING) AS _id, {_ISO.format("o_orderdate")} AS placed,

@@ -139,6 +139,13 @@ def run_and_count(spark, folder):
     )
 
 
+def preview_counts(spark, folder):
+    """A dry run's rows: the cap is the feature."""
+    parsed = parse_json_records(_people(table(spark, folder, "customer")), PERSON_SCHEMA)
+    done = standardize(parsed.limit(10), {**spec_from_config(CONFIG), "flatten": {"widths": {"tags": 2}}})
+    return done.agg(F.count(F.lit(1)).alias("records_transformed"), F.min("environment").alias("environment"))
+
+
 def _stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A table's file as a stream source."""
     schema = table(spark, folder, name).schema
@@ -210,6 +217,9 @@ QUERIES = {
         count(*) FILTER ({_GOOD}) AS loaded, count(*) FILTER (NOT {_GOOD}) AS failed,
         CAST(sum({_TRIMMED}) FILTER ({_GOOD}) AS BIGINT) AS trimmed FROM customer""",
     ),
+    "preview_counts": Query(
+        preview_counts, "SELECT least(10, count(*)) AS records_transformed, 'production' AS environment FROM customer"
+    ),
     "stream_people": Query(stream_people, _PEOPLE_SQL),
     "stream_rejects": Query(
         stream_rejects,

@@ -285,3 +285,55 @@ def test_map_columns_are_open_too(spark):
     df = spark.createDataFrame([(1, {"k": "v"}), (2, {"other": "w"})], "id int, m map<string,string>")
     rows = {r["id"]: dropped_nulls(r) for r in flatten(df).collect()}
     assert rows == {1: {"id": 1, "m.k": "v"}, 2: {"id": 2, "m.other": "w"}}
+
+
+def measures(value, level, mode, cap):
+    """(objects, arrays, fields, depth) under a value held by an object at this level."""
+    if value is None:
+        return 0, 0, 0, 0
+    parts, own = [], (0, 0, 1, 0)
+    if isinstance(value, dict) and value:
+        inside = level + 1
+        own = (1, 0, 0, inside)
+        parts = [measures(v, inside, mode, cap) for v in value.values()] if inside < cap else []
+    elif isinstance(value, list) and value:
+        nested = [v for v in value if isinstance(v, (dict, list))] if mode == "concat" else value
+        own = (0, 1, int(mode == "concat" and len(nested) < len(value)), 0)
+        parts = [measures(v, level, mode, cap) for v in nested]
+    every = [own, *parts]
+    return (*[sum(p[i] for p in every) for i in range(3)], max(p[3] for p in every))
+
+
+@pytest.mark.parametrize("mode", ["index", "concat"])
+def test_stats_of_open_columns_match_the_model(spark, mode):
+    rng = random.Random(mode)
+    docs = [{"v": random_value(rng, 0)} for _ in range(80)]
+    df = variants(spark, docs).select(F.try_variant_get("data", "$.v", "variant").alias("v"))
+    got = flattening_stats(df, array_handling=mode, max_depth=3).first()
+    each = [measures(d["v"], 0, mode, 3) for d in docs]
+    assert tuple(got)[1:] == (*[sum(m[i] for m in each) for i in range(3)], max(m[3] for m in each))
+
+
+def test_stats_of_typed_columns_match_the_model(spark):
+    rng = random.Random(5)
+    docs = [{"a": [[rng.randrange(9) for _ in range(rng.randrange(3))] for _ in range(2)], "o": {"p": {"q": 1}, "r": [{"s": 2}]}} for _ in range(20)]
+    df = typed(spark, docs, "a array<array<int>>, o struct<p:struct<q:int>,r:array<struct<s:int>>>")
+    for mode in ("index", "concat"):
+        for cap in (2, 10):
+            got = flattening_stats(df, array_handling=mode, max_depth=cap).first()
+            each = [measures(v, 0, mode, cap) for d in docs for v in d.values()]
+            assert tuple(got)[1:] == (*[sum(m[i] for m in each) for i in range(3)], max(m[3] for m in each))
+
+
+def test_field_names_that_differ_by_case(spark):
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        df = variants(spark, [{"A": 1, "a": {"B": 2, "b": 3}}])
+        assert {r.path for r in flatten_long(df, ["id"], record="data").collect()} == {"A", "a.B", "a.b"}
+        schema = discover_schema(df, F.col("data"))
+        as_struct = df.select(F.try_variant_get("data", "$", schema.simpleString()).alias("r")).select("r.*")
+        assert set(flatten(as_struct).columns) == {"A", "a.B", "a.b"}
+    finally:
+        spark.conf.set("spark.sql.caseSensitive", "false")
+    with pytest.raises(ValueError, match="caseSensitive"):
+        discover_schema(variants(spark, [{"A": 1, "a": 2}]), F.col("data"))
