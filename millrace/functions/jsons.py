@@ -1,19 +1,22 @@
 """Strict JSON reading.
 
 Spark's JSON functions stop at the end of the first value, so ``{"a":1} x`` would pass. Here
-the text is put into an array with an end mark behind it: the mark is read back as the
-second element only when the text was exactly one value and nothing else. One parse gives
-both the value and the verdict.
+the text is put into an array with an end mark behind it. Read as ARRAY<STRING> that gives
+two elements, the second being the mark, only when the text was exactly one value.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A fixed mark, used unless the text could itself spell it.
 END_MARK = "end~of~value"
 
+# Double quotes only, as JSON has it; no limit on the length of a text or a number.
+OPTIONS = {"allowSingleQuotes": "false", "maxStringLen": str(2**31 - 1), "maxNumLen": str(2**31 - 1)}
+
 
 def _end_mark(text: Column) -> Column:
     """A string the text cannot contain: one longer than the text where it might."""
@@ -21,25 +24,28 @@ def _end_mark(text: Column) -> Column:
     return F.when(suspicious, F.repeat(F.lit("z"), F.length(text) + 1)).otherwise(END_MARK)
 
 
-def read_json(text: Column) -> Column:
-    """VARIANT array [value, end mark], or NULL; see ``is_json`` and ``json_value``.
-
-    Repeated object keys fail unless ``spark.sql.variant.allowDuplicateKeys`` is on, which
-    makes the last one win.
-    """
-    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), _end_mark(text), F.lit('"]')))
-
-
-def is_json(parsed: Column, text: Column) -> Column:
-    """True where the text was exactly one well-formed JSON value."""
-    return F.coalesce(F.try_variant_get(parsed, "$[1]", "string") == _end_mark(text), F.lit(False))
+def json_parts(text: Column) -> Column:
+    """ARRAY<STRING> for ``is_json``: the value's text and the end mark."""
+    wrapped = F.concat(F.lit("["), text, F.lit(',"'), _end_mark(text), F.lit('"]'))
+    return F.from_json(wrapped, T.ArrayType(T.StringType()), OPTIONS)
 
 
-def json_value(parsed: Column, target: str = "variant") -> Column:
-    """The value as VARIANT or cast to ``target``; meaningful only where ``is_json``."""
-    return F.try_variant_get(parsed, "$[0]", target)
+def is_json(parts: Column, text: Column) -> Column:
+    """True where the text is exactly one well-formed JSON value."""
+    # A value that is malformed inside reads as a NULL element, as does a JSON null.
+    value = F.get(parts, F.lit(0)).isNotNull() | (F.trim(text, F.lit(" \t\n\r")) == "null")
+    whole = (F.size(parts) == 2) & (F.get(parts, F.lit(1)) == _end_mark(text)) & value
+    return F.coalesce(whole, F.lit(False))
 
 
 def is_object_text(text: Column) -> Column:
     """True where well-formed JSON text holds an object: its first character decides."""
     return F.startswith(F.ltrim(text, F.lit(" \t\n\r")), F.lit("{"))
+
+
+def read_record(text: Column, schema: T.StructType) -> Column:
+    """Well-formed object text as a STRUCT; of repeated keys the last one counts.
+
+    A field that does not fit its declared type is NULL.
+    """
+    return F.from_json(text, schema, OPTIONS)

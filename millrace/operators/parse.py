@@ -10,13 +10,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.jsons import is_json, is_object_text, json_value, read_json
-from millrace.functions.names import META, field, record_columns, require_columns, type_text
-from millrace.operators.schema import as_struct_type, discover_schema
+from millrace.functions.jsons import is_json, is_object_text, json_parts, read_record
+from millrace.functions.names import META, field, require_columns, type_text
+from millrace.operators.schema import as_struct_type, discover_schema, discover_text_schema
 
 # The columns a failed row carries and its status.
 REJECT_COLUMNS = ("raw_content", "parse_error", "parsing_status")
 FAILED = "failed"
+MALFORMED_REASON, NOT_AN_OBJECT = "Invalid JSON format", "not an object"
+NOT_A_VARIANT = "not readable as VARIANT: NaN, repeated keys or size"
+
+STATE = "_state"
+MISSING, MALFORMED, OBJECT, OTHER = "missing", "malformed", "object", "other"
 
 # The fields of a message.
 MESSAGE_FIELDS = {
@@ -70,45 +75,58 @@ def parse_json_records(
     if not isinstance(dtype, T.StringType):
         raise ValueError(f"{column} must be a string, struct or variant, not {dtype.simpleString()}")
 
-    parsed = df.withColumn("_json", read_json(raw))
-    doc = F.col("_json")
-    valid = is_json(doc, raw)
-    is_object = valid & is_object_text(raw)
-    reason = (
-        F.when(raw.isNull(), f"No '{column}' field found in record")
-        .when(valid & ~is_object, "not an object")
-        .when(~valid, F.lit(None).cast("string") if handle_malformed else F.lit("Invalid JSON format"))
-    )
-    if strict_mode:
-        reason = F.when(reason.isNotNull(), F.raise_error(reason).cast("string"))
+    parsed = with_json_state(df, raw)
+    is_object = F.col(STATE) == OBJECT
 
     if schema == "variant":
-        fields = {"data": F.when(is_object, json_value(doc))}
+        parsed = parsed.withColumn("_data", F.when(is_object, F.try_parse_json(raw)))
+        fields = {"data": F.col("_data")}
+        unfit = is_object & F.col("_data").isNull()
     else:
         if schema is None:
-            schema = discover_schema(parsed, F.when(is_object, json_value(doc)))
+            schema = discover_text_schema(parsed, raw, is_object)
         schema = as_struct_type(schema)
-        record = F.col("_record")
-        fields = {f.name: record.getField(f.name) for f in schema.fields}
+        fields = {f.name: F.col("_record").getField(f.name) for f in schema.fields}
         if schema.fields:
-            value = F.when(is_object, json_value(doc, type_text(schema)))
-            parsed = parsed.withColumn("_record", value)
-
-    extra = {}
-    if handle_malformed:
-        extra["raw_text"] = F.when(raw.isNotNull() & ~valid, raw)
-    failed = F.col("_reason").isNotNull()
-    extra["raw_content"] = F.when(failed, raw)
-    extra["parse_error"] = F.col("_reason")
-    extra["parsing_status"] = F.when(failed, FAILED)
+            parsed = parsed.withColumn("_record", F.when(is_object, read_record(raw, schema)))
+        unfit = F.lit(False)
 
+    reason = (
+        F.when(F.col(STATE) == MISSING, f"No '{column}' field found in record")
+        .when(F.col(STATE) == OTHER, NOT_AN_OBJECT)
+        .when(unfit, NOT_A_VARIANT)
+    )
+    if not handle_malformed:
+        reason = reason.when(F.col(STATE) == MALFORMED, MALFORMED_REASON)
+    if strict_mode:
+        reason = F.when(reason.isNotNull(), F.raise_error(reason).cast("string"))
     parsed = parsed.withColumn("_reason", reason)
+
+    failed = F.col("_reason").isNotNull()
+    extra = {"raw_text": F.when(F.col(STATE) == MALFORMED, raw)} if handle_malformed else {}
+    extra |= {
+        "raw_content": F.when(failed, raw),
+        "parse_error": F.col("_reason"),
+        "parsing_status": F.when(failed, FAILED),
+    }
     for name, value in extra.items():
         own = fields.get(name)
         fields[name] = value if own is None else F.coalesce(value, own.cast("string"))
     return parsed.select(*[c.alias(name) for name, c in fields.items()], meta.alias(META))
 
 
+def with_json_state(df: DataFrame, raw: Column) -> DataFrame:
+    """Add what a JSON text is: missing, malformed, an object, or another value."""
+    valid = is_json(F.col("_parts"), raw)
+    state = (
+        F.when(raw.isNull(), MISSING)
+        .when(~valid, MALFORMED)
+        .when(is_object_text(raw), OBJECT)
+        .otherwise(OTHER)
+    )
+    return df.withColumn("_parts", json_parts(raw)).withColumn(STATE, state).drop("_parts")
+
+
 def _structured_records(df, column, schema, meta, strict_mode) -> DataFrame:
     raw, dtype = field(column), df.schema[column].dataType
     error = f"No '{column}' field found in record"
@@ -121,7 +139,7 @@ def _structured_records(df, column, schema, meta, strict_mode) -> DataFrame:
             schema = as_struct_type(discover_schema(df, F.when(is_object, raw)) if schema is None else schema)
             df = df.withColumn("_record", F.try_variant_get(raw, "$", type_text(schema)))
             fields = {f.name: F.col("_record").getField(f.name) for f in schema.fields}
-        reason = F.when(missing, error).when(~is_object, "not an object")
+        reason = F.when(missing, error).when(~is_object, NOT_AN_OBJECT)
         content = F.to_json(raw)
     else:
         fields = {f.name: raw.getField(f.name) for f in dtype.fields}
@@ -154,6 +172,5 @@ __all__ = [
     "REJECT_COLUMNS",
     "message_metadata",
     "parse_json_records",
-    "record_columns",
     "split_rejects",
 ]

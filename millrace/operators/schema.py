@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+_NOT_A_NUMBER = r"(?<=[:,\[\s])[+-]?(?:NaN|Infinity)(?=[,\]}\s])"
+
+
 def storage_type(dtype: T.DataType) -> T.DataType:
     """The column type a discovered JSON type is kept in.
 
@@ -43,15 +46,35 @@ def from_variant_schema(text: str) -> T.DataType:
 
 
 def discover_schema(df: DataFrame, value: Column) -> T.StructType:
-    """Union schema of a VARIANT column's objects; non-objects do not take part.
+    """Union schema of a VARIANT column's objects; other values must be NULL.
 
     ``schema_of_variant_agg`` merges on the map side, so one short text per task is
     shuffled, whatever the number of rows.
     """
+    return _discover(df, value, F.lit(0))
+
+
+def discover_text_schema(df: DataFrame, text: Column, where: Column) -> T.StructType:
+    """Union schema of well-formed JSON object texts, in the rows where ``where`` holds."""
+    settings, name = df.sparkSession.conf, "spark.sql.variant.allowDuplicateKeys"
+    before = settings.get(name)
+    # VARIANT knows no NaN: for the types alone a null does as well.
+    plain = F.regexp_replace(text, _NOT_A_NUMBER, "null")
+    value = F.when(where, F.coalesce(F.try_parse_json(text), F.try_parse_json(plain)))
+    try:
+        settings.set(name, "true")
+        return _discover(df, value, F.count_if(where & value.isNull()))
+    finally:
+        settings.set(name, before)
+
+
+def _discover(df: DataFrame, value: Column, unread: Column) -> T.StructType:
     if df.isStreaming:
         raise ValueError("a stream needs an explicit schema; discovery reads all rows first")
-    text = df.select(F.schema_of_variant_agg(value).alias("schema")).first()["schema"]
-    dtype = from_variant_schema(text)
+    row = df.agg(F.schema_of_variant_agg(value).alias("schema"), unread.alias("unread")).first()
+    if row["unread"]:
+        raise ValueError(f"{row['unread']} records are too large to discover their fields; give a schema")
+    dtype = from_variant_schema(row["schema"])
     schema = storage_type(dtype) if isinstance(dtype, T.StructType) else T.StructType([])
     if df.sparkSession.conf.get("spark.sql.caseSensitive") != "true":
         _check_case(schema, "record")

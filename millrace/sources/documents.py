@@ -8,12 +8,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.jsons import is_json, is_object_text, json_value, read_json
-from millrace.functions.names import META, field, type_text
+from millrace.functions.jsons import read_record
+from millrace.functions.names import META, field
 from millrace.functions.text import python_text
 from millrace.operators.documents import ID
-from millrace.operators.parse import FAILED
-from millrace.operators.schema import as_struct_type, discover_schema
+from millrace.operators.parse import (
+    FAILED,
+    MALFORMED,
+    MALFORMED_REASON,
+    MISSING,
+    NOT_AN_OBJECT,
+    OBJECT,
+    STATE,
+    with_json_state,
+)
+from millrace.operators.schema import as_struct_type, discover_text_schema
 from millrace.sources.match import match
 
 # Extended JSON type wrappers and the column types they stand for.
@@ -90,23 +99,26 @@ def parse_document_text(df: DataFrame, column: str, schema: T.StructType | str |
     Rejects hold ``raw_document``, ``parse_error``, ``parsing_status`` and a ``_meta`` that
     marks the failure.
     """
-    raw = field(column)
-    parsed = df.select(raw.alias("raw_document"), read_json(raw).alias("_json"))
-    doc, raw = F.col("_json"), F.col("raw_document")
-    valid = is_json(doc, raw)
-    is_object = valid & is_object_text(raw)
-    error = F.when(raw.isNull(), "no document").when(~valid, "Invalid JSON format").when(~is_object, "not an object")
+    parsed = with_json_state(df.select(field(column).alias("raw_document")), F.col("raw_document"))
+    raw, state = F.col("raw_document"), F.col(STATE)
     if schema is None:
-        schema = discover_schema(parsed, F.when(is_object, json_value(doc)))
+        schema = discover_text_schema(parsed, raw, state == OBJECT)
     schema = as_struct_type(schema)
-    good = parsed.where(is_object).select(json_value(doc, type_text(schema)).alias("_record"))
+    # The state passes through a generator, as in split_rejects, to be worked out once.
+    parsed = parsed.withColumn("_kind", F.explode(F.array(state)))
+    good = parsed.where(F.col("_kind") == OBJECT).select(read_record(raw, schema).alias("_record"))
     documents = plain_documents(good.select("_record.*"))
+    error = (
+        F.when(F.col("_kind") == MISSING, "no document")
+        .when(F.col("_kind") == MALFORMED, MALFORMED_REASON)
+        .otherwise(NOT_AN_OBJECT)
+    )
     meta = F.struct(
         F.lit("mongodb").alias("source_type"),
         F.lit(None).cast("string").alias("document_id"),
         F.lit(True).alias("parse_error"),
     )
-    rejects = parsed.where(error.isNotNull()).select(
+    rejects = parsed.where(F.col("_kind") != OBJECT).select(
         "raw_document", error.alias("parse_error"), F.lit(FAILED).alias("parsing_status"), meta.alias(META)
     )
     return documents, rejects

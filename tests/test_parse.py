@@ -162,3 +162,26 @@ def test_dates_in_epoch_milliseconds(spark, tmp_path):
     (tmp_path / "d.json").write_text('{"at":{"$date":{"$numberLong":"1705314600123"}}}')
     row = normalize_documents(read_documents(spark, "json", path=str(tmp_path))).first()
     assert row.at == "2024-01-15T10:30:00.123000"
+
+
+def test_large_and_repeated_keys_are_whole(spark):
+    """Texts beyond the size of a VARIANT, and repeated keys (the last one counts)."""
+    large = F.concat(F.lit('{"a":1,"b":"'), F.repeat(F.expr("if(id >= 0, 'x', '')"), 21_000_000), F.lit('"}'))
+    df = spark.range(1).select(large.alias("raw_value"))
+    good, _ = split_rejects(parse_json_records(df, "a int, b string"))
+    assert good.select("a", F.length("b").alias("n")).first().asDict() == {"a": 1, "n": 21_000_000}
+    with pytest.raises(ValueError, match="give a schema"):
+        parse_json_records(df)
+    _, rejects = split_rejects(parse_json_records(df, "variant"))
+    assert rejects.select("parse_error").first().parse_error.startswith("not readable as VARIANT")
+    twice = spark.createDataFrame([('{"a":1,"a":2}',)], "raw_value string")
+    assert split_rejects(parse_json_records(twice))[0].first().a == 2
+    assert spark.conf.get("spark.sql.variant.allowDuplicateKeys") == "false"
+
+
+def test_nan_is_a_number(spark):
+    texts = [('{"a":NaN,"b":[-Infinity, 1.5],"s":"NaN"}',), ('{"a":2.5}',)]
+    rows = split_rejects(parse_json_records(spark.createDataFrame(texts, "raw_value string")))[0].collect()
+    one = next(r for r in rows if r.s)
+    assert str(one.a) == "nan" and one.b == [float("-inf"), 1.5] and one.s == "NaN"
+    assert sorted(str(r.a) for r in rows) == ["2.5", "nan"]
