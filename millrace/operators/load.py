@@ -118,7 +118,8 @@ def upsert(
     Of several source rows with one key the last by ``order_by`` counts; ``unique`` states
     that there are none and saves that aggregate. A NULL key matches nothing, as in SQL
     MERGE: such rows are inserted and never shuffled. Target columns the source lacks keep
-    their values in updated rows and are NULL in inserted ones.
+    their values in updated rows and are NULL in inserted ones. The source is read twice (its
+    keys, and its rows): write or checkpoint one that is costly or differs on each read.
     """
     require_columns(target, key)
     require_columns(source, key)
@@ -283,12 +284,12 @@ def load_summary(processed: Column, loaded: Column, errors: Column) -> list[Colu
     ]
 
 
-def load_result(good: DataFrame, rejects: DataFrame, reason: str = "parse_error") -> DataFrame:
-    """One row: success, counts, distinct reject reasons with their counts, load rate."""
-    reasons = good.select(F.lit(None).cast("string").alias("reason")).unionAll(
-        rejects.select(F.coalesce(field(reason), F.lit("unknown")).alias("reason"))
-    )
-    counts = reasons.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+def load_result(df: DataFrame, reason: str = "parse_error") -> DataFrame:
+    """One row: success, counts, distinct reject reasons with their counts, load rate.
+
+    Rows with a ``reason`` are failed, the others loaded; the frame is read once.
+    """
+    counts = df.groupBy(field(reason).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
     text = F.concat(F.col("reason"), F.lit(": "), F.col("n").cast("string"))
     totals = counts.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("processed"),

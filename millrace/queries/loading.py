@@ -104,7 +104,7 @@ def describe_documents(spark, folder):
 
 def summarise_load(spark, folder):
     parsed = parse_json_records(messages(spark, folder, DAMAGED_PROPS), "k bigint", handle_malformed=False)
-    return load_result(*split_rejects(parsed)).withColumn("errors", F.array_join("errors", "; "))
+    return load_result(parsed).withColumn("errors", F.array_join("errors", "; "))
 
 
 def ad_hoc_sql(spark, folder):
@@ -189,14 +189,14 @@ QUERIES = {
         describe_customers,
         """SELECT unnest(['c_custkey', 'c_name', 'c_nationkey', 'c_acctbal', 'c_mktsegment']) AS column_name,
         unnest(['bigint', 'string', 'int', 'double', 'string']) AS data_type,
-        unnest([NULL, max(length(c_name)), NULL, NULL, max(length(c_mktsegment))]) AS max_length,
+        CAST(unnest([NULL, max(length(c_name)), NULL, NULL, max(length(c_mktsegment))]) AS INTEGER) AS max_length,
         5 AS column_count, count(*) AS row_count FROM customer""",
     ),
     "describe_documents": Query(
         describe_documents,
         """SELECT unnest(['doc_id', 'text', 'lang', 'source', 'n_chars']) AS column_name,
         unnest(['bigint', 'string', 'string', 'string', 'bigint']) AS data_type,
-        unnest([NULL, max(length(text)), max(length(lang)), max(length(source)), NULL]) AS max_length,
+        CAST(unnest([NULL, max(length(text)), max(length(lang)), max(length(source)), NULL]) AS INTEGER) AS max_length,
         5 AS column_count, count(*) AS row_count FROM documents""",
     ),
     "load_result": Query(

@@ -303,7 +303,7 @@ QUERIES = {
     ),
     "enrich_now": Query(enrich_now, None),
     "enrich_now_shape": Query(
-        enrich_now_shape, "SELECT count(*) AS records, 1 AS times, true AS well_formed, true AS same FROM events"
+        enrich_now_shape, "SELECT count(*) AS records, CAST(1 AS BIGINT) AS times, true AS well_formed, true AS same FROM events"
     ),
     "enrich_uuid": Query(enrich_uuid, None),
     "enrich_uuid_shape": Query(
@@ -311,7 +311,7 @@ QUERIES = {
     ),
     "enrichment_stats": Query(
         enrichment_counts,
-        """SELECT count(*) AS records_processed, count(*) AS created_at_added, 0 AS processed_at_added,
+        """SELECT count(*) AS records_processed, count(*) AS created_at_added, CAST(0 AS BIGINT) AS processed_at_added,
         count(*) AS unique_ids_added, count(*) AS source_info_added FROM events""",
     ),
 }

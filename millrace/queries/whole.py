@@ -209,7 +209,7 @@ QUERIES = {
     "stage_counters": Query(
         stage_counters,
         f"""SELECT count(*) AS records, CAST(sum({_TRIMMED}) AS BIGINT) AS clean_fields_trimmed, count(*) AS flatten_objects_flattened,
-        count(*) AS flatten_arrays_flattened, 0 AS convert_failed, count(*) AS enrich_source_info_added FROM customer WHERE {_GOOD}""",
+        count(*) AS flatten_arrays_flattened, CAST(0 AS BIGINT) AS convert_failed, count(*) AS enrich_source_info_added FROM customer WHERE {_GOOD}""",
     ),
     "run_and_count": Query(
         run_and_count,

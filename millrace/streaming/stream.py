@@ -81,7 +81,7 @@ def upsert_folders(
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        rows = flat_table(batch)
+        rows = flat_table(batch).persist()  # read twice by the upsert
         if batch_id > 0:
             before = batch.sparkSession.read.parquet(f"{root}/batch={batch_id - 1}")
         elif base is not None:
@@ -91,5 +91,6 @@ def upsert_folders(
             before = rows.where("false").select(*[rows[f"`{n}`"] for n in kept])
         after = upsert(before, rows, key, order_by=order_by)
         after.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
+        rows.unpersist()
 
     return apply

@@ -5,6 +5,7 @@ import json
 import pytest
 from fixtures import CLEAN, CONVERSIONS, MAPPINGS, MESSAGE_SCHEMA, MESSAGES, records
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader
 
 from millrace import clean, convert, enrich, flatten, flatten_long, map_fields, parse_json_records, preview, run, spec_from_config, split_rejects, standardize
 from millrace.plans.config import parsed_source, target_writer
@@ -210,3 +211,30 @@ def test_counting_does_not_read_twice(spark, tmp_path):
     parsed = parse_json_records(spark.createDataFrame(MESSAGES, MESSAGE_SCHEMA), "user string", handle_malformed=False)
     text = plan(observed(standardize(split_rejects(parsed)[0], {}, counters=True), "n"))
     assert text.count("CollectMetrics") == 1 and "Exchange" not in text
+
+
+def test_own_source_transformation_and_sink(spark):
+    """The extension points: a registered format, a function in ``extra``, a write function."""
+
+    # Defined here, so that workers get the classes by value.
+    class GreetingsReader(DataSourceReader):
+        def read(self, partition):
+            yield from (('{"word": "hello"}',), ('{"word": " hi "}',))
+
+    class Greetings(DataSource):
+        @classmethod
+        def name(cls):
+            return "greetings"
+
+        def schema(self):
+            return "raw_value string"
+
+        def reader(self, schema):
+            return GreetingsReader()
+
+    spark.dataSource.register(Greetings)
+    parsed = parse_json_records(spark.read.format("greetings").load(), "word string", handle_malformed=False)
+    spec = {"enrich": False, "extra": [lambda df: df.withColumn("length", F.length("word"))]}
+    rows = []
+    result = run(parsed, spec, lambda df: rows.extend(df.select("word", "length").collect()))
+    assert result.success and sorted(tuple(r) for r in rows) == [("hello", 5), ("hi", 2)]

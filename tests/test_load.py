@@ -106,14 +106,13 @@ def test_describe_table(spark):
 
 
 def test_load_result(spark):
-    good = spark.createDataFrame([(1,), (2,), (3,)], "k int")
-    bad = spark.createDataFrame([("x",), ("x",), ("y",)], "parse_error string")
-    row = load_result(good, bad).first()
+    df = spark.createDataFrame([(1, None), (2, None), (3, None), (4, "x"), (5, "x"), (6, "y")], "k int, parse_error string")
+    row = load_result(df).first()
     assert (row.success, row.records_processed, row.records_loaded, row.records_failed) == (False, 6, 3, 3)
     assert row.errors == ["x: 2", "y: 1"] and row.load_rate == 0.5
-    clean_run = load_result(good, bad.where("false")).first()
+    clean_run = load_result(df.where("parse_error is null")).first()
     assert clean_run.success and clean_run.errors == [] and clean_run.load_rate == 1.0
-    nothing = load_result(good.where("false"), bad.where("false")).first()
+    nothing = load_result(df.where("false")).first()
     assert nothing.records_processed == 0 and nothing.load_rate == 0.0
 
 
