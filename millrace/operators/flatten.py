@@ -58,8 +58,14 @@ class FlattenOptions:
 
     def suffix_column(self, index: Column) -> Column:
         if self.array_handling == "index":
-            before, after = self.array_index_format.format(index="\0").split("\0")
-            return F.concat(F.lit(before), index.cast("string"), F.lit(after))
+            try:
+                pieces = self.array_index_format.format(index="\0").split("\0")
+            except ValueError:
+                raise ValueError(f"{self.array_index_format!r}: only a plain {{index}} is supported here") from None
+            texts = [F.lit(pieces[0])]
+            for piece in pieces[1:]:
+                texts += [index.cast("string"), F.lit(piece)]
+            return F.concat(*texts)
         return F.concat(F.lit("_" if self.array_handling == "enumerate" else "_complex_"), index.cast("string"))
 
 
@@ -727,7 +733,9 @@ def _may_collide(df: DataFrame, names: Sequence[str], opts: FlattenOptions) -> b
         return True
     every = [*names, *[t for n in names for t in texts(df.schema[n].dataType)]]
     mark = opts.suffix(0).split("0")[0]
-    return any(opts.separator in n or (mark and mark in n) for n in every) or not opts.separator
+    if not opts.separator or not mark or opts.suffix(0) == opts.suffix(1):
+        return True
+    return any(opts.separator in n or mark in n for n in every)
 
 
 def record_entries(df: DataFrame, names: Sequence[str], opts: FlattenOptions) -> Column:

@@ -95,8 +95,7 @@ def _keep_counts(df: DataFrame, stage: str, counts: Mapping[str, Column]) -> Dat
     known = df.schema[COUNTS].dataType.names if COUNTS in df.columns else []
     held = [field(COUNTS).getField(n).alias(n) for n in known]
     joined = F.struct(*held, *[c.alias(f"{stage}.{n}") for n, c in counts.items()])
-    spent = [n for n in df.columns if n.startswith("_count ")]
-    return df.withColumn(COUNTS, joined).drop(*spent)
+    return df.withColumn(COUNTS, joined).drop(*[f"_count {n}" for n in counts])
 
 
 def standardize(df: DataFrame, spec: Mapping, *, counters: bool = False) -> DataFrame:
@@ -227,12 +226,18 @@ def lineage(spark: SparkSession, spec: Mapping, at: datetime, counters: Mapping)
 
 
 def preview(df: DataFrame, spec: Mapping, n: int = 10, samples: int = 3) -> dict:
-    """Dry run on the first ``n`` rows: counts and a few rows before and after. Loads nothing."""
+    """Dry run on the first ``n`` rows: counts, stage counters, and a few rows before and after.
+
+    Nothing is loaded. With all stages but ``flatten`` off it previews flattening alone.
+    """
     head = df.limit(n)
-    done = standardize(head, spec)
+    counted = standardize(head, spec, counters=True)
+    totals = counted.agg(*count_aggregates(counted)).first().asDict()
+    done = counted.drop(COUNTS)
     return {
         "records_parsed": head.count(),
-        "records_transformed": done.count(),
+        "records_transformed": totals.pop("records"),
+        "counters": totals,
         "sample_parsed": [r.asDict(recursive=True) for r in head.take(samples)],
         "sample_transformed": [r.asDict(recursive=True) for r in done.take(samples)],
     }

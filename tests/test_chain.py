@@ -80,6 +80,13 @@ def test_a_failed_write_is_reported(spark):
 def test_preview_loads_nothing(spark):
     got = preview(records(spark), {"enrich": False}, n=2)
     assert got["records_parsed"] == got["records_transformed"] == 2 and len(got["sample_transformed"]) == 2
+    assert got["counters"]["clean.nulls_standardized"] == 3
+
+    nested = spark.createDataFrame([((1, [2, 3]),)], "o struct<a:int,l:array<int>>")
+    alone = {stage: False for stage in ("clean", "map", "convert", "enrich")}
+    flat = preview(nested, alone)
+    assert flat["sample_transformed"] == [{"o.a": 1, "o.l[0]": 2, "o.l[1]": 3}]
+    assert flat["counters"]["flatten.objects_flattened"] == 1 and flat["counters"]["flatten.fields_created"] == 3
 
 
 CONFIG = {

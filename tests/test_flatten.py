@@ -337,3 +337,17 @@ def test_field_names_that_differ_by_case(spark):
         spark.conf.set("spark.sql.caseSensitive", "false")
     with pytest.raises(ValueError, match="caseSensitive"):
         discover_schema(variants(spark, [{"A": 1, "a": 2}]), F.col("data"))
+
+
+def test_index_formats(spark):
+    df = spark.createDataFrame([(1, ["x", "y"], "own")], "id int, f array<string>, f0 string")
+
+    def long(fmt):
+        return {r.path: r.value for r in flatten_long(df, ["id"], array_index_format=fmt).collect()}
+
+    assert long("<{index}>") == {"f<0>": "x", "f<1>": "y", "f0": "own"}
+    assert long("{index}") == {"f0": "own", "f1": "y"}
+    assert long("*") == {"f*": "y", "f0": "own"}
+    assert flatten(df, array_index_format="*").first()["f*"] == "y"
+    with pytest.raises(ValueError, match="plain"):
+        long("{index:02d}")
