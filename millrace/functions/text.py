@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +26,11 @@ def matches_at_start(text: Column, pattern: str) -> Column:
     return text.rlike(f"(?U)^(?:{pattern})")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _shortest(number: Column) -> Column:
     """The cast to text, with a digit less where 16 digits already name the same DOUBLE."""
     raw = number.cast("string")
@@ -32,27 +39,31 @@ def _shortest(number: Column) -> Column:
     return F.when((F.length(raw) >= 18) & (brief.try_cast("double") == number), tidy).otherwise(raw)
 
 
-def number_text(number: Column) -> Column:
-    """A DOUBLE as Python writes it: plain digits from 1e-4 up to 1e16, else ``1.5e-05``.
-
-    Spark switches to scientific notation at 1e7 already.
-    """
-    raw = _shortest(number)
-    plain = raw.try_cast("decimal(38,22)").cast("string")
-    plain = F.regexp_replace(plain, r"(\.\d+?)0+$", "$1")
+def _plain_or_scientific(raw: Column) -> Column:
+    """Spark's ``1.5E10`` in Python's notation; text without an exponent as it is."""
+    plain = F.regexp_replace(raw.try_cast("decimal(38,22)").cast("string"), r"(\.\d+?)0+$", "$1")
     exponent = F.regexp_extract(raw, r"E(-?\d+)$", 1).try_cast("int")
     mantissa = F.regexp_replace(F.substring_index(raw, "E", 1), r"\.0$", "")
     scientific = F.format_string(
         "%se%s%02d", mantissa, F.when(exponent < 0, "-").otherwise("+"), F.abs(exponent)
     )
-    rewritten = F.when(exponent.between(-4, 15), plain).otherwise(scientific)
-    words = (
-        F.when(F.isnan(number), "nan")
+    return F.when(~F.contains(raw, F.lit("E")), raw).when(exponent.between(-4, 15), plain).otherwise(scientific)
+
+
+def number_text(number: Column) -> Column:
+    """A DOUBLE as Python writes it: plain digits from 1e-4 up to 1e16, else ``1.5e-05``.
+
+    Spark switches to scientific notation at 1e7 already. Short plain texts, the usual case,
+    pass through; only the others are rewritten.
+    """
+    raw = number.cast("string")
+    return (
+        F.when(F.contains(raw, F.lit("E")) | (F.length(raw) >= 18), let(_shortest(number), _plain_or_scientific))
+        .when(F.isnan(number), "nan")
         .when(number == float("inf"), "inf")
         .when(number == float("-inf"), "-inf")
         .otherwise(raw)
     )
-    return F.when(F.contains(raw, F.lit("E")), rewritten).otherwise(words)
 
 
 def python_text(value: Column, dtype: T.DataType) -> Column:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.names import carried_columns, field, record_columns, type_text
-from millrace.functions.text import json_text, python_text, variant_scalar_text
+from millrace.functions.text import json_text, let, python_text, variant_scalar_text
 
 ARRAY_MODES = ("index", "enumerate", "concat")
 NULL_MODES = ("keep", "remove", "empty_string")
@@ -413,11 +413,6 @@ def _open_columns(df: DataFrame, name: str, opts: FlattenOptions, max_columns: i
 # Entries of open columns
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` with its argument computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _variant_text(text: Column | str) -> Column:
     return (F.lit(text) if isinstance(text, str) else text).cast("variant")
 
@@ -532,14 +527,14 @@ def _expand(entry: Column, opts: FlattenOptions, measure: bool = False) -> Colum
         return F.when(found.isNotNull(), items(found)).otherwise(scalar())
 
     def by_object(found: Column) -> Column:
-        rest = _let(F.try_variant_get(value, "$", "array<variant>"), by_array)
+        rest = let(F.try_variant_get(value, "$", "array<variant>"), by_array)
         is_object = found.isNotNull()
         if not opts.flatten_objects:
             # Only the record itself is opened; objects inside it stay whole.
             is_object = is_object & (path == "")
         return F.when(is_object, members(found)).otherwise(rest)
 
-    expanded = _let(F.try_variant_get(value, "$", "map<string,variant>"), by_object)
+    expanded = let(F.try_variant_get(value, "$", "map<string,variant>"), by_object)
     return F.when(entry.getField("todo"), expanded).otherwise(F.array(entry))
 
 
@@ -569,7 +564,7 @@ def open_entries(value: Column, path: Column, opts: FlattenOptions, depth: int =
 
     def step(state: Column, _: Column) -> Column:
         opened = F.flatten(F.transform(state.getField("entries"), lambda e: _expand(e, opts, measure)))
-        after = _let(opened, lambda es: F.struct(unfinished(es).alias("more"), es.alias("entries")))
+        after = let(opened, lambda es: F.struct(unfinished(es).alias("more"), es.alias("entries")))
         return F.when(state.getField("more"), after).otherwise(state)
 
     state = F.struct(F.lit(True).alias("more"), start.cast(_OPEN_ENTRY).alias("entries"))
