@@ -13,6 +13,7 @@ from millrace.operators.load import (
     infer_sql_types,
     last_per_key,
     load,
+    load_errors,
     load_result,
     merge_into,
     run_sql,
@@ -41,6 +42,7 @@ __all__ = [
     "infer_sql_types",
     "last_per_key",
     "load",
+    "load_errors",
     "load_result",
     "map_fields",
     "merge_into",

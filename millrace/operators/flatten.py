@@ -449,8 +449,7 @@ def _open_rule(value: Column, rule: Mapping[str, str]) -> Column:
         )
         return F.coalesce(size.cast("variant"), value)
     if kind == "keys":
-        keys = F.transform(F.map_keys(as_map), lambda k: k)
-        return F.when(as_map.isNotNull(), F.to_variant_object(keys)).otherwise(value)
+        return F.when(as_map.isNotNull(), F.to_variant_object(F.map_keys(as_map))).otherwise(value)
     return value
 
 

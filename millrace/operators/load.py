@@ -284,10 +284,17 @@ def load_summary(processed: Column, loaded: Column, errors: Column) -> list[Colu
     ]
 
 
+def load_errors(df: DataFrame, reason: str = "parse_error") -> DataFrame:
+    """(reason, n): how many rows failed for each reason. Right for free-text reasons too."""
+    return df.where(field(reason).isNotNull()).groupBy(field(reason).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def load_result(df: DataFrame, reason: str = "parse_error") -> DataFrame:
     """One row: success, counts, distinct reject reasons with their counts, load rate.
 
-    Rows with a ``reason`` are failed, the others loaded; the frame is read once.
+    Rows with a ``reason`` are failed, the others loaded; the frame is read once. The reasons
+    end up in one array: they must be few, as the parser's fixed texts are. Otherwise take
+    ``load_errors``.
     """
     counts = df.groupBy(field(reason).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
     text = F.concat(F.col("reason"), F.lit(": "), F.col("n").cast("string"))
@@ -308,6 +315,7 @@ __all__ = [
     "jdbc_merge_sql",
     "last_per_key",
     "load",
+    "load_errors",
     "load_result",
     "load_summary",
     "merge_into",

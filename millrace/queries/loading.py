@@ -10,6 +10,7 @@ from millrace.operators.load import (
     flat_table,
     infer_sql_types,
     last_per_key,
+    load_errors,
     load_result,
     run_sql,
     upsert,
@@ -107,6 +108,10 @@ def summarise_load(spark, folder):
     return load_result(parsed).withColumn("errors", F.array_join("errors", "; "))
 
 
+def failed_by_reason(spark, folder):
+    return load_errors(parse_json_records(messages(spark, folder, DAMAGED_PROPS), "k bigint", handle_malformed=False))
+
+
 def ad_hoc_sql(spark, folder):
     records = flat_table(split_rejects(parse_json_records(messages(spark, folder), "k bigint", handle_malformed=False))[0])
     return run_sql(spark, "SELECT k % 10 AS last_digit, count(*) AS n FROM {records} GROUP BY k % 10", records=records)
@@ -210,6 +215,13 @@ QUERIES = {
           (SELECT string_agg(t, '; ' ORDER BY t) FROM r) AS errors,
           CAST(count(*) FILTER (reason IS NULL) AS DOUBLE) / count(*) AS load_rate FROM d""",
     ),
+    "load_errors": Query(
+        failed_by_reason,
+        """WITH d AS (SELECT CASE WHEN event_id % 13 = 0 THEN 'No ''raw_value'' field found in record'
+          WHEN event_id % 7 = 0 OR event_id % 11 = 0 THEN 'Invalid JSON format'
+          WHEN event_id % 17 = 0 OR event_id % 19 = 0 THEN 'not an object' END AS reason FROM events)
+        SELECT reason, count(*) AS n FROM d WHERE reason IS NOT NULL GROUP BY reason""",
+    ),
     "ad_hoc_sql": Query(
         ad_hoc_sql,
         """SELECT CAST(json_extract(props, '$.k') AS BIGINT) % 10 AS last_digit, count(*) AS n FROM events GROUP BY 1""",

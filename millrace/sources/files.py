@@ -9,7 +9,8 @@ def spread(df: DataFrame) -> DataFrame:
     """Rows dealt over all cores if the source comes in fewer partitions than there are cores.
 
     A file of one row group is one task however many cores wait. Large inputs have more
-    splits than cores and pass through unchanged, without a shuffle.
+    splits than cores and pass through unchanged, without a shuffle. For frames straight from
+    a source: asking a frame behind a shuffle for its partitions would run the shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.isStreaming or df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -115,21 +115,37 @@ def _path(schema: T.StructType, path: str) -> tuple[Column, T.DataType]:
         return F.col(quote(path)), schema[path].dataType
     head, *rest = path.split(".")
     if head not in schema.names:
-        return F.lit(None).cast("string"), T.StringType()
+        return _nothing()
     value, dtype = F.col(quote(head)), schema[head].dataType
     for part in rest:
+        if isinstance(dtype, T.ArrayType) and part.isdigit():
+            value, dtype = F.get(value, F.lit(int(part))), dtype.elementType
+            continue
         inner = dtype.elementType if isinstance(dtype, T.ArrayType) else dtype
-        if isinstance(inner, T.ArrayType) or not isinstance(inner, T.StructType) or part not in inner.names:
-            if isinstance(dtype, T.ArrayType) and part.isdigit():
-                value, dtype = F.get(value, F.lit(int(part))), dtype.elementType
-                continue
-            return F.lit(None).cast("string"), T.StringType()
-        found = inner[part].dataType
-        value = value.getField(part)
-        dtype = T.ArrayType(found) if isinstance(dtype, T.ArrayType) else found
+        if isinstance(inner, T.VariantType):
+            raise ValueError(f"{path}: fields inside a VARIANT have no type to compare by; give a schema")
+        if isinstance(inner, T.StructType) and part in inner.names:
+            found = inner[part].dataType
+        elif isinstance(inner, T.MapType):
+            found = inner.valueType
+        else:
+            return _nothing()
+        if isinstance(dtype, T.ArrayType):
+            value, dtype = F.transform(value, _member(part)), T.ArrayType(found)
+        else:
+            value, dtype = value[part], found
     return value, dtype
 
 
+def _nothing() -> tuple[Column, T.DataType]:
+    """A field no record has."""
+    return F.lit(None).cast("string"), T.StringType()
+
+
+def _member(name: str):
+    return lambda item: item[name]
+
+
 def query_condition(schema: T.StructType, query: Mapping) -> Column:
     """The predicate of a query document over records of this schema."""
     parts = []

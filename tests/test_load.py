@@ -10,6 +10,7 @@ from millrace import (
     infer_sql_types,
     last_per_key,
     load,
+    load_errors,
     load_result,
     run_sql,
     upsert,
@@ -110,6 +111,7 @@ def test_load_result(spark):
     row = load_result(df).first()
     assert (row.success, row.records_processed, row.records_loaded, row.records_failed) == (False, 6, 3, 3)
     assert row.errors == ["x: 2", "y: 1"] and row.load_rate == 0.5
+    assert pairs(load_errors(df)) == [("x", 2), ("y", 1)]
     clean_run = load_result(df.where("parse_error is null")).first()
     assert clean_run.success and clean_run.errors == [] and clean_run.load_rate == 1.0
     nothing = load_result(df.where("false")).first()

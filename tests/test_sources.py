@@ -121,6 +121,14 @@ def test_unknown_operators_are_refused(spark):
             match(df, query)
 
 
+def test_match_inside_maps(spark):
+    df = spark.sql("select 1 as id, map('k', 5) as m, array(map('x', 'a'), map('y', 'b')) as l")
+    assert match(df, {"m.k": {"$gt": 4}}).count() == 1 and match(df, {"m.other": {"$exists": True}}).count() == 0
+    assert match(df, {"l.y": "b"}).count() == 1 and match(df, {"l.0.x": "a"}).count() == 1
+    with pytest.raises(ValueError, match="VARIANT"):
+        match(df.select(F.parse_json(F.lit("{}")).alias("v")), {"v.a": 1})
+
+
 def test_filters_reach_the_scan(spark, tmp_path):
     spark.range(100).selectExpr("id", "cast(id as string) as s").write.parquet(str(tmp_path / "t"))
     df = match(spark.read.parquet(str(tmp_path / "t")), {"id": {"$gte": 5, "$lt": 9}, "s": {"$in": ["6", "7"]}, "$or": [{"id": 6}, {"id": {"$ne": 8}}]})
