@@ -245,3 +245,13 @@ def test_own_source_transformation_and_sink(spark):
     rows = []
     result = run(parsed, spec, lambda df: rows.extend(df.select("word", "length").collect()))
     assert result.success and sorted(tuple(r) for r in rows) == [("hello", 5), ("hi", 2)]
+
+
+def test_run_discovers_widths_and_still_counts_all(spark, tmp_path):
+    texts = [('{"t":["a"]}',), ('{"t":["b","c"],"v":{"x":1}}',), ('{"t":[],"v":"plain"}',), ("broken",)]
+    parsed = parse_json_records(spark.createDataFrame(texts, "raw_value string"), "t array<string>, v variant", handle_malformed=False)
+    result = run(parsed, {"enrich": False}, lambda df: df.drop("_meta").write.parquet(str(tmp_path / "out")))
+    assert result.errors == [] and (result.records_extracted, result.records_loaded, result.records_failed) == (4, 3, 1)
+    stored = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(stored.columns) == ["t", "t[0]", "t[1]", "v", "v.x"] and stored.count() == 3
+    assert result.counters["flatten"]["arrays_flattened"] == 2 and result.counters["flatten"]["objects_flattened"] == 1
