@@ -24,9 +24,11 @@ from pyspark.sql import functions as F
 from millrace.llm.common import stored
 
 #: Orderings, directions of each, bits per direction; keys on either side of a query.
-ORDERS, AXES, BITS, REACH = 4, 8, 7, 64
+ORDERS, AXES, BITS, REACH = 4, 8, 7, 128
 #: Vectors of a data block and of a query block.
 BLOCK, QUERIES = 1024, 256
+#: Query blocks whose finds a task keeps.
+HELD = 256
 #: Scores from matrix products may differ by so much (relative to the norms) from those summed in order.
 SLACK = 1e-9
 
@@ -182,11 +184,29 @@ def _blocks(batches: Iterator[pa.RecordBatch], kind: str, size: int) -> Iterator
 
 
 def _complete(batches: Iterator[pa.RecordBatch], kind: str, k: int) -> Iterator[pa.RecordBatch]:
+    """The best k of each query among the data blocks of a task, found so far in ``state`` by query block.
+
+    What is found raises the score to beat in the blocks that follow. ``HELD`` query blocks are
+    kept at most; then all they have found goes out.
+    """
+    state: dict[bytes, tuple[np.ndarray, list, list]] = {}
+
+    def out():
+        found = [(asks, own[1][r], own[2][r]) for key, own in state.items() for r, asks in enumerate(np.frombuffer(key, np.int64).tolist()) if len(own[1][r])]
+        return [_found(*map(list, zip(*found[a : a + 5000]))) for a in range(0, len(found), 5000)]
+
     for batch in batches:
         for row in batch.to_pylist():
             dim = row["dim"]
             ids, data = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["vectors"], kind).reshape(-1, dim).astype(np.float64)
-            asks, queries, beat = np.frombuffer(row["q_ids"], np.int64), np.frombuffer(row["q_vectors"], kind).reshape(-1, dim).astype(np.float64), np.frombuffer(row["best"], np.float64)
+            asks, queries = np.frombuffer(row["q_ids"], np.int64), np.frombuffer(row["q_vectors"], kind).reshape(-1, dim).astype(np.float64)
+            if row["q_ids"] not in state:
+                if len(state) >= HELD:
+                    yield from out()
+                    state.clear()
+                none = [np.zeros(0, np.int64)] * len(asks), [np.zeros(0)] * len(asks)
+                state[row["q_ids"]] = (np.frombuffer(row["best"], np.float64).copy(), *none)
+            beat, best_ids, best = state[row["q_ids"]]
             slack = SLACK * (1 + np.abs(np.where(np.isfinite(beat), beat, 0)))
             centre = data.mean(0)
             radius = np.sqrt(((data - centre) ** 2).sum(1).max())
@@ -195,15 +215,16 @@ def _complete(batches: Iterator[pa.RecordBatch], kind: str, k: int) -> Iterator[
                 continue
             rough = queries[open_] @ data.T
             rough[asks[open_][:, None] == ids[None, :]] = -np.inf
-            out = [], [], []
-            for r, q in enumerate(open_.tolist()):
-                hit = np.flatnonzero(rough[r] >= beat[q] - slack[q]) if np.isfinite(beat[q]) else np.flatnonzero(np.isfinite(rough[r]))
-                if len(hit):
-                    best, score = _best(queries[q], ids[hit], data[hit], rough[r][hit], k)
-                    for o, x in zip(out, (asks[q], best, score)):
-                        o.append(x)
-            if out[0]:
-                yield _found(*out)
+            hits = (rough >= (beat - slack)[open_, None]) & np.isfinite(rough)
+            for r in np.flatnonzero(hits.any(1)).tolist():
+                q, hit = open_[r], np.flatnonzero(hits[r])
+                own_ids, own = _best(queries[q], ids[hit], data[hit], rough[r][hit], k)
+                own_ids, own = np.concatenate([best_ids[q], own_ids]), np.concatenate([best[q], own])
+                order = np.lexsort((own_ids, -own))[:k]
+                best_ids[q], best[q] = own_ids[order], own[order]
+                if len(order) == k:
+                    beat[q] = max(beat[q], best[q][-1])
+    yield from out()
 
 
 def nearest(vectors: DataFrame, asks, k: int = 20, complete: bool = True) -> DataFrame:
@@ -223,7 +244,7 @@ def nearest(vectors: DataFrame, asks, k: int = 20, complete: bool = True) -> Dat
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     rows = rows.where(finite & F.exists("embedding", lambda x: x != 0))
     rows = rows.groupBy("vec_id").agg(F.first("asks").alias("asks"), F.min("embedding").alias("embedding"))
-    schema = f"order int, dim int, key long, vec_id long, asks boolean, vector binary"
+    schema = "order int, dim int, key long, vec_id long, asks boolean, vector binary"
     ordered = stored(rows.select("vec_id", F.coalesce("asks", F.lit(False)).alias("asks"), "embedding").mapInArrow(_orderings, schema), "vector-keys")
     ranged = ordered.repartitionByRange("order", "dim", "key", "vec_id").sortWithinPartitions("order", "dim", "key", "vec_id")
     found = stored(ranged.mapInArrow(partial(_windows, kind=kind, k=k), FOUND).distinct(), "window-neighbours")
