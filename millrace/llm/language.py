@@ -137,7 +137,7 @@ def mixtures(column: pa.Array, model: Model) -> np.ndarray:
 def _predict(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
     own = model.value
     names = np.array([*own.langs, "und"], object)
-    for batch in steps(batches, "text", 4 << 20):
+    for batch in steps(batches, "text", 2 << 20):
         share = mixtures(batch.column("text"), own)
         some = np.array([t is not None and any(map(str.isalpha, t[:64])) or t is not None and any(map(str.isalpha, t)) for t in batch.column("text").to_pylist()], bool)
         some &= share.sum(1) > 0

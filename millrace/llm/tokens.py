@@ -34,7 +34,7 @@ MAGIC = b"MRTOKEN1"
 #: Longest code, tokens between checkpoints, tokens after which a block ends (with its document).
 LIMIT, STRIDE, BLOCK = 16, 256, 1 << 20
 #: Distinct pieces of text whose ids a worker remembers.
-REMEMBERED = 1 << 20
+REMEMBERED = 3 << 17
 END = 0
 
 
@@ -142,7 +142,7 @@ def encoder(path: str) -> Encoder:
 
 def _tokens(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     own = encoder(path)
-    for batch in steps(batches, "text", 4 << 20):
+    for batch in steps(batches, "text", 2 << 20):
         ids, bounds = own.encode(batch.column("text"))
         with_end = np.insert(ids, bounds[1:], END)
         bounds = bounds + np.arange(len(bounds))
@@ -288,7 +288,7 @@ def global_counts(tokens: DataFrame) -> np.ndarray:
 
 def _coded(batches: Iterator[pa.RecordBatch], lengths: np.ndarray, bounds_of_parts: list[int]) -> Iterator[pa.RecordBatch]:
     codes, parts = canonical(lengths), np.array(bounds_of_parts, np.int64)
-    for batch in steps(batches, "ids", 4 << 20):
+    for batch in steps(batches, "ids", 2 << 20):
         width = int(batch.column("width")[0].as_py())
         raw, at = text_bytes(batch.column("ids"))
         ids, bounds = raw.view(f"<u{width}"), at // width
