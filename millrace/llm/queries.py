@@ -94,7 +94,7 @@ coded AS (
         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(digest, 5 * i + 1, 5))::BIGINT >> s) & 31)::BIGINT + 1, 1)), ''), '' ORDER BY i) AS base32
     FROM first, range(8) AS t(i) GROUP BY digest
 )
-SELECT p.page_id, octet_length(p.html::BLOB)::BIGINT AS payload_bytes, c.base32 AS payload_digest,
+SELECT p.page_id, strlen(p.html)::BIGINT AS payload_bytes, c.base32 AS payload_digest,
     CASE WHEN p.page_id = f.page_id THEN 'response' ELSE 'revisit' END AS record_type,
     CASE WHEN p.page_id = f.page_id THEN NULL ELSE f.page_id END AS refers_to
 FROM p JOIN first f ON p.digest = f.digest JOIN coded c ON p.digest = c.digest

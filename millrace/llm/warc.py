@@ -233,7 +233,8 @@ def _scan(batches: Iterator[pa.RecordBatch], payloads: bool) -> Iterator[pa.Reco
 
 def read_captures(directory: DataFrame, payloads: bool = False) -> DataFrame:
     """All records, index block by index block: key, page_id, url, record_type, payload (of responses, if asked for), payload_bytes, payload_digest, refers_to."""
-    return directory.repartition("file", "at").mapInArrow(partial(_scan, payloads=payloads), RECORD)
+    parts = int(directory.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a number, or so small a table becomes one task
+    return directory.repartition(parts, "file", "at").mapInArrow(partial(_scan, payloads=payloads), RECORD)
 
 
 def lookup(directory: list, key: str) -> list[Record]:
