@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -44,6 +46,14 @@ def steps(batches: Iterable[pa.RecordBatch], column: str, most: int = STEP_BYTES
         at = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), batch.num_rows]
         for a, b in zip(at, at[1:]):
             yield batch.slice(a, b - a)
+    give_back()
+
+
+def give_back() -> None:
+    """Returns freed memory to the system, as the next task of this worker may be of another kind."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -34,7 +34,7 @@ MAGIC = b"MRTOKEN1"
 #: Longest code, tokens between checkpoints, tokens after which a block ends (with its document).
 LIMIT, STRIDE, BLOCK = 16, 256, 1 << 20
 #: Distinct pieces of text whose ids a worker remembers.
-REMEMBERED = 3 << 17
+REMEMBERED = 1 << 18
 END = 0
 
 
