@@ -14,7 +14,7 @@ they are, not by hash, so matches are exact.
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 from collections.abc import Iterator
 from functools import partial
 
@@ -40,6 +40,7 @@ ROUND = 50_000
 
 INDEX = T.StructType(
     [
+        T.StructField("block", T.LongType()),  # a random name
         T.StructField("doc_ids", T.ArrayType(T.LongType())),  # one entry per document, null where the id is
         T.StructField("firsts", T.ArrayType(T.LongType())),  # place of the first word of each
         T.StructField("sizes", T.ArrayType(T.LongType())),  # number of words of each
@@ -62,6 +63,7 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         firsts = words.bounds[:-1] + GAP * np.arange(words.texts)
         yield pa.RecordBatch.from_arrays(
             [
+                pa.array([uuid.uuid4().int >> 65], pa.int64()),
                 pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())),
                 pa.array([firsts], pa.list_(pa.int64())),
                 pa.array([np.diff(words.bounds)], pa.list_(pa.int64())),
@@ -271,14 +273,14 @@ SPANS = "block long, place long, doc_id long, n_words long, start long, stop lon
 
 def _spans(batches: Iterator[pa.RecordBatch], ranked, items) -> Iterator[pa.RecordBatch]:
     for row, block in _rows(batches):
-        key = int.from_bytes(hashlib.sha256(row["places"] + repr(row["doc_ids"]).encode()).digest()[:8], "little", signed=True)
+        key = row["block"]
         out = [(key, d, row["doc_ids"][d], int(block.sizes[d]), 0, 0, []) for d in range(len(block.sizes))]
         for n, size, places in _found(block, ranked.value):
             for p, d in zip(places.tolist(), block.document(places).tolist()):
                 at = p - int(block.firsts[d])
                 out.append((key, d, row["doc_ids"][d], int(block.sizes[d]), at, at + size, sorted(items.value[n])))
-        frame = pd.DataFrame(out, columns=["block", "place", "doc_id", "n_words", "start", "stop", "items"])
-        yield pa.RecordBatch.from_arrays([pa.array(frame[c].tolist(), t) for c, t in zip(frame, [pa.int64()] * 6 + [pa.list_(pa.string())])], names=list(frame))
+        kinds = [pa.int64()] * 6 + [pa.list_(pa.string())]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=["block", "place", "doc_id", "n_words", "start", "stop", "items"])
 
 
 def _union_length(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -117,7 +117,7 @@ def moments(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 def prior_of(positive: np.ndarray, everything: np.ndarray) -> float:
     """The largest share of positives that no bin of some weight contradicts, for want of any negative."""
     p, u = positive[0] / max(positive[0, 0], 1), everything[0] / max(everything[0, 0], 1)
-    some = p >= 0.05
+    some = p >= 0.3  # of rarer bins the ratio is too uncertain
     return float(np.clip((u[some] / p[some]).min(initial=1.0), 0.01, 1.0))
 
 

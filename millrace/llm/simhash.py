@@ -174,7 +174,8 @@ def near_links(prints: DataFrame, most: int = 0) -> DataFrame:
 
     ``prints``: node (long, one row each), fp (long), and any further columns of check bits
     (long); with those, linked rows must also differ in at most ``most`` of all check bits. The
-    links are a subset of all such pairs with the same connected components.
+    graph has the connected components of all such pairs, but in large pieces of work each row
+    is linked to the least row it reaches there, not to its neighbours.
     """
     checks = [c for c in prints.columns if c not in ("node", "fp")]
     rows = prints.withColumn("key", F.explode(ring_keys()))
