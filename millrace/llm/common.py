@@ -17,7 +17,7 @@ from millrace.sources.shared import shared_folder
 #: White space that parts words: blank, tab, line feed, vertical tab, form feed, carriage return.
 BLANKS = bytes([0x20, *range(0x09, 0x0E)])
 #: The most text that one step of a Python worker handles at once; a longer text is a step of its own.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
