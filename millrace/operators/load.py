@@ -161,10 +161,19 @@ def _merge_columns(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     return both.select(*out)
 
 
+def merge_source_rows(source: DataFrame, key: str, order_by: Sequence[str] = ()) -> DataFrame:
+    """What a MERGE is given: the last row of each key, and every row without a key.
+
+    A NULL key matches nothing, so MERGE inserts those rows, as ``upsert`` does.
+    """
+    require_columns(source, key)
+    unkeyed = source.where(field(key).isNull())
+    return last_per_key(source.where(field(key).isNotNull()), key, order_by).unionByName(unkeyed)
+
+
 def merge_into(source: DataFrame, table: str, key: str, *, order_by: Sequence[str] = ()) -> None:
     """Upsert into a catalog table whose format supports row-level MERGE."""
-    require_columns(source, key)
-    keyed = last_per_key(flat_table(source), key, order_by)
+    keyed = merge_source_rows(flat_table(source), key, order_by)
     on = F.expr(f"{table}.{quote(key)} = merge_source.{quote(key)}")
     keyed.alias("merge_source").mergeInto(table, on).whenMatched().updateAll().whenNotMatched().insertAll().merge()
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -13,7 +14,7 @@ from millrace.operators.parse import parse_json_records
 from millrace.plans.standardize import RunResult, run
 from millrace.sources.documents import read_documents
 from millrace.sources.jdbc import sqlserver_options, upsert_jdbc
-from millrace.sources.kafka import MAX_MESSAGES, read_kafka
+from millrace.sources.kafka import read_kafka
 
 # Configuration sections and the stage each one sets.
 SECTIONS = {
@@ -58,7 +59,6 @@ def parsed_source(
     settings, parser = dict(source.get(kind, {})), dict(source.get("parser", {}))
     if kind == "kafka":
         settings.pop("timeout_ms", None)  # a Spark read ends at the latest offset, not on idling
-        settings.setdefault("max_messages", MAX_MESSAGES)
         messages = read_kafka(spark, settings.pop("topic", ""), streaming=streaming, **settings)
         return parse_json_records(messages, schema, **parser)
     if kind == "mongodb":
@@ -69,7 +69,7 @@ def parsed_source(
 def _documents(spark: SparkSession, settings: dict, schema, streaming: bool) -> DataFrame:
     login = ""
     if settings.get("username") and settings.get("password"):
-        login = f"{settings['username']}:{settings['password']}@"
+        login = f"{quote(settings['username'], safe='')}:{quote(settings['password'], safe='')}@"
     uri = f"mongodb://{login}{settings.get('host', 'localhost')}:{settings.get('port', 27017)}"
     options = {
         "connection.uri": uri,

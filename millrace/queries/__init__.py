@@ -11,7 +11,6 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.sources.files import spread
 
 
 class Query(NamedTuple):
@@ -24,8 +23,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def heavy_table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
-    """A table, or some columns of it, for costly row-wise work: on all cores, see ``spread``."""
-    return spread(table(spark, folder, name).select(*(columns or ["*"])))
+    """A table, or some columns of it, as Spark splits it."""
+    return table(spark, folder, name).select(*(columns or ["*"]))
 
 
 def all_queries() -> dict[str, Query]:

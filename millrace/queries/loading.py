@@ -12,6 +12,7 @@ from millrace.operators.load import (
     last_per_key,
     load_errors,
     load_result,
+    merge_source_rows,
     run_sql,
     upsert,
 )
@@ -53,6 +54,14 @@ def upsert_null_keys(spark, folder):
     return upsert(customers, changes, "k")
 
 
+def merge_rows(spark, folder):
+    """What MERGE is given of changes of which a third has no key."""
+    changes = table(spark, folder, "orders").select(
+        F.expr("CASE WHEN o_orderkey % 3 > 0 THEN o_custkey END").alias("k"), F.col("o_orderkey").alias("v")
+    )
+    return merge_source_rows(changes, "k", ["v"])
+
+
 def upsert_skewed_key(spark, folder):
     """A third of the changes carry one key."""
     changes = table(spark, folder, "lineitem").select(
@@ -156,6 +165,11 @@ QUERIES = {
         UNION ALL SELECT k, max(v) FROM s WHERE k IS NOT NULL GROUP BY k
         UNION ALL SELECT k, v FROM s WHERE k IS NULL""",
     ),
+    "merge_source_rows": Query(
+        merge_rows,
+        """WITH s AS (SELECT CASE WHEN o_orderkey % 3 > 0 THEN o_custkey END AS k, o_orderkey AS v FROM orders)
+        SELECT k, max(v) AS v FROM s WHERE k IS NOT NULL GROUP BY k UNION ALL SELECT k, v FROM s WHERE k IS NULL""",
+    ),
     "upsert_skewed_key": Query(
         upsert_skewed_key,
         f"""WITH s AS (SELECT p_partkey, p_name FROM ({_LINE_LAST})

@@ -301,11 +301,9 @@ QUERIES = {
         """SELECT event_id, 'ETL_' || sha256('6:events|1:' || CAST(user_id % 4 AS STRING) || '|' ||
         CAST(length(CAST(event_id AS STRING)) AS STRING) || ':' || CAST(event_id AS STRING)) AS "recordId" FROM events""",
     ),
-    "enrich_now": Query(enrich_now, None),
     "enrich_now_shape": Query(
         enrich_now_shape, "SELECT count(*) AS records, CAST(1 AS BIGINT) AS times, true AS well_formed, true AS same FROM events"
     ),
-    "enrich_uuid": Query(enrich_uuid, None),
     "enrich_uuid_shape": Query(
         enrich_uuid_shape, "SELECT count(*) AS records, count(*) AS ids, true AS well_formed FROM events"
     ),

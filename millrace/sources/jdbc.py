@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.operators.load import flat_table, jdbc_merge_sql, last_per_key, load
+from millrace.operators.load import flat_table, jdbc_merge_sql, merge_source_rows, load
 
 # Defaults of the target.
 SERVER, PORT, DATABASE = "localhost", 1433, "etl_target"
@@ -58,7 +58,7 @@ def upsert_jdbc(
     a repeated batch gives the same table. ``execute`` runs one statement on the database.
     """
     staging = staging or f"{table}_staging"
-    rows = flat_table(last_per_key(df.where(df[key].isNotNull()), key, order_by))
+    rows = flat_table(merge_source_rows(df, key, order_by))
     load(rows, staging, mode="truncate", fmt="jdbc", **options)
     sql = jdbc_merge_sql(table, staging, key, rows.columns)
     execute(sql)

@@ -15,7 +15,6 @@ from millrace.functions.names import require_columns
 # Defaults of the read.
 BOOTSTRAP_SERVERS = ("localhost:9092",)
 START_POSITION = "earliest"
-MAX_MESSAGES = 100
 
 
 def kafka_options(
@@ -50,8 +49,8 @@ def kafka_options(
         if max_messages is not None:
             options["maxOffsetsPerTrigger"] = str(max_messages)
     else:
-        # A batch cannot start at "latest": nothing would lie between start and end.
-        options["startingOffsets"] = "earliest"
+        if auto_offset_reset == "latest":
+            raise ValueError('a batch read from "latest" would read nothing; read a stream, which keeps its place')
         options["endingOffsets"] = "latest"
     return options
 

@@ -72,6 +72,13 @@ def _in(value: Column, dtype: T.DataType, wanted) -> Column:
     return reduce(lambda a, b: a | b, parts, F.lit(False)) if parts else F.lit(False)
 
 
+def _plain(dtype: T.DataType, wanted) -> bool:
+    """Whether a field of one value is compared with present single values, so that only NULL is unknown."""
+    if isinstance(dtype, (T.ArrayType, T.StructType, T.MapType, T.VariantType)):
+        return False
+    return not any(w is None or isinstance(w, (re.Pattern, list, tuple, Mapping)) for w in wanted)
+
+
 def _operator(value: Column, dtype: T.DataType, op: str, wanted, siblings: Mapping) -> Column | None:
     if op == "$options":
         return None
@@ -79,12 +86,18 @@ def _operator(value: Column, dtype: T.DataType, op: str, wanted, siblings: Mappi
         return _equals(value, dtype, wanted)
     if op == "$ne":
         same = _equals(value, dtype, wanted)
-        return value.isNotNull() if wanted is None else ~_known(same)
+        if wanted is None:
+            return value.isNotNull()
+        if _plain(dtype, [wanted]):
+            return value.isNull() | (value != F.lit(wanted))  # without coalesce: a scan can use it
+        return ~_known(same)
     if op in _COMPARE:
         return _any_item(value, dtype, lambda c, t: _COMPARE[op](c, F.lit(wanted)))
     if op == "$in":
         return _in(value, dtype, wanted)
     if op == "$nin":
+        if _plain(dtype, wanted) and wanted:
+            return value.isNull() | ~value.isin(list(wanted))
         return ~_known(_in(value, dtype, wanted))
     if op == "$exists":
         return value.isNotNull() if wanted else value.isNull()
@@ -93,6 +106,8 @@ def _operator(value: Column, dtype: T.DataType, op: str, wanted, siblings: Mappi
         return _any_item(value, dtype, lambda c, t: c.rlike(pattern))
     if op == "$not":
         inner = wanted if isinstance(wanted, Mapping) else {"$eq": wanted}
+        if set(inner) <= set(_COMPARE) | {"$eq"} and _plain(dtype, inner.values()):
+            return value.isNull() | ~_field(value, dtype, inner)
         return ~_known(_field(value, dtype, inner))
     if op == "$size":
         return F.array_size(value) == wanted

@@ -10,8 +10,8 @@ from pyspark.sql import SparkSession
 _local_folder: dict[str, str] = {}
 
 
-def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new path below ``spark.checkpoint.dir`` (nothing is created).
+def shared_base(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names.
 
     Without that setting only a session whose executors are the driver itself (``local[...]``)
     gets a folder of its own; on a cluster it is an error, as a local folder would differ from
@@ -26,4 +26,9 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         if app not in _local_folder:
             _local_folder[app] = tempfile.mkdtemp(prefix="millrace-")
         base = _local_folder[app]
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    return base.rstrip("/")
+
+
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """A new path below the shared folder (nothing is created)."""
+    return f"{shared_base(spark)}/{purpose}-{uuid.uuid4().hex}"

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,14 +11,11 @@ from pyspark.sql.streaming import StreamingQuery
 from millrace.operators.load import flat_table, merge_into, upsert
 from millrace.operators.parse import parse_json_records, split_rejects
 from millrace.plans.standardize import observed, standardize
-
-CHECKPOINT_SETTING = "spark.checkpoint.dir"
-
+from millrace.sources.shared import shared_base
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder. Only where none is named, as in tests, a temporary one."""
-    folder = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getConf().get(CHECKPOINT_SETTING)
-    return folder.rstrip("/") if folder else tempfile.mkdtemp(prefix="millrace-")
+    """The cluster's shared folder; an error if a cluster names none."""
+    return shared_base(spark)
 
 
 def standardized_stream(

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace import kafka_messages, kafka_options, match
-from millrace.sources.files import spread
 from millrace.sources.jdbc import sqlserver_options, upsert_jdbc
 
 SOURCE = T.StructType(
@@ -138,11 +137,19 @@ def test_filters_reach_the_scan(spark, tmp_path):
     assert df.count() == 2
 
 
-def test_spread_only_touches_small_inputs(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert spread(spark.range(10).coalesce(1)).rdd.getNumPartitions() == cores
-    many = spark.range(0, 100, 1, cores * 2)
-    assert spread(many) is many
+@pytest.mark.parametrize("condition", [{"$ne": 5}, {"$nin": [5, 6]}, {"$not": {"$gt": 5}}])
+def test_negations_reach_the_scan(spark, tmp_path, condition):
+    spark.createDataFrame([(4,), (5,), (6,), (None,)], "id long").write.parquet(str(tmp_path / "t"))
+    df = match(spark.read.parquet(str(tmp_path / "t")), {"id": condition})
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: []" not in plan and "PushedFilters: [" in plan
+    want = {"$ne": {4, 6, None}, "$nin": {4, None}, "$not": {4, 5, None}}[next(iter(condition))]
+    assert {r["id"] for r in df.collect()} == want
+
+
+def test_a_batch_from_the_latest_offset_is_refused():
+    with pytest.raises(ValueError):
+        kafka_options("t", auto_offset_reset="latest")
 
 
 def test_sqlserver_options():
@@ -156,12 +163,12 @@ def test_jdbc_upsert_stages_then_merges(spark, monkeypatch):
     staged, ran = [], []
 
     def fake_load(df, target, **options):
-        staged.append((sorted(tuple(r) for r in df.collect()), target, options["mode"], options["url"]))
+        staged.append((sorted((tuple(r) for r in df.collect()), key=str), target, options["mode"], options["url"]))
 
     monkeypatch.setattr("millrace.sources.jdbc.load", fake_load)
     df = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (None, "c", 3)], "id int, v string, n int")
     sql = upsert_jdbc(df, "people", "id", ran.append, order_by=["n"], url="jdbc:x")
-    assert staged == [([(1, "b", 2)], "people_staging", "truncate", "jdbc:x")]
+    assert staged == [([(1, "b", 2), (None, "c", 3)], "people_staging", "truncate", "jdbc:x")]
     assert ran == [sql] and sql.startswith("MERGE INTO [people] AS t USING [people_staging] AS s ON t.[id] = s.[id]")
     assert "UPDATE SET t.[v] = s.[v], t.[n] = s.[n]" in sql and "INSERT ([id], [v], [n]) VALUES (s.[id], s.[v], s.[n]);" in sql
 
