@@ -207,7 +207,7 @@ def near_duplicates(docs: DataFrame, width: int = 3) -> DataFrame:
 
 #: Fingerprints of single words, which lead to candidates; fingerprints of shingles, which decide; and
 #: of the bits of the latter those in which documents alike may differ: cos(pi * 46 / 256) = 0.845,
-#: the mean of texts that share 0.73 of their shingles; of pairs at 0.8 nine in ten pass, from 0.85 on all but a few in a hundred.
+#: the mean of texts that share 0.73 of their shingles; of pairs from 0.80 to 0.85, 77 to 96 in a hundred passed in trials, above that all.
 ROUTES, CHECKS, MOST = 6, 4, 46
 
 
