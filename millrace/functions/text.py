@@ -31,6 +31,23 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def last_of_each(entries: Column, name: str) -> Column:
+    """An array of structs, in its order, without those whose field ``name`` occurs again later (by sorting)."""
+
+    def picked(own: Column) -> Column:
+        places = F.sort_array(F.transform(own, lambda e, i: F.struct(e.getField(name).alias("key"), i.alias("at"))))
+        last = let(
+            places,
+            lambda all_: F.filter(
+                all_,
+                lambda x, i: (i + 1 == F.size(all_)) | ~F.get(all_, i + 1).getField("key").eqNullSafe(x.getField("key")),
+            ),
+        )
+        return F.transform(F.sort_array(F.transform(last, lambda x: x.getField("at"))), lambda i: F.get(own, i))
+
+    return let(entries, picked)
+
+
 def _shortest(number: Column) -> Column:
     """The cast to text, with a digit less where 16 digits already name the same DOUBLE."""
     raw = number.cast("string")

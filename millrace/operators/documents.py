@@ -77,6 +77,8 @@ def _needs_rewrite(dtype: T.DataType, times: bool) -> bool:
         return any(f.name == ID or _needs_rewrite(f.dataType, times) for f in dtype.fields)
     if isinstance(dtype, T.ArrayType):
         return _needs_rewrite(dtype.elementType, times)
+    if isinstance(dtype, T.MapType):
+        return isinstance(dtype.keyType, T.StringType) or _needs_rewrite(dtype.valueType, times)
     return times and isinstance(dtype, _TIME)
 
 
@@ -96,6 +98,11 @@ def _rewrite(value: Column, dtype: T.DataType, keep_id: bool, id_text: bool, tim
     if isinstance(dtype, T.ArrayType):
         element = dtype.elementType
         return F.transform(value, lambda x: _rewrite(x, element, keep_id, id_text, times))
+    if isinstance(dtype, T.MapType):  # all values of a map have one type, so an ``_id`` in it keeps its own
+        if not keep_id and isinstance(dtype.keyType, T.StringType):
+            value = F.map_filter(value, lambda k, v: k != ID)
+        inner = dtype.valueType
+        return F.transform_values(value, lambda k, v: _rewrite(v, inner, keep_id, id_text, times)) if _needs_rewrite(inner, times) else value
     return datetime_text(value)
 
 

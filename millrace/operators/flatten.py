@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.names import carried_columns, field, record_columns, type_text
-from millrace.functions.text import json_text, let, python_text, variant_scalar_text
+from millrace.functions.text import json_text, last_of_each, let, python_text, variant_scalar_text
 
 ARRAY_MODES = ("index", "enumerate", "concat")
 NULL_MODES = ("keep", "remove", "empty_string")
@@ -580,14 +580,7 @@ def open_entries(value: Column, path: Column, opts: FlattenOptions, depth: int =
 def _last_entries(entries: Column) -> Column:
     """Entries with a path only once: where it occurs again later, the later one stays."""
     paths = F.transform(entries, lambda e: e.getField("path"))
-    later = F.filter(
-        entries,
-        lambda e, i: ~F.exists(
-            F.slice(entries, i + 2, F.greatest(F.size(entries) - i - 1, F.lit(0))),
-            lambda x: x.getField("path") == e.getField("path"),
-        ),
-    )
-    return F.when(F.size(F.array_distinct(paths)) == F.size(paths), entries).otherwise(later)
+    return F.when(F.size(F.array_distinct(paths)) == F.size(paths), entries).otherwise(last_of_each(entries, "path"))
 
 
 # ---------------------------------------------------------------------------------------

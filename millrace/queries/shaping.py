@@ -150,7 +150,7 @@ def _records(spark, folder):
     return good
 
 
-STATIC = {"pipeline_version": "1.0.0", "environment": "development", "weight": 3}
+STATIC = {"release": "r7", "site": "lab", "weight": 3}
 
 
 def enrich_static(spark, folder):
@@ -289,8 +289,8 @@ QUERIES = {
     ),
     "enrich_static": Query(
         enrich_static,
-        """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, '1.0.0' AS pipeline_version,
-        'development' AS environment, 3 AS weight FROM events""",
+        """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, 'r7' AS release,
+        'lab' AS site, 3 AS weight FROM events""",
     ),
     "enrich_source_info": Query(
         enrich_source_info,

@@ -17,17 +17,17 @@ from millrace.streaming.stream import shared_folder, standardized_stream, start_
 
 # A message per customer, as an application would send it: dirty, nested and partly damaged.
 PERSON_JSON = (
-    """'{"firstName": "  ' || c_name || '  ", "email": "' || """
+    """'{"holder_name": "  ' || c_name || '  ", "email": "' || """
     + EMAIL
     + """ || '", "phone": "' || """
     + PHONE
     + """ || '", "age": "' || CASE WHEN c_custkey % 4 = 0 THEN 'n/a' ELSE CAST(20 + c_custkey % 60 AS STRING) || '.0' END"""
-    """ || '", "active": "' || CASE WHEN c_custkey % 2 = 0 THEN 'yes' ELSE 'no' END || '", "created_date": "0' || CAST(1 + c_custkey % 9 AS STRING) || '/15/2024"'"""
+    """ || '", "active": "' || CASE WHEN c_custkey % 2 = 0 THEN 'yes' ELSE 'no' END || '", "joined": "0' || CAST(1 + c_custkey % 9 AS STRING) || '/15/2024"'"""
     """ || ', "address": {"nation": ' || CAST(c_nationkey AS STRING) || ', "segment": "' || c_mktsegment || '"}, "tags": ["a", "b' || CAST(c_nationkey AS STRING) || '"]'"""
     """ || CASE WHEN c_custkey % 50 = 49 THEN '' ELSE '}' END"""
 )
 PERSON_SCHEMA = (
-    "firstName string, email string, phone string, age string, active string, created_date string,"
+    "holder_name string, email string, phone string, age string, active string, joined string,"
     " address struct<nation:bigint,segment:string>, tags array<string>"
 )
 CONFIG = {
@@ -38,17 +38,17 @@ CONFIG = {
             "config": {
                 "field_mappings": {
                     "kafka": {
-                        "first_name": ["firstName"],
-                        "email_address": ["email"],
-                        "phone_number": ["phone"],
-                        "user_age": ["age"],
-                        "is_active": ["active"],
+                        "holder": ["holder_name"],
+                        "write_to": ["email"],
+                        "call_at": ["phone"],
+                        "years": ["age"],
+                        "enabled": ["active"],
                     }
                 }
             }
         },
-        "type_converter": {"config": {"type_conversions": {"user_age": "int", "is_active": "bool", "created_date": "datetime"}}},
-        "metadata_enricher": {"config": {"add_created_at": False, "add_source_info": True, "additional_metadata": {"environment": "production"}}},
+        "type_converter": {"config": {"type_conversions": {"years": "int", "enabled": "bool", "joined": "datetime"}}},
+        "metadata_enricher": {"config": {"add_created_at": False, "add_source_info": True, "additional_metadata": {"site": "yard"}}},
     },
 }
 
@@ -59,19 +59,19 @@ def _people(df: DataFrame) -> DataFrame:
 
 def _output(df: DataFrame) -> DataFrame:
     kept = {
-        "first_name": "first_name",
-        "email_address": "email_address",
-        "phone_number": "phone_number",
-        "user_age": "user_age",
-        "is_active": "is_active",
-        "created_date": "created_date",
+        "holder": "holder",
+        "write_to": "write_to",
+        "call_at": "call_at",
+        "years": "years",
+        "enabled": "enabled",
+        "joined": "joined",
         "`address.nation`": "nation",
         "`address.segment`": "segment",
         "`tags[0]`": "tag_0",
         "`tags[1]`": "tag_1",
         "dataSource": "source",
         "sourceTopic": "topic",
-        "environment": "environment",
+        "site": "site",
     }
     return df.select(F.col("_meta.offset").alias("id"), *[F.col(c).alias(n) for c, n in kept.items()])
 
@@ -143,7 +143,7 @@ def preview_counts(spark, folder):
     """A dry run's rows: the cap is the feature."""
     parsed = parse_json_records(_people(table(spark, folder, "customer")), PERSON_SCHEMA)
     done = standardize(parsed.limit(10), {**spec_from_config(CONFIG), "flatten": {"widths": {"tags": 2}}})
-    return done.agg(F.count(F.lit(1)).alias("records_transformed"), F.min("environment").alias("environment"))
+    return done.agg(F.count(F.lit(1)).alias("records_transformed"), F.min("site").alias("site"))
 
 
 def _stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -184,14 +184,14 @@ _AGE_OK = "c_custkey % 4 <> 0"
 _TOKENS = "('', 'null', 'NULL', 'None', 'N/A', 'n/a', 'undefined', 'UNDEFINED')"
 _DIGITS = f"regexp_replace({PHONE}, '[^0-9+]', '', 'g')"
 _PEOPLE_SQL = f"""WITH d AS (SELECT *, trim({EMAIL}) AS email, trim({PHONE}) AS phone, {_DIGITS} AS digits FROM customer)
-SELECT c_custkey AS id, c_name AS first_name,
+SELECT c_custkey AS id, c_name AS holder,
   CASE WHEN email NOT IN {_TOKENS} THEN
-    CASE WHEN regexp_matches(lower(email), '^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+[.][a-zA-Z]{{2,}}$') THEN lower(email) ELSE email END END AS email_address,
-  CASE WHEN phone NOT IN {_TOKENS} THEN CASE WHEN regexp_matches(digits, '^[+]?[1-9][0-9]{{0,15}}$') THEN digits ELSE phone END END AS phone_number,
-  CASE WHEN {_AGE_OK} THEN 20 + c_custkey % 60 END AS user_age, c_custkey % 2 = 0 AS is_active,
-  '2024-0' || CAST(1 + c_custkey % 9 AS STRING) || '-15T00:00:00' AS created_date,
+    CASE WHEN regexp_matches(lower(email), '^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+[.][a-zA-Z]{{2,}}$') THEN lower(email) ELSE email END END AS write_to,
+  CASE WHEN phone NOT IN {_TOKENS} THEN CASE WHEN regexp_matches(digits, '^[+]?[1-9][0-9]{{0,15}}$') THEN digits ELSE phone END END AS call_at,
+  CASE WHEN {_AGE_OK} THEN 20 + c_custkey % 60 END AS years, c_custkey % 2 = 0 AS enabled,
+  '2024-0' || CAST(1 + c_custkey % 9 AS STRING) || '-15T00:00:00' AS joined,
   CAST(c_nationkey AS BIGINT) AS nation, c_mktsegment AS segment, 'a' AS tag_0, 'b' || CAST(c_nationkey AS STRING) AS tag_1,
-  'kafka' AS source, 'people' AS topic, 'production' AS environment
+  'kafka' AS source, 'people' AS topic, 'yard' AS site
 FROM d WHERE {_GOOD}"""
 _TRIMMED = f"1 + CAST(trim({EMAIL}) <> {EMAIL} AS INT) + CAST(trim({PHONE}) <> {PHONE} AS INT)"
 
@@ -218,7 +218,7 @@ QUERIES = {
         CAST(sum({_TRIMMED}) FILTER ({_GOOD}) AS BIGINT) AS trimmed FROM customer""",
     ),
     "preview_counts": Query(
-        preview_counts, "SELECT least(10, count(*)) AS records_transformed, 'production' AS environment FROM customer"
+        preview_counts, "SELECT least(10, count(*)) AS records_transformed, 'yard' AS site FROM customer"
     ),
     "stream_people": Query(stream_people, _PEOPLE_SQL),
     "stream_rejects": Query(

@@ -31,10 +31,13 @@ EXTENDED = {
     "$numberInt": "int",
     "$numberLong": "bigint",
     "$numberDouble": "double",
-    "$numberDecimal": "double",
+    "$numberDecimal": "string",  # up to 34 digits and any exponent: as text none is lost
     "$date": "timestamp_ntz",
 }
 
+#: The offset of a time from UTC.
+ZONE = r"([+-])(\d\d):?(\d\d)"
+
 
 def _wrapper(dtype: T.DataType) -> str | None:
     """The wrapper name if this struct is one Extended JSON value."""
@@ -59,8 +62,11 @@ def _instant(value: Column, dtype: T.DataType) -> Column:
     day = F.lit(86_400_000)
     seconds = (F.pmod(millis, day).cast("decimal(18,6)") / 1000).cast("decimal(18,6)")
     from_millis = epoch + F.make_dt_interval(days=F.floor(millis / day).cast("int"), secs=seconds)
-    # Text times are UTC: drop the zone mark so that no session zone shifts them.
-    plain = F.regexp_replace(text, r"(?:Z|[+-]00:?00)$", "").try_cast("timestamp_ntz")
+    # Read without the zone mark, so that no session zone shifts them, then moved from that zone to UTC.
+    plain = F.regexp_replace(text, rf"([T ].*?)(?:Z|{ZONE})$", "$1").try_cast("timestamp_ntz")
+    sign, hours, minutes = (F.regexp_extract(text, rf"[T ].*?{ZONE}$", k) for k in (1, 2, 3))
+    ahead = F.coalesce((F.concat(sign, hours).try_cast("int") * 60 + F.concat(sign, minutes).try_cast("int")), F.lit(0))
+    plain = plain - F.make_dt_interval(mins=ahead)
     return F.when(millis.isNotNull(), from_millis).otherwise(plain)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.names import require_columns
+from millrace.functions.text import last_of_each
 
 # Defaults of the read.
 BOOTSTRAP_SERVERS = ("localhost:9092",)
@@ -64,14 +65,7 @@ def _headers_map(df: DataFrame) -> Column:
     headers = F.col("headers")
     if isinstance(df.schema["headers"].dataType, T.MapType):
         return F.coalesce(headers, empty)
-    last = F.filter(
-        headers,
-        lambda h, i: ~F.exists(
-            F.slice(headers, i + 2, F.greatest(F.size(headers) - i - 1, F.lit(0))),
-            lambda later: later.getField("key") == h.getField("key"),
-        ),
-    )
-    return F.coalesce(F.map_from_entries(last), empty)
+    return F.coalesce(F.map_from_entries(last_of_each(headers, "key")), empty)
 
 
 def kafka_messages(df: DataFrame, *, rejects: bool = False) -> DataFrame:

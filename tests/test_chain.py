@@ -12,7 +12,7 @@ from millrace.plans.config import parsed_source, target_writer
 from millrace.plans.standardize import observed
 from millrace.streaming import shared_folder, standardized_stream, start_append, start_batches, upsert_folders
 
-SPEC = {"clean": CLEAN, "map": {"field_mappings": MAPPINGS}, "convert": {"type_conversions": {"age": "int", "price": "float", "is_active": "bool", "created_at": "datetime"}}}
+SPEC = {"clean": CLEAN, "map": {"field_mappings": MAPPINGS}, "convert": {"type_conversions": {"places": "int", "depth": "float", "tied_up": "bool", "noted_at": "datetime"}}}
 
 
 def plan(df):
@@ -25,18 +25,18 @@ def by_offset(df):
 
 def test_stages_run_in_their_fixed_order(spark):
     df = standardize(records(spark, documents=False), SPEC)
-    k1, k2 = by_offset(df)
-    assert (k1.first_name, k1.age, k1.is_active, k1.created_at) == ("John", 25, True, "2024-01-15T10:30:00")
-    assert (k2.email, k2.phone, k2.age, k2.price) == ("jane@company.com", "+15551234567", 30, 150.5)
-    assert k1.createdAt and k1.status is None
+    a, b = by_offset(df)
+    assert (a.warden, a.places, a.tied_up, a.noted_at) == ("Ilse Marn", 12, True, "2031-05-02T06:07:08")
+    assert (b.write_to, b.ring, b.places, b.depth) == ("otto@dock.example", "+49305550199", 7, 0.5)
+    assert a.createdAt and a.grade is None
 
 
 def test_switched_off_stages(spark):
     off = {stage: False for stage in ("clean", "flatten", "map", "convert")} | {"enrich": {"enabled": False}}
     df = records(spark)
     assert standardize(df, off).columns == df.columns
-    extra = standardize(df, {**off, "extra": [lambda d: d.select("age")]})
-    assert extra.columns == ["age"]
+    extra = standardize(df, {**off, "extra": [lambda d: d.select("berths")]})
+    assert extra.columns == ["berths"]
     with pytest.raises(ValueError, match="unknown stages"):
         standardize(df, {"cleaning": {}})
 
@@ -49,11 +49,11 @@ def test_nested_strings_are_not_cleaned(spark):
 
 def test_run_counts_while_writing(spark, tmp_path):
     rows = [*MESSAGES, ("broken", "t", 0, 999, None, None, None)]
-    parsed = parse_json_records(spark.createDataFrame(rows, MESSAGE_SCHEMA), "user string, age bigint, city string", handle_malformed=False)
+    parsed = parse_json_records(spark.createDataFrame(rows, MESSAGE_SCHEMA), "station string, level bigint, river string", handle_malformed=False)
     bad = []
     result = run(
         parsed,
-        {"convert": {"type_conversions": {"age": "float"}}},
+        {"convert": {"type_conversions": {"level": "float"}}},
         lambda df: df.drop("_meta").write.parquet(str(tmp_path / "out")),
         write_rejects=lambda df: bad.extend(df.collect()),
     )
@@ -80,7 +80,7 @@ def test_a_failed_write_is_reported(spark):
 def test_preview_loads_nothing(spark):
     got = preview(records(spark), {"enrich": False}, n=2)
     assert got["records_parsed"] == got["records_transformed"] == 2 and len(got["sample_transformed"]) == 2
-    assert got["counters"]["clean.nulls_standardized"] == 3
+    assert got["counters"]["clean.nulls_standardized"] == 2
 
     nested = spark.createDataFrame([((1, [2, 3]),)], "o struct<a:int,l:array<int>>")
     alone = {stage: False for stage in ("clean", "map", "convert", "enrich")}
@@ -90,7 +90,7 @@ def test_preview_loads_nothing(spark):
 
 
 CONFIG = {
-    "source": {"type": "kafka", "kafka": {"topic": "user_events"}, "parser": {"strict_mode": False}},
+    "source": {"type": "kafka", "kafka": {"topic": "harbour"}, "parser": {"strict_mode": False}},
     "target": {"type": "mssql", "mssql": {"server": "db", "table_name": "t", "upsert_mode": True, "primary_key": "id", "driver": "ODBC"}},
     "transformations": {
         "data_cleaner": {"enabled": True, "config": {"cleaning_rules": {"validate_emails": True}, "null_values": ["-"]}},
@@ -191,7 +191,7 @@ def test_the_shared_folder_is_the_clusters(spark):
 
 
 def test_stages_are_projections(spark):
-    df = records(spark).withColumn("o", F.struct("age", F.array("email").alias("l")))
+    df = records(spark).withColumn("o", F.struct("berths", F.array("keeper_email").alias("l")))
     for staged in (
         clean(df, **CLEAN),
         flatten(df, widths={"o.l": 1}),
@@ -215,7 +215,7 @@ def test_each_text_is_parsed_once(spark, tmp_path):
 
 
 def test_counting_does_not_read_twice(spark, tmp_path):
-    parsed = parse_json_records(spark.createDataFrame(MESSAGES, MESSAGE_SCHEMA), "user string", handle_malformed=False)
+    parsed = parse_json_records(spark.createDataFrame(MESSAGES, MESSAGE_SCHEMA), "station string", handle_malformed=False)
     text = plan(observed(standardize(split_rejects(parsed)[0], {}, counters=True), "n"))
     assert text.count("CollectMetrics") == 1 and "Exchange" not in text
 

@@ -2,28 +2,20 @@
 
 import json
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.functions.text import last_of_each
 from millrace.operators.flatten import array_shapes, flatten, flatten_long, flattening_stats
 from millrace.operators.schema import discover_schema
 
 DOCS = [
-    {
-        "_id": "1",
-        "address": {"city": "New York", "street": "5th Avenue", "zipcode": "10001"},
-        "hobbies": ["reading", "swimming", "coding"],
-    },
-    {
-        "_id": "2",
-        "skills": [{"name": "Python", "level": "expert"}, {"name": "JavaScript", "level": "intermediate"}],
-    },
+    {"_id": "1", "vessel": {"flag": "NO", "rig": "ketch"}, "cargo": ["salt", "rope", "tar", "oil"]},
+    {"_id": "2", "crew": [{"role": "cook", "watch": 2}, {"role": "mate", "watch": 1}, {"role": "deck"}]},
 ]
-SCHEMA = (
-    "_id string, address struct<city:string,street:string,zipcode:string>, hobbies array<string>,"
-    "skills array<struct<name:string,level:string>>"
-)
+SCHEMA = "_id string, vessel struct<flag:string,rig:string>, cargo array<string>, crew array<struct<role:string,watch:int>>"
 
 
 def typed(spark, docs, schema=SCHEMA):
@@ -48,36 +40,37 @@ def test_index_mode_is_the_default(spark):
     rows = wide(flatten(typed(spark, DOCS)))
     assert rows[0] == {
         "_id": "1",
-        "address.city": "New York",
-        "address.street": "5th Avenue",
-        "address.zipcode": "10001",
-        "hobbies[0]": "reading",
-        "hobbies[1]": "swimming",
-        "hobbies[2]": "coding",
+        "vessel.flag": "NO",
+        "vessel.rig": "ketch",
+        "cargo[0]": "salt",
+        "cargo[1]": "rope",
+        "cargo[2]": "tar",
+        "cargo[3]": "oil",
     }
     assert rows[1] == {
         "_id": "2",
-        "skills[0].name": "Python",
-        "skills[0].level": "expert",
-        "skills[1].name": "JavaScript",
-        "skills[1].level": "intermediate",
+        "crew[0].role": "cook",
+        "crew[0].watch": 2,
+        "crew[1].role": "mate",
+        "crew[1].watch": 1,
+        "crew[2].role": "deck",
     }
 
 
 def test_enumerate_mode(spark):
     rows = wide(flatten(typed(spark, DOCS), array_handling="enumerate"))
-    assert rows[0]["hobbies_2"] == "coding"
-    assert rows[1]["skills_1.level"] == "intermediate"
+    assert rows[0]["cargo_2"] == "tar"
+    assert rows[1]["crew_1.role"] == "mate"
 
 
 def test_concat_mode_joins_scalars_and_numbers_objects(spark):
     df = flatten(typed(spark, DOCS), array_handling="concat", separator="_", max_depth=5)
     rows = wide(df)
-    assert rows[0]["hobbies"] == "reading, swimming, coding"
-    assert rows[0]["address_city"] == "New York"
-    assert rows[1]["skills_complex_0_name"] == "Python"
-    assert rows[1]["skills_complex_1_level"] == "intermediate"
-    assert "skills" not in df.columns
+    assert rows[0]["cargo"] == "salt, rope, tar, oil"
+    assert rows[0]["vessel_rig"] == "ketch"
+    assert rows[1]["crew_complex_0_role"] == "cook"
+    assert rows[1]["crew_complex_1_watch"] == 1
+    assert "crew" not in df.columns
 
 
 def test_stats_of_the_two_documents(spark):
@@ -91,8 +84,8 @@ def test_stats_of_the_two_documents(spark):
         "fields_created": 7,
         "max_depth_reached": 1,
     }
-    assert two["objects_flattened"] == 2 and two["arrays_flattened"] == 1
-    assert two["fields_created"] == 5 and two["max_depth_reached"] == 1
+    assert two["objects_flattened"] == 3 and two["arrays_flattened"] == 1
+    assert two["fields_created"] == 6 and two["max_depth_reached"] == 1
 
 
 def test_concat_text_of_scalars(spark):
@@ -102,8 +95,8 @@ def test_concat_text_of_scalars(spark):
 
 
 def test_empty_array_and_empty_object(spark):
-    df = typed(spark, [{"_id": "1", "hobbies": []}])
-    assert wide(flatten(df)) == [{"_id": "1", "hobbies": "[]"}]
+    df = typed(spark, [{"_id": "1", "cargo": []}])
+    assert wide(flatten(df)) == [{"_id": "1", "cargo": "[]"}]
     long = flatten_long(variants(spark, [{"a": {}, "b": []}]), ["id"], record="data")
     assert {(r.path, r.value) for r in long.collect()} == {("a", "{}"), ("b", "[]")}
 
@@ -127,23 +120,23 @@ def test_null_modes(spark):
 
 def test_switches_keep_values_nested(spark):
     df = typed(spark, DOCS)
-    assert dict(flatten(df, flatten_arrays=False).dtypes)["hobbies"] == "array<string>"
-    assert dict(flatten(df, flatten_objects=False).dtypes)["address"].startswith("struct")
-    assert wide(flatten(df, preserve_arrays=True))[0]["hobbies"] == '["reading","swimming","coding"]'
+    assert dict(flatten(df, flatten_arrays=False).dtypes)["cargo"] == "array<string>"
+    assert dict(flatten(df, flatten_objects=False).dtypes)["vessel"].startswith("struct")
+    assert wide(flatten(df, preserve_arrays=True))[0]["cargo"] == '["salt","rope","tar","oil"]'
 
 
 def test_custom_rules(spark):
     rules = {
-        "hobbies": {"type": "length"},
-        "address": {"type": "keys"},
-        "skills": {"type": "first_element"},
+        "cargo": {"type": "length"},
+        "vessel": {"type": "keys"},
+        "crew": {"type": "first_element"},
         "_id": {"type": "json"},
     }
-    rows = wide(flatten(typed(spark, DOCS), custom_flatteners=rules).withColumnRenamed("_id", "quoted").selectExpr("quoted as _id", "hobbies", "address", "skills"))
-    assert rows[0]["hobbies"] == 3 and rows[0]["address"] == ["city", "street", "zipcode"]
-    assert rows[0]["_id"] == '"1"' and rows[1]["skills"]["name"] == "Python"
-    unknown = flatten(typed(spark, DOCS), custom_flatteners={"address": {"type": "other"}})
-    assert dict(unknown.dtypes)["address"].startswith("struct")
+    rows = wide(flatten(typed(spark, DOCS), custom_flatteners=rules).withColumnRenamed("_id", "quoted").selectExpr("quoted as _id", "cargo", "vessel", "crew"))
+    assert rows[0]["cargo"] == 4 and rows[0]["vessel"] == ["flag", "rig"]
+    assert rows[0]["_id"] == '"1"' and rows[1]["crew"]["role"] == "cook"
+    unknown = flatten(typed(spark, DOCS), custom_flatteners={"vessel": {"type": "other"}})
+    assert dict(unknown.dtypes)["vessel"].startswith("struct")
 
 
 def test_rules_on_open_columns(spark):
@@ -175,10 +168,20 @@ def test_bad_options_fail_when_the_plan_is_built(spark):
 
 def test_declared_widths_never_lose_an_element(spark):
     df = typed(spark, DOCS)
-    wide_enough = flatten(df, widths={"hobbies": 3, "skills": 2}).where("_id = '1'").first()
-    assert wide_enough["hobbies[2]"] == "coding"
+    wide_enough = flatten(df, widths={"cargo": 4, "crew": 3}).where("_id = '1'").first()
+    assert wide_enough["cargo[3]"] == "oil"
     with pytest.raises(Exception, match="longer than the declared width"):
-        flatten(df, widths={"hobbies": 2, "skills": 2}).collect()
+        flatten(df, widths={"cargo": 2, "crew": 3}).collect()
+
+
+def test_collisions_are_found_by_sorting(spark):
+    rows = spark.range(1).select(F.transform(F.sequence(F.lit(0), F.lit(100_000)), lambda i: F.struct((i % 100_000).cast("string").alias("path"), i.alias("value"))).alias("es"))
+    began = time.monotonic()
+    got = rows.select(last_of_each(F.col("es"), "path").alias("es")).first().es
+    assert time.monotonic() - began < 20
+    assert len(got) == 100_000 and [e.value for e in got[:2]] == [1, 2] and (got[-1].path, got[-1].value) == ("0", 100_000)
+    odd = spark.sql("select array() as es union all select null").select(last_of_each(F.col("es").cast("array<struct<path:string>>"), "path").alias("es"))
+    assert {None if r.es is None else len(r.es) for r in odd.collect()} == {0, None}
 
 
 def test_array_shapes_reach_nested_arrays(spark):

@@ -17,17 +17,17 @@ def by_offset(df):
 def test_messages_become_a_union_of_fields(spark):
     df = parse_json_records(spark.createDataFrame(MESSAGES, MESSAGE_SCHEMA))
     good, rejects = split_rejects(df)
-    assert set(good.columns) == {"user", "age", "city", "product", "price", "available", "raw_text", "_meta"}
+    assert set(good.columns) == {"station", "level", "river", "pump", "flow", "open", "raw_text", "_meta"}
     one, two = by_offset(good)
-    assert (one.user, one.age, one.city, one.product) == ("John", 30, "New York", None)
-    assert (two.product, two.price, two.available) == ("laptop", 999.99, True)
-    assert one._meta.source_type == "kafka" and one._meta.key == "user_123"
-    assert one._meta.headers == {"source": "mobile_app"} and two._meta.headers == {}
+    assert (one.station, one.level, one.river, one.pump) == ("Brenn", 412, "Aul", None)
+    assert (two.pump, two.flow, two.open) == ("P9", 3.25, False)
+    assert one._meta.source_type == "kafka" and one._meta.key == "g-17"
+    assert one._meta.headers == {"via": "radio"} and two._meta.headers == {}
     assert rejects.count() == 0
 
 
 def test_malformed_text_is_kept(spark):
-    df = parse_json_records(spark.createDataFrame(MALFORMED, SHORT), "user string, age int")
+    df = parse_json_records(spark.createDataFrame(MALFORMED, SHORT), "station string, level int")
     rows = by_offset(df)
     assert [r.raw_text for r in rows] == [m[0] for m in MALFORMED]
     assert all(r.parsing_status is None and r._meta.timestamp is None and r._meta.key is None for r in rows)
@@ -95,10 +95,10 @@ def test_variant_records(spark):
 
 
 DOCS = [
-    {"_id": "507f1f77bcf86cd799439011", "name": "John Doe", "age": 30, "createdAt": "2023-01-15T10:30:00", "address": {"city": "New York"}, "hobbies": ["reading"]},
-    {"_id": "507f1f77bcf86cd799439012", "name": "Jane Smith", "age": 25, "createdAt": "2023-02-10T14:45:00", "skills": [{"name": "Python"}]},
+    {"_id": "gate-a1", "lock": "Upper", "rise": 3, "opened": "2029-03-04T05:06:07", "crane": {"reach": 18}, "signals": ["red", "white"]},
+    {"_id": "gate-b2", "lock": "Lower", "rise": 1, "opened": "2030-08-09T23:59:00", "pumps": [{"kind": "screw"}]},
 ]
-DOC_SCHEMA = "_id string, name string, age int, createdAt timestamp_ntz, address struct<city:string>, hobbies array<string>, skills array<struct<name:string>>"
+DOC_SCHEMA = "_id string, lock string, rise int, opened timestamp_ntz, crane struct<reach:int>, signals array<string>, pumps array<struct<kind:string>>"
 
 
 def documents(spark):
@@ -108,7 +108,7 @@ def documents(spark):
 
 def test_documents_are_normalised(spark):
     rows = normalize_documents(documents(spark)).orderBy("_id").collect()
-    assert [r.createdAt for r in rows] == ["2023-01-15T10:30:00", "2023-02-10T14:45:00"]
+    assert [r.opened for r in rows] == [d["opened"] for d in DOCS]
     assert [r._meta.field_count for r in rows] == [6, 5]
     assert all(r._meta.has_nested_objects and r._meta.original_id_type == "str" for r in rows)
     assert [r._meta.document_id for r in rows] == [d["_id"] for d in DOCS]
@@ -116,7 +116,7 @@ def test_documents_are_normalised(spark):
 
 def test_document_options(spark):
     df = normalize_documents(documents(spark), preserve_id_field=False, convert_datetime=False)
-    assert "_id" not in df.columns and dict(df.dtypes)["createdAt"] == "timestamp_ntz"
+    assert "_id" not in df.columns and dict(df.dtypes)["opened"] == "timestamp_ntz"
     ids = spark.createDataFrame([(7,)], "_id int")
     assert normalize_documents(ids, convert_objectid=False).first()._id == 7
     row = normalize_documents(ids).first()
@@ -135,6 +135,14 @@ def test_documents_are_rewritten_at_any_depth(spark):
     assert bare.schema["o"].dataType.names == ["at"] and bare.schema["arr"].dataType.elementType.names == ["x"]
 
 
+def test_documents_held_as_maps_are_rewritten(spark):
+    df = spark.sql("select map('at', timestamp_ntz'2024-01-01 00:00:00', '_id', null) as m, map(7, array(map('_id', 1, 'x', 2))) as deep, map('k', 'v') as plain")
+    row = normalize_documents(df).first()
+    assert row.m == {"at": "2024-01-01T00:00:00", "_id": None} and row.deep == {7: [{"_id": 1, "x": 2}]} and row.plain == {"k": "v"}
+    bare = normalize_documents(df, preserve_id_field=False, convert_datetime=False).first()
+    assert list(bare.m) == ["at"] and bare.deep == {7: [{"x": 2}]} and bare.plain == {"k": "v"}
+
+
 def test_metadata_of_variant_documents(spark):
     df = spark.createDataFrame([('{"_id":"a","x":null,"y":[1]}',), ('{"x":1}',)], "j string")
     rows = df.select(variant_document_metadata(F.parse_json("j")).alias("m")).select("m.*").collect()
@@ -164,6 +172,19 @@ def test_dates_in_epoch_milliseconds(spark, tmp_path):
     assert row.at == "2024-01-15T10:30:00.123000"
 
 
+def test_dates_with_an_offset_become_utc(spark, tmp_path):
+    times = ["2024-01-15T00:00:00+02:00", "2024-01-15T00:00:00.5-0330", "2024-01-15T00:00:00Z", "2024-01-15T00:00:00", "2024-01-15"]
+    (tmp_path / "d.json").write_text("\n".join(json.dumps({"n": i, "at": {"$date": t}}) for i, t in enumerate(times)))
+    rows = normalize_documents(read_documents(spark, "json", path=str(tmp_path))).orderBy("n").collect()
+    assert [r["at"] for r in rows] == ["2024-01-14T22:00:00", "2024-01-15T03:30:00.500000", *["2024-01-15T00:00:00"] * 3]
+
+
+def test_decimals_lose_no_digit(spark, tmp_path):
+    (tmp_path / "d.json").write_text('{"v":{"$numberDecimal":"12345678901234567.891"}}\n{"v":{"$numberDecimal":"1E+6000"}}')
+    rows = read_documents(spark, "json", path=str(tmp_path)).collect()
+    assert sorted(r.v for r in rows) == ["12345678901234567.891", "1E+6000"]
+
+
 def test_large_and_repeated_keys_are_whole(spark):
     """Texts beyond the size of a VARIANT, and repeated keys (the last one counts)."""
     large = F.concat(F.lit('{"a":1,"b":"'), F.repeat(F.expr("if(id >= 0, 'x', '')"), 21_000_000), F.lit('"}'))
