@@ -206,9 +206,9 @@ def near_duplicates(docs: DataFrame, width: int = 3) -> DataFrame:
 
 
 #: Fingerprints of single words, which lead to candidates; fingerprints of shingles, which decide; and
-#: of the bits of the latter those in which documents alike may differ: cos(pi * 46 / 256) = 0.845,
-#: the mean of texts that share 0.73 of their shingles; of pairs from 0.80 to 0.85, 77 to 96 in a hundred passed in trials, above that all.
-ROUTES, CHECKS, MOST = 6, 4, 46
+#: of the bits of the latter those in which documents alike may differ: cos(pi * 92 / 512) = 0.845,
+#: the mean of texts that share 0.73 of their shingles; the margin is two deviations of pairs that share 0.8.
+ROUTES, CHECKS, MOST = 8, 8, 92
 
 
 def word_fingerprints(words: Words, count: int) -> list[np.ndarray]:
@@ -237,8 +237,8 @@ def _routes(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Record
 def keep_one_of_each(docs: DataFrame, width: int = 5) -> DataFrame:
     """The rows of ``docs`` without those that are near copies of another: of each group the smallest doc_id stays.
 
-    Candidates differ in at most three bits of one of six fingerprints of their words (pigeonring);
-    they are linked if their 256 bits of shingle fingerprints differ in at most 46, a similarity
+    Candidates differ in at most three bits of one of eight fingerprints of their words (pigeonring);
+    they are linked if their 512 bits of shingle fingerprints differ in at most 92, a similarity
     of about 0.8. Groups are the connected components. Of equal rows (doc_id and text) one
     stays; texts without words are copies of each other. A null doc_id stands behind all others.
     The columns are those of ``docs``.
