@@ -169,18 +169,29 @@ def _links(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBa
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
 
-def near_links(prints: DataFrame, most: int = 0) -> DataFrame:
-    """Links (a, b: long) that connect all rows whose ``fp`` differ in at most three bits.
+def near_links(prints: DataFrame, most: int = 0, routes: tuple[str, ...] = ("fp",)) -> DataFrame:
+    """Links (a, b: long) that connect all rows of which one of ``routes`` differs in at most three bits.
 
-    ``prints``: node (long, one row each), fp (long), and any further columns of check bits
-    (long); with those, linked rows must also differ in at most ``most`` of all check bits. The
-    graph has the connected components of all such pairs, but in large pieces of work each row
-    is linked to the least row it reaches there, not to its neighbours.
+    ``prints``: node (long, one row each), the fingerprints named in ``routes`` (long), and any
+    further columns of check bits (long); with those, linked rows must also differ in at most
+    ``most`` of all check bits. The graph has the connected components of all such pairs, but in
+    large pieces of work each row is linked to the least row it reaches there, not to its
+    neighbours.
+
+    Keys travel alone; the fingerprints are fetched only for rows whose key others share.
     """
-    checks = [c for c in prints.columns if c not in ("node", "fp")]
-    rows = prints.withColumn("key", F.explode(ring_keys()))
-    shared = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    rows = rows.join(shared, "key").withColumn("blocks", F.ceil(F.col("n") / BLOCK))
+    checks = [c for c in prints.columns if c not in ("node", *routes)]
+    several = len(routes) > 1 or checks
+    keys = prints.select("node", F.posexplode(F.array(*routes)).alias("route", "fp"))
+    keys = keys.select("node", "route", "fp", F.explode(ring_keys()).alias("key"))
+    key = F.col("key").bitwiseOR(F.shiftleft(F.col("route").cast("long"), 36))
+    keys = keys.select(key.alias("key"), "node", *([] if several else ["fp"]))
+    shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    rows = keys.join(shared, "key")
+    if several:
+        rows = rows.join(prints, "node")
+        rows = rows.withColumn("fp", F.element_at(F.array(*routes), (F.shiftright("key", 36) + 1).cast("int")))
+    rows = rows.withColumn("blocks", F.ceil(F.col("n") / BLOCK))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node", F.lit(7)), "blocks"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = rows.select("key", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "node", "fp", *checks)
@@ -251,10 +262,8 @@ def keep_one_of_each(docs: DataFrame, width: int = 5) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "body")
     classes = stored(rows.groupBy("node").agg(*(F.first(c).alias(c) for c in names), F.min(order).alias("low")), "classes")
     checks = [f"c{k}" for k in range(CHECKS)]
-    links = None
-    for k in range(ROUTES):
-        more = near_links(classes.select("node", F.col(f"r{k}").alias("fp"), *checks), MOST)
-        links = more if links is None else links.union(more)
+    routes = tuple(f"r{k}" for k in range(ROUTES))
+    links = near_links(classes.select("node", *routes, *checks), MOST, routes)
     classes = classes.select("node", "low").join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
     kept = classes.groupBy("root").agg(F.min("low").alias("low")).select(F.coalesce("low.doc_id", F.lit(0)).alias("kept_id"), "low.none", "low.body")
     # of repeated rows one: numbered among equal (doc_id, text), which a hash of the text stands for
