@@ -43,6 +43,16 @@ def is_object_text(text: Column) -> Column:
     return F.startswith(F.ltrim(text, F.lit(" \t\n\r")), F.lit("{"))
 
 
+# A field that no record has: it takes the text of a record with a value that does not fit.
+MISFIT = "__misfit"
+
+
+def read_checked_record(text: Column, schema: T.StructType) -> Column:
+    """As ``read_record``, with the field ``MISFIT``: the text where a value does not fit its type, else NULL."""
+    checked = T.StructType([*schema.fields, T.StructField(MISFIT, T.StringType())])
+    return F.from_json(text, checked, {**OPTIONS, "columnNameOfCorruptRecord": MISFIT})
+
+
 def read_record(text: Column, schema: T.StructType) -> Column:
     """Well-formed object text as a STRUCT; of repeated keys the last one counts.
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.jsons import is_json, is_object_text, json_parts, read_record
+from millrace.functions.jsons import MISFIT, is_json, is_object_text, json_parts, read_checked_record
 from millrace.functions.names import META, field, require_columns, type_text
 from millrace.operators.schema import as_struct_type, discover_schema, discover_text_schema
 
@@ -19,6 +19,8 @@ REJECT_COLUMNS = ("raw_content", "parse_error", "parsing_status")
 FAILED = "failed"
 MALFORMED_REASON, NOT_AN_OBJECT = "Invalid JSON format", "not an object"
 NOT_A_VARIANT = "not readable as VARIANT: NaN, repeated keys or size"
+DOES_NOT_FIT = "a value does not fit its declared type"
+MISFITS = ("reject", "null")
 
 STATE = "_state"
 MISSING, MALFORMED, OBJECT, OTHER = "missing", "malformed", "object", "other"
@@ -55,6 +57,7 @@ def parse_json_records(
     column: str = "raw_value",
     strict_mode: bool = False,
     handle_malformed: bool = True,
+    misfits: str = "reject",
     metadata: Column | None = None,
 ) -> DataFrame:
     """Parse a JSON text column into one column per field plus ``_meta``.
@@ -63,10 +66,14 @@ def parse_json_records(
     ``"variant"`` keeps the whole object as a VARIANT column ``data`` (no pass, any shape).
     ``handle_malformed`` keeps text that is not JSON as ``raw_text``; otherwise such rows are
     rejects. NULL text and JSON that is not an object are always rejects.
+    ``misfits``: a record with a value that does not fit its declared type is a reject, or, with
+    ``"null"``, has NULL there. Fields that a declared schema lacks are not read.
     ``strict_mode`` fails the job on the first reject instead.
     A column that is already a STRUCT or VARIANT is not parsed again.
     """
     require_columns(df, column)
+    if misfits not in MISFITS:
+        raise ValueError(f"misfits must be one of {MISFITS}, not {misfits!r}")
     meta = message_metadata(df) if metadata is None else metadata
     raw, dtype = field(column), df.schema[column].dataType
 
@@ -81,20 +88,22 @@ def parse_json_records(
     if schema == "variant":
         parsed = parsed.withColumn("_data", F.when(is_object, F.try_parse_json(raw)))
         fields = {"data": F.col("_data")}
-        unfit = is_object & F.col("_data").isNull()
+        unfit, unfit_reason = is_object & F.col("_data").isNull(), NOT_A_VARIANT
     else:
         if schema is None:
             schema = discover_text_schema(parsed, raw, is_object)
         schema = as_struct_type(schema)
         fields = {f.name: F.col("_record").getField(f.name) for f in schema.fields}
         if schema.fields:
-            parsed = parsed.withColumn("_record", F.when(is_object, read_record(raw, schema)))
-        unfit = F.lit(False)
+            parsed = parsed.withColumn("_record", F.when(is_object, read_checked_record(raw, schema)))
+        checked = bool(schema.fields) and misfits == "reject"
+        unfit = F.col("_record").getField(MISFIT).isNotNull() if checked else F.lit(False)
+        unfit_reason = DOES_NOT_FIT
 
     reason = (
         F.when(F.col(STATE) == MISSING, f"No '{column}' field found in record")
         .when(F.col(STATE) == OTHER, NOT_AN_OBJECT)
-        .when(unfit, NOT_A_VARIANT)
+        .when(unfit, unfit_reason)
     )
     if not handle_malformed:
         reason = reason.when(F.col(STATE) == MALFORMED, MALFORMED_REASON)

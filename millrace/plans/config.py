@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from millrace.operators.documents import normalize_documents
-from millrace.operators.load import load
+from millrace.operators.load import create_table_sql, infer_sql_types, load
 from millrace.operators.parse import parse_json_records
 from millrace.plans.standardize import RunResult, run
 from millrace.sources.documents import read_documents
 from millrace.sources.jdbc import sqlserver_options, upsert_jdbc
 from millrace.sources.kafka import read_kafka
+from millrace.streaming.stream import drain
 
 # Configuration sections and the stage each one sets.
 SECTIONS = {
@@ -90,7 +91,9 @@ def _documents(spark: SparkSession, settings: dict, schema, streaming: bool) ->
 def target_writer(config: Mapping, execute: Callable[[str], None] | None = None) -> Callable[[DataFrame], None]:
     """The function that loads a frame into the configured database table.
 
-    Upserts need ``execute``, which runs one SQL statement on the database.
+    Upserts need ``execute``, which runs one SQL statement on the database. With it and
+    ``create_table`` a missing table is made first, with the types that the values need and the
+    primary key; the rows are read once more for that.
     """
     target = config["target"]
     kind = target["type"].lower()
@@ -101,15 +104,36 @@ def target_writer(config: Mapping, execute: Callable[[str], None] | None = None)
     settings.pop("driver", None)  # an ODBC driver name; JDBC has its own
     options = sqlserver_options(**settings)
     table = own.get("table_name", "processed_data")
+    key = own.get("primary_key")
+
+    def create(df: DataFrame) -> None:
+        if own.get("create_table") and execute is not None:
+            execute(create_missing_sql(table, infer_sql_types(df), key))
+
     if own.get("upsert_mode"):
-        key = own.get("primary_key")
         if not key:
             raise ValueError("upsert_mode needs a primary_key")
         if execute is None:
             raise ValueError("upsert_mode needs execute, a function that runs SQL on the database")
-        return lambda df: upsert_jdbc(df, table, key, execute, batch_size=own.get("batch_size", 1000), **options)
+
+        def merge(df: DataFrame) -> None:
+            create(df)
+            upsert_jdbc(df, table, key, execute, batch_size=own.get("batch_size", 1000), **options)
+
+        return merge
     mode = "truncate" if own.get("truncate_before_load") else "append"
-    return lambda df: load(df, table, mode=mode, fmt="jdbc", batch_size=own.get("batch_size", 1000), **options)
+
+    def write(df: DataFrame) -> None:
+        create(df)
+        load(df, table, mode=mode, fmt="jdbc", batch_size=own.get("batch_size", 1000), **options)
+
+    return write
+
+
+def create_missing_sql(table: str, types: DataFrame, key: str | None = None) -> str:
+    """``create_table_sql`` for a table that may be there already."""
+    name = "[" + table.replace("]", "]]") + "]"
+    return f"IF OBJECT_ID(N'{name.replace(chr(39), chr(39) * 2)}', N'U') IS NULL {create_table_sql(table, types, key)}"
 
 
 def run_config(
@@ -118,6 +142,16 @@ def run_config(
     *,
     schema: T.StructType | str | None = None,
     execute: Callable[[str], None] | None = None,
+    checkpoint: str | None = None,
 ) -> RunResult:
-    """Read, parse, standardize and load as configured."""
+    """Read, parse, standardize and load as configured.
+
+    With ``checkpoint``, a folder that all executors share, only what came since the last run
+    is read, up to what is there now; ``schema`` must then be declared. Without it all is read.
+    """
+    if checkpoint:
+        if schema is None:
+            raise ValueError("a run that resumes needs a declared schema")
+        source = parsed_source(spark, config, schema=schema, streaming=True)
+        return drain(source, spec_from_config(config), target_writer(config, execute), checkpoint)
     return run(parsed_source(spark, config, schema=schema), spec_from_config(config), target_writer(config, execute))

@@ -41,7 +41,7 @@ STAGE_TYPES = {
     "convert": "type_conversion",
     "enrich": "metadata_enrichment",
 }
-_GREATEST = "max_depth_reached"
+GREATEST = "max_depth_reached"
 
 
 def stage_options(spec: Mapping, stage: str) -> dict | None:
@@ -120,7 +120,7 @@ def count_aggregates(df: DataFrame) -> list[Column]:
     names = df.schema[COUNTS].dataType.names if COUNTS in df.columns else []
     out = [F.count(F.lit(1)).alias("records")]
     for name in names:
-        total = F.max if name.endswith(_GREATEST) else F.sum
+        total = F.max if name.endswith(GREATEST) else F.sum
         out.append(F.coalesce(total(field(COUNTS).getField(name)), F.lit(0)).alias(name))
     return out
 

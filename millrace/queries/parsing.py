@@ -100,6 +100,39 @@ def parse_rejects(spark, folder):
     )
 
 
+# A count that is a real number in every fifth record and a text in every ninth.
+MISFIT_JSON = (
+    """'{"n": ' || CASE WHEN o_orderkey % 9 = 0 THEN '"many"' WHEN o_orderkey % 5 = 0 THEN '1.5' """
+    """ELSE CAST(o_custkey AS STRING) END || ', "id": ' || CAST(o_orderkey AS STRING) || '}'"""
+)
+
+
+def misfit_messages(spark, folder):
+    raw = table(spark, folder, "orders").select(F.expr(MISFIT_JSON).alias("raw_value"), F.col("o_orderkey").alias("offset"))
+    return parse_json_records(raw, "id bigint, n bigint")
+
+
+def parse_misfit_rows(spark, folder):
+    _, rejects = split_rejects(misfit_messages(spark, folder))
+    return rejects.select(F.col("_meta.offset").alias("order_key"), "raw_content", "parse_error")
+
+
+def parse_fitting_rows(spark, folder):
+    return split_rejects(misfit_messages(spark, folder))[0].select("id", "n")
+
+
+def parse_strict(spark, folder):
+    df = parse_json_records(messages(spark, folder), "k bigint", strict_mode=True)
+    return df.select(F.col("_meta.offset").alias("event_id"), "k", "parsing_status")
+
+
+def document_rejects(spark, folder):
+    """The lines that ``parse_document_lines`` leaves out."""
+    broken = "CASE WHEN o_orderkey % 10 = 3 THEN '{' ELSE '{\"total\": ' || CAST(o_totalprice AS STRING) || '}' END"
+    lines = table(spark, folder, "orders").select(F.expr(broken).alias("line"), "o_orderkey")
+    return parse_document_text(lines, "line", "total double")[1].groupBy("raw_document", "parsing_status").agg(F.count("*").alias("n"))
+
+
 def parse_structured_values(spark, folder):
     df = table(spark, folder, "customer").select(
         F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")).alias("raw_value"),
@@ -332,6 +365,26 @@ QUERIES = {
           'failed' AS parsing_status
         FROM events WHERE {_IS_NULL} OR {_IS_BAD} OR {_NOT_OBJECT}""",
     ),
+    "parse_misfit_rows": Query(
+        parse_misfit_rows,
+        f"""SELECT o_orderkey AS order_key, {MISFIT_JSON} AS raw_content,
+        'a value does not fit its declared type' AS parse_error
+        FROM orders WHERE o_orderkey % 9 = 0 OR o_orderkey % 5 = 0""",
+    ),
+    "parse_fitting_rows": Query(
+        parse_fitting_rows,
+        "SELECT o_orderkey AS id, o_custkey AS n FROM orders WHERE o_orderkey % 9 <> 0 AND o_orderkey % 5 <> 0",
+    ),
+    "parse_strict": Query(
+        parse_strict,
+        """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, CAST(NULL AS VARCHAR) AS parsing_status
+        FROM events""",
+    ),
+    "document_rejects": Query(
+        document_rejects,
+        """SELECT '{' AS raw_document, 'failed' AS parsing_status, count(*) AS n FROM orders
+        WHERE o_orderkey % 10 = 3 HAVING count(*) > 0""",
+    ),
     "parse_structured_values": Query(
         parse_structured_values,
         "SELECT c_custkey AS id, c_name AS name, 'customers' AS topic, 'kafka' AS source_type FROM customer",

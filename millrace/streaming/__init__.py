@@ -1,6 +1,7 @@
 """Structured Streaming entry points."""
 
 from millrace.streaming.stream import (
+    drain,
     merge_batches,
     shared_folder,
     standardized_stream,
@@ -10,6 +11,7 @@ from millrace.streaming.stream import (
 )
 
 __all__ = [
+    "drain",
     "merge_batches",
     "shared_folder",
     "standardized_stream",

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.load import flat_table, merge_into, upsert
 from millrace.operators.parse import parse_json_records, split_rejects
-from millrace.plans.standardize import observed, standardize
+from millrace.plans.standardize import GREATEST, RunResult, observed, run, standardize
 from millrace.sources.shared import shared_base
 
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder; an error if a cluster names none."""
     return shared_base(spark)
@@ -61,6 +63,37 @@ def start_batches(
     return _writer(df, checkpoint, available_now, interval).foreachBatch(apply).start()
 
 
+def drain(df: DataFrame, spec: Mapping, write: Callable[[DataFrame], None], checkpoint: str) -> RunResult:
+    """Standardize and write what a parsed stream holds beyond ``checkpoint``, then stop.
+
+    The next call goes on from there. Progress is kept after each batch's write: a batch whose
+    write failed, or was cut off, is written again (once more, if its rows had got through).
+    The result adds up all batches; without new rows it is a success of zero rows.
+    """
+    total = RunResult(success=True)
+
+    def apply(batch: DataFrame, _: int) -> None:
+        done = run(batch, spec, write)
+        for name in ("extracted", "parsed", "transformed", "loaded", "failed"):
+            setattr(total, f"records_{name}", getattr(total, f"records_{name}") + getattr(done, f"records_{name}"))
+        total.duration_seconds += done.duration_seconds
+        total.errors += done.errors
+        for stage, counts in done.counters.items():
+            held = total.counters.setdefault(stage, {})
+            for name, n in counts.items():
+                held[name] = max(held.get(name, 0), n) if name.endswith(GREATEST) else held.get(name, 0) + n
+        total.lineage = done.lineage
+        if not done.success:
+            raise RuntimeError("; ".join(done.errors))
+
+    try:
+        start_batches(df, apply, checkpoint).awaitTermination()
+    except StreamingQueryException as error:
+        total.success = False
+        total.errors = total.errors or [str(error)]
+    return total
+
+
 def merge_batches(table: str, key: str, order_by: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
     """For ``start_batches``: MERGE each batch into a catalog table. The way for big tables."""
     return lambda batch, _: merge_into(batch, table, key, order_by=order_by)

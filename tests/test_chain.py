@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader
 
 from millrace import clean, convert, enrich, flatten, flatten_long, map_fields, parse_json_records, preview, run, spec_from_config, split_rejects, standardize
-from millrace.plans.config import parsed_source, target_writer
+from millrace.plans.config import create_missing_sql, parsed_source, run_config, target_writer
 from millrace.plans.standardize import observed
-from millrace.streaming import shared_folder, standardized_stream, start_append, start_batches, upsert_folders
+from millrace.streaming import drain, shared_folder, standardized_stream, start_append, start_batches, upsert_folders
 
 SPEC = {"clean": CLEAN, "map": {"field_mappings": MAPPINGS}, "convert": {"type_conversions": {"places": "int", "depth": "float", "tied_up": "bool", "noted_at": "datetime"}}}
 
@@ -120,6 +120,8 @@ def test_config_errors(spark):
     with pytest.raises(ValueError, match="unsupported target"):
         target_writer({"target": {"type": "csv"}})
     assert callable(target_writer(CONFIG, execute=print))
+    with pytest.raises(ValueError, match="declared schema"):
+        run_config(spark, CONFIG, execute=print, checkpoint="/cp")
 
 
 SCHEMA = "user string, age string, tags array<string>"
@@ -151,6 +153,48 @@ def test_stream_equals_batch(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 3
 
 
+def test_a_run_goes_on_where_the_last_one_stopped(spark, tmp_path):
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    schema = write_messages(spark, source)
+
+    def once(write):
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+        return drain(parse_json_records(stream, SCHEMA, handle_malformed=False), STREAM_SPEC, write, checkpoint)
+
+    def append(df):
+        df.drop("_meta").write.mode("append").parquet(out)
+
+    first = once(append)
+    assert (first.success, first.records_extracted, first.records_loaded, first.records_failed) == (True, 4, 3, 1)
+    assert first.counters["clean"]["fields_trimmed"] == 1
+    assert once(append).records_extracted == 0 and spark.read.parquet(out).count() == 3
+
+    write_more = spark.createDataFrame([('{"user":"Dot","age":"1"}', "topic", 9)], schema)
+    write_more.write.mode("append").parquet(source)
+
+    def fail(df):
+        raise OSError("target is away")
+
+    lost = once(fail)
+    assert not lost.success and lost.records_loaded == 0 and "target is away" in lost.errors[0]
+    assert once(append).records_loaded == 1  # what failed comes again
+    assert sorted(r.user for r in spark.read.parquet(out).collect()) == ["Ann", "Bob", "Cid", "Dot"]
+
+
+def test_a_missing_table_is_created_with_its_types(spark, monkeypatch):
+    said, loaded = [], []
+    monkeypatch.setattr("millrace.plans.config.load", lambda df, table, **kw: loaded.append((table, df.count())))
+    config = {"target": {"type": "mssql", "mssql": {"server": "db", "table_name": "o'k", "primary_key": "id", "create_table": True}}}
+    rows = spark.createDataFrame([(1, "a"), (2, None)], "id int, name string")
+    target_writer(config, said.append)(rows)
+    assert len(said) == 1 and said[0].startswith("IF OBJECT_ID(N'[o''k]', N'U') IS NULL CREATE TABLE [o'k] ([id] ")
+    assert "PRIMARY KEY ([id])" in said[0] and loaded == [("o'k", 2)]
+    config["target"]["mssql"]["create_table"] = False
+    target_writer(config, said.append)(rows)
+    assert len(said) == 1 and len(loaded) == 2
+    assert create_missing_sql("a]b", rows.limit(0).selectExpr("name as column_name", "name as sql_type")).startswith("IF OBJECT_ID(N'[a]]b]'")
+
+
 def test_stream_counters_are_in_its_progress(spark, tmp_path):
     schema = write_messages(spark, str(tmp_path / "in"))
     stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))

@@ -206,3 +206,17 @@ def test_nan_is_a_number(spark):
     one = next(r for r in rows if r.s)
     assert str(one.a) == "nan" and one.b == [float("-inf"), 1.5] and one.s == "NaN"
     assert sorted(str(r.a) for r in rows) == ["2.5", "nan"]
+
+
+def test_values_that_do_not_fit_are_rejects(spark):
+    texts = ['{"a":1,"o":{"b":2}}', '{"a":1.5}', '{"a":"zz"}', '{"o":{"b":"x"},"a":3}', '{"a":12345678901234567890}', '{"a":null,"c":[1]}', "{}"]
+    df = spark.createDataFrame([(t,) for t in texts], "raw_value string")
+    schema = "a bigint, o struct<b:int>"
+    good, bad = split_rejects(parse_json_records(df, schema))
+    assert sorted((r.a, r.o and r.o.b) for r in good.collect() if r.a) == [(1, 2)] and good.count() == 3
+    assert sorted(r.raw_content for r in bad.collect()) == sorted(texts[1:5])
+    assert {r.parse_error for r in bad.collect()} == {"a value does not fit its declared type"}
+    kept, none = split_rejects(parse_json_records(df, schema, misfits="null"))
+    assert kept.count() == len(texts) and none.count() == 0
+    with pytest.raises(ValueError, match="misfits"):
+        parse_json_records(df, schema, misfits="drop")
