@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.jsons import read_record
+from millrace.functions.jsons import MISFIT, read_checked_record
 from millrace.functions.names import META, field
 from millrace.functions.text import python_text
 from millrace.operators.documents import ID
 from millrace.operators.parse import (
+    DOES_NOT_FIT,
     FAILED,
     MALFORMED,
     MALFORMED_REASON,
@@ -25,6 +26,9 @@ from millrace.operators.parse import (
 from millrace.operators.schema import as_struct_type, discover_text_schema
 from millrace.sources.match import match
 
+#: The state of a document with a value that does not fit its declared type.
+UNFIT = "unfit"
+
 # Extended JSON type wrappers and the column types they stand for.
 EXTENDED = {
     "$oid": "string",
@@ -102,7 +106,7 @@ def plain_documents(df: DataFrame) -> DataFrame:
 def parse_document_text(df: DataFrame, column: str, schema: T.StructType | str | None = None) -> tuple[DataFrame, DataFrame]:
     """A column of JSON documents -> (documents, rejects).
 
-    Rejects hold ``raw_document``, ``parse_error``, ``parsing_status`` and a ``_meta`` that
+    A document with a value that does not fit its declared type is a reject too. Rejects hold ``raw_document``, ``parse_error``, ``parsing_status`` and a ``_meta`` that
     marks the failure.
     """
     parsed = with_json_state(df.select(field(column).alias("raw_document")), F.col("raw_document"))
@@ -110,13 +114,17 @@ def parse_document_text(df: DataFrame, column: str, schema: T.StructType | str |
     if schema is None:
         schema = discover_text_schema(parsed, raw, state == OBJECT)
     schema = as_struct_type(schema)
-    # The state passes through a generator, as in split_rejects, to be worked out once.
-    parsed = parsed.withColumn("_kind", F.explode(F.array(state)))
-    good = parsed.where(F.col("_kind") == OBJECT).select(read_record(raw, schema).alias("_record"))
-    documents = plain_documents(good.select("_record.*"))
+    # State and record pass through a generator, as in split_rejects, to be worked out once.
+    parsed = parsed.withColumn("_read", F.when(state == OBJECT, read_checked_record(raw, schema)))
+    kind = F.when(F.col("_read").getField(MISFIT).isNotNull(), UNFIT).otherwise(state)
+    parsed = parsed.withColumn("_both", F.explode(F.array(F.struct(kind.alias("kind"), F.col("_read").alias("record")))))
+    parsed = parsed.select("raw_document", F.col("_both.kind").alias("_kind"), F.col("_both.record").alias("_record"))
+    good = parsed.where(F.col("_kind") == OBJECT).select("_record.*").drop(MISFIT)
+    documents = plain_documents(good)
     error = (
         F.when(F.col("_kind") == MISSING, "no document")
         .when(F.col("_kind") == MALFORMED, MALFORMED_REASON)
+        .when(F.col("_kind") == UNFIT, DOES_NOT_FIT)
         .otherwise(NOT_AN_OBJECT)
     )
     meta = F.struct(

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace import discover_schema, normalize_documents, parse_json_records, read_documents, split_rejects
 from millrace.operators.documents import variant_document_metadata
+from millrace.sources.documents import parse_document_text
 
 SHORT = "raw_value string, topic string, partition int, offset bigint"
 
@@ -220,3 +221,13 @@ def test_values_that_do_not_fit_are_rejects(spark):
     assert kept.count() == len(texts) and none.count() == 0
     with pytest.raises(ValueError, match="misfits"):
         parse_json_records(df, schema, misfits="drop")
+
+
+def test_documents_that_do_not_fit_are_rejects(spark):
+    texts = ['{"_id":"a","n":{"$numberLong":"7"}}', '{"_id":"b","n":1}', "{", None, "[1]"]
+    df = spark.createDataFrame([(t,) for t in texts], "line string")
+    good, bad = parse_document_text(df, "line", "_id string, n struct<`$numberLong`:string>")
+    assert [tuple(r) for r in good.collect()] == [("a", 7)]
+    assert sorted((r.raw_document or "", r.parse_error) for r in bad.collect()) == [
+        ("", "no document"), ("[1]", "not an object"), ("{", "Invalid JSON format"), (texts[1], "a value does not fit its declared type"),
+    ]
