@@ -216,56 +216,142 @@ def near_duplicates(docs: DataFrame, width: int = 3) -> DataFrame:
     return rows.join(names, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: Fingerprints of single words, which lead to candidates; fingerprints of shingles, which decide; and
-#: of the bits of the latter those in which documents alike may differ: cos(pi * 92 / 512) = 0.845,
-#: the mean of texts that share 0.73 of their shingles; the margin is two deviations of pairs that share 0.8.
-ROUTES, CHECKS, MOST = 8, 8, 92
+#: The parity map of a text's shingles, as 64-bit numbers.
+PARITY = 16
+MAPS = [f"p{k}" for k in range(PARITY)]
 
 
-def word_fingerprints(words: Words, count: int) -> list[np.ndarray]:
-    """Fingerprints of a text's words, each weighing the square root of how often it occurs."""
-    codes = words.array().dictionary_encode()
-    hashed = np.array([xxhash.xxh64_intdigest(w, SEED) for w in codes.dictionary.to_pylist()], np.uint64)
-    pairs, times = np.unique(words.doc.astype(np.int64) << 32 | codes.indices.to_numpy(), return_counts=True)
-    weight = np.rint(np.sqrt(times)).astype(np.int64)
-    pairs = np.repeat(pairs, weight)
-    bounds = np.searchsorted(pairs >> 32, np.arange(words.texts + 1))
-    own = hashed[pairs & 0xFFFFFFFF] if len(pairs) else np.zeros(0, np.uint64)
-    return [fingerprints(mix(own, 100 + k), bounds) for k in range(count)]
+def distinct_shingles(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct hashes of each text (int64, ascending), and each text's bounds therein."""
+    text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    own = hashes.view(np.int64)
+    order = np.lexsort((own, text))
+    own, text = own[order], text[order]
+    first = np.ones(len(own), bool)
+    first[1:] = (own[1:] != own[:-1]) | (text[1:] != text[:-1])
+    return own[first], np.searchsorted(text[first], np.arange(len(bounds)))
 
 
-def _routes(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+def parity_maps(own: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """A row of ``PARITY`` numbers for each text: each shingle flips one bit, so two maps differ in no more bits than the sets in shingles."""
+    out = np.zeros((len(bounds) - 1) * PARITY, np.uint64)
+    bits = own.view(np.uint64)
+    text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    np.bitwise_xor.at(out, text * PARITY + ((bits >> np.uint64(6)) % np.uint64(PARITY)).astype(np.int64), np.uint64(1) << (bits & np.uint64(63)))
+    return out.reshape(-1, PARITY)
+
+
+def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     mapping = byte_map(BLANKS)
     for batch in steps(batches, "text"):
-        words = Words(batch.column("text"), mapping)
-        hashes, bounds = shingle_hashes(words, width)
-        made = {f"r{k}": x for k, x in enumerate(word_fingerprints(words, ROUTES))}
-        made |= {f"c{k}": fingerprints(mix(hashes, k) if k else hashes, bounds) for k in range(CHECKS)}
-        columns = [batch.column("doc_id"), batch.column("body"), *(pa.array(x.view(np.int64)) for x in made.values())]
-        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "body", *made])
+        own, bounds = distinct_shingles(*shingle_hashes(Words(batch.column("text"), mapping), width))
+        raw = own.tobytes()
+        nodes = [xxhash.xxh64_intdigest(raw[8 * a : 8 * b], SEED) for a, b in zip(bounds.tolist(), bounds[1:].tolist())]
+        maps = parity_maps(own, bounds).view(np.int64)
+        columns = [batch.column("doc_id"), batch.column("body"), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(np.diff(bounds).astype(np.int64))]
+        columns += [pa.array(np.ascontiguousarray(maps[:, k])) for k in range(PARITY)]
+        columns.append(pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(own)))
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "body", "node", "size", *MAPS, "shingles"])
+
+
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of a piece with different roots whose sizes and parity maps allow that they share enough."""
+    for key, one, two, block, node, root, size, *maps in _pieces(batches):
+        maps = np.stack(maps, 1).view(np.uint64)
+        starts = np.flatnonzero(np.concatenate([[True], (np.diff(key) != 0) | (np.diff(one) != 0) | (np.diff(two) != 0)]))
+        sizes = np.diff(np.append(starts, len(key)))
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def add(i, j):
+            both = size[i] + size[j]
+            fit = np.flatnonzero((root[i] != root[j]) & (9 * np.minimum(size[i], size[j]) >= 4 * both))
+            for at in range(0, len(fit), 1 << 14):
+                part = fit[at : at + (1 << 14)]
+                far = np.bitwise_count(maps[i[part]] ^ maps[j[part]]).sum(1, dtype=np.int64)
+                part = part[9 * far <= both[part]]
+                if len(part):
+                    found.append((np.minimum(node[i[part]], node[j[part]]), np.maximum(node[i[part]], node[j[part]])))
+
+        def out():
+            a, b = np.unique(np.stack([np.concatenate(c) for c in zip(*found)]), axis=1)
+            found.clear()
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+        small = sizes <= 16  # all small pieces together, by the distance of their rows
+        for gap in range(1, int(sizes[small].max(initial=1))):
+            fit = small & (sizes > gap)
+            counts = sizes[fit] - gap
+            i = np.repeat(starts[fit], counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+            apart = (one[i] == two[i]) | (block[i] != block[i + gap])
+            add(i[apart], i[apart] + gap)
+        for start, count in zip(starts[~small].tolist(), sizes[~small].tolist()):
+            rows = np.arange(start, start + count)
+            same = one[start] == two[start]
+            lower, upper = (rows, rows) if same else (rows[block[rows] == one[start]], rows[block[rows] == two[start]])
+            for k, r in enumerate(lower.tolist()):
+                others = upper[k + 1 :] if same else upper
+                add(np.full(len(others), r), others)
+            if sum(len(a) for a, _ in found) > 1 << 16:
+                yield out()
+        if found:
+            yield out()
+
+
+def _similar(pairs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (a, b: nodes) that share at least 4/5 of their shingles: sizes and parity maps first, then the sets themselves."""
+    for c in "ab":
+        pairs = pairs.join(classes.select(F.col("node").alias(c), *(F.col(x).alias(f"{x}_{c}") for x in ("at", "size", *MAPS))), c)
+    both = F.col("size_a") + F.col("size_b")
+    far = sum(F.bit_count(F.col(f"{p}_a").bitwiseXOR(F.col(f"{p}_b"))) for p in MAPS)
+    pairs = pairs.where((9 * F.least("size_a", "size_b") >= 4 * both) & (9 * far <= both)).select("a", "b", "at_a", "at_b", both.alias("both"))
+    for c in "ba":
+        pairs = pairs.join(sets.select(F.col("at").alias(f"at_{c}"), F.col("shingles").alias(f"shingles_{c}")), f"at_{c}")
+    return pairs.where(9 * F.size(F.array_intersect("shingles_a", "shingles_b")) >= 4 * F.col("both")).select("a", "b")
+
+
+def similar_links(sets: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b: long) with the connected components of all pairs of nodes whose sets have a Jaccard similarity of 4/5 or more.
+
+    A set of n shingles can miss at most n // 5 of those of a similar one, so the least common
+    shingle (in the order of the hashes) is among the first n // 5 + 1 of both: these are the
+    join keys, and no pair is missed. First each row of a key is compared with the key's least
+    node, which joins most of a large group at a linear number of pairs; then all pairs of a key
+    that are not joined yet, in blocks. Every link is verified on the whole sets.
+    """
+    keys = sets.select("node", F.explode(F.slice("shingles", F.lit(1), (F.floor(F.col("size") / 5) + 1).cast("int"))).alias("key"))
+    shared = keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key", "low")
+    rows = stored(keys.join(shared, "key").distinct(), "shared-shingles")
+    stars = rows.where("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct()
+    stars = stored(_similar(stars, classes, sets), "links")
+    rows = rows.select("key", "node").join(components(stars), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    apart = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).where("low < high")
+    rows = rows.join(apart.select("key", "n"), "key").join(classes, "node")
+    rows = rows.withColumn("blocks", F.ceil(F.col("n") / BLOCK))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node", F.lit(7)), "blocks"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    rows = rows.select("key", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "node", "root", "size", *MAPS)
+    rows = rows.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two")
+    return stars.union(_similar(rows.mapInArrow(_pairs, "a long, b long").distinct(), classes, sets))
 
 
 def keep_one_of_each(docs: DataFrame, width: int = 5) -> DataFrame:
     """The rows of ``docs`` without those that are near copies of another: of each group the smallest doc_id stays.
 
-    Candidates differ in at most three bits of one of eight fingerprints of their words (pigeonring);
-    they are linked if their 512 bits of shingle fingerprints differ in at most 92, a similarity
-    of about 0.8. Groups are the connected components. Of equal rows (doc_id and text) one
-    stays; texts without words are copies of each other. A null doc_id stands behind all others.
+    Two texts are linked if their sets of distinct shingles of ``width`` words have a Jaccard
+    similarity of 4/5 or more (exact on 64-bit hashes of the shingles, each pair found). Groups are
+    the connected components. Of equal rows (doc_id and text) one stays; texts without words
+    are copies of each other. A null doc_id stands behind all others.
     The columns are those of ``docs``.
     """
     body = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    names = [*(f"r{k}" for k in range(ROUTES)), *(f"c{k}" for k in range(CHECKS))]
-    schema = ", ".join(f"{c} long" for c in ["doc_id", "body", *names])
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), body.alias("body")).mapInArrow(partial(_routes, width=width), schema)
-    rows = stored(rows.withColumn("node", F.xxhash64(*names)), "fingerprints")
+    schema = ", ".join([*(f"{c} long" for c in ["doc_id", "body", "node", "size", *MAPS]), "shingles array<long>"])
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), body.alias("body")).mapInArrow(partial(_sets, width=width), schema)
+    rows = stored(rows.withColumn("at", F.monotonically_increasing_id()), "shingles")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "body")
-    classes = stored(rows.groupBy("node").agg(*(F.first(c).alias(c) for c in names), F.min(order).alias("low")), "classes")
-    checks = [f"c{k}" for k in range(CHECKS)]
-    routes = tuple(f"r{k}" for k in range(ROUTES))
-    links = near_links(classes.select("node", *routes, *checks), MOST, routes)
-    classes = classes.select("node", "low").join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    kept = classes.groupBy("root").agg(F.min("low").alias("low")).select(F.coalesce("low.doc_id", F.lit(0)).alias("kept_id"), "low.none", "low.body")
+    classes = stored(rows.select("node", "at", "size", *MAPS).dropDuplicates(["node"]), "classes")
+    found = components(similar_links(rows, classes))
+    lows = rows.groupBy("node").agg(F.min(order).alias("low")).join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    kept = lows.groupBy("root").agg(F.min("low").alias("low")).select(F.coalesce("low.doc_id", F.lit(0)).alias("kept_id"), "low.none", "low.body")
     # of repeated rows one: numbered among equal (doc_id, text), which a hash of the text stands for
     marked = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "__none": F.col("doc_id").isNull(), "__body": body})
     kept = kept.toDF("__id", "__none", "__body")

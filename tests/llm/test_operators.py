@@ -172,6 +172,55 @@ def test_near_copies_leave_one(spark, docs, none):
     assert simhash.keep_one_of_each(none).count() == 0 and simhash.keep_one_of_each(docs).columns == docs.columns
 
 
+def similar_plain(rows):
+    """Ids that stay if of all texts linked by a Jaccard similarity of 0.8 (distinct five-word shingles) the least id stays."""
+    sets = []
+    for _, t in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(rows)):
+        for b in range(a):
+            if sets[a] == sets[b] or 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                root[find(a)] = find(b)
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        least[find(k)] = min(least.get(find(k), i), i)
+    return sorted(least.values())
+
+
+def planted(kinds, seed=8):
+    """Texts of 30 to 400 words and copies of each: cut, with words of another appended, with single words changed; texts with one line repeated."""
+    rng = np.random.default_rng(seed)
+    words = [f"{a}{b}{c}" for a in "bcdfghklm" for b in ("an", "or", "it", "ul", "es") for c in ("", "a", "o")]
+    texts = []
+    for k in range(40):
+        own = rng.choice(words, int(rng.choice([30, 60, 120, 400]))).tolist()
+        n = len(own)
+        share = float(rng.uniform(0.76, 0.95))
+        made = {"cut": own[: round(n * share)], "appended": own + rng.choice(words, round(n / share) - n).tolist()}
+        made["changed"] = [w if rng.random() > 0.02 else "changed" for w in own]
+        texts += [own, *(made[x] for x in kinds if x in made)]
+        if "line" in kinds:
+            texts.append("the same five words again ".split() * 400 + rng.choice(words, 150).tolist())
+    order = rng.permutation(len(texts)).tolist()
+    return [(i, " ".join(texts[k])) for i, k in enumerate(order)]
+
+
+@pytest.mark.parametrize("block", [512, 2])
+def test_near_copies_of_any_edit_are_found(spark, monkeypatch, block):
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    rows = planted(["cut", "appended", "changed"])
+    got = sorted(r["doc_id"] for r in simhash.keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == similar_plain(rows)
+
+
 def test_archives_round_trip(spark, tmp_path):
     rows = [(1, "http://www.a.org/x?y\n", "<p>é</p>"), (2, None, "<p>é</p>"), (3, "http://b.org/", None), (4, "nothing", ""), (5, "http://www.a.org/x?y\n", "other"), (5, "http://www.a.org/x?y\n", "other"), (None, "http://c.org", "<p>é</p>")]
     pages = spark.createDataFrame([(*r, "z") for r in rows], "page_id long, url string, html string, key string")
