@@ -221,6 +221,12 @@ def test_near_copies_of_any_edit_are_found(spark, monkeypatch, block):
     assert got == similar_plain(rows)
 
 
+def test_a_line_repeated_inside_texts_links_nothing(spark):
+    rows = planted(["line", "cut"])
+    got = sorted(r["doc_id"] for r in simhash.keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == similar_plain(rows)
+
+
 def test_archives_round_trip(spark, tmp_path):
     rows = [(1, "http://www.a.org/x?y\n", "<p>é</p>"), (2, None, "<p>é</p>"), (3, "http://b.org/", None), (4, "nothing", ""), (5, "http://www.a.org/x?y\n", "other"), (5, "http://www.a.org/x?y\n", "other"), (None, "http://c.org", "<p>é</p>")]
     pages = spark.createDataFrame([(*r, "z") for r in rows], "page_id long, url string, html string, key string")
