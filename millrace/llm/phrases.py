@@ -302,6 +302,7 @@ def _in_rounds(index: DataFrame, rounds: list, wanted: dict) -> DataFrame:
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated; a doc_id with several rows goes if one of them is."""
-    bad = contamination(docs, benchmark).where("contaminated").select(F.coalesce("doc_id", F.lit(-(2**63))).alias("__bad")).distinct()
-    return docs.join(bad, F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))) == F.col("__bad"), "left_anti")
+    """The rows of ``docs`` that are not contaminated, each judged by its own text, whatever its doc_id (null and repeated ones too)."""
+    body = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    bad = contamination(docs.select(body.alias("doc_id"), "text"), benchmark).where("contaminated").select(F.col("doc_id").alias("__bad")).distinct()
+    return docs.join(bad, body == F.col("__bad"), "left_anti")

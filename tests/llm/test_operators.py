@@ -312,6 +312,13 @@ def test_contamination_in_rounds_is_the_same(spark, docs, monkeypatch):
     assert set(phrases.clean_documents(docs, bench).toPandas()["doc_id"].dropna().astype(int)) == {2, 3, 4, 5, 6}
 
 
+def test_clean_rows_stay_beside_contaminated_ones_of_their_id(spark):
+    bench = spark.createDataFrame([(1, "alpha beta gamma")], "item_id long, text string")
+    rows = [(None, "alpha beta gamma"), (None, "clean text"), (None, None), (7, "see Alpha, beta gamma"), (7, "other text"), (7, "other text"), (8, "more")]
+    got = phrases.clean_documents(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()
+    assert sorted(got, key=repr) == sorted([r for r in rows if "beta" not in (r[1] or "")], key=repr)
+
+
 def test_urls(spark):
     rows = [(i, f"http://shop{i % 5}.bad.net/es/{i}") for i in range(40)] + [(100 + i, f"https://news{i % 5}.good.com/a/{i}?q") for i in range(40)]
     rows += [(900, None), (901, "none"), (902, "http://EXAMPLE.com/en/x#y"), (903, "x://www.example.com/en/"), (904, "http://a.com"), (905, "http://shop3.bad.org/es/7"), (906, "http://news1.good.org/a/3")]
