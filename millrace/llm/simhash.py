@@ -219,6 +219,8 @@ def near_duplicates(docs: DataFrame, width: int = 3) -> DataFrame:
 #: The parity map of a text's shingles, as 64-bit numbers.
 PARITY = 16
 MAPS = [f"p{k}" for k in range(PARITY)]
+#: Hashes of texts that are sent to all tasks at once; more are joined by a shuffle.
+SENT = 1 << 20
 
 
 def distinct_shingles(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -232,13 +234,19 @@ def distinct_shingles(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarra
     return own[first], np.searchsorted(text[first], np.arange(len(bounds)))
 
 
-def parity_maps(own: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """A row of ``PARITY`` numbers for each text: each shingle flips one bit, so two maps differ in no more bits than the sets in shingles."""
-    out = np.zeros((len(bounds) - 1) * PARITY, np.uint64)
+def parity_maps(own: np.ndarray, bounds: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """``numbers`` (powers of two) for each text: each shingle flips one bit, so two maps differ in no more bits than the sets in shingles."""
+    first = np.concatenate([[0], np.cumsum(numbers)])
+    out = np.zeros(first[-1], np.uint64)
     bits = own.view(np.uint64)
-    text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    np.bitwise_xor.at(out, text * PARITY + ((bits >> np.uint64(6)) % np.uint64(PARITY)).astype(np.int64), np.uint64(1) << (bits & np.uint64(63)))
-    return out.reshape(-1, PARITY)
+    sizes = np.diff(bounds)
+    at = ((bits >> np.uint64(6)) & np.repeat(numbers - 1, sizes).astype(np.uint64)).astype(np.int64)
+    np.bitwise_xor.at(out, np.repeat(first[:-1], sizes) + at, np.uint64(1) << (bits & np.uint64(63)))
+    return out.view(np.int64)
+
+
+def _lists(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(values))
 
 
 def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -247,11 +255,26 @@ def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBa
         own, bounds = distinct_shingles(*shingle_hashes(Words(batch.column("text"), mapping), width))
         raw = own.tobytes()
         nodes = [xxhash.xxh64_intdigest(raw[8 * a : 8 * b], SEED) for a, b in zip(bounds.tolist(), bounds[1:].tolist())]
-        maps = parity_maps(own, bounds).view(np.int64)
-        columns = [batch.column("doc_id"), batch.column("body"), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(np.diff(bounds).astype(np.int64))]
+        sizes = np.diff(bounds)
+        maps = parity_maps(own, bounds, np.full(len(sizes), PARITY)).reshape(-1, PARITY)
+        # of long texts a wider map, of a bit or more per shingle
+        numbers = 1 << np.ceil(np.log2(np.maximum(sizes / 64, PARITY))).astype(np.int64)
+        long = numbers > PARITY
+        kept = np.repeat(long, sizes)
+        wide = parity_maps(own[kept], np.concatenate([[0], np.cumsum(sizes[long])]), numbers[long])
+        first = np.minimum(sizes, sizes // 5 + 1)
+        prefix = own[np.arange(first.sum()) + np.repeat(bounds[:-1] - np.cumsum(first) + first, first)]
+        columns = [batch.column("doc_id"), batch.column("body"), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes.astype(np.int64))]
         columns += [pa.array(np.ascontiguousarray(maps[:, k])) for k in range(PARITY)]
-        columns.append(pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(own)))
-        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "body", "node", "size", *MAPS, "shingles"])
+        columns += [_lists(wide, np.where(long, numbers, 0)), _lists(prefix, first)]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "body", "node", "size", *MAPS, "wide", "prefix"])
+
+
+def _whole(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    mapping = byte_map(BLANKS)
+    for batch in steps(batches, "text"):
+        own, bounds = distinct_shingles(*shingle_hashes(Words(batch.column("text"), mapping), width))
+        yield pa.RecordBatch.from_arrays([batch.column("body"), _lists(own, np.diff(bounds))], names=["body", "shingles"])
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,19 +320,39 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield out()
 
 
-def _similar(pairs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of ``pairs`` (a, b: nodes) that share at least 4/5 of their shingles: sizes and parity maps first, then the sets themselves."""
+def _wide_difference(x: str, y: str):
+    """Bits in which two wider maps differ, the larger one folded to the size of the smaller; without maps zero."""
+    half = lambda c: (F.size(c) / 2).cast("int")
+    fold = lambda c: F.zip_with(F.slice(c, F.lit(1), half(c)), F.slice(c, half(c) + 1, half(c)), lambda u, v: u.bitwiseXOR(v))
+    one = F.when(F.size(x) > F.size(y), fold(F.col(x))).otherwise(F.col(x))
+    two = F.when(F.size(y) > F.size(x), fold(F.col(y))).otherwise(F.col(y))
+    differ = F.aggregate(F.zip_with(one, two, lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0), lambda n, k: n + k)
+    return F.when((F.size(x) > 0) & (F.size(y) > 0), differ).otherwise(0)
+
+
+def _similar(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """Those of ``pairs`` (a, b: nodes) that share at least 4/5 of their shingles: sizes and parity maps first, then the sets themselves.
+
+    The sets are made anew from the texts that occur in pairs left by then, one text per node.
+    """
     for c in "ab":
-        pairs = pairs.join(classes.select(F.col("node").alias(c), *(F.col(x).alias(f"{x}_{c}") for x in ("at", "size", *MAPS))), c)
+        pairs = pairs.join(classes.select(F.col("node").alias(c), *(F.col(x).alias(f"{x}_{c}") for x in ("body", "size", *MAPS))), c)
     both = F.col("size_a") + F.col("size_b")
     far = sum(F.bit_count(F.col(f"{p}_a").bitwiseXOR(F.col(f"{p}_b"))) for p in MAPS)
-    pairs = pairs.where((9 * F.least("size_a", "size_b") >= 4 * both) & (9 * far <= both)).select("a", "b", "at_a", "at_b", both.alias("both"))
+    pairs = pairs.where((9 * F.least("size_a", "size_b") >= 4 * both) & (9 * far <= both)).select("a", "b", "body_a", "body_b", both.alias("both"))
+    for c in "ab":
+        pairs = pairs.join(classes.select(F.col("node").alias(c), F.col("wide").alias(f"wide_{c}")), c)
+    pairs = stored(pairs.where(9 * _wide_difference("wide_a", "wide_b") <= F.col("both")).select("body_a", "body_b", "a", "b", "both"), "pairs")
+    bodies = stored(pairs.select(F.explode(F.array("body_a", "body_b")).alias("body")).distinct(), "bodies")
+    few = bodies.count() <= SENT
+    wanted = texts.join(F.broadcast(bodies) if few else bodies, "body", "left_semi")
+    sets = stored(wanted.mapInArrow(partial(_whole, width=width), "body long, shingles array<long>").dropDuplicates(["body"]), "shingles")
     for c in "ba":
-        pairs = pairs.join(sets.select(F.col("at").alias(f"at_{c}"), F.col("shingles").alias(f"shingles_{c}")), f"at_{c}")
+        pairs = pairs.join(sets.select(F.col("body").alias(f"body_{c}"), F.col("shingles").alias(f"shingles_{c}")), f"body_{c}")
     return pairs.where(9 * F.size(F.array_intersect("shingles_a", "shingles_b")) >= 4 * F.col("both")).select("a", "b")
 
 
-def similar_links(sets: DataFrame, classes: DataFrame) -> DataFrame:
+def similar_links(sets: DataFrame, classes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     """Links (a, b: long) with the connected components of all pairs of nodes whose sets have a Jaccard similarity of 4/5 or more.
 
     A set of n shingles can miss at most n // 5 of those of a similar one, so the least common
@@ -318,20 +361,20 @@ def similar_links(sets: DataFrame, classes: DataFrame) -> DataFrame:
     node, which joins most of a large group at a linear number of pairs; then all pairs of a key
     that are not joined yet, in blocks. Every link is verified on the whole sets.
     """
-    keys = sets.select("node", F.explode(F.slice("shingles", F.lit(1), (F.floor(F.col("size") / 5) + 1).cast("int"))).alias("key"))
+    keys = sets.select("node", F.explode("prefix").alias("key"))
     shared = keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key", "low")
     rows = stored(keys.join(shared, "key").distinct(), "shared-shingles")
     stars = rows.where("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct()
-    stars = stored(_similar(stars, classes, sets), "links")
+    stars = stored(_similar(stars, classes, texts, width), "links")
     rows = rows.select("key", "node").join(components(stars), "node", "left").withColumn("root", F.coalesce("root", "node"))
     apart = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).where("low < high")
-    rows = rows.join(apart.select("key", "n"), "key").join(classes, "node")
+    rows = rows.join(apart.select("key", "n"), "key").join(classes.select("node", "size", *MAPS), "node")
     rows = rows.withColumn("blocks", F.ceil(F.col("n") / BLOCK))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node", F.lit(7)), "blocks"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = rows.select("key", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "node", "root", "size", *MAPS)
     rows = rows.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two")
-    return stars.union(_similar(rows.mapInArrow(_pairs, "a long, b long").distinct(), classes, sets))
+    return stars.union(_similar(rows.mapInArrow(_pairs, "a long, b long").distinct(), classes, texts, width))
 
 
 def keep_one_of_each(docs: DataFrame, width: int = 5) -> DataFrame:
@@ -344,12 +387,12 @@ def keep_one_of_each(docs: DataFrame, width: int = 5) -> DataFrame:
     The columns are those of ``docs``.
     """
     body = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    schema = ", ".join([*(f"{c} long" for c in ["doc_id", "body", "node", "size", *MAPS]), "shingles array<long>"])
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), body.alias("body")).mapInArrow(partial(_sets, width=width), schema)
-    rows = stored(rows.withColumn("at", F.monotonically_increasing_id()), "shingles")
+    schema = ", ".join([*(f"{c} long" for c in ["doc_id", "body", "node", "size", *MAPS]), "wide array<long>", "prefix array<long>"])
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), body.alias("body"))
+    rows = stored(texts.mapInArrow(partial(_sets, width=width), schema), "prefixes")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "body")
-    classes = stored(rows.select("node", "at", "size", *MAPS).dropDuplicates(["node"]), "classes")
-    found = components(similar_links(rows, classes))
+    classes = stored(rows.select("node", "body", "size", *MAPS, "wide").dropDuplicates(["node"]), "classes")
+    found = components(similar_links(rows, classes, texts.select("text", "body"), width))
     lows = rows.groupBy("node").agg(F.min(order).alias("low")).join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     kept = lows.groupBy("root").agg(F.min("low").alias("low")).select(F.coalesce("low.doc_id", F.lit(0)).alias("kept_id"), "low.none", "low.body")
     # of repeated rows one: numbered among equal (doc_id, text), which a hash of the text stands for
