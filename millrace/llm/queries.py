@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import language, lines, mixing, neighbours, phrases, quality, simhash, tokens, urls, warc
+from millrace.llm import digests, language, lines, mixing, neighbours, phrases, quality, simhash, tokens, urls, warc
 from millrace.llm.common import held_out, stored, table
 
 #: The vocabulary file of a public tokenizer, at the same place on every machine.
@@ -65,7 +65,11 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judged(table(spark, folder, "pages"), RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_language_mixture, op3_line_dedup, op4_simhash, op5_warc, op6_quality, op7_mixing, op8_neighbours, op9_decontamination, op10_url_filter)}
+def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return digests.exact_classes(table(spark, folder, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_language_mixture, op3_line_dedup, op4_simhash, op5_warc, op6_quality, op7_mixing, op8_neighbours, op9_decontamination, op10_url_filter, op13_exact_dedup)}
 
 BLANK = r"[\x20\x09-\x0D]"
 
@@ -141,5 +145,11 @@ items AS (SELECT row, count(DISTINCT item_id)::BIGINT AS n_items, string_agg(DIS
 SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(h.n_hit, 0)::BIGINT AS n_hit, coalesce(i.n_items, 0)::BIGINT AS n_items,
     sha256(coalesce(i.ids, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AND 20 * coalesce(h.n_hit, 0) >= len(d.words) AS contaminated
 FROM d LEFT JOIN hits h ON d.row = h.row LEFT JOIN items i ON d.row = i.row
+""",
+    "op13_exact_dedup": r"""
+WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY body) AS keep_id, (count(*) OVER (PARTITION BY body))::BIGINT AS group_size,
+    row_number() OVER (PARTITION BY body ORDER BY doc_id NULLS LAST) = 1 AS kept, sha256(body) AS text_sha256
+FROM d
 """,
 }
