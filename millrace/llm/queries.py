@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import digests, language, lines, mixing, neighbours, phrases, quality, simhash, tokens, urls, warc
+from millrace.llm import digests, language, lines, mixing, neighbours, phrases, quality, repeats, simhash, tokens, urls, warc
 from millrace.llm.common import held_out, stored, table
 
 #: The vocabulary file of a public tokenizer, at the same place on every machine.
@@ -65,11 +65,40 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judged(table(spark, folder, "pages"), RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def _made_periodic(docs: DataFrame) -> DataFrame:
+    """doc_id, text: where the id's checksum ends in 0, every word from the a-th on becomes one of p words, again and again."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    # Java's split drops no word: the text is trimmed of white space first
+    body = F.regexp_replace(F.coalesce("text", F.lit("")), r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
+    rows = docs.select("doc_id", "text", (h % 10 == 0).alias("turned"), F.floor(h / 10).alias("g"), body.alias("body"))
+    rows = rows.withColumn("words", F.when(F.col("turned") & (F.col("body") != ""), F.split("body", r"[\x20\x09-\x0D]+", -1)))
+    rows = rows.withColumn("n", F.size("words").cast("long")).withColumn("a", F.when(F.col("words").isNotNull(), F.col("g") % F.col("n")))
+    rows = rows.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    part = lambda first, size: F.slice(F.col("words"), first.cast("int"), size.cast("int"))
+    times = F.floor((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    period = part(F.col("a") + 1, F.col("p"))
+    again = F.concat(part(F.lit(1), F.col("a")), F.flatten(F.array_repeat(period, times)), F.slice(period, F.lit(1), ((F.col("n") - F.col("a")) % F.col("p")).cast("int")))
+    return rows.select("doc_id", F.when(F.col("words").isNotNull(), F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    out = repeats.periodic_runs(_made_periodic(table(spark, folder, "documents")))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    digest = F.sha2(F.concat(F.array_join(F.transform("runs", line), "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")), 256)
+    # the greatest length / period, exactly; runs come by start, then period, and the first of equals stays
+    best = F.reduce("runs", F.get("runs", F.lit(0)), lambda m, r: F.when(r["length"] * m["period"] > m["length"] * r["period"], r).otherwise(m))
+    out = out.withColumns({"best": best, "runs_sha256": digest})
+    return out.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"), "runs_sha256", F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return digests.exact_classes(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_language_mixture, op3_line_dedup, op4_simhash, op5_warc, op6_quality, op7_mixing, op8_neighbours, op9_decontamination, op10_url_filter, op13_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_language_mixture, op3_line_dedup, op4_simhash, op5_warc, op6_quality, op7_mixing, op8_neighbours, op9_decontamination, op10_url_filter, op12_periodic_runs, op13_exact_dedup)}
 
 BLANK = r"[\x20\x09-\x0D]"
 
