@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import digests, language, lines, mixing, neighbours, phrases, quality, repeats, simhash, tokens, urls, warc
+from millrace.llm import collocations, digests, language, lines, mixing, neighbours, phrases, quality, repeats, simhash, tokens, urls, warc
 from millrace.llm.common import held_out, stored, table
 
 #: The vocabulary file of a public tokenizer, at the same place on every machine.
@@ -65,6 +65,10 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judged(table(spark, folder, "pages"), RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 def _made_periodic(docs: DataFrame) -> DataFrame:
     """doc_id, text: where the id's checksum ends in 0, every word from the a-th on becomes one of p words, again and again."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -98,7 +102,7 @@ def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return digests.exact_classes(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_language_mixture, op3_line_dedup, op4_simhash, op5_warc, op6_quality, op7_mixing, op8_neighbours, op9_decontamination, op10_url_filter, op12_periodic_runs, op13_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_language_mixture, op3_line_dedup, op4_simhash, op5_warc, op6_quality, op7_mixing, op8_neighbours, op9_decontamination, op10_url_filter, op11_collocations, op12_periodic_runs, op13_exact_dedup)}
 
 BLANK = r"[\x20\x09-\x0D]"
 
@@ -174,6 +178,36 @@ items AS (SELECT row, count(DISTINCT item_id)::BIGINT AS n_items, string_agg(DIS
 SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(h.n_hit, 0)::BIGINT AS n_hit, coalesce(i.n_items, 0)::BIGINT AS n_items,
     sha256(coalesce(i.ids, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AND 20 * coalesce(h.n_hit, 0) >= len(d.words) AS contaminated
 FROM d LEFT JOIN hits h ON d.row = h.row LEFT JOIN items i ON d.row = i.row
+""",
+    "op11_collocations": r"""
+WITH p AS (
+    SELECT row_number() OVER () AS piece, * FROM (
+        SELECT coalesce(lang, 'und') AS lang,
+            unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS body
+        FROM documents)
+), w AS (
+    SELECT lang, piece, unnest(words) AS x, generate_subscripts(words, 1) AS i FROM (SELECT lang, piece, regexp_extract_all(body, '[^\x20\x09]+') AS words FROM p)
+), g AS (
+    SELECT lang, x, lead(x) OVER o AS y, lead(x, 2) OVER o AS z FROM w WINDOW o AS (PARTITION BY piece ORDER BY i)
+), f1 AS (SELECT lang, x AS phrase, count(*)::BIGINT AS f FROM g GROUP BY lang, x),
+f2 AS (SELECT lang, x, y, x || ' ' || y AS phrase, count(*)::BIGINT AS f FROM g WHERE y IS NOT NULL GROUP BY lang, x, y HAVING count(*) >= 10),
+f3 AS (SELECT lang, x, y, z, x || ' ' || y || ' ' || z AS phrase, count(*)::BIGINT AS f FROM g WHERE z IS NOT NULL GROUP BY lang, x, y, z HAVING count(*) >= 10),
+c AS (
+    SELECT lang, phrase, f AS a, 1 AS k, x AS head, y AS rest FROM f2
+    UNION ALL SELECT lang, phrase, f, 1, x, y || ' ' || z FROM f3
+    UNION ALL SELECT lang, phrase, f, 2, x || ' ' || y, z FROM f3
+), part AS (SELECT lang, phrase, f FROM f1 UNION ALL SELECT lang, phrase, f FROM f2),
+s AS (
+    SELECT c.*, h.f AS l, r.f AS r, (1000000::HUGEINT * c.a * c.a // (h.f::HUGEINT * r.f))::BIGINT AS score
+    FROM c JOIN part h ON c.lang = h.lang AND c.head = h.phrase JOIN part r ON c.lang = r.lang AND c.rest = r.phrase
+), best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner2 AS (
+    SELECT lang, phrase, max(f) AS longer FROM (SELECT lang, x || ' ' || y AS phrase, f FROM f3 UNION ALL SELECT lang, y || ' ' || z, f FROM f3) GROUP BY lang, phrase
+), kept AS (
+    SELECT b.* FROM best b LEFT JOIN inner2 i ON b.lang = i.lang AND b.phrase = i.phrase WHERE i.longer IS NULL OR 100 * i.longer < 50 * b.a
+), ordered AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT o.lang, o.rank::BIGINT AS rank, o.phrase, o.a, o.l, o.r, t.n, o.score
+FROM ordered o JOIN (SELECT lang, sum(f)::BIGINT AS n FROM f1 GROUP BY lang) t ON o.lang = t.lang WHERE rank <= 2000
 """,
     "op13_exact_dedup": r"""
 WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents)
