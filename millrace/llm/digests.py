@@ -303,8 +303,9 @@ def exact_classes(docs: DataFrame, *, generations: int = 2) -> DataFrame:
     if low is None or generations < 2:
         store.insert(rows)
     else:
-        step = (high - low) // generations + 1
-        batch = F.coalesce(F.floor((F.col("doc_id") - F.lit(low)) / F.lit(step)), F.lit(0))
+        batch = F.lit(0)
+        for i in range(1, generations):
+            batch = batch + F.coalesce((F.col("doc_id") > low + (high - low) * i // generations).cast("int"), F.lit(0))
         for i in range(generations):
             store.insert(rows.where(batch == i))
     out = store.look_up(rows)
