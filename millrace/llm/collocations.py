@@ -1,21 +1,21 @@
 """Phrase collocations: frequent word sequences that are more than their parts.
 
-Counting goes level by level: words, pairs of words, a pair and the word after it, and so on.
-Each level does the same:
+Counting goes level by level: words, pairs of words, a frequent pair and the word after it, and so on.
 
-1. *Chunks.* A task turns some million words of one language into a chunk: a sequence of unit
-   numbers and the distinct units with their counts.
-2. *Ranks.* Counts are summed over all chunks; units with ``least`` occurrences or more get ids by
-   descending frequency (sorted by ranges, no single task holds them all). Rarer units can be
+1. *Chunks.* A task turns some million words of one language into a chunk: a sequence of numbers
+   and the distinct words with their counts.
+2. *Ranks.* Counts are summed over all chunks; words with ``least`` occurrences or more get ids by
+   descending frequency (sorted by ranges, no single task holds them all). Rarer words can be
    part of no frequent phrase and get none.
-3. *Back to the chunks.* Each chunk gets the ids of its own units only, by a join; no dictionary
-   of all units is sent to anybody.
-4. *Pairs.* Within a chunk, frequency-ranked numbers make pairs cells of square tiles. Tiles with
-   many hits are counted with ``bincount`` over all their cells; the rest as sorted coordinates. The pairs found
-   are the units of the next level, ranked again.
+3. *Back to the chunks.* Each chunk gets the ids of its own words only, by a join; no dictionary
+   of all words is sent to anybody.
+4. *Pairs.* Within a chunk, numbers by descending frequency make pairs cells of square tiles. Tiles with
+   many hits are counted with ``bincount`` over all their cells, the rest as sorted coordinates. Counts
+   are summed over all chunks; each chunk is told which of its own pairs are frequent, and how frequent, so
+   that they are ranked anew and are the units of the next level.
 
 So the work of a level grows with the words, whatever the number of distinct words, and a
-language or a word that holds most of the corpus is spread over all chunks.
+language, a word or a pair that is everywhere is a row per chunk.
 """
 
 from __future__ import annotations
@@ -28,17 +28,28 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import STEP_BYTES, Words, byte_map, give_back, steps, stored, text_bytes
+from millrace.llm.common import STEP_BYTES, Words, byte_map, forget, give_back, steps, stored, text_bytes
 
 #: Bytes that part words, and those that part pieces, too.
 GAPS, STOPS = b"\x20\x09", b".,;:!?\x0a\x0b\x0c\x0d"
-#: Words of a chunk, width of a tile, and the share of a tile's cells from which on it is counted densely.
-CHUNK_WORDS, TILE, DENSE = 1 << 20, 512, 1 / 16
+#: Words of a task's chunks, width of a tile, and the share of a tile's cells from which on it is counted densely.
+CHUNK_WORDS, TILE, DENSE = 1 << 22, 512, 1 / 16
 #: Tasks that pick the first phrases of a language before they meet.
 PICKERS = 64
 
-CHUNK = "chunk long, lang string, stream binary, base binary, place int, word string, n long"
-PAIRS = "chunk long, lang string, stream binary, base binary, place int, a long, b long, n long"
+CHUNK = "chunk long, lang string, stream binary, place int, word string, n long"
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    """Whole numbers from -1 on, compressed."""
+    small = len(numbers) == 0 or int(numbers.max()) < 1 << 31
+    data = numbers.astype(np.int32 if small else np.int64).tobytes()
+    return (4 if small else 8).to_bytes(1, "little") + len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    plain = pa.decompress(data[9:], decompressed_size=int.from_bytes(data[1:9], "little"), codec="zstd", asbytes=True)
+    return np.frombuffer(plain, np.int32 if data[0] == 4 else np.int64).astype(np.int64)
 
 
 # --- words -----------------------------------------------------------------------------------
@@ -71,8 +82,11 @@ def word_chunks(docs: DataFrame) -> DataFrame:
                 stream[np.arange(len(ids)) + np.cumsum(breaks)] = ids
                 counts = np.bincount(ids, minlength=len(words.dictionary)).astype(np.int64)
                 chunk = next(number)
-                yield _chunk_row(chunk, lang, stream, None)
-                yield from _unit_rows(chunk, lang, {"word": words.dictionary.cast(pa.string())}, counts, _CHUNK)
+                yield pa.RecordBatch.from_pylist([{"chunk": chunk, "lang": lang, "stream": _packed(stream)}], schema=_CHUNK)
+                n = len(counts)
+                columns = [pa.array(np.full(n, chunk)), pa.array([lang] * n, pa.string()), pa.nulls(n, pa.binary()), pa.array(np.arange(n, dtype=np.int32))]
+                rows = pa.RecordBatch.from_arrays([*columns, words.dictionary.cast(pa.string()), pa.array(counts)], schema=_CHUNK)
+                yield from (rows.slice(a, 10_000) for a in range(0, n, 10_000))
             held.clear()
 
         for batch in steps(batches, "text", STEP_BYTES):
@@ -99,23 +113,7 @@ def word_chunks(docs: DataFrame) -> DataFrame:
     return stored(rows.where("text is not null").mapInArrow(chunks, CHUNK), "collocation-words")
 
 
-_SHARED = [("chunk", pa.int64()), ("lang", pa.string()), ("stream", pa.binary()), ("base", pa.binary()), ("place", pa.int32())]
-_CHUNK = pa.schema([*_SHARED, ("word", pa.string()), ("n", pa.int64())])
-_PAIRS = pa.schema([*_SHARED, ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
-
-
-def _chunk_row(chunk: int, lang: str, stream: np.ndarray, base: np.ndarray | None) -> pa.RecordBatch:
-    row = {"chunk": chunk, "lang": lang, "stream": stream.tobytes(), "base": None if base is None else base.tobytes()}
-    schema = _CHUNK if base is None else _PAIRS
-    return pa.RecordBatch.from_pylist([row | {k: None for k in schema.names if k not in row}], schema=schema)
-
-
-def _unit_rows(chunk: int, lang: str, units: dict, counts: np.ndarray, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    n = len(counts)
-    columns = {"chunk": pa.array(np.full(n, chunk)), "lang": pa.array([lang] * n, pa.string()), "place": pa.array(np.arange(n, dtype=np.int32)), "n": pa.array(counts)} | units
-    batch = pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(n, f.type)) for f in schema], schema=schema)
-    for a in range(0, n, 10_000):
-        yield batch.slice(a, 10_000)
+_CHUNK = pa.schema([("chunk", pa.int64()), ("lang", pa.string()), ("stream", pa.binary()), ("place", pa.int32()), ("word", pa.string()), ("n", pa.int64())])
 
 
 # --- ranks -----------------------------------------------------------------------------------
@@ -137,21 +135,23 @@ def ranked(counts: DataFrame, *ties: str) -> DataFrame:
     return rows.join(F.broadcast(ranges), "__part").withColumn("id", F.col("__ahead") + F.col("__row")).drop("__part", "__row", "__ahead")
 
 
-def _with_ids(chunks: DataFrame, units: DataFrame, keys: list[str]) -> DataFrame:
-    """Each chunk (chunk, lang, stream, base) with ``places`` and ``ids`` of those of its units that have an id."""
-    own = chunks.where("stream is null").select("chunk", "place", *keys).join(units.select(*keys, "id"), keys)
+def with_ids(chunks: DataFrame, words: DataFrame) -> DataFrame:
+    """(chunk, base): the words of each chunk as ids, -1 between pieces and for words without an id."""
+    own = chunks.where("stream is null").select("chunk", "place", "lang", "word").join(words.select("lang", "word", "id"), ["lang", "word"])
     own = own.groupBy("chunk").agg(F.collect_list(F.struct("place", "id")).alias("own"))
     own = own.select("chunk", F.col("own.place").alias("places"), F.col("own.id").alias("ids"))
-    return chunks.where("stream is not null").select("chunk", "lang", "stream", "base").join(own, "chunk")
 
+    def translated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                stream = _unpacked(batch.column("stream")[i].as_py())
+                table = np.full(int(stream.max(initial=0)) + 2, -1, np.int64)  # the last entry, at -1, stays -1
+                table[batch.column("places")[i].values.to_numpy()] = batch.column("ids")[i].values.to_numpy()
+                yield pa.RecordBatch.from_arrays([batch.column("chunk").slice(i, 1), pa.array([_packed(table[stream])], pa.binary())], names=["chunk", "base"])
+        give_back()
 
-def _unit_ids(batch: pa.RecordBatch, row: int) -> np.ndarray:
-    """The stream of a chunk as ids of units; -1 where there is none."""
-    stream = np.frombuffer(batch.column("stream")[row].as_buffer(), np.int32)
-    lists = [batch.column(c)[row].values.to_numpy() for c in ("places", "ids")]
-    table = np.full(max(int(lists[0].max(initial=0)), int(stream.max(initial=0))) + 2, -1, np.int64)
-    table[lists[0]] = lists[1]
-    return table[stream]  # -1 is the last entry, which stays -1
+    rows = chunks.where("stream is not null").select("chunk", "stream").join(own, "chunk")
+    return stored(rows.mapInArrow(translated, "chunk long, base binary"), "collocation-ids")
 
 
 # --- pairs -----------------------------------------------------------------------------------
@@ -192,63 +192,89 @@ def tiled_counts(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return np.stack([tile // across * TILE + cell // TILE, tile % across * TILE + cell % TILE], 1), counts, number
 
 
-def _pairs(units: np.ndarray, base: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of a unit of ``size`` words and the word behind it: ids of both, counts, and the number of the pair at each place (-1: none).
+def _next_level(units: np.ndarray, base: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Units of ``size`` words, each with the word behind it: a place and the count of each such pair, and its number at each place (-1: none).
 
-    A pair counts if its last ``size`` words are a unit with an id, too: else it is not frequent.
+    ``units``: the number of the unit at each place by descending frequency (-1: none is frequent). A pair
+    counts if its last ``size`` words are a frequent unit, too: else it is not frequent itself.
     """
     n = len(base)
-    stream = np.full(n, -1, np.int32)
+    stream = np.full(n, -1, np.int64)
     if n <= size:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), stream
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), stream
     at = np.flatnonzero((units[: n - size] >= 0) & (units[1 : n - size + 1] >= 0) & (base[size:] >= 0))
-    # numbers by frequency among the units and words of this chunk
-    first, a = np.unique(units[at], return_inverse=True)
-    second, b = np.unique(base[at + size], return_inverse=True)
-    pairs, counts, number = tiled_counts(a, b)
+    pairs, counts, number = tiled_counts(*(np.unique(x, return_inverse=True)[1] for x in (units[at], base[at + size])))
     stream[at] = number
-    return first[pairs[:, 0]], second[pairs[:, 1]], counts.astype(np.int64), stream
+    first = np.zeros(len(pairs), np.int64)
+    first[number[::-1]] = at[::-1]
+    return first, counts, stream
+
 
+def phrase_rows(chunks: DataFrame, words: int) -> DataFrame:
+    """w0, w1, ... (ids), chunk, place, n: the phrases of so many words in each chunk, and how often it holds them.
 
-def pair_chunks(chunks: DataFrame, size: int) -> DataFrame:
-    """The chunks of the next level: units of ``size`` words (with ids) and the words behind them."""
+    ``chunks``: (chunk, base), and from three words on ``sizes``, ``places`` and ``counts`` of the frequent phrases with fewer words.
+    """
+    names = [f"w{i}" for i in range(words)]
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                chunk, lang = batch.column("chunk")[i].as_py(), batch.column("lang")[i].as_py()
-                units = _unit_ids(batch, i)
-                base = units if size == 1 else np.frombuffer(batch.column("base")[i].as_buffer(), np.int64)
-                a, b, counts, stream = _pairs(units, base, size)
-                yield _chunk_row(chunk, lang, stream, base)
-                yield from _unit_rows(chunk, lang, {"a": pa.array(a), "b": pa.array(b)}, counts, _PAIRS)
+                base = _unpacked(batch.column("base")[i].as_py())
+                known = [batch.column(c)[i].values.to_numpy() for c in ("sizes", "places", "counts")] if words > 2 else None
+                units = base
+                for size in range(1, words):
+                    first, counts, stream = _next_level(units, base, size)
+                    if size + 1 < words:  # frequent phrases of this level, numbered by frequency
+                        mine = known[0] == size + 1
+                        places, often = known[1][mine], known[2][mine]
+                        table = np.full(len(first) + 1, -1, np.int64)
+                        table[places[np.lexsort((places, -often))]] = np.arange(len(places))
+                        units = table[stream]
+                n = len(first)
+                columns = [pa.array(base[first + k]) for k in range(words)]
+                columns += [pa.array(np.full(n, batch.column("chunk")[i].as_py())), pa.array(np.arange(n, dtype=np.int32)), pa.array(counts.astype(np.int64))]
+                rows = pa.RecordBatch.from_arrays(columns, names=[*names, "chunk", "place", "n"])
+                yield from (rows.slice(a, 10_000) for a in range(0, n, 10_000))
         give_back()
 
-    return stored(chunks.mapInArrow(counted, PAIRS), "collocation-pairs")
+    return chunks.mapInArrow(counted, ", ".join(f"{w} long" for w in names) + ", chunk long, place int, n long")
 
 
 def phrase_counts(docs: DataFrame, least: int = 10, most_words: int = 3) -> tuple[DataFrame, DataFrame]:
     """(lang, words: array, f) of all phrases of up to ``most_words`` words that occur ``least`` times or more, and (lang, n)."""
     chunks = word_chunks(docs)
-    counted = chunks.where("stream is null").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    counted = stored(counted, "collocation-counts")
+    counted = stored(chunks.where("stream is null").groupBy("lang", "word").agg(F.sum("n").alias("n")), "collocation-counts")
     totals = counted.groupBy("lang").agg(F.sum("n").alias("n"))
     words = ranked(counted.where(F.col("n") >= least), "lang", "word")
-    units, keys = words, ["lang", "word"]
-    named = words.select("id", "lang", F.array("word").alias("words"), F.col("n").alias("f"))
-    levels = [named]
-    for size in range(1, most_words):
-        chunks = pair_chunks(_with_ids(chunks, units, keys), size)
-        counted = chunks.where("stream is null").groupBy("a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-        units, keys = ranked(counted, "a", "b"), ["a", "b"]
-        last = words.select(F.col("id").alias("b"), "word")
-        heads = named.select(F.col("id").alias("a"), "lang", "words")
-        named = stored(units.join(heads, "a").join(last, "b").select("id", "lang", F.concat("words", F.array("word")).alias("words"), F.col("n").alias("f")), "collocation-names")
-        levels.append(named)
-    out = levels[0].drop("id")
-    for level in levels[1:]:
-        out = out.union(level.drop("id"))
-    return stored(out, "collocation-phrases"), totals
+    bases = with_ids(chunks, words)
+    forget(chunks)
+    out = words.select("lang", F.array("word").alias("words"), F.col("n").alias("f"))
+    levels: list[DataFrame] = []
+    for size in range(2, most_words + 1):
+        rows = bases
+        if levels:
+            known = levels[0].select("chunk", F.lit(2).alias("size"), "place", "f")
+            for k, level in enumerate(levels[1:], 3):
+                known = known.union(level.select("chunk", F.lit(k).alias("size"), "place", "f"))
+            known = known.groupBy("chunk").agg(F.collect_list(F.struct("size", "place", "f")).alias("known"))
+            rows = bases.join(known, "chunk").select("chunk", "base", F.col("known.size").alias("sizes"), F.col("known.place").alias("places"), F.col("known.f").alias("counts"))
+        names = [f"w{i}" for i in range(size)]
+        rows = phrase_rows(rows, size)
+        if size < most_words:  # each chunk learns which of its phrases are frequent; of one phrase there is a row per chunk
+            rows = rows.withColumn("f", F.sum("n").over(Window.partitionBy(*names))).where(F.col("f") >= least)
+            levels.append(stored(rows.select(*names, "chunk", "place", "f"), "collocation-level"))
+            phrases = levels[-1].groupBy(*names).agg(F.max("f").alias("f"))
+        else:
+            phrases = rows.groupBy(*names).agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+        for i, w in enumerate(names):
+            named = words.select(F.col("id").alias(w), F.col("word").alias(f"word{i}"), *([] if i else ["lang"]))
+            phrases = phrases.join(named, w)
+        phrases = phrases.select("lang", F.array(*[f"word{i}" for i in range(size)]).alias("words"), "f")
+        out = out.union(phrases)
+    out = stored(out, "collocation-phrases")
+    forget(bases, *levels)
+    return out, totals
 
 
 # --- scores ----------------------------------------------------------------------------------

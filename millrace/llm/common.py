@@ -31,6 +31,16 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget(*written: DataFrame) -> None:
+    """Deletes what ``stored`` wrote; only for tables of which everything made of them is stored itself."""
+    for df in written:
+        files = df.inputFiles()
+        if files:
+            spark = df.sparkSession
+            path = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def held_out(doc_id: Column) -> Column:
     """True for the third of the documents that nothing is learnt from."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
