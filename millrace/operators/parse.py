@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.jsons import MISFIT, is_json, is_object_text, json_parts, read_checked_record
+from millrace.functions.jsons import MISFIT, OPEN, is_object_text, is_whole_object, is_whole_other, open_object, read_whole, record_of, rescued
 from millrace.functions.names import META, field, require_columns, type_text
 from millrace.operators.schema import as_struct_type, discover_schema, discover_text_schema
 
@@ -18,11 +18,13 @@ from millrace.operators.schema import as_struct_type, discover_schema, discover_
 REJECT_COLUMNS = ("raw_content", "parse_error", "parsing_status")
 FAILED = "failed"
 MALFORMED_REASON, NOT_AN_OBJECT = "Invalid JSON format", "not an object"
-NOT_A_VARIANT = "not readable as VARIANT: NaN, repeated keys or size"
+NOT_A_VARIANT = "not readable as VARIANT: keys repeated inside a field, or size"
 DOES_NOT_FIT = "a value does not fit its declared type"
 MISFITS = ("reject", "null")
 
-STATE = "_state"
+RESCUED = "_rescued"
+
+STATE, WHOLE = "_state", "_whole"
 MISSING, MALFORMED, OBJECT, OTHER = "missing", "malformed", "object", "other"
 
 # The fields of a message.
@@ -58,6 +60,7 @@ def parse_json_records(
     strict_mode: bool = False,
     handle_malformed: bool = True,
     misfits: str = "reject",
+    rescue: bool = False,
     metadata: Column | None = None,
 ) -> DataFrame:
     """Parse a JSON text column into one column per field plus ``_meta``.
@@ -67,7 +70,11 @@ def parse_json_records(
     ``handle_malformed`` keeps text that is not JSON as ``raw_text``; otherwise such rows are
     rejects. NULL text and JSON that is not an object are always rejects.
     ``misfits``: a record with a value that does not fit its declared type is a reject, or, with
-    ``"null"``, has NULL there. Fields that a declared schema lacks are not read.
+    ``"null"``, has NULL there. Fields that a declared schema lacks are not read; with ``rescue``
+    they are kept in ``_rescued``, a VARIANT object (NULL if a record has none).
+    Each text is parsed once, whatever becomes of it. As STRUCT and as VARIANT the same texts are records: NaN and
+    Infinity are numbers, and of repeated keys the last one counts (inside the fields of a VARIANT record
+    only with ``spark.sql.variant.allowDuplicateKeys``).
     ``strict_mode`` fails the job on the first reject instead.
     A column that is already a STRUCT or VARIANT is not parsed again.
     """
@@ -82,22 +89,23 @@ def parse_json_records(
     if not isinstance(dtype, T.StringType):
         raise ValueError(f"{column} must be a string, struct or variant, not {dtype.simpleString()}")
 
-    parsed = with_json_state(df, raw)
-    is_object = F.col(STATE) == OBJECT
-
     if schema == "variant":
-        parsed = parsed.withColumn("_data", F.when(is_object, F.try_parse_json(raw)))
+        if rescue:
+            raise ValueError("a VARIANT record holds all fields: there is nothing to rescue")
+        parsed = with_whole(df, raw, OPEN)
+        parsed = parsed.withColumn("_data", F.when(F.col(STATE) == OBJECT, open_object(record_of(F.col(WHOLE)))))
         fields = {"data": F.col("_data")}
-        unfit, unfit_reason = is_object & F.col("_data").isNull(), NOT_A_VARIANT
+        unfit, unfit_reason = (F.col(STATE) == OBJECT) & F.col("_data").isNull(), NOT_A_VARIANT
     else:
-        if schema is None:
-            schema = discover_text_schema(parsed, raw, is_object)
-        schema = as_struct_type(schema)
-        fields = {f.name: F.col("_record").getField(f.name) for f in schema.fields}
-        if schema.fields:
-            parsed = parsed.withColumn("_record", F.when(is_object, read_checked_record(raw, schema)))
+        schema = as_struct_type(discover_text_schema(df, raw) if schema is None else schema)
+        parsed = with_whole(df, raw, schema)
+        is_object = F.col(STATE) == OBJECT
+        fields = {f.name: F.when(is_object, record_of(F.col(WHOLE)).getField(f.name)) for f in schema.fields}
+        if rescue:
+            parsed = parsed.withColumn(RESCUED, F.when(is_object, rescued(raw, schema)))
+            fields[RESCUED] = F.col(RESCUED)
         checked = bool(schema.fields) and misfits == "reject"
-        unfit = F.col("_record").getField(MISFIT).isNotNull() if checked else F.lit(False)
+        unfit = is_object & F.col(WHOLE).getField(MISFIT).isNotNull() if checked else F.lit(False)
         unfit_reason = DOES_NOT_FIT
 
     reason = (
@@ -124,16 +132,19 @@ def parse_json_records(
     return parsed.select(*[c.alias(name) for name, c in fields.items()], meta.alias(META))
 
 
-def with_json_state(df: DataFrame, raw: Column) -> DataFrame:
-    """Add what a JSON text is: missing, malformed, an object, or another value."""
-    valid = is_json(F.col("_parts"), raw)
+def with_whole(df: DataFrame, raw: Column, record: T.DataType) -> DataFrame:
+    """Add the parsed text (``WHOLE``) and what it is (``STATE``): missing, malformed, an object, or another value."""
+    whole, none = F.col(WHOLE), T.StructType([])
+    is_object = is_whole_object(whole, raw, record)
+    if not isinstance(record, T.StructType):  # what cannot be a VARIANT may be an object all the same
+        is_object = is_object | whole.getField(MISFIT).isNotNull() & is_whole_object(read_whole(raw, none), raw, none)
     state = (
         F.when(raw.isNull(), MISSING)
-        .when(~valid, MALFORMED)
-        .when(is_object_text(raw), OBJECT)
-        .otherwise(OTHER)
+        .when(is_object_text(raw), F.when(is_object, OBJECT).otherwise(MALFORMED))
+        .when(is_whole_other(whole, raw, record), OTHER)
+        .otherwise(MALFORMED)
     )
-    return df.withColumn("_parts", json_parts(raw)).withColumn(STATE, state).drop("_parts")
+    return df.withColumn(WHOLE, read_whole(raw, record)).withColumn(STATE, state)
 
 
 def _structured_records(df, column, schema, meta, strict_mode) -> DataFrame:

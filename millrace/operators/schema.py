@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
-_NOT_A_NUMBER = r"(?<=[:,\[\s])[+-]?(?:NaN|Infinity)(?=[,\]}\s])"
+from millrace.functions.jsons import MISFIT, is_object_text, is_whole_object, read_whole, record_of
 
 
 def storage_type(dtype: T.DataType) -> T.DataType:
@@ -54,16 +53,18 @@ def discover_schema(df: DataFrame, value: Column) -> T.StructType:
     return _discover(df, value, F.lit(0))
 
 
-def discover_text_schema(df: DataFrame, text: Column, where: Column) -> T.StructType:
-    """Union schema of well-formed JSON object texts, in the rows where ``where`` holds."""
+def discover_text_schema(df: DataFrame, text: Column) -> T.StructType:
+    """Union schema of the JSON object texts of a column; all other texts are passed over. One parse per text."""
     settings, name = df.sparkSession.conf, "spark.sql.variant.allowDuplicateKeys"
     before = settings.get(name)
-    # VARIANT knows no NaN: for the types alone a null does as well.
-    plain = F.regexp_replace(text, _NOT_A_NUMBER, "null")
-    value = F.when(where, F.coalesce(F.try_parse_json(text), F.try_parse_json(plain)))
+    whole, any_shape, none = F.col("_whole"), T.VariantType(), T.StructType([])
+    value = F.when(is_object_text(text) & is_whole_object(whole, text, any_shape), record_of(whole))
+    # what could not be a VARIANT but is an object would be missing from the schema
+    lost = is_object_text(text) & whole.getField(MISFIT).isNotNull() & is_whole_object(read_whole(text, none), text, none)
+    rows = df.withColumn("_whole", read_whole(text, any_shape))
     try:
         settings.set(name, "true")
-        return _discover(df, value, F.count_if(where & value.isNull()))
+        return _discover(rows, value, F.count_if(lost))
     finally:
         settings.set(name, before)
 

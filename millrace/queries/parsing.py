@@ -68,6 +68,27 @@ def parse_declared_schema(spark, folder):
     )
 
 
+def parse_rescued_fields(spark, folder):
+    """A schema that lacks fields, also inside a declared one."""
+    good, _ = split_rejects(parse_json_records(line_messages(spark, folder), "order bigint, price struct<gross:double>", rescue=True))
+    rest = lambda path, dtype: F.try_variant_get("_rescued", path, dtype)
+    return good.select(
+        F.col("order").alias("order_key"),
+        "price.gross",
+        rest("$.price.tax", "double").alias("tax"),
+        rest("$.flags[1]", "string").alias("linestatus"),
+        rest("$.note", "string").alias("note"),
+        (rest("$.price.gross", "double").isNull() & rest("$.order", "bigint").isNull()).alias("only_the_rest"),
+    )
+
+
+def parse_variant_records(spark, folder):
+    """The damaged messages as VARIANT: the same rows are records."""
+    good, rejects = split_rejects(parse_json_records(messages(spark, folder, DAMAGED_PROPS), "variant", handle_malformed=False))
+    kept = good.select(F.col("_meta.offset").alias("event_id"), F.try_variant_get("data", "$.k", "bigint").alias("k"), F.lit(None).cast("string").alias("parse_error"))
+    return kept.union(rejects.select("_meta.offset", F.lit(None).cast("bigint"), "parse_error"))
+
+
 def parse_discovered_schema(spark, folder):
     df = line_messages(spark, folder)
     good, _ = split_rejects(parse_json_records(df))
@@ -331,6 +352,18 @@ QUERIES = {
         l_extendedprice AS gross, l_tax AS tax,
         CASE WHEN l_linenumber <> 1 THEN 'n' || CAST(l_linenumber AS STRING) END AS note FROM lineitem""",
     ),
+    "parse_rescued_fields": Query(
+        parse_rescued_fields,
+        """SELECT l_orderkey AS order_key, l_extendedprice AS gross, l_tax AS tax, l_linestatus AS linestatus,
+        CASE WHEN l_linenumber <> 1 THEN 'n' || CAST(l_linenumber AS STRING) END AS note, true AS only_the_rest FROM lineitem""",
+    ),
+    "parse_variant_records": Query(
+        parse_variant_records,
+        f"""WITH m AS (SELECT event_id, {DAMAGED_PROPS} AS raw FROM events)
+        SELECT event_id, CASE WHEN {_IS_NULL} OR {_IS_BAD} OR {_NOT_OBJECT} THEN NULL ELSE CAST(json_extract(raw, '$.k') AS BIGINT) END AS k,
+          CASE WHEN {_IS_NULL} THEN 'No ''raw_value'' field found in record' WHEN {_IS_BAD} THEN 'Invalid JSON format'
+               WHEN {_NOT_OBJECT} THEN 'not an object' END AS parse_error FROM m""",
+    ),
     "parse_discovered_schema": Query(
         parse_discovered_schema,
         """SELECT l_orderkey AS order_key, l_returnflag || '/' || l_linestatus AS flags,

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.jsons import MISFIT, read_checked_record
+from millrace.functions.jsons import MISFIT, record_of
 from millrace.functions.names import META, field
 from millrace.functions.text import python_text
 from millrace.operators.documents import ID
@@ -21,7 +21,8 @@ from millrace.operators.parse import (
     NOT_AN_OBJECT,
     OBJECT,
     STATE,
-    with_json_state,
+    WHOLE,
+    with_whole,
 )
 from millrace.operators.schema import as_struct_type, discover_text_schema
 from millrace.sources.match import match
@@ -109,17 +110,15 @@ def parse_document_text(df: DataFrame, column: str, schema: T.StructType | str |
     A document with a value that does not fit its declared type is a reject too. Rejects hold ``raw_document``, ``parse_error``, ``parsing_status`` and a ``_meta`` that
     marks the failure.
     """
-    parsed = with_json_state(df.select(field(column).alias("raw_document")), F.col("raw_document"))
+    texts = df.select(field(column).alias("raw_document"))
     raw, state = F.col("raw_document"), F.col(STATE)
-    if schema is None:
-        schema = discover_text_schema(parsed, raw, state == OBJECT)
-    schema = as_struct_type(schema)
+    schema = as_struct_type(discover_text_schema(texts, raw) if schema is None else schema)
     # State and record pass through a generator, as in split_rejects, to be worked out once.
-    parsed = parsed.withColumn("_read", F.when(state == OBJECT, read_checked_record(raw, schema)))
-    kind = F.when(F.col("_read").getField(MISFIT).isNotNull(), UNFIT).otherwise(state)
-    parsed = parsed.withColumn("_both", F.explode(F.array(F.struct(kind.alias("kind"), F.col("_read").alias("record")))))
+    parsed = with_whole(texts, raw, schema)
+    kind = F.when((state == OBJECT) & F.col(WHOLE).getField(MISFIT).isNotNull(), UNFIT).otherwise(state)
+    parsed = parsed.withColumn("_both", F.explode(F.array(F.struct(kind.alias("kind"), record_of(F.col(WHOLE)).alias("record")))))
     parsed = parsed.select("raw_document", F.col("_both.kind").alias("_kind"), F.col("_both.record").alias("_record"))
-    good = parsed.where(F.col("_kind") == OBJECT).select("_record.*").drop(MISFIT)
+    good = parsed.where(F.col("_kind") == OBJECT).select(*[F.col("_record").getField(f.name).alias(f.name) for f in schema.fields])
     documents = plain_documents(good)
     error = (
         F.when(F.col("_kind") == MISSING, "no document")

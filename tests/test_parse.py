@@ -187,20 +187,99 @@ def test_decimals_lose_no_digit(spark, tmp_path):
 
 
 def test_large_and_repeated_keys_are_whole(spark):
-    """Texts beyond the size of a VARIANT, and repeated keys (the last one counts)."""
+    """Texts of many megabytes, and repeated keys (the last one counts)."""
     large = F.concat(F.lit('{"a":1,"b":"'), F.repeat(F.expr("if(id >= 0, 'x', '')"), 21_000_000), F.lit('"}'))
     df = spark.range(1).select(large.alias("raw_value"))
     good, _ = split_rejects(parse_json_records(df, "a int, b string"))
     assert good.select("a", F.length("b").alias("n")).first().asDict() == {"a": 1, "n": 21_000_000}
-    with pytest.raises(ValueError, match="give a schema"):
-        parse_json_records(df)
-    _, rejects = split_rejects(parse_json_records(df, "variant"))
-    assert rejects.select("parse_error").first().parse_error.startswith("not readable as VARIANT")
+    found, _ = split_rejects(parse_json_records(df))
+    assert found.select("a", F.length("b").alias("n")).first().asDict() == {"a": 1, "n": 21_000_000}
+    opened, _ = split_rejects(parse_json_records(df, "variant"))
+    assert opened.select(F.length(F.try_variant_get("data", "$.b", "string")).alias("n")).first().n == 21_000_000
     twice = spark.createDataFrame([('{"a":1,"a":2}',)], "raw_value string")
     assert split_rejects(parse_json_records(twice))[0].first().a == 2
     assert spark.conf.get("spark.sql.variant.allowDuplicateKeys") == "false"
 
 
+ODD = [
+    '{"a":1,"b":"x"}',
+    '{"a":1,"z":5,"y":{"q":[1,2]}}',
+    '{"a":1,"a":2,"z":1,"z":NaN}',
+    '{"a":1,"c":{"d":1,"e":2},"l":[{"x":1},{"x":2,"w":3}]}',
+    '{"a":1,"z":{"k":1,"k":2}}',
+    "42",
+    " null ",
+    '{"a":',
+    '{"a":1} {"a":2}',
+    '{"a":1},{"a":2}',
+    '{"a":1}]}',
+    '{"a":1}],"__texts":[{"__mark":"end~of~value"},{"a":5}',
+    '{"a":1}],"\\u005f_texts":[{"__mark":"begin"},{"a":5},{"__mark":"end"}],"x":[1',
+    '1],"__any":[2',
+    '1"]}],"__texts":[{},{"__any":["end~of~value","2',
+    '{"z":null}',
+    None,
+    '{"caf\\u00e9":"\\u00e9 end~of~value","a":3}',
+]
+
+
+def odd(spark):
+    return spark.createDataFrame(list(enumerate(ODD)), "offset long, raw_value string")
+
+
+def test_a_text_that_closes_the_frame_around_it_is_malformed(spark):
+    def plain(text):
+        if text is None:
+            return "missing"
+        try:
+            return "object" if isinstance(json.loads(text), dict) else "other"
+        except ValueError:
+            return "malformed"
+
+    for schema in ("a bigint", "variant", None):
+        rows = by_offset(parse_json_records(odd(spark), schema, handle_malformed=False))
+        reasons = {"No 'raw_value' field found in record": "missing", "not an object": "other", "Invalid JSON format": "malformed", None: "object"}
+        got = [reasons.get(r.parse_error, "object") for r in rows]
+        assert got == [plain(t) for t in ODD], schema
+
+
+def test_fields_outside_the_schema_are_rescued(spark):
+    df = parse_json_records(odd(spark), "a bigint, b string", rescue=True).select("_meta.offset", F.to_json("_rescued").alias("r"))
+    got = {r.offset: r.r for r in df.collect() if r.r is not None}
+    want = {
+        1: '{"y":{"q":[1,2]},"z":5}',
+        2: '{"z":"NaN"}',
+        3: '{"c":{"d":1,"e":2},"l":[{"x":1},{"w":3,"x":2}]}',
+        4: json.dumps(ODD[4]),  # keys repeated inside a field: the whole text
+        15: '{"z":null}',
+        17: '{"café":"é end~of~value"}',
+    }
+    assert got == want
+    nested = parse_json_records(odd(spark), "a bigint, z bigint, c struct<d:int>, l array<struct<x:int>>", rescue=True)
+    rows = {r.offset: r.r for r in nested.select("_meta.offset", F.to_json("_rescued").alias("r")).collect() if r.r is not None}
+    assert rows == {0: '{"b":"x"}', 1: '{"y":{"q":[1,2]}}', 3: '{"c":{"e":2},"l":[null,{"w":3}]}', 4: json.dumps(ODD[4]), 17: '{"café":"é end~of~value"}'}
+    with pytest.raises(ValueError):
+        parse_json_records(odd(spark), "variant", rescue=True)
+    with pytest.raises(ValueError):
+        parse_json_records(odd(spark), "__mark string")
+    assert parse_json_records(odd(spark).limit(0), "a bigint", rescue=True).count() == 0
+
+
+def test_struct_and_variant_hold_the_same_records(spark):
+    typed = by_offset(parse_json_records(odd(spark), "a bigint", handle_malformed=False))
+    opened = parse_json_records(odd(spark), "variant", handle_malformed=False).withColumn("a", F.try_variant_get("data", "$.a", "bigint"))
+    for one, two in zip(typed, by_offset(opened)):
+        if one._meta.offset != 4:  # keys repeated inside a field
+            assert (one.a, one.parse_error) == (two.a, two.parse_error)
+    assert by_offset(opened)[4].parse_error.startswith("not readable as VARIANT")
+
+
+def test_each_text_is_parsed_once(spark):
+    for schema in ("a bigint, c struct<d:int>", "a bigint"):
+        plan = parse_json_records(odd(spark), schema)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("from_json") == 1
+
+
 def test_nan_is_a_number(spark):
     texts = [('{"a":NaN,"b":[-Infinity, 1.5],"s":"NaN"}',), ('{"a":2.5}',)]
     rows = split_rejects(parse_json_records(spark.createDataFrame(texts, "raw_value string")))[0].collect()
