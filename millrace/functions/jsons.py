@@ -99,6 +99,16 @@ def is_whole_other(whole: Column, text: Column, record: T.DataType) -> Column:
     return F.coalesce(fits & value, F.lit(False))
 
 
+def quick_variant(text: Column) -> Column:
+    """A text and an end mark as a VARIANT array: the fastest parse, but NULL also for NaN."""
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), _end_mark(text), F.lit('"]')))
+
+
+def value_of_quick(pair: Column, text: Column) -> Column:
+    """The value that ``quick_variant`` read, if the text was exactly one."""
+    return F.when(F.try_variant_get(pair, "$[1]", "string") == _end_mark(text), F.try_variant_get(pair, "$[0]", "variant"))
+
+
 def record_of(whole: Column) -> Column:
     return F.get(whole.getField(TEXTS), F.lit(1))
 

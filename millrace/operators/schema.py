@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.jsons import MISFIT, is_object_text, is_whole_object, read_whole, record_of
+from millrace.functions.jsons import is_object_text, is_whole_object, quick_variant, read_whole, record_of, value_of_quick
 
 
 def storage_type(dtype: T.DataType) -> T.DataType:
@@ -57,11 +57,16 @@ def discover_text_schema(df: DataFrame, text: Column) -> T.StructType:
     """Union schema of the JSON object texts of a column; all other texts are passed over. One parse per text."""
     settings, name = df.sparkSession.conf, "spark.sql.variant.allowDuplicateKeys"
     before = settings.get(name)
-    whole, any_shape, none = F.col("_whole"), T.VariantType(), T.StructType([])
-    value = F.when(is_object_text(text) & is_whole_object(whole, text, any_shape), record_of(whole))
+    any_shape, none = T.VariantType(), T.StructType([])
+    rows = df.withColumn("_pair", F.when(is_object_text(text), quick_variant(text)))
+    # NaN is no VARIANT text: such texts, and malformed ones, are read as records are
+    again = read_whole(text, any_shape)
+    slow = F.when(is_whole_object(again, text, any_shape), record_of(again))
+    value = F.when(F.col("_pair").isNotNull(), value_of_quick(F.col("_pair"), text)).otherwise(F.when(is_object_text(text), slow))
+    rows = rows.withColumn("_value", value)
     # what could not be a VARIANT but is an object would be missing from the schema
-    lost = is_object_text(text) & whole.getField(MISFIT).isNotNull() & is_whole_object(read_whole(text, none), text, none)
-    rows = df.withColumn("_whole", read_whole(text, any_shape))
+    lost = is_object_text(text) & F.col("_value").isNull() & is_whole_object(read_whole(text, none), text, none)
+    value = F.col("_value")
     try:
         settings.set(name, "true")
         return _discover(rows, value, F.count_if(lost))
