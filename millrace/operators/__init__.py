@@ -22,6 +22,7 @@ from millrace.operators.load import (
 from millrace.operators.mapping import map_fields
 from millrace.operators.parse import parse_json_records, split_rejects
 from millrace.operators.schema import discover_schema
+from millrace.operators.shapes import merge_shapes, schema_of_shapes, shape_summary, shape_table, widths_of_shapes
 
 __all__ = [
     "array_shapes",
@@ -46,9 +47,14 @@ __all__ = [
     "load_result",
     "map_fields",
     "merge_into",
+    "merge_shapes",
     "normalize_documents",
     "parse_json_records",
     "run_sql",
+    "schema_of_shapes",
+    "shape_summary",
+    "shape_table",
     "split_rejects",
     "upsert",
+    "widths_of_shapes",
 ]

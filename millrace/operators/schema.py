@@ -83,14 +83,14 @@ def _discover(df: DataFrame, value: Column, unread: Column) -> T.StructType:
     dtype = from_variant_schema(row["schema"])
     schema = storage_type(dtype) if isinstance(dtype, T.StructType) else T.StructType([])
     if df.sparkSession.conf.get("spark.sql.caseSensitive") != "true":
-        _check_case(schema, "record")
+        check_case(schema, "record")
     return schema
 
 
-def _check_case(dtype: T.DataType, where: str) -> None:
+def check_case(dtype: T.DataType, where: str) -> None:
     """Raise where two fields differ by case only: Spark could not tell them apart."""
     if isinstance(dtype, T.ArrayType):
-        _check_case(dtype.elementType, where + "[]")
+        check_case(dtype.elementType, where + "[]")
     if not isinstance(dtype, T.StructType):
         return
     seen: dict[str, str] = {}
@@ -98,7 +98,7 @@ def _check_case(dtype: T.DataType, where: str) -> None:
         other = seen.setdefault(f.name.lower(), f.name)
         if other != f.name:
             raise ValueError(f"{where} has both {other!r} and {f.name!r}: set spark.sql.caseSensitive to true")
-        _check_case(f.dataType, f"{where}.{f.name}")
+        check_case(f.dataType, f"{where}.{f.name}")
 
 
 def as_struct_type(schema: T.StructType | str) -> T.StructType:

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.documents import normalize_documents, variant_document_metadata
+from millrace.operators.flatten import flatten
 from millrace.operators.parse import parse_json_records, split_rejects
+from millrace.operators.shapes import merge_shapes, schema_of_shapes, shape_summary, shape_table, widths_of_shapes
 from millrace.queries import Query, heavy_table, table
 from millrace.sources.documents import parse_document_text, plain_documents, read_documents
 from millrace.sources.kafka import kafka_messages
@@ -89,6 +91,26 @@ def parse_variant_records(spark, folder):
     return kept.union(rejects.select("_meta.offset", F.lit(None).cast("bigint"), "parse_error"))
 
 
+def merged_shapes(spark, folder):
+    """Shapes of the damaged messages, summed up for two halves and merged."""
+    halves = [messages(spark, folder, DAMAGED_PROPS).where(half) for half in ("offset % 2 = 0", "offset % 2 = 1")]
+    return shape_table(merge_shapes(*[shape_summary(half, F.col("raw_value"), 3) for half in halves]))
+
+
+def merged_line_shapes(spark, folder):
+    halves = [line_messages(spark, folder).where(half) for half in ("raw_value LIKE '%null%'", "raw_value NOT LIKE '%null%'")]
+    return shape_table(merge_shapes(*[shape_summary(half, F.col("raw_value"), 3) for half in halves]))
+
+
+def shapes_instead_of_discovery(spark, folder):
+    """Schema and widths come from the summary: neither parsing nor flattening reads the lines for them."""
+    df = line_messages(spark, folder)
+    summary = shape_summary(df, F.col("raw_value"), 3)
+    good, _ = split_rejects(parse_json_records(df, schema_of_shapes(summary)))
+    flat = flatten(good.drop("raw_text"), widths=widths_of_shapes(summary))
+    return flat.select(F.col("order").alias("order_key"), F.col("`flags[0]`").alias("returnflag"), F.col("`flags[1]`").alias("linestatus"), F.col("`price.gross`").alias("gross"), "note")
+
+
 def parse_discovered_schema(spark, folder):
     df = line_messages(spark, folder)
     good, _ = split_rejects(parse_json_records(df))
@@ -364,6 +386,27 @@ QUERIES = {
           CASE WHEN {_IS_NULL} THEN 'No ''raw_value'' field found in record' WHEN {_IS_BAD} THEN 'Invalid JSON format'
                WHEN {_NOT_OBJECT} THEN 'not an object' END AS parse_error FROM m""",
     ),
+    "merged_shapes": Query(
+        merged_shapes,
+        f"""WITH m AS (SELECT count(*) AS n FROM events WHERE NOT ({_IS_NULL} OR {_IS_BAD} OR {_NOT_OBJECT}))
+        SELECT '' AS path, 0 AS depth, 'OBJECT' AS kind, n, CAST(NULL AS INT) AS longest FROM m
+        UNION ALL SELECT 'k', 1, 'BIGINT', n, NULL FROM m""",
+    ),
+    "merged_line_shapes": Query(
+        merged_line_shapes,
+        """WITH m AS (SELECT count(*) AS n, count(*) FILTER (WHERE l_linenumber = 1) AS empty FROM lineitem)
+        SELECT '' AS path, 0 AS depth, 'OBJECT' AS kind, n, CAST(NULL AS INT) AS longest FROM m
+        UNION ALL SELECT 'order', 1, 'BIGINT', n, NULL FROM m
+        UNION ALL SELECT 'flags', 1, 'ARRAY', n, NULL FROM m UNION ALL SELECT 'flags[]', 2, 'STRING', 2 * n, 2 FROM m
+        UNION ALL SELECT 'price', 1, 'OBJECT', n, NULL FROM m
+        UNION ALL SELECT 'price.gross', 2, 'DOUBLE', n, NULL FROM m UNION ALL SELECT 'price.tax', 2, 'DOUBLE', n, NULL FROM m
+        UNION ALL SELECT 'note', 1, 'VOID', empty, NULL FROM m UNION ALL SELECT 'note', 1, 'STRING', n - empty, NULL FROM m""",
+    ),
+    "shapes_instead_of_discovery": Query(
+        shapes_instead_of_discovery,
+        """SELECT l_orderkey AS order_key, l_returnflag AS returnflag, l_linestatus AS linestatus, l_extendedprice AS gross,
+        CASE WHEN l_linenumber <> 1 THEN 'n' || CAST(l_linenumber AS STRING) END AS note FROM lineitem""",
+    ),
     "parse_discovered_schema": Query(
         parse_discovered_schema,
         """SELECT l_orderkey AS order_key, l_returnflag || '/' || l_linestatus AS flags,
