@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.documents import normalize_documents
+from millrace.operators.load import last_per_key
 from millrace.operators.parse import parse_json_records, split_rejects
 from millrace.plans.config import spec_from_config
 from millrace.plans.standardize import count_aggregates, run, standardize
 from millrace.queries import Query, heavy_table, table
 from millrace.queries.cleaning import EMAIL, PHONE
-from millrace.streaming.stream import shared_folder, standardized_stream, start_append, start_batches, upsert_folders
+from millrace.streaming.folders import AppendTable, BucketTable, append_batches, upsert_buckets
+from millrace.streaming.stream import newest_folder, shared_folder, standardized_stream, start_append, start_batches, upsert_folders
 
 # A message per customer, as an application would send it: dirty, nested and partly damaged.
 PERSON_JSON = (
@@ -168,15 +170,56 @@ def stream_rejects(spark, folder):
     return spark.read.parquet(f"{home}/out")
 
 
-def stream_upsert(spark, folder):
-    changes = _stream(spark, folder, "orders").select(
+def _order_changes(spark, folder, home):
+    """Changes of customers by orders as a stream of three micro-batches."""
+    changes = table(spark, folder, "orders").select(
         F.col("o_custkey").alias("c_custkey"), F.col("o_orderpriority").alias("c_name"), F.col("o_orderkey").alias("version")
     )
+    changes.repartition(3, "version").write.parquet(f"{home}/in")
+    return spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", 1).parquet(f"{home}/in")
+
+
+def stream_upsert(spark, folder):
     home = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
-    base = table(spark, folder, "customer").select("c_custkey", "c_name")
-    apply = upsert_folders(f"{home}/table", "c_custkey", ["version"], base)
-    start_batches(changes, apply, f"{home}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{home}/table/batch=0")
+    base = table(spark, folder, "customer").select("c_custkey", "c_name", F.lit(-1).cast("long").alias("version"))
+    changes = _order_changes(spark, folder, home)
+    first = last_per_key(base, "c_custkey")
+    apply = upsert_folders(f"{home}/table", "c_custkey", [], first)
+
+    def newer(batch, batch_id):
+        """Of a key that came in an earlier batch only a later version is a change."""
+        before = first if batch_id == 0 else spark.read.parquet(f"{home}/table/batch={batch_id - 1}")
+        seen = before.select("c_custkey", F.col("version").alias("seen"))
+        last = last_per_key(batch, "c_custkey", ["version"])
+        apply(last.join(seen, "c_custkey", "left").where("seen IS NULL OR version > seen").drop("seen"), batch_id)
+
+    start_batches(changes, newer, f"{home}/checkpoint").awaitTermination()
+    return spark.read.parquet(newest_folder(spark, f"{home}/table")).select("c_custkey", "c_name")
+
+
+def stream_upsert_buckets(spark, folder):
+    """The same changes into hash buckets; the last version of a key counts, whatever batch it came in."""
+    home = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    buckets = BucketTable(spark, f"{home}/table", "c_custkey", 16)
+    buckets.upsert(table(spark, folder, "customer").select("c_custkey", "c_name", F.lit(-1).cast("long").alias("version")), 0, source="base")
+    apply = upsert_buckets(f"{home}/table", "c_custkey", f"{home}/checkpoint", ["version"], 16, keep_newer=True)
+    start_batches(_order_changes(spark, folder, home), apply, f"{home}/checkpoint").awaitTermination()
+    return buckets.read().select("c_custkey", "c_name")
+
+
+def stream_append_once(spark, folder):
+    """Three micro-batches, all handed on twice: the log lets each through once."""
+    home = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    apply = append_batches(f"{home}/table", f"{home}/checkpoint")
+
+    def twice(batch, batch_id):
+        apply(batch, batch_id)
+        apply(batch, batch_id)
+
+    start_batches(_order_changes(spark, folder, home), twice, f"{home}/checkpoint").awaitTermination()
+    stored = AppendTable(spark, f"{home}/table")
+    counts = stored.log.entries().agg(F.count("*").alias("batches"), F.sum("rows").alias("logged"))
+    return stored.read().agg(F.count("*").alias("n"), F.sum("version").alias("versions")).crossJoin(counts)
 
 
 _GOOD = "c_custkey % 50 <> 49"
@@ -195,6 +238,11 @@ SELECT c_custkey AS id, c_name AS holder,
 FROM d WHERE {_GOOD}"""
 _TRIMMED = f"1 + CAST(trim({EMAIL}) <> {EMAIL} AS INT) + CAST(trim({PHONE}) <> {PHONE} AS INT)"
 
+_LAST_ORDERS = """WITH u AS (SELECT o_custkey, o_orderpriority FROM orders
+  QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1)
+SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM u)
+UNION ALL SELECT o_custkey, o_orderpriority FROM u"""
+
 QUERIES = {
     "standardize_people": Query(standardize_people, _PEOPLE_SQL),
     "standardize_events": Query(
@@ -225,11 +273,9 @@ QUERIES = {
         stream_rejects,
         f"""SELECT c_custkey AS id, {PERSON_JSON} AS raw_content, 'Invalid JSON format' AS parse_error FROM customer WHERE NOT {_GOOD}""",
     ),
-    "stream_upsert": Query(
-        stream_upsert,
-        """WITH u AS (SELECT o_custkey, o_orderpriority FROM orders
-          QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1)
-        SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM u)
-        UNION ALL SELECT o_custkey, o_orderpriority FROM u""",
+    "stream_upsert": Query(stream_upsert, _LAST_ORDERS),
+    "stream_upsert_buckets": Query(stream_upsert_buckets, _LAST_ORDERS),
+    "stream_append_once": Query(
+        stream_append_once, "SELECT count(*) AS n, sum(o_orderkey)::BIGINT AS versions, 3::BIGINT AS batches, count(*) AS logged FROM orders"
     ),
 }

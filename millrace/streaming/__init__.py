@@ -4,6 +4,7 @@ from millrace.streaming.folders import AppendTable, BatchLog, BucketTable, appen
 from millrace.streaming.stream import (
     drain,
     merge_batches,
+    newest_folder,
     shared_folder,
     standardized_stream,
     start_append,
@@ -18,6 +19,7 @@ __all__ = [
     "append_batches",
     "drain",
     "merge_batches",
+    "newest_folder",
     "shared_folder",
     "standardized_stream",
     "start_append",

@@ -127,9 +127,11 @@ class BucketTable:
         paths = [p for bucket, folders in sorted(self.places().items()) if only is None or bucket in only for p in folders]
         return self.spark.read.option("mergeSchema", "true").parquet(*paths) if paths else None
 
-    def upsert(self, rows: DataFrame, batch: int, order_by: Sequence[str] = (), source: str = "batch") -> bool:
+    def upsert(self, rows: DataFrame, batch: int, order_by: Sequence[str] = (), source: str = "batch", keep_newer: bool = False) -> bool:
         """Merges a batch: the last row of each key by ``order_by`` replaces the one there; False if it was committed before.
 
+        With ``keep_newer`` a row of the table that comes after the batch's by ``order_by`` stays, so that batches may
+        come in any order. One writer at a time.
         Columns in ``order_by`` are part of the table. A column that the batch lacks keeps its values.
         NULL keys match nothing: such rows are added.
         """
@@ -148,6 +150,11 @@ class BucketTable:
         new = changes
         if old is not None:
             old = old.withColumn("__bucket", self._bucket())
+            if keep_newer and set(order_by) <= set(old.columns):
+                seen = old.select(field(self.key).alias("__key"), F.struct(*[field(n) for n in order_by]).alias("__seen"))
+                late = F.col("__seen") > F.struct(*[field(n) for n in order_by])
+                changes = changes.join(seen, field(self.key) == field("__key"), "left").where(~F.coalesce(late, F.lit(False))).drop("__key", "__seen")
+                new = changes
             lacking = [n for n in old.columns if n not in changes.columns]
             if lacking:
                 held = old.select(field(self.key).alias("__key"), *[field(n) for n in lacking])
@@ -178,11 +185,11 @@ def append_batches(root: str, checkpoint: str, partition_by: Sequence[str] = ())
     return apply
 
 
-def upsert_buckets(root: str, key: str, checkpoint: str, order_by: Sequence[str] = (), buckets: int = 64) -> Callable[[DataFrame, int], None]:
+def upsert_buckets(root: str, key: str, checkpoint: str, order_by: Sequence[str] = (), buckets: int = 64, keep_newer: bool = False) -> Callable[[DataFrame, int], None]:
     """For ``start_batches``: each batch once into the ``BucketTable`` at ``root``."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        BucketTable(spark, root, key, buckets).upsert(flat_table(batch), batch_id, order_by, query_id(spark, checkpoint))
+        BucketTable(spark, root, key, buckets).upsert(flat_table(batch), batch_id, order_by, query_id(spark, checkpoint), keep_newer)
 
     return apply

@@ -99,6 +99,16 @@ def merge_batches(table: str, key: str, order_by: Sequence[str] = ()) -> Callabl
     return lambda batch, _: merge_into(batch, table, key, order_by=order_by)
 
 
+def newest_folder(spark: SparkSession, root: str) -> str:
+    """The last finished ``root/batch=N`` of ``upsert_folders``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/batch=*/_SUCCESS")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    numbers = [int(f.getPath().getParent().getName().removeprefix("batch=")) for f in found]
+    if not numbers:
+        raise ValueError(f"no batch was finished in {root}")
+    return f"{root}/batch={max(numbers)}"
+
+
 def upsert_folders(
     root: str, key: str, order_by: Sequence[str] = (), base: DataFrame | None = None
 ) -> Callable[[DataFrame, int], None]:

@@ -81,6 +81,13 @@ def test_buckets_equal_a_plain_merge(spark, tmp_path):
     assert {r.k: (r.v, r.seq) for r in table.read().collect() if r.k is not None} == want
 
 
+def test_an_older_version_in_a_later_batch_changes_nothing(spark, tmp_path):
+    table = BucketTable(spark, str(tmp_path / "t"), "k", buckets=4)
+    table.upsert(frame(spark, [(1, "a", 5), (2, "b", 5)]), 0, ["seq"])
+    table.upsert(frame(spark, [(1, "late", 4), (2, "new", 6), (3, "c", 1), (None, "x", 1)]), 1, ["seq"], keep_newer=True)
+    assert sorted((r.k or 0, r.v) for r in table.read().collect()) == [(0, "x"), (1, "a"), (2, "new"), (3, "c")]
+
+
 def test_untouched_buckets_keep_their_files(spark, tmp_path):
     table = BucketTable(spark, str(tmp_path / "t"), "k", buckets=8)
     table.upsert(frame(spark, [(k, "old", 0) for k in range(100)]), 0)
