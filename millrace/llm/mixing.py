@@ -100,13 +100,14 @@ def mixture(docs: DataFrame, most: int = MOST) -> DataFrame:
 def mixed_documents(docs: DataFrame, most: int = MOST) -> DataFrame:
     """``docs`` with every row as often as the mixture takes it.
 
-    Rows equal in doc_id and text share what is taken of them; equal rows stand for each other.
+    A row is known by 128 bits of the SHA-256 of all its columns (MAP columns too), so rows that
+    share doc_id and text but not source, or nothing but a null doc_id, each get their own copies. Rows that agree in
+    all columns stand for each other. An empty table gives no rows.
     """
     text = F.col("text").cast("string")
-    body = F.xxhash64(F.coalesce(text, F.lit("")))
+    body = F.unhex(F.substring(F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns])), 256), 1, 32))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), words_in(text).alias("size"), quality_weight(text).alias("weight"), body.alias("body"))
     taken = mixed(stored(rows, "mixing-sizes"), most)
-    none = -(2**63)
-    taken = taken.groupBy(F.coalesce("doc_id", F.lit(none)).alias("__id"), F.col("body").alias("__body")).agg(F.sum("copies").alias("__copies")).where("__copies > 0")
-    named = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(none)), "__body": body}).join(taken, ["__id", "__body"]).dropDuplicates(["__id", "__body"])
+    taken = taken.groupBy(F.col("body").alias("__body")).agg(F.sum("copies").alias("__copies")).where("__copies > 0")
+    named = docs.withColumn("__body", body).join(taken, "__body").dropDuplicates(["__body"])
     return named.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*docs.columns)
