@@ -23,11 +23,15 @@ from millrace.operators.mapping import map_fields
 from millrace.operators.parse import parse_json_records, split_rejects
 from millrace.operators.schema import discover_schema
 from millrace.operators.shapes import merge_shapes, schema_of_shapes, shape_summary, shape_table, widths_of_shapes
+from millrace.operators.widen import TableTypes, alter_table_sql, column_bounds, merge_bounds, type_changes, types_of_bounds
 
 __all__ = [
+    "TableTypes",
+    "alter_table_sql",
     "array_shapes",
     "clean",
     "cleaning_stats",
+    "column_bounds",
     "conversion_stats",
     "convert",
     "create_table_sql",
@@ -46,6 +50,7 @@ __all__ = [
     "load_errors",
     "load_result",
     "map_fields",
+    "merge_bounds",
     "merge_into",
     "merge_shapes",
     "normalize_documents",
@@ -55,6 +60,8 @@ __all__ = [
     "shape_summary",
     "shape_table",
     "split_rejects",
+    "type_changes",
+    "types_of_bounds",
     "upsert",
     "widths_of_shapes",
 ]

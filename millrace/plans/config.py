@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from millrace.operators.documents import normalize_documents
 from millrace.operators.load import create_table_sql, infer_sql_types, load
+from millrace.operators.widen import TableTypes
 from millrace.operators.parse import parse_json_records
 from millrace.plans.standardize import RunResult, run
 from millrace.sources.documents import read_documents
@@ -88,12 +89,13 @@ def _documents(spark: SparkSession, settings: dict, schema, streaming: bool) ->
     )
 
 
-def target_writer(config: Mapping, execute: Callable[[str], None] | None = None) -> Callable[[DataFrame], None]:
+def target_writer(config: Mapping, execute: Callable[[str], None] | None = None, types: str | None = None) -> Callable[[DataFrame], None]:
     """The function that loads a frame into the configured database table.
 
     Upserts need ``execute``, which runs one SQL statement on the database. With it and
     ``create_table`` a missing table is made first, with the types that the values need and the
-    primary key; the rows are read once more for that.
+    primary key; the rows are read once more for that. With ``types``, a shared folder, the bounds of all
+    batches are kept there, and a later batch that needs wider types or more columns alters the table first.
     """
     target = config["target"]
     kind = target["type"].lower()
@@ -107,7 +109,9 @@ def target_writer(config: Mapping, execute: Callable[[str], None] | None = None)
     key = own.get("primary_key")
 
     def create(df: DataFrame) -> None:
-        if own.get("create_table") and execute is not None:
+        if own.get("create_table") and execute is not None and types is not None:
+            TableTypes(df.sparkSession, types).grow(df, table, execute, lambda found: create_missing_sql(table, found, key), key)
+        elif own.get("create_table") and execute is not None:
             execute(create_missing_sql(table, infer_sql_types(df), key))
 
     if own.get("upsert_mode"):
@@ -143,6 +147,7 @@ def run_config(
     schema: T.StructType | str | None = None,
     execute: Callable[[str], None] | None = None,
     checkpoint: str | None = None,
+    types: str | None = None,
 ) -> RunResult:
     """Read, parse, standardize and load as configured.
 
@@ -153,5 +158,5 @@ def run_config(
         if schema is None:
             raise ValueError("a run that resumes needs a declared schema")
         source = parsed_source(spark, config, schema=schema, streaming=True)
-        return drain(source, spec_from_config(config), target_writer(config, execute), checkpoint)
-    return run(parsed_source(spark, config, schema=schema), spec_from_config(config), target_writer(config, execute))
+        return drain(source, spec_from_config(config), target_writer(config, execute, types), checkpoint)
+    return run(parsed_source(spark, config, schema=schema), spec_from_config(config), target_writer(config, execute, types))

@@ -17,6 +17,7 @@ from millrace.operators.load import (
     upsert,
 )
 from millrace.operators.parse import parse_json_records, split_rejects
+from millrace.operators.widen import column_bounds, merge_bounds, type_changes, types_of_bounds
 from millrace.queries import Query, table
 from millrace.queries.parsing import DAMAGED_PROPS, messages
 
@@ -100,6 +101,19 @@ def infer_types(spark, folder):
     return infer_sql_types(df)
 
 
+def widened_types(spark, folder):
+    """Two batches of orders: what the second needs beyond the types of the first."""
+    orders = table(spark, folder, "orders")
+    first, second = orders.where("o_orderkey % 2 = 0"), orders.where("o_orderkey % 2 = 1")
+    one = first.selectExpr("o_orderkey AS id", "o_orderkey % 100 AS n", "o_orderkey % 2 = 0 AS flag", "o_orderkey AS mixed", "o_orderstatus AS text", "o_orderdate AS at")
+    two = second.selectExpr(
+        "o_orderkey AS id", "o_orderkey % 100 * 1000000000000 AS n", "o_totalprice AS flag", "o_orderpriority AS mixed",
+        "repeat(o_orderstatus, 300) AS text", "o_orderdate AS at", "o_totalprice AS price",
+    )
+    bounds = merge_bounds(column_bounds(one), column_bounds(two))
+    return type_changes(types_of_bounds(column_bounds(one)), types_of_bounds(bounds))
+
+
 def infer_document_types(spark, folder):
     return infer_sql_types(table(spark, folder, "documents"))
 
@@ -195,6 +209,13 @@ QUERIES = {
         UNION ALL SELECT 'taxed', 'BIT' UNION ALL SELECT 'long_text', 'NVARCHAR(MAX)' UNION ALL SELECT 'nothing', 'NVARCHAR(MAX)'
         UNION ALL SELECT 'list', 'NVARCHAR(MAX)'""",
     ),
+    "widened_types": Query(
+        widened_types,
+        """SELECT 'n' AS column_name, 'INT' AS old_type, 'BIGINT' AS new_type UNION ALL SELECT 'flag', 'BIT', 'FLOAT'
+        UNION ALL SELECT 'mixed', CASE WHEN max(o_orderkey) FILTER (o_orderkey % 2 = 0) <= 2147483647 THEN 'INT' ELSE 'BIGINT' END, 'NVARCHAR(255)' FROM orders
+        UNION ALL SELECT 'text', 'NVARCHAR(255)', CASE WHEN max(length(o_orderstatus)) * 300 > 255 THEN 'NVARCHAR(MAX)' ELSE 'NVARCHAR(255)' END FROM orders
+        UNION ALL SELECT 'price', NULL, 'FLOAT'""",
+    ),
     "infer_document_types": Query(
         infer_document_types,
         """SELECT unnest(['doc_id', 'text', 'lang', 'source', 'n_chars']) AS column_name,
