@@ -20,7 +20,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.names import COUNTS, field
+from millrace.functions.names import COUNTS, META, field, require_columns
 from millrace.operators.clean import active_rules, clean, clean_counted
 from millrace.operators.clean import counter_columns as cleaning_counters
 from millrace.operators.convert import convert, convert_counted
@@ -166,7 +166,8 @@ def run(
     The counts ride on the write itself: nothing is read a second time for them. ``write``
     gets the final frame and must run exactly one job over it. Rejects of the parser, if the
     frame has its dead-letter columns, are counted, left out, and passed to
-    ``write_rejects`` (which reads the input again).
+    ``write_rejects`` (which reads the input again). If only that fails, the run is no success, but
+    has the counts of what was loaded.
     """
     started, clock = datetime.now(timezone.utc), time.monotonic()
     result = RunResult(success=False)
@@ -180,15 +181,25 @@ def run(
             counted = counted.where(F.col("parsing_status").isNull()).drop(*REJECT_COLUMNS)
         final = observed(standardize(counted, spec, counters=counters), outgoing)
         write(final)
-        if write_rejects is not None and has_rejects:
-            write_rejects(df.where(failed))
     except Exception as error:
         result.errors.append(str(error))
         result.duration_seconds = time.monotonic() - clock
         return result
+    if write_rejects is not None and has_rejects:
+        try:  # the records are loaded by now, and count as such
+            write_rejects(df.where(failed))
+        except Exception as error:
+            result.errors.append(f"rejects: {error}")
 
-    got_in, got_out = incoming.get, outgoing.get
-    result.success = True
+    result.success = not result.errors
+    _fill(result, incoming.get, outgoing.get)
+    result.duration_seconds = time.monotonic() - clock
+    result.lineage = lineage(df.sparkSession, spec, started, result.counters)
+    return result
+
+
+def _fill(result: RunResult, got_in: Mapping, got_out: Mapping) -> None:
+    """The counts of what was read and of what was written."""
     result.records_extracted = got_in["records"]
     result.records_failed = got_in["rejected"]
     result.records_parsed = got_in["records"] - got_in["rejected"]
@@ -199,6 +210,55 @@ def run(
             result.counters.setdefault(stage, {})[counter] = value
     for counts in result.counters.values():
         counts["records_processed"] = got_out["records"]
+
+
+STATUS, LOADED, REJECTED = "status", "loaded", "rejected"
+_HELD = "_reject"
+
+
+def with_status(df: DataFrame, spec: Mapping, *, counters: bool = False) -> DataFrame:
+    """A parsed frame standardized with its rejects in it: ``status`` is ``loaded`` or ``rejected``.
+
+    A record has its standardized fields, a reject only ``raw_content``, ``parse_error`` and
+    ``parsing_status``. Nothing is read twice: the three travel in ``_meta`` through the stages.
+    Functions in ``extra`` see the rejects as records of NULLs and must keep ``_meta``.
+    """
+    require_columns(df, META, *REJECT_COLUMNS)
+    held = F.struct(*[field(c) for c in REJECT_COLUMNS])
+    done = standardize(df.withColumn(META, field(META).withField(_HELD, held)).drop(*REJECT_COLUMNS), spec, counters=counters)
+    clash = {STATUS, *REJECT_COLUMNS} & set(done.columns)
+    if clash:
+        raise ValueError(f"the records have fields of the names {sorted(clash)}")
+    loaded = field(META).getField(_HELD).getField("parsing_status").isNull()
+    own = [F.when(loaded, field(c)).alias(c) for c in done.columns if c != META]
+    rejects = [field(META).getField(_HELD).getField(c).alias(c) for c in REJECT_COLUMNS]
+    return done.select(*own, *rejects, field(META).dropFields(_HELD).alias(META), F.when(loaded, LOADED).otherwise(REJECTED).alias(STATUS))
+
+
+def run_once(df: DataFrame, spec: Mapping, write: Callable[[DataFrame], None], *, counters: bool = True) -> RunResult:
+    """Standardize a parsed frame and write records and rejects in one pass over the input.
+
+    ``write`` gets one frame with a column ``status`` (see ``with_status``), as for a table
+    partitioned by it, and must run exactly one job over it. The counts ride on that job.
+    """
+    started, clock = datetime.now(timezone.utc), time.monotonic()
+    result, seen = RunResult(success=False), Observation()
+    done = with_status(df, spec, counters=counters)
+    loaded, names = field(STATUS) == LOADED, done.schema[COUNTS].dataType.names if COUNTS in done.columns else []
+    counts = [F.count(F.lit(1)).alias("all"), F.count_if(loaded).alias("records")]
+    for name in names:
+        total = F.max if name.endswith(GREATEST) else F.sum
+        counts.append(F.coalesce(total(field(COUNTS).getField(name)), F.lit(0)).alias(name))
+    try:
+        write(done.observe(seen, *counts).drop(COUNTS))
+    except Exception as error:
+        result.errors.append(str(error))
+        result.duration_seconds = time.monotonic() - clock
+        return result
+    got = dict(seen.get)
+    read = got.pop("all")
+    result.success = True
+    _fill(result, {"records": read, "rejected": read - got["records"]}, got)
     result.duration_seconds = time.monotonic() - clock
     result.lineage = lineage(df.sparkSession, spec, started, result.counters)
     return result

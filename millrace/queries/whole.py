@@ -11,7 +11,7 @@ from millrace.operators.documents import normalize_documents
 from millrace.operators.load import last_per_key
 from millrace.operators.parse import parse_json_records, split_rejects
 from millrace.plans.config import spec_from_config
-from millrace.plans.standardize import count_aggregates, run, standardize
+from millrace.plans.standardize import count_aggregates, run, run_once, standardize
 from millrace.queries import Query, heavy_table, table
 from millrace.queries.cleaning import EMAIL, PHONE
 from millrace.streaming.folders import AppendTable, BucketTable, append_batches, upsert_buckets
@@ -141,6 +141,22 @@ def run_and_count(spark, folder):
     )
 
 
+def run_in_one_pass(spark, folder):
+    """Records and rejects by one write, partitioned by status, and the counts taken during it."""
+    parsed = parse_json_records(_people(table(spark, folder, "customer")), PERSON_SCHEMA, handle_malformed=False)
+    spec = {**spec_from_config(CONFIG), "flatten": {"widths": {"tags": 2}}}
+    target = f"{shared_folder(spark)}/run-{uuid.uuid4().hex}"
+    result = run_once(parsed, spec, lambda df: df.write.partitionBy("status").parquet(target))
+    if not result.success:
+        raise RuntimeError(result.errors[0])
+    stored = spark.read.parquet(target)
+    return stored.select(
+        F.col("_meta.offset").alias("id"), "holder", F.col("`address.nation`").alias("nation"), "raw_content", "parse_error", "status",
+        F.lit(result.records_loaded).cast("bigint").alias("loaded"), F.lit(result.records_failed).cast("bigint").alias("failed"),
+        F.lit(result.counters["clean"]["fields_trimmed"]).cast("bigint").alias("trimmed"),
+    )
+
+
 def preview_counts(spark, folder):
     """A dry run's rows: the cap is the feature."""
     parsed = parse_json_records(_people(table(spark, folder, "customer")), PERSON_SCHEMA)
@@ -265,6 +281,14 @@ QUERIES = {
         count(*) FILTER ({_GOOD}) AS loaded, count(*) FILTER (NOT {_GOOD}) AS failed,
         CAST(sum({_TRIMMED}) FILTER ({_GOOD}) AS BIGINT) AS trimmed FROM customer""",
     ),
+    "run_in_one_pass": Query(
+        run_in_one_pass,
+        f"""WITH t AS (SELECT count(*) FILTER ({_GOOD}) AS loaded, count(*) FILTER (NOT {_GOOD}) AS failed,
+          CAST(sum({_TRIMMED}) FILTER ({_GOOD}) AS BIGINT) AS trimmed FROM customer)
+        SELECT c_custkey AS id, CASE WHEN {_GOOD} THEN c_name END AS holder, CASE WHEN {_GOOD} THEN CAST(c_nationkey AS BIGINT) END AS nation,
+          CASE WHEN NOT {_GOOD} THEN {PERSON_JSON} END AS raw_content, CASE WHEN NOT {_GOOD} THEN 'Invalid JSON format' END AS parse_error,
+          CASE WHEN {_GOOD} THEN 'loaded' ELSE 'rejected' END AS status, t.* FROM customer, t""",
+    ),
     "preview_counts": Query(
         preview_counts, "SELECT least(10, count(*)) AS records_transformed, 'yard' AS site FROM customer"
     ),

@@ -9,7 +9,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader
 
 from millrace import clean, convert, enrich, flatten, flatten_long, map_fields, parse_json_records, preview, run, spec_from_config, split_rejects, standardize
 from millrace.plans.config import create_missing_sql, parsed_source, run_config, target_writer
-from millrace.plans.standardize import observed
+from millrace.plans.standardize import observed, run_once
 from millrace.streaming import drain, shared_folder, standardized_stream, start_append, start_batches, upsert_folders
 
 SPEC = {"clean": CLEAN, "map": {"field_mappings": MAPPINGS}, "convert": {"type_conversions": {"places": "int", "depth": "float", "tied_up": "bool", "noted_at": "datetime"}}}
@@ -77,6 +77,55 @@ def test_a_failed_write_is_reported(spark):
     assert not result.success and "disk full" in result.errors[0] and result.load_rate == 0.0
 
 
+ROWS = [*MESSAGES, ("broken", "t", 0, 999, None, None, None)]
+TO_FLOAT = {"convert": {"type_conversions": {"level": "float"}}}
+
+
+def parsed_rows(spark):
+    return parse_json_records(spark.createDataFrame(ROWS, MESSAGE_SCHEMA), "station string, level bigint, river string", handle_malformed=False)
+
+
+def test_records_count_although_their_rejects_cannot_be_written(spark, tmp_path):
+    def away(df):
+        raise OSError("no room for rejects")
+
+    result = run(parsed_rows(spark), TO_FLOAT, lambda df: df.drop("_meta").write.parquet(str(tmp_path / "out")), write_rejects=away)
+    assert not result.success and result.errors == ["rejects: no room for rejects"]
+    assert (result.records_extracted, result.records_loaded, result.records_failed) == (3, 2, 1)
+    assert result.counters["clean"]["records_processed"] == 2
+
+
+def test_records_and_rejects_in_one_pass(spark, tmp_path):
+    kept = []
+
+    def write(df):
+        kept.append(df)
+        df.write.partitionBy("status").parquet(str(tmp_path / "both"))
+
+    result = run_once(parsed_rows(spark), TO_FLOAT, write)
+    two = run(parsed_rows(spark), TO_FLOAT, lambda df: df.write.parquet(str(tmp_path / "good")))
+    assert result.success and result.counters == two.counters
+    assert (result.records_extracted, result.records_parsed, result.records_loaded, result.records_failed) == (3, 2, 2, 1)
+    text = plan(kept[0])
+    assert text.count("from_json") == 1 and text.count("LocalTableScan") + text.count("Scan ") == 1 and "Exchange" not in text
+    both = spark.read.parquet(str(tmp_path / "both"))
+    good = both.where("status = 'loaded'")
+    want = spark.read.parquet(str(tmp_path / "good"))
+    names = [c for c in want.columns if c not in ("_meta", "createdAt")]
+    assert sorted(map(str, good.select(names).collect())) == sorted(map(str, want.select(names).collect()))
+    bad = both.where("status = 'rejected'").collect()
+    assert [(r.raw_content, r.parse_error, r.station, r.createdAt) for r in bad] == [("broken", "Invalid JSON format", None, None)]
+    assert bad[0]._meta.offset == 999 and "_reject" not in bad[0]._meta.asDict()
+    failed = run_once(parsed_rows(spark), TO_FLOAT, away_writer)
+    assert not failed.success and "away" in failed.errors[0] and failed.records_loaded == 0
+    with pytest.raises(ValueError, match="status"):
+        run_once(parse_json_records(spark.createDataFrame(ROWS, MESSAGE_SCHEMA), "status string", handle_malformed=False), {}, write)
+
+
+def away_writer(df):
+    raise OSError("away")
+
+
 def test_preview_loads_nothing(spark):
     got = preview(records(spark), {"enrich": False}, n=2)
     assert got["records_parsed"] == got["records_transformed"] == 2 and len(got["sample_transformed"]) == 2
