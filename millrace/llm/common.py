@@ -41,6 +41,11 @@ def forget(*written: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def row_digest(df: DataFrame) -> Column:
+    """128 bits of the SHA-256 of all columns of a row, by which rows that share an id are told apart."""
+    return F.unhex(F.substring(F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])), 256), 1, 32))
+
+
 def held_out(doc_id: Column) -> Column:
     """True for the third of the documents that nothing is learnt from."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import stored
+from millrace.llm.common import row_digest, stored
 
 #: A source is taken at most so many times.
 MOST = 3
@@ -105,7 +105,7 @@ def mixed_documents(docs: DataFrame, most: int = MOST) -> DataFrame:
     all columns stand for each other. An empty table gives no rows.
     """
     text = F.col("text").cast("string")
-    body = F.unhex(F.substring(F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns])), 256), 1, 32))
+    body = row_digest(docs)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), words_in(text).alias("size"), quality_weight(text).alias("weight"), body.alias("body"))
     taken = mixed(stored(rows, "mixing-sizes"), most)
     taken = taken.groupBy(F.col("body").alias("__body")).agg(F.sum("copies").alias("__copies")).where("__copies > 0")

@@ -23,10 +23,10 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import BLANKS, Words, byte_map, mix, steps, stored
+from millrace.llm.common import BLANKS, Words, byte_map, row_digest, steps, stored
 from millrace.llm.components import components, forest
 
 SEED = 42
@@ -71,18 +71,18 @@ def fingerprints(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
-def _fingerprint(batches: Iterator[pa.RecordBatch], width: int, wide: int) -> Iterator[pa.RecordBatch]:
+def _fingerprint(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     mapping = byte_map(BLANKS)
     for batch in steps(batches, "text"):
-        hashes, bounds = shingle_hashes(Words(batch.column("text"), mapping), width)
-        made = [fingerprints(mix(hashes, k) if k else hashes, bounds).view(np.int64) for k in range(wide)]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, made)], names=["doc_id", *(f"f{k}" for k in range(wide))])
+        made = fingerprints(*shingle_hashes(Words(batch.column("text"), mapping), width)).view(np.int64)
+        names = [c for c in batch.schema.names if c != "text"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(made)], names=[*names, "fp"])
 
 
-def fingerprint(docs: DataFrame, width: int = 3, wide: int = 1) -> DataFrame:
-    """doc_id and fingerprints f0, f1, ... (long): ``f0`` of the shingles' own hashes, others of those hashed anew."""
-    schema = ", ".join(["doc_id long", *(f"f{k} long" for k in range(wide))])
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(partial(_fingerprint, width=width, wide=wide), schema)
+def fingerprint(rows: DataFrame, width: int = 3) -> DataFrame:
+    """``rows`` with the fingerprint ``fp`` (long) instead of their ``text`` (string)."""
+    schema = ", ".join(f"`{c}` {kind}" for c, kind in [*((c, kind) for c, kind in rows.dtypes if c != "text"), ("fp", "long")])
+    return rows.mapInArrow(partial(_fingerprint, width=width), schema)
 
 
 def ring_keys(fp: str = "fp"):
@@ -107,14 +107,10 @@ def _chains(x: np.ndarray) -> np.ndarray:
     return passed
 
 
-def _alike(x: np.ndarray, y: np.ndarray, check: list[tuple[np.ndarray, np.ndarray]], most: int) -> np.ndarray:
-    """Whether pairs of fingerprints link: the ring, then the whole Hamming distance, then that of the check bits."""
+def _alike(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which pairs of fingerprints link: the ring first, then the whole Hamming distance."""
     found = np.flatnonzero(_chains(x ^ y))
-    found = found[np.bitwise_count(x[found] ^ y[found]) <= BUDGET]
-    if check and len(found):
-        far = sum(np.bitwise_count(u[found] ^ v[found]).astype(np.int64) for u, v in check)
-        found = found[far <= most]
-    return found
+    return found[np.bitwise_count(x[found] ^ y[found]) <= BUDGET]
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
@@ -134,15 +130,15 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         yield [np.concatenate(c) for c in zip(*kept)]
 
 
-def _links(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
-    for key, one, two, block, node, *prints in _pieces(batches):
-        prints = [p.view(np.uint64) for p in prints]
+def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for key, one, two, block, node in _pieces(batches):
+        prints = node.view(np.uint64)
         starts = np.flatnonzero(np.concatenate([[True], (np.diff(key) != 0) | (np.diff(one) != 0) | (np.diff(two) != 0)]))
         sizes = np.diff(np.append(starts, len(key)))
         out_a, out_b = [], []
 
         def add(i, j):
-            hit = _alike(prints[0][i], prints[0][j], [(p[i], p[j]) for p in prints[1:]], most)
+            hit = _alike(prints[i], prints[j])
             return i[hit], j[hit]
 
         small = sizes <= 16  # all small pieces together, by the distance of their rows
@@ -169,34 +165,27 @@ def _links(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBa
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
 
-def near_links(prints: DataFrame, most: int = 0, routes: tuple[str, ...] = ("fp",)) -> DataFrame:
-    """Links (a, b: long) that connect all rows of which one of ``routes`` differs in at most three bits.
+def near_links(prints: DataFrame) -> DataFrame:
+    """Links (a, b: long) that connect all fingerprints of ``prints`` (fp: long, each once) that differ in at most three bits.
 
-    ``prints``: node (long, one row each), the fingerprints named in ``routes`` (long), and any
-    further columns of check bits (long); with those, linked rows must also differ in at most
-    ``most`` of all check bits. The graph has the connected components of all such pairs, but in
-    large pieces of work each row is linked to the least row it reaches there, not to its
-    neighbours.
-
-    Keys travel alone; the fingerprints are fetched only for rows whose key others share.
+    The graph has the connected components of all such pairs, but in large pieces of work each
+    fingerprint is linked to the least one it reaches there, not to its neighbours.
     """
-    checks = [c for c in prints.columns if c not in ("node", *routes)]
-    several = len(routes) > 1 or checks
-    keys = prints.select("node", F.posexplode(F.array(*routes)).alias("route", "fp"))
-    keys = keys.select("node", "route", "fp", F.explode(ring_keys()).alias("key"))
-    key = F.col("key").bitwiseOR(F.shiftleft(F.col("route").cast("long"), 36))
-    keys = keys.select(key.alias("key"), "node", *([] if several else ["fp"]))
+    keys = prints.select("fp", F.explode(ring_keys()).alias("key"))
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    rows = keys.join(shared, "key")
-    if several:
-        rows = rows.join(prints, "node")
-        rows = rows.withColumn("fp", F.element_at(F.array(*routes), (F.shiftright("key", 36) + 1).cast("int")))
-    rows = rows.withColumn("blocks", F.ceil(F.col("n") / BLOCK))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("node", F.lit(7)), "blocks"))
+    rows = keys.join(shared, "key").withColumn("blocks", F.ceil(F.col("n") / BLOCK))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("fp", F.lit(7)), "blocks"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    rows = rows.select("key", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "node", "fp", *checks)
+    rows = rows.select("key", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "fp")
     rows = rows.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two")
-    return rows.mapInArrow(partial(_links, most=most), "a long, b long")
+    return rows.mapInArrow(_links, "a long, b long")
+
+
+def groups(rows: DataFrame, low: Column) -> DataFrame:
+    """(fp, root, low) of each distinct fingerprint of ``rows``: which group it is in, and the least ``low`` of its own rows."""
+    classes = rows.groupBy("fp").agg(F.min(low).alias("low"))
+    found = components(near_links(classes.select("fp")))
+    return classes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
 
 
 def near_duplicates(docs: DataFrame, width: int = 3) -> DataFrame:
@@ -207,195 +196,25 @@ def near_duplicates(docs: DataFrame, width: int = 3) -> DataFrame:
     is returned with its component's id, and never names a component unless it is alone there
     (then component_id is null). An empty table gives no rows; other columns are not looked at.
     """
-    rows = stored(fingerprint(docs, width).withColumnRenamed("f0", "fp"), "fingerprints")
-    classes = rows.groupBy("fp").agg(F.min("doc_id").alias("low"))
-    found = components(near_links(classes.select(F.col("fp").alias("node"), "fp")))
-    classes = classes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = stored(fingerprint(texts, width), "fingerprints")
+    classes = groups(rows, F.col("doc_id"))
     least = classes.groupBy("root").agg(F.min("low").alias("component_id"))
     names = classes.join(least, "root").select("fp", "component_id")
     return rows.join(names, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: The parity map of a text's shingles, as 64-bit numbers.
-PARITY = 16
-MAPS = [f"p{k}" for k in range(PARITY)]
-#: Hashes of texts that are sent to all tasks at once; more are joined by a shuffle.
-SENT = 1 << 20
-
-
-def distinct_shingles(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct hashes of each text (int64, ascending), and each text's bounds therein."""
-    text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    own = hashes.view(np.int64)
-    order = np.lexsort((own, text))
-    own, text = own[order], text[order]
-    first = np.ones(len(own), bool)
-    first[1:] = (own[1:] != own[:-1]) | (text[1:] != text[:-1])
-    return own[first], np.searchsorted(text[first], np.arange(len(bounds)))
-
-
-def parity_maps(own: np.ndarray, bounds: np.ndarray, numbers: np.ndarray) -> np.ndarray:
-    """``numbers`` (powers of two) for each text: each shingle flips one bit, so two maps differ in no more bits than the sets in shingles."""
-    first = np.concatenate([[0], np.cumsum(numbers)])
-    out = np.zeros(first[-1], np.uint64)
-    bits = own.view(np.uint64)
-    sizes = np.diff(bounds)
-    at = ((bits >> np.uint64(6)) & np.repeat(numbers - 1, sizes).astype(np.uint64)).astype(np.int64)
-    np.bitwise_xor.at(out, np.repeat(first[:-1], sizes) + at, np.uint64(1) << (bits & np.uint64(63)))
-    return out.view(np.int64)
-
-
-def _lists(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(values))
-
-
-def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    mapping = byte_map(BLANKS)
-    for batch in steps(batches, "text"):
-        own, bounds = distinct_shingles(*shingle_hashes(Words(batch.column("text"), mapping), width))
-        raw = own.tobytes()
-        nodes = [xxhash.xxh64_intdigest(raw[8 * a : 8 * b], SEED) for a, b in zip(bounds.tolist(), bounds[1:].tolist())]
-        sizes = np.diff(bounds)
-        maps = parity_maps(own, bounds, np.full(len(sizes), PARITY)).reshape(-1, PARITY)
-        # of long texts a wider map, of a bit or more per shingle
-        numbers = 1 << np.ceil(np.log2(np.maximum(sizes / 64, PARITY))).astype(np.int64)
-        long = numbers > PARITY
-        kept = np.repeat(long, sizes)
-        wide = parity_maps(own[kept], np.concatenate([[0], np.cumsum(sizes[long])]), numbers[long])
-        first = np.minimum(sizes, sizes // 5 + 1)
-        prefix = own[np.arange(first.sum()) + np.repeat(bounds[:-1] - np.cumsum(first) + first, first)]
-        columns = [batch.column("doc_id"), batch.column("body"), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes.astype(np.int64))]
-        columns += [pa.array(np.ascontiguousarray(maps[:, k])) for k in range(PARITY)]
-        columns += [_lists(wide, np.where(long, numbers, 0)), _lists(prefix, first)]
-        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "body", "node", "size", *MAPS, "wide", "prefix"])
-
-
-def _whole(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    mapping = byte_map(BLANKS)
-    for batch in steps(batches, "text"):
-        own, bounds = distinct_shingles(*shingle_hashes(Words(batch.column("text"), mapping), width))
-        yield pa.RecordBatch.from_arrays([batch.column("body"), _lists(own, np.diff(bounds))], names=["body", "shingles"])
-
-
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a piece with different roots whose sizes and parity maps allow that they share enough."""
-    for key, one, two, block, node, root, size, *maps in _pieces(batches):
-        maps = np.stack(maps, 1).view(np.uint64)
-        starts = np.flatnonzero(np.concatenate([[True], (np.diff(key) != 0) | (np.diff(one) != 0) | (np.diff(two) != 0)]))
-        sizes = np.diff(np.append(starts, len(key)))
-        found: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def add(i, j):
-            both = size[i] + size[j]
-            fit = np.flatnonzero((root[i] != root[j]) & (9 * np.minimum(size[i], size[j]) >= 4 * both))
-            for at in range(0, len(fit), 1 << 14):
-                part = fit[at : at + (1 << 14)]
-                far = np.bitwise_count(maps[i[part]] ^ maps[j[part]]).sum(1, dtype=np.int64)
-                part = part[9 * far <= both[part]]
-                if len(part):
-                    found.append((np.minimum(node[i[part]], node[j[part]]), np.maximum(node[i[part]], node[j[part]])))
-
-        def out():
-            a, b = np.unique(np.stack([np.concatenate(c) for c in zip(*found)]), axis=1)
-            found.clear()
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-
-        small = sizes <= 16  # all small pieces together, by the distance of their rows
-        for gap in range(1, int(sizes[small].max(initial=1))):
-            fit = small & (sizes > gap)
-            counts = sizes[fit] - gap
-            i = np.repeat(starts[fit], counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-            apart = (one[i] == two[i]) | (block[i] != block[i + gap])
-            add(i[apart], i[apart] + gap)
-        for start, count in zip(starts[~small].tolist(), sizes[~small].tolist()):
-            rows = np.arange(start, start + count)
-            same = one[start] == two[start]
-            lower, upper = (rows, rows) if same else (rows[block[rows] == one[start]], rows[block[rows] == two[start]])
-            for k, r in enumerate(lower.tolist()):
-                others = upper[k + 1 :] if same else upper
-                add(np.full(len(others), r), others)
-            if sum(len(a) for a, _ in found) > 1 << 16:
-                yield out()
-        if found:
-            yield out()
-
-
-def _wide_difference(x: str, y: str):
-    """Bits in which two wider maps differ, the larger one folded to the size of the smaller; without maps zero."""
-    half = lambda c: (F.size(c) / 2).cast("int")
-    fold = lambda c: F.zip_with(F.slice(c, F.lit(1), half(c)), F.slice(c, half(c) + 1, half(c)), lambda u, v: u.bitwiseXOR(v))
-    one = F.when(F.size(x) > F.size(y), fold(F.col(x))).otherwise(F.col(x))
-    two = F.when(F.size(y) > F.size(x), fold(F.col(y))).otherwise(F.col(y))
-    differ = F.aggregate(F.zip_with(one, two, lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0), lambda n, k: n + k)
-    return F.when((F.size(x) > 0) & (F.size(y) > 0), differ).otherwise(0)
-
-
-def _similar(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
-    """Those of ``pairs`` (a, b: nodes) that share at least 4/5 of their shingles: sizes and parity maps first, then the sets themselves.
-
-    The sets are made anew from the texts that occur in pairs left by then, one text per node.
-    """
-    for c in "ab":
-        pairs = pairs.join(classes.select(F.col("node").alias(c), *(F.col(x).alias(f"{x}_{c}") for x in ("body", "size", *MAPS))), c)
-    both = F.col("size_a") + F.col("size_b")
-    far = sum(F.bit_count(F.col(f"{p}_a").bitwiseXOR(F.col(f"{p}_b"))) for p in MAPS)
-    pairs = pairs.where((9 * F.least("size_a", "size_b") >= 4 * both) & (9 * far <= both)).select("a", "b", "body_a", "body_b", both.alias("both"))
-    for c in "ab":
-        pairs = pairs.join(classes.select(F.col("node").alias(c), F.col("wide").alias(f"wide_{c}")), c)
-    pairs = stored(pairs.where(9 * _wide_difference("wide_a", "wide_b") <= F.col("both")).select("body_a", "body_b", "a", "b", "both"), "pairs")
-    bodies = stored(pairs.select(F.explode(F.array("body_a", "body_b")).alias("body")).distinct(), "bodies")
-    few = bodies.count() <= SENT
-    wanted = texts.join(F.broadcast(bodies) if few else bodies, "body", "left_semi")
-    sets = stored(wanted.mapInArrow(partial(_whole, width=width), "body long, shingles array<long>").dropDuplicates(["body"]), "shingles")
-    for c in "ba":
-        pairs = pairs.join(sets.select(F.col("body").alias(f"body_{c}"), F.col("shingles").alias(f"shingles_{c}")), f"body_{c}")
-    return pairs.where(9 * F.size(F.array_intersect("shingles_a", "shingles_b")) >= 4 * F.col("both")).select("a", "b")
-
-
-def similar_links(sets: DataFrame, classes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
-    """Links (a, b: long) with the connected components of all pairs of nodes whose sets have a Jaccard similarity of 4/5 or more.
-
-    A set of n shingles can miss at most n // 5 of those of a similar one, so the least common
-    shingle (in the order of the hashes) is among the first n // 5 + 1 of both: these are the
-    join keys, and no pair is missed. First each row of a key is compared with the key's least
-    node, which joins most of a large group at a linear number of pairs; then all pairs of a key
-    that are not joined yet, in blocks. Every link is verified on the whole sets.
-    """
-    keys = sets.select("node", F.explode("prefix").alias("key"))
-    shared = keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key", "low")
-    rows = stored(keys.join(shared, "key").distinct(), "shared-shingles")
-    stars = rows.where("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct()
-    stars = stored(_similar(stars, classes, texts, width), "links")
-    rows = rows.select("key", "node").join(components(stars), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    apart = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).where("low < high")
-    rows = rows.join(apart.select("key", "n"), "key").join(classes.select("node", "size", *MAPS), "node")
-    rows = rows.withColumn("blocks", F.ceil(F.col("n") / BLOCK))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("node", F.lit(7)), "blocks"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    rows = rows.select("key", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "node", "root", "size", *MAPS)
-    rows = rows.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two")
-    return stars.union(_similar(rows.mapInArrow(_pairs, "a long, b long").distinct(), classes, texts, width))
-
-
-def keep_one_of_each(docs: DataFrame, width: int = 5) -> DataFrame:
-    """The rows of ``docs`` without those that are near copies of another: of each group the smallest doc_id stays.
+def keep_one_of_each(docs: DataFrame, width: int = 3) -> DataFrame:
+    """The rows of ``docs`` without those that are near copies of another: of each group of ``near_duplicates`` the smallest doc_id stays.
 
-    Two texts are linked if their sets of distinct shingles of ``width`` words have a Jaccard
-    similarity of 4/5 or more (exact on 64-bit hashes of the shingles, each pair found). Groups are
-    the connected components. Of equal rows (doc_id and text) one stays; texts without words
-    are copies of each other. A null doc_id stands behind all others.
-    The columns are those of ``docs``.
+    A null doc_id stands behind all others. Of rows that share the smallest doc_id of their group
+    one stays, the same in every run. Rows are known by 128 bits of the SHA-256 of all their
+    columns; of rows that agree in all columns one stays, and copies go before the shuffle. Texts
+    without words are near copies of each other. No rows give no rows; the columns are those of ``docs``.
     """
-    body = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    schema = ", ".join([*(f"{c} long" for c in ["doc_id", "body", "node", "size", *MAPS]), "wide array<long>", "prefix array<long>"])
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), body.alias("body"))
-    rows = stored(texts.mapInArrow(partial(_sets, width=width), schema), "prefixes")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "body")
-    classes = stored(rows.select("node", "body", "size", *MAPS, "wide").dropDuplicates(["node"]), "classes")
-    found = components(similar_links(rows, classes, texts.select("text", "body"), width))
-    lows = rows.groupBy("node").agg(F.min(order).alias("low")).join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    kept = lows.groupBy("root").agg(F.min("low").alias("low")).select(F.coalesce("low.doc_id", F.lit(0)).alias("kept_id"), "low.none", "low.body")
-    # of repeated rows one: numbered among equal (doc_id, text), which a hash of the text stands for
-    marked = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "__none": F.col("doc_id").isNull(), "__body": body})
-    kept = kept.toDF("__id", "__none", "__body")
-    return marked.join(kept, ["__id", "__none", "__body"], "left_semi").dropDuplicates(["__id", "__none", "__body"]).select(*docs.columns)
+    named = docs.withColumn("__row", row_digest(docs))
+    texts = named.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("__row").alias("row"), F.col("text").cast("string").alias("text"))
+    rows = stored(fingerprint(texts, width), "fingerprints")
+    classes = groups(rows, F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
+    kept = classes.groupBy("root").agg(F.min("low").alias("low")).select(F.col("low.row").alias("__row"))
+    return named.dropDuplicates(["__row"]).join(kept, "__row", "left_semi").select(*docs.columns)
