@@ -22,8 +22,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4: of each group of near copies (Jaccard similarity of five-word shingles 0.8 or more) the smallest doc_id stays."""
-    return simhash.keep_one_of_each(docs)
+    """Operator 4: of each group of near copies (fingerprints of three-word shingles linked at three bits or fewer) the smallest doc_id stays."""
+    return simhash.keep_one_of_each(docs, width=3)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
