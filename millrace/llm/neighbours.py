@@ -232,10 +232,10 @@ def nearest(vectors: DataFrame, asks, k: int = 20, complete: bool = True) -> Dat
 
     ``vectors``: vec_id, embedding (array of float or double). ``asks``: the condition (Column)
     that makes a row a query. Vectors that are null, empty, zero or hold a null or non-finite
-    component take no part, nor do rows without vec_id; of rows with one vec_id the one with the
-    least vector does. Vectors of different lengths are not compared. Ties go to the smaller
-    vec_id; fewer than k candidates are all returned. ``complete=False`` leaves out what the
-    windows miss.
+    component take no part, nor do rows without vec_id. Rows that share a vec_id are rows of their
+    own, as queries and as candidates: a query's candidates are all other rows. Vectors of
+    different lengths are not compared. Ties go to the smaller vec_id; fewer than k candidates are
+    all returned. ``complete=False`` leaves out what the windows miss.
     """
     double = dict(vectors.dtypes)["embedding"] == "array<double>"
     kind, kind_sql = ("<f8", "double") if double else ("<f4", "float")
@@ -243,7 +243,13 @@ def nearest(vectors: DataFrame, asks, k: int = 20, complete: bool = True) -> Dat
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), asks.alias("asks"), value.alias("embedding")).where("vec_id IS NOT NULL AND size(embedding) > 0")
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     rows = rows.where(finite & F.exists("embedding", lambda x: x != 0))
-    rows = rows.groupBy("vec_id").agg(F.first("asks").alias("asks"), F.min("embedding").alias("embedding"))
+    # rows are numbered in the order of their vec_id, so that the rest knows each by one number
+    line = ["vec_id", "vector_hash", "place"]
+    rows = rows.withColumns({"vector_hash": F.xxhash64("embedding"), "place": F.monotonically_increasing_id()})
+    rows = rows.repartitionByRange(*line).sortWithinPartitions(*line).withColumn("row", F.monotonically_increasing_id())
+    rows = stored(rows.drop("vector_hash", "place"), "vector-rows")
+    names = rows.select("row", "vec_id")
+    rows = rows.withColumn("vec_id", F.col("row")).drop("row")
     schema = "order int, dim int, key long, vec_id long, asks boolean, vector binary"
     ordered = stored(rows.select("vec_id", F.coalesce("asks", F.lit(False)).alias("asks"), "embedding").mapInArrow(_orderings, schema), "vector-keys")
     ranged = ordered.repartitionByRange("order", "dim", "key", "vec_id").sortWithinPartitions("order", "dim", "key", "vec_id")
@@ -263,4 +269,7 @@ def nearest(vectors: DataFrame, asks, k: int = 20, complete: bool = True) -> Dat
         asked = asked.withColumn("__q", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long"))))
         pairs = data.join(asked, (F.col("__g") == F.col("__q")) & (F.col("dim") == F.col("q_dim"))).select("dim", "ids", "vectors", "q_ids", "q_vectors", "best")
         found = found.union(pairs.mapInArrow(partial(_complete, kind=kind, k=k), FOUND)).distinct()
-    return found.withColumn("rank", F.row_number().over(by_query)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    found = found.withColumn("rank", F.row_number().over(by_query)).where(F.col("rank") <= k)
+    for c in ("query_id", "vec_id"):
+        found = found.withColumnRenamed(c, "row").join(names.withColumnRenamed("vec_id", c), "row").drop("row")
+    return found.select("query_id", "rank", "vec_id", "score")
