@@ -19,6 +19,9 @@ BLANKS = bytes([0x20, *range(0x09, 0x0E)])
 #: The most text that one step of a Python worker handles at once; a longer text is a step of its own.
 STEP_BYTES = 2 << 20
 
+#: A key with more than one in so many rows is heavy.
+HEAVY = 2000
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -46,6 +49,17 @@ def row_digest(df: DataFrame) -> Column:
     return F.unhex(F.substring(F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])), 256), 1, 32))
 
 
+def join_counted(rows: DataFrame, counts: DataFrame, key: str, total: int) -> DataFrame:
+    """``rows`` joined to ``counts``, which has each key once with ``n``, the number of its rows, of ``total`` altogether.
+
+    A key of more than one in ``HEAVY`` rows is looked up where its rows are, so no task gets them
+    all: there are fewer than ``HEAVY`` such keys, and these alone are broadcast.
+    """
+    heavy = counts.where(F.col("n") * HEAVY > total)
+    light = rows.join(F.broadcast(heavy.select(key)), key, "left_anti").join(counts.where(F.col("n") * HEAVY <= total), key)
+    return rows.join(F.broadcast(heavy), key).unionByName(light)
+
+
 def held_out(doc_id: Column) -> Column:
     """True for the third of the documents that nothing is learnt from."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
