@@ -49,7 +49,7 @@ STAGES = [
     ("token-ID / binary output", write_token_files),
 ]
 
-#: Fitting, near copies and tokenizing have no SQL. Tests hold near-dedup and the mixture's rows against plain versions, the other stages' columns only.
+#: Fitting, near copies and tokenizing have no SQL. Tests hold near-dedup against a plain version and the mixture's rows against its own plan, the other stages' columns only.
 ORACLE_SQL = None
 
 
