@@ -6,10 +6,13 @@
 Typed columns (STRUCT, ARRAY) are walked on the driver through their schema; the outcome is
 one narrow expression per row. Columns whose shape is not in the schema (VARIANT, MAP) are
 expanded level by level inside one expression, so any mixture of shapes is handled exactly.
+In the long form a whole VARIANT record is opened by generated rows instead, a row per member
+and level; the expression is left for what rows cannot tell (``open_rows``).
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field as data_field, replace
 from functools import reduce
@@ -381,10 +384,15 @@ def _open_columns(df: DataFrame, name: str, opts: FlattenOptions, max_columns: i
     if df.isStreaming:
         raise ValueError(f"{name} has no fixed shape: on a stream use flatten_long")
     entries = open_entries(_as_variant(field(name), df.schema[name].dataType), F.lit(name), opts)
+    if _opens_by_rows(opts):
+        listed = open_rows(df, [], _as_variant(field(name), df.schema[name].dataType), F.lit(name), opts)
+        empty = _variant_text(F.try_variant_get("value", "$", "string"))
+        listed = listed.withColumn("value", F.when(left_empty(F.col("value")), empty).otherwise(F.col("value")))
+    else:
+        listed = df.select(F.explode(entries).alias("e")).select("e.path", "e.value")
     found = (
-        df.select(F.explode(entries).alias("e"))
-        .groupBy(F.col("e.path").alias("path"))
-        .agg(F.schema_of_variant_agg(F.col("e.value")).alias("type"))
+        listed.groupBy("path")
+        .agg(F.schema_of_variant_agg(F.col("value")).alias("type"))
         .limit(max_columns + 1)
         .collect()
     )
@@ -547,7 +555,9 @@ def _scalar_text(value: Column) -> Column:
     return F.when(is_bool, F.initcap(text)).otherwise(F.coalesce(text, F.lit("")))
 
 
-def open_entries(value: Column, path: Column, opts: FlattenOptions, depth: int = 0, measure: bool = False) -> Column:
+def open_entries(
+    value: Column, path: Column, opts: FlattenOptions, depth: Column | int = 0, measure: bool = False
+) -> Column:
     """ARRAY<STRUCT<path, value VARIANT, ...>> of everything under a VARIANT value.
 
     ``depth`` is that of the record the value is a field of; -1 when the value is the record
@@ -556,7 +566,7 @@ def open_entries(value: Column, path: Column, opts: FlattenOptions, depth: int =
     """
     text = F.coalesce(F.to_json(value), F.lit(""))
     levels = F.length(text) - F.length(F.translate(text, "{[", "")) + 1
-    start = F.array(_entry(path, value, F.lit(depth), True))
+    start = F.array(_entry(path, value, depth if isinstance(depth, Column) else F.lit(depth), True))
 
     def unfinished(entries: Column) -> Column:
         return F.exists(entries, lambda e: e.getField("todo"))
@@ -583,6 +593,106 @@ def _last_entries(entries: Column) -> Column:
     return F.when(F.size(F.array_distinct(paths)) == F.size(paths), entries).otherwise(last_of_each(entries, "path"))
 
 
+# ---------------------------------------------------------------------------------------
+# Open records as generated rows
+
+#: Levels that ``open_rows`` opens by generators; the expression opens what is nested deeper.
+ROW_LEVELS = 4
+
+
+def _opens_by_rows(opts: FlattenOptions) -> bool:
+    """Whether a member's entry follows from its own path and value alone, with these options."""
+    whole = opts.flatten_objects and opts.flatten_arrays and not opts.preserve_arrays
+    mark = opts.suffix(0).split("0")[0]
+    plain = all(text.isprintable() and not set(text) & set('"\\') for text in (opts.separator, mark))
+    return (
+        whole
+        and plain
+        and opts.array_handling != "concat"
+        and not opts.custom_flatteners
+        and bool(opts.separator and mark)
+        and opts.suffix(0) != opts.suffix(1)
+    )
+
+
+def _may_repeat_paths(value: Column, opts: FlattenOptions) -> Column:
+    """True for a record of which two members may get one path: a key is empty or holds the separator or the array mark.
+
+    Read off the record's JSON text; keys or strings with a backslash count as such keys.
+    """
+    text = F.coalesce(F.try_variant_get(value, "$", "string"), F.lit(""))
+    pieces = {opts.separator, opts.suffix(0).split("0")[0]}
+    single = "".join(re.escape(p) for p in sorted(pieces) if len(p) == 1)
+    found = F.contains(text, F.lit('"":'))
+    # a key opens after a brace or comma and ends before a colon; no repeated groups, so long texts take no stack
+    found = found | text.rlike(rf'[{{,]"[^"\\{single}]*+(?:\\|[{single}][^"\\]*+(?:\\|":))' if single else r'[{,]"[^"\\]*+\\')
+    for piece in sorted(p for p in pieces if len(p) > 1):
+        found = found | F.contains(text, F.lit(piece))
+    return found
+
+
+def _row_level(rows: DataFrame, opts: FlattenOptions) -> DataFrame:
+    """One level: a nested value becomes a row per member, everything else stays the row it is."""
+    member = rows.sparkSession.tvf.variant_explode_outer(F.col("_value").outer())
+    member = member.select(F.col("pos").alias("_pos"), F.col("key").alias("_key"), F.col("value").alias("_member"))
+    path, key, pos = F.col("_path"), F.col("_key"), F.col("_pos")
+    inner = F.when(path == "", key).otherwise(F.concat(path, F.lit(opts.separator), key))
+    changed = {
+        "_path": F.when(pos.isNull(), path).when(key.isNotNull(), inner).otherwise(F.concat(path, opts.suffix_column(pos))),
+        "_value": F.when(pos.isNull(), F.col("_value")).otherwise(F.col("_member")),
+        "_depth": F.when(key.isNotNull(), F.col("_depth") + 1).otherwise(F.col("_depth")),
+    }
+    return rows.lateralJoin(member).select(*[changed.get(n, field(n)).alias(n) for n in rows.columns])
+
+
+def left_empty(value: Column) -> Column:
+    """True for an empty object or array, which is an entry of its own."""
+    return F.try_variant_get(value, "$", "string").isin("{}", "[]") & F.schema_of_variant(value).isin("OBJECT<>", "ARRAY<VOID>")
+
+
+def open_rows(df: DataFrame, keep: Sequence[Column], value: Column, path: Column, opts: FlattenOptions, depth: int = 0) -> DataFrame:
+    """(kept columns, path, value as VARIANT): the entries of ``open_entries``, each path of a record once.
+
+    Every level is a generator in one pipeline without a shuffle; a row holds one member, never
+    a record's list of entries. Two kinds of values still go through the expression: records of which
+    two members may get one path, since only a look at the whole record tells which comes last, and
+    values nested deeper than ``ROW_LEVELS``. Kept columns come back as ``_k0``, ``_k1`` ...
+    """
+    names = [f"_k{i}" for i in range(len(keep))]
+    rows = df.select(*[c.alias(n) for c, n in zip(keep, names)], value.alias("_value"), path.alias("_path"))
+    odd = _may_repeat_paths(F.col("_value"), opts)
+    rows = rows.select(
+        *names,
+        "_path",
+        F.lit(depth).alias("_depth"),
+        F.when(odd, F.col("_value")).alias("_odd"),
+        F.when(~odd, F.col("_value")).alias("_value"),
+    )
+    for _ in range(min(ROW_LEVELS, opts.max_depth)):  # an object that level n opens has at most depth n
+        rows = _row_level(rows, opts)
+
+    # The expression comes after the generators, which stay in generated code without it.
+    here, odd, at = F.col("_value"), F.col("_odd"), F.col("_path")
+    deeper = F.schema_of_variant(here).rlike("^(OBJECT|ARRAY)<") & ~left_empty(here)
+    opened = (
+        F.when(odd.isNotNull(), _last_entries(open_entries(odd, at, opts, depth)))
+        .when(deeper, open_entries(here, at, opts, F.col("_depth")))
+    )
+    rows = rows.select(*names, "_path", "_value", opened.alias("_opened"))
+    rows = rows.select(*names, "_path", "_value", F.col("_opened").isNull().alias("_own"), F.explode_outer("_opened").alias("_e"))
+    missing = here.isNull() | F.is_variant_null(here)
+    stays = F.col("_e").isNotNull() | F.col("_own")
+    if opts.null_value_handling == "remove":
+        stays = F.col("_e").isNotNull() | (F.col("_own") & ~missing)
+    elif opts.null_value_handling == "empty_string":
+        here = F.when(missing, _variant_text("")).otherwise(here)
+    return rows.where(stays).select(
+        *names,
+        F.when(F.col("_own"), at).otherwise(F.col("_e.path")).alias("path"),
+        F.when(F.col("_own"), here).otherwise(F.col("_e.value")).alias("value"),
+    )
+
+
 # ---------------------------------------------------------------------------------------
 # Long form
 
@@ -768,6 +878,11 @@ def flatten_long(df: DataFrame, keys: Sequence[str] = (), *, record: str | None
     keep = [field(k) for k in keys]
     if record is not None:
         value = _as_variant(field(record), df.schema[record].dataType)
+        if _opens_by_rows(opts):
+            rows = open_rows(df, keep, value, F.lit(""), opts, depth=-1)
+            kept = [F.col(f"_k{i}").alias(k) for i, k in enumerate(keys)]
+            # an empty object or array as text is "{}" or "[]"
+            return rows.select(*kept, "path", _entry_text(F.col("value"), opts).alias("value"))
         opened = df.select(*keep, open_entries(value, F.lit(""), opts, depth=-1).alias("_entries"))
         exploded = opened.select(*keep, F.explode(_last_entries(F.col("_entries"))).alias("_entry"))
         # Text is made after the explode, where it runs in generated code.

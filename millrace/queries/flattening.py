@@ -144,6 +144,34 @@ def flatten_collision(spark, folder):
     return flatten(df)
 
 
+def flatten_collision_long(spark, folder):
+    """Two fields under one path as rows: the later one stays, a NULL of it leaves the earlier."""
+    df = table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("id"),
+        F.col("c_name").alias("who.name"),
+        F.expr("named_struct('name', CASE WHEN c_nationkey > 10 THEN c_mktsegment END, 'nation', c_nationkey)").alias("who"),
+    )
+    return flatten_long(df, ["id"], null_value_handling="remove")
+
+
+# A third of the records has two members of one path, a third is nested deeper than generators go.
+ODD_JSON = (
+    """CASE c_custkey % 3 WHEN 0 THEN '{"who.name": "' || c_name || '", "who": {"name": "' || c_mktsegment || '", "at": [' || CAST(c_nationkey AS STRING) || ']}}'"""
+    """ WHEN 1 THEN '{"a": {"b": {"c": {"d": {"e": {"f": "' || c_name || '", "g": [[], {}]}}}}}}' ELSE '{"who": {"name": "a.b: ' || c_name || '"}}' END"""
+)
+
+
+def flatten_odd_records(spark, folder):
+    df = table(spark, folder, "customer").select("c_custkey", F.try_parse_json(F.expr(ODD_JSON)).alias("data"))
+    return flatten_long(df, ["c_custkey"], record="data")
+
+
+def flatten_open_rules(spark, folder):
+    """Rules on paths of records without a schema."""
+    rules = {"v.by": {"type": "keys"}, "v.price": {"type": "string"}}
+    return flatten_long(open_records(spark, folder), ["o_orderkey"], record="data", custom_flatteners=rules)
+
+
 def flatten_empty(spark, folder):
     df = table(spark, folder, "customer").select(
         F.col("c_custkey").alias("id"),
@@ -350,6 +378,28 @@ QUERIES = {
         flatten_collision,
         """SELECT c_custkey AS id, CASE WHEN c_nationkey > 10 THEN c_mktsegment ELSE c_name END AS "who.name" FROM customer""",
     ),
+    "flatten_collision_long": Query(
+        flatten_collision_long,
+        """SELECT c_custkey AS id, 'who.name' AS path, CASE WHEN c_nationkey > 10 THEN c_mktsegment ELSE c_name END AS value FROM customer
+        UNION ALL SELECT c_custkey, 'who.nation', CAST(c_nationkey AS STRING) FROM customer""",
+    ),
+    "flatten_odd_records": Query(
+        flatten_odd_records,
+        """SELECT c_custkey, 'who.name' AS path, CASE c_custkey % 3 WHEN 0 THEN c_name ELSE 'a.b: ' || c_name END AS value FROM customer WHERE c_custkey % 3 <> 1
+        UNION ALL SELECT c_custkey, 'who.at[0]', CAST(c_nationkey AS STRING) FROM customer WHERE c_custkey % 3 = 0
+        UNION ALL SELECT c_custkey, 'a.b.c.d.e.f', c_name FROM customer WHERE c_custkey % 3 = 1
+        UNION ALL SELECT c_custkey, 'a.b.c.d.e.g[0]', '[]' FROM customer WHERE c_custkey % 3 = 1
+        UNION ALL SELECT c_custkey, 'a.b.c.d.e.g[1]', '{}' FROM customer WHERE c_custkey % 3 = 1""",
+    ),
+    "flatten_open_rules": Query(
+        flatten_open_rules,
+        f"""SELECT o_orderkey, 'id' AS path, CAST(o_orderkey AS STRING) AS value FROM orders
+        UNION ALL SELECT o_orderkey, 'v.price', CAST(o_totalprice AS STRING) FROM orders WHERE {_OPEN_MOD} = 0
+        UNION ALL SELECT o_orderkey, 'v.by', '["cust"]' FROM orders WHERE {_OPEN_MOD} = 0
+        UNION ALL SELECT o_orderkey, 'v[0]', o_orderstatus FROM orders WHERE {_OPEN_MOD} = 1
+        UNION ALL SELECT o_orderkey, 'v[1].p', o_orderpriority FROM orders WHERE {_OPEN_MOD} = 1
+        UNION ALL SELECT o_orderkey, 'v', o_orderstatus FROM orders WHERE {_OPEN_MOD} = 2""",
+    ),
     "flatten_empty": Query(
         flatten_empty,
         """SELECT c_custkey AS id, 'a' AS path,

@@ -1,5 +1,6 @@
 """Flattening against hand-derived values and against a small model on random records."""
 
+import importlib
 import json
 import random
 import time
@@ -275,6 +276,39 @@ def test_typed_long_equals_open_long(spark, mode):
     assert cells == open_form
 
 
+def odd_value(rng, level):
+    kind = rng.randrange(9)
+    if kind < 4 or level > 6:
+        return rng.choice([1, 2.5, None, True, "", "p.q", 'say ","a.b": "', "[x]", [], {}, "\\"])
+    if kind < 7:
+        return {rng.choice(["a", "b", "a.b", "", "a[0]", 'q"', "a_0", "é"]): odd_value(rng, level + 1) for _ in range(rng.randrange(4))}
+    return [odd_value(rng, level + 1) for _ in range(rng.randrange(4))]
+
+
+@pytest.mark.parametrize("nulls", ["keep", "remove", "empty_string"])
+@pytest.mark.parametrize("mode, cap", [("index", 10), ("enumerate", 3), ("index", 1)])
+def test_rows_equal_the_expression(spark, monkeypatch, nulls, mode, cap):
+    """Generated rows against one expression per record: odd keys, deep values, texts that look like keys."""
+    module = importlib.import_module("millrace.operators.flatten")
+    rng = random.Random(f"{nulls}{mode}{cap}")
+    docs = [odd_value(rng, 0) for _ in range(200)] + [None, {"a": {"b": 1}, "a.b": 2}, {"": {"a": 1}, "a": 2}]
+    df = variants(spark, docs)
+    df = df.unionByName(df.limit(1).select(F.lit(-1).alias("id"), F.lit(None).cast("variant").alias("data")))
+
+    def collected():
+        out = flatten_long(df, ["id"], record="data", array_handling=mode, max_depth=cap, null_value_handling=nulls)
+        return sorted((tuple(r) for r in out.collect()), key=repr)
+
+    by_rows = collected()
+    monkeypatch.setattr(module, "_opens_by_rows", lambda opts: False)
+    assert by_rows == collected()
+
+
+def test_open_records_are_generated_rows(spark):
+    plan = flatten_long(variants(spark, [{"a": 1}]), ["id"], record="data")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("variant_explode") == 4 and "Join" not in plan and plan.count("LogicalRDD") == 1
+
+
 def test_wide_form_of_an_open_column(spark):
     docs = [{"v": {"a": 1, "b": {"c": "x"}}}, {"v": "plain"}, {"v": [{"a": 2.5}, 3]}]
     df = variants(spark, docs).select("id", F.try_variant_get("data", "$.v", "variant").alias("v"))
