@@ -89,13 +89,19 @@ def _documents(spark: SparkSession, settings: dict, schema, streaming: bool) ->
     )
 
 
-def target_writer(config: Mapping, execute: Callable[[str], None] | None = None, types: str | None = None) -> Callable[[DataFrame], None]:
+def target_writer(
+    config: Mapping,
+    execute: Callable[[str], None] | None = None,
+    types: str | None = None,
+    key_rejects: Callable[[DataFrame], None] | None = None,
+) -> Callable[[DataFrame], None]:
     """The function that loads a frame into the configured database table.
 
     Upserts need ``execute``, which runs one SQL statement on the database. With it and
     ``create_table`` a missing table is made first, with the types that the values need and the
     primary key; the rows are read once more for that. With ``types``, a shared folder, the bounds of all
     batches are kept there, and a later batch that needs wider types or more columns alters the table first.
+    ``key_rejects`` writes the rows without a key, which a primary key refuses; they are then not upserted.
     """
     target = config["target"]
     kind = target["type"].lower()
@@ -122,7 +128,7 @@ def target_writer(config: Mapping, execute: Callable[[str], None] | None = None,
 
         def merge(df: DataFrame) -> None:
             create(df)
-            upsert_jdbc(df, table, key, execute, batch_size=own.get("batch_size", 1000), **options)
+            upsert_jdbc(df, table, key, execute, rejects=key_rejects, batch_size=own.get("batch_size", 1000), **options)
 
         return merge
     mode = "truncate" if own.get("truncate_before_load") else "append"

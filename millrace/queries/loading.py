@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from millrace.operators.keys import key_rejects, keyed_rows
 from millrace.operators.load import (
     describe_table,
     duplicate_keys,
@@ -86,6 +87,35 @@ def duplicate_order_keys(spark, folder):
     return duplicate_keys(table(spark, folder, "lineitem"), "l_orderkey")
 
 
+def _changes_by_part(spark, folder):
+    """A third without a key, a third of the others with one key, and equal rows."""
+    return table(spark, folder, "lineitem").select(
+        F.expr("CASE WHEN l_linenumber % 3 = 0 THEN NULL WHEN l_linenumber = 1 THEN 1 ELSE l_partkey END").alias("k"),
+        F.expr("l_quantity % 5").cast("int").alias("v"),
+    )
+
+
+def rejected_keys(spark, folder):
+    return key_rejects(_changes_by_part(spark, folder), "k", order_by=["v"]).drop("record")
+
+
+def loaded_keys(spark, folder):
+    return keyed_rows(_changes_by_part(spark, folder), "k", order_by=["v"])
+
+
+def key_balance(spark, folder):
+    """Loaded and failed rows by each rule, next to the rows that came."""
+    df, out = _changes_by_part(spark, folder), None
+    for nulls in ("reject", "load"):
+        for repeats in ("last", "none"):
+            loaded = keyed_rows(df, "k", order_by=["v"], nulls=nulls, repeats=repeats).agg(F.count(F.lit(1)).alias("loaded"))
+            failed = key_rejects(df, "k", order_by=["v"], nulls=nulls, repeats=repeats).agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("failed"))
+            one = loaded.unionByName(failed, allowMissingColumns=True).agg(F.max("loaded").alias("loaded"), F.max("failed").alias("failed"))
+            one = one.select(F.lit(nulls).alias("nulls"), F.lit(repeats).alias("repeats"), "loaded", "failed")
+            out = one if out is None else out.unionByName(one)
+    return out
+
+
 _TYPED = ["l_orderkey", "l_linenumber", "l_quantity", "l_shipdate", "l_returnflag"]
 
 
@@ -157,7 +187,28 @@ _CHANGES = f"""WITH u AS (SELECT {_NEW} AS c_custkey, 'order ' || CAST(o_orderke
 _LINE_LAST = """SELECT CASE WHEN l_linenumber <= 2 THEN 1 ELSE l_partkey END AS p_partkey, l_returnflag AS p_name,
   l_orderkey, l_linenumber, l_extendedprice FROM lineitem"""
 
+_BY_PART = """WITH r AS (SELECT CASE WHEN l_linenumber % 3 = 0 THEN NULL WHEN l_linenumber = 1 THEN 1 ELSE l_partkey END AS k,
+    CAST(l_quantity % 5 AS INT) AS v FROM lineitem), g AS (SELECT k, v, count(*) AS n, max(v) OVER (PARTITION BY k) AS top FROM r GROUP BY k, v),
+    t AS (SELECT count(DISTINCT k) AS keys, count(*) AS rows, count(k) AS keyed,
+    (SELECT count(*) FROM (SELECT k FROM r WHERE k IS NOT NULL GROUP BY k HAVING count(*) = 1)) AS single FROM r)
+    """
+
 QUERIES = {
+    "key_rejects": Query(
+        rejected_keys,
+        _BY_PART
+        + """SELECT CAST(k AS STRING) AS key, 'key is repeated' AS reason, CAST(n - CASE WHEN v = top THEN 1 ELSE 0 END AS BIGINT) AS row_count FROM g
+        WHERE k IS NOT NULL AND n > CASE WHEN v = top THEN 1 ELSE 0 END UNION ALL SELECT NULL, 'key is null', n FROM g WHERE k IS NULL""",
+    ),
+    "keyed_rows": Query(loaded_keys, _BY_PART + "SELECT k, top AS v FROM g WHERE k IS NOT NULL AND v = top"),
+    "key_balance": Query(
+        key_balance,
+        _BY_PART
+        + """SELECT 'reject' AS nulls, 'last' AS repeats, keys AS loaded, rows - keys AS failed FROM t
+        UNION ALL SELECT 'reject', 'none', single, rows - single FROM t
+        UNION ALL SELECT 'load', 'last', keys + rows - keyed, keyed - keys FROM t
+        UNION ALL SELECT 'load', 'none', single + rows - keyed, keyed - single FROM t""",
+    ),
     "upsert_customers": Query(
         upsert_customers,
         _CHANGES

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.functions.names import field
+from millrace.operators.keys import key_rejects
 from millrace.operators.load import flat_table, jdbc_merge_sql, merge_source_rows, load
 
 # Defaults of the target.
@@ -50,14 +52,23 @@ def upsert_jdbc(
     *,
     order_by=(),
     staging: str | None = None,
+    rejects: Callable[[DataFrame], None] | None = None,
     **options,
 ) -> str:
     """Upsert through a staging table and one MERGE on the server; returns the MERGE text.
 
     Executors fill the staging table in parallel, replacing what a failed try left there, so
     a repeated batch gives the same table. ``execute`` runs one statement on the database.
+
+    A key that is the table's primary key takes no NULL, and the server would refuse the whole
+    MERGE for one: with ``rejects``, a function that writes a frame, rows without a key go there
+    (``key_rejects``) and not to the server. Without it they are merged, and inserted.
     """
     staging = staging or f"{table}_staging"
+    if rejects is not None:
+        flat = flat_table(df)
+        rejects(key_rejects(flat.where(field(key).isNull()), key))
+        df = flat.where(field(key).isNotNull())
     rows = flat_table(merge_source_rows(df, key, order_by))
     load(rows, staging, mode="truncate", fmt="jdbc", **options)
     sql = jdbc_merge_sql(table, staging, key, rows.columns)
