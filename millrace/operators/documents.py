@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.names import META, field, record_columns
-from millrace.functions.text import python_text
+from millrace.functions.text import json_text, let, python_text, variant_scalar_text
 from millrace.functions.times import datetime_text
 
 ID = "_id"
@@ -72,7 +72,119 @@ def variant_document_metadata(document: Column) -> Column:
     )
 
 
+# ---------------------------------------------------------------------------------------
+# Documents kept as VARIANT: opened to JSON tokens level by level, rewritten, and read again
+
+_TOKEN = "struct<text:string,value:variant>"
+_STATE = f"struct<more:boolean,tokens:array<{_TOKEN}>>"
+
+
+def _token(text: Column | None, value: Column | None = None) -> Column:
+    """Finished JSON text, or a value still to be opened behind it."""
+    text = F.lit("") if text is None else text
+    value = F.lit(None).cast("variant") if value is None else value
+    return F.struct(text.alias("text"), value.alias("value"))
+
+
+def _quoted(text: Column) -> Column:
+    return F.to_json(text.cast("variant"))
+
+
+def _id_json(value: Column) -> Column:
+    """An ``_id`` as a JSON string; null stays null."""
+    text = json_text(value, T.VariantType())
+    text = F.when(F.schema_of_variant(value) == "BOOLEAN", F.initcap(text)).otherwise(text)
+    return F.when(F.is_variant_null(value), "null").otherwise(_quoted(text))
+
+
+def _scalar_json(value: Column, times: bool) -> Column:
+    """A scalar as JSON that reads back as the same kind: real numbers keep a point or an exponent."""
+    kind, plain = F.schema_of_variant(value), F.try_variant_get(value, "$", "string")
+    number = F.try_variant_get(value, "$", "double")
+    finite = ~F.isnan(number) & (F.abs(number) < float("inf"))
+    raw = number.cast("string")
+    double = F.when(~finite, _quoted(raw)).when(F.contains(raw, F.lit("E")), raw).otherwise(F.concat(raw, F.lit("E0")))
+    out = F.when(kind == "DOUBLE", double).when(F.startswith(kind, F.lit("DECIMAL")), variant_scalar_text(value))
+    if times:
+        for name, dtype in (("TIMESTAMP", "timestamp"), ("TIMESTAMP_NTZ", "timestamp_ntz")):
+            out = out.when(kind == name, _quoted(datetime_text(F.try_variant_get(value, "$", dtype))))
+    return out.when(kind == "STRING", _quoted(plain)).otherwise(F.to_json(value))
+
+
+def _open_token(token: Column, keep_id: bool, id_text: bool, times: bool) -> Column:
+    value = token.getField("value")
+
+    def comma(i: Column) -> Column:
+        return F.when(i > 0, ",").otherwise("")
+
+    def member(kv: Column, i: Column) -> Column:
+        key, inner = kv.getField("key"), kv.getField("value")
+        lead = F.concat(comma(i), _quoted(key), F.lit(":"))
+        opened = _token(lead, inner)
+        return F.when(key == ID, _token(F.concat(lead, _id_json(inner)))).otherwise(opened) if id_text else opened
+
+    def tokens(first: str, inner: Column, last: str) -> Column:
+        lead = F.array(_token(F.concat(token.getField("text"), F.lit(first))))
+        return F.concat(lead, inner, F.array(_token(F.lit(last))))
+
+    def by_object(found: Column) -> Column:
+        entries = F.map_entries(found)
+        if not keep_id:
+            entries = F.filter(entries, lambda kv: kv.getField("key") != ID)
+        scalar = F.array(_token(F.concat(token.getField("text"), _scalar_json(value, times))))
+        as_array = let(
+            F.try_variant_get(value, "$", "array<variant>"),
+            lambda items: F.when(
+                items.isNotNull(), tokens("[", F.transform(items, lambda x, i: _token(comma(i), x)), "]")
+            ).otherwise(scalar),
+        )
+        return F.when(found.isNotNull(), tokens("{", F.transform(entries, member), "}")).otherwise(as_array)
+
+    opened = let(F.try_variant_get(value, "$", "map<string,variant>"), by_object)
+    return F.when(value.isNull(), F.array(token)).otherwise(opened)
+
+
+def rewrite_variant(value: Column, *, preserve_id_field: bool = True, convert_objectid: bool = True, convert_datetime: bool = True) -> Column:
+    """A VARIANT after the document rules, at any depth: ``_id`` as text or gone, times as ISO text.
+
+    Values with neither an ``_id`` nor a time are handed on as they are. In the others numbers keep their
+    kind; what JSON has no kind for becomes text: dates, binary (base64), NaN and infinite numbers.
+    """
+
+    def rewritten(value: Column) -> Column:
+        text = F.try_variant_get(value, "$", "string")
+        wanted = F.lit(False)
+        if not preserve_id_field or convert_objectid:
+            wanted = wanted | F.contains(text, F.lit(f'"{ID}":'))
+        if convert_datetime:
+            wanted = wanted | F.contains(F.schema_of_variant(value), F.lit("TIMESTAMP"))
+        levels = F.length(text) - F.length(F.translate(text, "{[", "")) + 1
+
+        def step(state: Column, _: Column) -> Column:
+            one = F.transform(
+                state.getField("tokens"), lambda t: _open_token(t, preserve_id_field, convert_objectid, convert_datetime)
+            )
+            after = let(
+                F.flatten(one),
+                lambda ts: F.struct(F.exists(ts, lambda t: t.getField("value").isNotNull()).alias("more"), ts.alias("tokens")),
+            )
+            return F.when(state.getField("more"), after.cast(_STATE)).otherwise(state)
+
+        start = F.struct(F.lit(True).alias("more"), F.array(_token(None, value)).alias("tokens")).cast(_STATE)
+        joined = F.aggregate(
+            F.sequence(F.lit(1), levels),
+            start,
+            step,
+            lambda s: F.array_join(F.transform(s.getField("tokens"), lambda t: t.getField("text")), ""),
+        )
+        return F.when(F.coalesce(wanted, F.lit(False)), F.parse_json(joined)).otherwise(value)
+
+    return let(value, rewritten)
+
+
 def _needs_rewrite(dtype: T.DataType, times: bool) -> bool:
+    if isinstance(dtype, T.VariantType):
+        return True
     if isinstance(dtype, T.StructType):
         return any(f.name == ID or _needs_rewrite(f.dataType, times) for f in dtype.fields)
     if isinstance(dtype, T.ArrayType):
@@ -85,6 +197,8 @@ def _needs_rewrite(dtype: T.DataType, times: bool) -> bool:
 def _rewrite(value: Column, dtype: T.DataType, keep_id: bool, id_text: bool, times: bool) -> Column:
     if not _needs_rewrite(dtype, times):
         return value
+    if isinstance(dtype, T.VariantType):
+        return rewrite_variant(value, preserve_id_field=keep_id, convert_objectid=id_text, convert_datetime=times)
     if isinstance(dtype, T.StructType):
         parts = []
         for f in dtype.fields:
@@ -98,10 +212,17 @@ def _rewrite(value: Column, dtype: T.DataType, keep_id: bool, id_text: bool, tim
     if isinstance(dtype, T.ArrayType):
         element = dtype.elementType
         return F.transform(value, lambda x: _rewrite(x, element, keep_id, id_text, times))
-    if isinstance(dtype, T.MapType):  # all values of a map have one type, so an ``_id`` in it keeps its own
+    if isinstance(dtype, T.MapType):  # all values of a map have one type: an ``_id`` in it keeps its own, but for VARIANT
         if not keep_id and isinstance(dtype.keyType, T.StringType):
             value = F.map_filter(value, lambda k, v: k != ID)
         inner = dtype.valueType
+        if isinstance(inner, T.VariantType) and isinstance(dtype.keyType, T.StringType):
+
+            def one(k: Column, v: Column) -> Column:
+                own = F.parse_json(_id_json(v)) if id_text else v
+                return F.when(k == ID, own).otherwise(_rewrite(v, inner, keep_id, id_text, times))
+
+            return F.transform_values(value, one)
         return F.transform_values(value, lambda k, v: _rewrite(v, inner, keep_id, id_text, times)) if _needs_rewrite(inner, times) else value
     return datetime_text(value)
 
@@ -115,7 +236,8 @@ def normalize_documents(
 ) -> DataFrame:
     """Apply the ``_id`` policy and the datetime rendering at any depth and add ``_meta``.
 
-    The rewrite is driven by the schema: columns with nothing to change pass through.
+    The rewrite is driven by the schema: columns with nothing to change pass through. VARIANT
+    values are opened and rewritten by ``rewrite_variant``.
     """
     columns = []
     for name in record_columns(df):

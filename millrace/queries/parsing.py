@@ -361,6 +361,38 @@ def variant_documents(spark, folder):
     )
 
 
+# Documents without a schema: an ``_id`` at three depths, times in an array, and one inside a map.
+_OPEN_DOCUMENT = """to_variant_object(named_struct('_id', o_orderkey, 'at', o_orderdate, 'by', named_struct('_id', o_custkey, 'name', o_orderpriority),
+    'steps', array(named_struct('_id', o_orderkey % 7, 'at', o_orderdate), named_struct('_id', NULL, 'at', NULL)), 'half', o_orderkey / 2.0D))"""
+
+
+def _variant_docs(spark, folder):
+    return table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("_id"),
+        F.expr(_OPEN_DOCUMENT).alias("doc"),
+        F.expr("map('_id', to_variant_object(named_struct('_id', o_custkey)), 'n', to_variant_object(array(o_custkey)))").alias("tags"),
+    )
+
+
+def normalize_variant_documents(spark, folder):
+    df = normalize_documents(_variant_docs(spark, folder))
+    number = F.try_variant_get("doc", "$.half", "double").alias("half")
+    return df.select(
+        "_id", F.to_json(F.try_variant_get("doc", "$.steps", "variant")).alias("steps"), F.to_json(F.try_variant_get("doc", "$.by", "variant")).alias("by"),
+        F.try_variant_get("doc", "$._id", "string").alias("doc_id"), F.schema_of_variant(F.try_variant_get("doc", "$._id", "variant")).alias("id_kind"),
+        F.try_variant_get("doc", "$.at", "string").alias("at"), number, F.to_json("tags").alias("tags"),
+    )
+
+
+def normalize_variant_without_id(spark, folder):
+    df = normalize_documents(_variant_docs(spark, folder), preserve_id_field=False)
+    return df.select(
+        F.col("_meta.document_id").alias("id"), F.to_json(F.try_variant_get("doc", "$.steps", "variant")).alias("steps"),
+        F.to_json(F.try_variant_get("doc", "$.by", "variant")).alias("by"), F.to_json("tags").alias("tags"),
+        F.try_variant_get("doc", "$._id", "variant").isNull().alias("gone"),
+    )
+
+
 _ISO = "strftime({0}, '%Y-%m-%dT%H:%M:%S')"
 
 QUERIES = {
@@ -537,6 +569,18 @@ QUERIES = {
         '{{"since":"' || {_ISO.format("o_orderdate")} || '"}}' AS customer,
         CAST(o_orderkey AS STRING) AS document_id FROM orders""",
     ),
+    "normalize_variant_documents": Query(
+        normalize_variant_documents,
+        f"""SELECT CAST(o_orderkey AS STRING) AS _id, '[{{"_id":"' || (o_orderkey % 7) || '","at":"' || {_ISO.format("o_orderdate")} || '"}},{{"_id":null,"at":null}}]' AS steps,
+        '{{"_id":"' || o_custkey || '","name":"' || o_orderpriority || '"}}' AS by, CAST(o_orderkey AS STRING) AS doc_id, 'STRING' AS id_kind,
+        {_ISO.format("o_orderdate")} AS at, o_orderkey / 2 AS half,
+        '{{"_id":"{{\\"_id\\":' || o_custkey || '}}","n":[' || o_custkey || ']}}' AS tags FROM orders""",
+    ),
+    "normalize_variant_without_id": Query(
+        normalize_variant_without_id,
+        f"""SELECT CAST(o_orderkey AS STRING) AS id, '[{{"at":"' || {_ISO.format("o_orderdate")} || '"}},{{"at":null}}]' AS steps,
+        '{{"name":"' || o_orderpriority || '"}}' AS by, '{{"n":[' || o_custkey || ']}}' AS tags, true AS gone FROM orders""",
+    ),
     "extended_json_documents": Query(
         extended_json_documents,
         f"""SELECT sha256(CAST(o_orderkey AS STRING)) AS _id, o_custkey AS customer,

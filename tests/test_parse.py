@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from fixtures import MALFORMED, MESSAGE_SCHEMA, MESSAGES
@@ -310,3 +311,60 @@ def test_documents_that_do_not_fit_are_rejects(spark):
     assert sorted((r.raw_document or "", r.parse_error) for r in bad.collect()) == [
         ("", "no document"), ("[1]", "not an object"), ("{", "Invalid JSON format"), (texts[1], "a value does not fit its declared type"),
     ]
+
+
+def plain_rewrite(value, keep, text):
+    if isinstance(value, dict):
+        out = {}
+        for key, inner in value.items():
+            if key != "_id":
+                out[key] = plain_rewrite(inner, keep, text)
+            elif keep:
+                whole = isinstance(inner, (dict, list))
+                as_text = json.dumps(inner) if whole else str(inner)
+                out[key] = as_text if text and inner is not None else inner if text else plain_rewrite(inner, keep, text)
+        return out
+    return [plain_rewrite(x, keep, text) for x in value] if isinstance(value, list) else value
+
+
+def ids_opened(value):
+    """JSON texts of nested ids as values, so that spelling does not count."""
+    if isinstance(value, list):
+        return [ids_opened(x) for x in value]
+    if not isinstance(value, dict):
+        return value
+    opened = {k: ids_opened(v) for k, v in value.items()}
+    if isinstance(value.get("_id"), str) and value["_id"][:1] in ("{", "["):
+        opened["_id"] = ("nested", json.loads(value["_id"]))
+    return opened
+
+
+@pytest.mark.parametrize("keep, text", [(True, True), (False, True), (True, False)])
+def test_variant_documents_are_rewritten_at_any_depth(spark, keep, text):
+    rng = random.Random(5)
+
+    def value(level):
+        kind = rng.randrange(8)
+        if kind < 4 or level > 7:
+            return rng.choice([1, 2.5, -100.0, 3e300, True, None, "", 'a "_id": b', "x\\y", "é\n", [], {}, 10**20])
+        if kind < 6:
+            return {rng.choice(["_id", "a", "b", 'q"', ""]): value(level + 1) for _ in range(rng.randrange(4))}
+        return [value(level + 1) for _ in range(rng.randrange(4))]
+
+    docs = [value(0) for _ in range(150)] + [{"_id": {"_id": 1, "z": [True]}}, {"_id": False}]
+    df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(docs)] + [(-1, None)], "n int, j string")
+    df = df.select("n", F.parse_json("j").alias("v"))
+    out = normalize_documents(df, preserve_id_field=keep, convert_objectid=text).select("n", F.to_json("v").alias("v"), F.schema_of_variant("v").alias("kind"))
+    rows = {r.n: r for r in out.collect()}
+    assert rows[-1].v is None and len(rows) == len(docs) + 1
+    for i, doc in enumerate(docs):
+        assert ids_opened(json.loads(rows[i].v)) == ids_opened(plain_rewrite(doc, keep, text)), doc
+
+
+def test_variant_numbers_keep_their_kind(spark):
+    df = spark.sql("""SELECT to_variant_object(named_struct('_id', 1, 'd', 2.5D, 'w', 100D, 'n', 7L, 'x', CAST(1.50 AS DECIMAL(4,2)), 'y', DOUBLE('NaN'))) AS v,
+        parse_json('{"_id": 1, "r": 100.0}') AS p, parse_json('{"a": 1.0}') AS same""")
+    row = normalize_documents(df).select(F.schema_of_variant("v").alias("v"), F.schema_of_variant("p").alias("p"), F.to_json("same").alias("same")).first()
+    before = df.select(F.schema_of_variant("p").alias("p"), F.to_json("same").alias("same")).first()
+    assert row.v == "OBJECT<_id: STRING, d: DOUBLE, n: BIGINT, w: DOUBLE, x: DECIMAL(2,1), y: STRING>"
+    assert row.p == before.p.replace("_id: BIGINT", "_id: STRING") and row.same == before.same
