@@ -11,7 +11,7 @@ from millrace.operators.parse import parse_json_records, split_rejects
 from millrace.operators.shapes import merge_shapes, schema_of_shapes, shape_summary, shape_table, widths_of_shapes
 from millrace.queries import Query, heavy_table, table
 from millrace.sources.documents import parse_document_text, plain_documents, read_documents
-from millrace.sources.kafka import kafka_messages
+from millrace.sources.kafka import kafka_messages, plan_offsets
 from millrace.sources.match import match
 
 # Message text with every kind of damage. Valid in both engines.
@@ -361,6 +361,19 @@ def variant_documents(spark, folder):
     )
 
 
+def _event_offsets(spark, folder):
+    """Events as a topic of partitions of unlike lengths; each holds its events from its own first offset on."""
+    part = F.least(F.col("event_id") % 16, F.col("user_id") % 11).cast("int")
+    groups = table(spark, folder, "events").groupBy(F.lit("events").alias("topic"), part.alias("partition"))
+    held = groups.agg(F.count(F.lit(1)).alias("held"))
+    start = F.col("partition").cast("long") * 1000
+    return held.select("topic", "partition", start.alias("start"), (start + F.col("held")).alias("end"))
+
+
+def planned_offsets(spark, folder):
+    return plan_offsets(_event_offsets(spark, folder), 777)
+
+
 # Documents without a schema: an ``_id`` at three depths, times in an array, and one inside a map.
 _OPEN_DOCUMENT = """to_variant_object(named_struct('_id', o_orderkey, 'at', o_orderdate, 'by', named_struct('_id', o_custkey, 'name', o_orderpriority),
     'steps', array(named_struct('_id', o_orderkey % 7, 'at', o_orderdate), named_struct('_id', NULL, 'at', NULL)), 'half', o_orderkey / 2.0D))"""
@@ -569,6 +582,15 @@ QUERIES = {
         '{{"since":"' || {_ISO.format("o_orderdate")} || '"}}' AS customer,
         CAST(o_orderkey AS STRING) AS document_id FROM orders""",
     ),
+    "planned_offsets": Query(
+        planned_offsets,
+        """WITH h AS (SELECT CAST(least(event_id % 16, user_id % 11) AS INT) AS partition, count(*) AS held FROM events GROUP BY 1),
+        s AS (SELECT partition, held, held * least(777, sum(held) OVER ()) AS product, sum(held) OVER () AS total FROM h),
+        d AS (SELECT partition, product // total AS share, product % total AS rest, least(777, total) AS wanted FROM s),
+        p AS (SELECT partition, share, wanted - sum(share) OVER () AS left_over, row_number() OVER (ORDER BY rest DESC, partition) AS place FROM d)
+        SELECT 'events' AS topic, partition, CAST(partition * 1000 AS BIGINT) AS start,
+        CAST(partition * 1000 + share + CASE WHEN place <= left_over THEN 1 ELSE 0 END AS BIGINT) AS "end" FROM p""",
+    ),
     "normalize_variant_documents": Query(
         normalize_variant_documents,
         f"""SELECT CAST(o_orderkey AS STRING) AS _id, '[{{"_id":"' || (o_orderkey % 7) || '","at":"' || {_ISO.format("o_orderdate")} || '"}},{{"_id":null,"at":null}}]' AS steps,

@@ -6,7 +6,9 @@ streaming reads alike. The connector itself is the public ``spark-sql-kafka`` pa
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -97,8 +99,65 @@ def kafka_messages(df: DataFrame, *, rejects: bool = False) -> DataFrame:
     )
 
 
-def read_kafka(spark: SparkSession, topic: str, *, streaming: bool = False, max_messages: int | None = None, **options) -> DataFrame:
-    """Messages of a topic. ``max_messages`` caps a batch read, or each streaming trigger."""
+def plan_offsets(available: DataFrame, messages: int) -> DataFrame:
+    """(topic, partition, start, end): ``messages`` messages dealt over partitions by what each holds.
+
+    ``available`` has a row per partition with the first offset and the one behind the last. Shares are
+    whole numbers that add up to ``messages``, or to all there is: rounded down, what is left goes to the
+    largest fractions (ties: topic, partition). Partitions without a share have ``end`` equal to ``start``.
+    The windows are one task of a row per partition of the topics.
+    """
+    if messages < 0:
+        raise ValueError("a number of messages cannot be negative")
+    require_columns(available, "topic", "partition", "start", "end")
+    wide = "decimal(38,0)"
+    # an empty or expired partition may name an end before its start: it holds nothing
+    held = F.greatest(F.col("end") - F.col("start"), F.lit(0)).cast("decimal(19,0)")
+    rows = available.select("topic", "partition", "start", held.alias("held"))
+    rows = rows.withColumn("total", F.sum("held").over(Window.partitionBy()).cast("decimal(19,0)"))
+    wanted = F.least(F.lit(messages).cast("decimal(19,0)"), F.col("total"))
+    product = (F.col("held") * wanted).cast(wide)
+    rows = rows.select("topic", "partition", "start", "total", wanted.alias("wanted"), product.alias("product"))
+    some = F.col("total") > 0
+    rest = F.when(some, F.col("product") % F.col("total")).otherwise(0).cast(wide)
+    share = F.when(some, ((F.col("product") - rest) / F.col("total")).cast("long")).otherwise(0)
+    rows = rows.select("topic", "partition", "start", "wanted", rest.alias("rest"), share.alias("share"))
+    left = F.col("wanted").cast("long") - F.sum("share").over(Window.partitionBy())
+    place = F.row_number().over(Window.orderBy(F.col("rest").desc(), "topic", "partition"))
+    rows = rows.select("topic", "partition", "start", "share", left.alias("left"), place.alias("place"))
+    end = F.col("start") + F.col("share") + F.when(F.col("place") <= F.col("left"), 1).otherwise(0)
+    return rows.select("topic", "partition", "start", end.alias("end"))
+
+
+def offset_options(plan: DataFrame) -> dict[str, str]:
+    """``startingOffsets`` and ``endingOffsets`` of a plan; a row per partition reaches the driver."""
+    texts: dict[str, dict] = {"startingOffsets": {}, "endingOffsets": {}}
+    for row in plan.select("topic", "partition", "start", "end").orderBy("topic", "partition").collect():
+        texts["startingOffsets"].setdefault(row["topic"], {})[str(row["partition"])] = row["start"]
+        texts["endingOffsets"].setdefault(row["topic"], {})[str(row["partition"])] = row["end"]
+    return {name: json.dumps(text) for name, text in texts.items()}
+
+
+def read_kafka(
+    spark: SparkSession,
+    topic: str,
+    *,
+    streaming: bool = False,
+    max_messages: int | None = None,
+    available: DataFrame | None = None,
+    **options,
+) -> DataFrame:
+    """Messages of a topic. ``max_messages`` caps a batch read, or each streaming trigger.
+
+    With ``available``, the offsets of the topic's partitions, a capped batch reads exactly the planned
+    ranges, in a task per partition; without it Spark takes the first messages through one task.
+    """
+    if available is not None:
+        if streaming or max_messages is None:
+            raise ValueError("planned offsets are for a batch read with max_messages")
+        plan = plan_offsets(available.where(F.col("topic") == topic), max_messages)
+        settings = kafka_options(topic, **options) | offset_options(plan)
+        return kafka_messages(spark.read.format("kafka").options(**settings).load())
     settings = kafka_options(topic, streaming=streaming, max_messages=max_messages, **options)
     reader = (spark.readStream if streaming else spark.read).format("kafka")
     messages = kafka_messages(reader.options(**settings).load())

@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 from millrace import kafka_messages, kafka_options, match
 from millrace.sources.jdbc import sqlserver_options, upsert_jdbc
+from millrace.sources.kafka import offset_options, plan_offsets, read_kafka
 
 SOURCE = T.StructType(
     [
@@ -178,3 +179,28 @@ def test_headers_may_be_a_map_or_missing(spark):
     assert kafka_messages(df.drop("headers")).first().headers == {}
     as_map = df.withColumn("headers", F.create_map(F.lit("x"), F.lit("y").cast("binary")))
     assert bytes(kafka_messages(as_map).first().headers["x"]) == b"y"
+
+
+def test_offsets_are_dealt_by_what_partitions_hold(spark):
+    schema = "topic string, partition int, start long, end long"
+    rows = [("t", 0, 10, 20), ("t", 1, 0, 1000), ("t", 2, 5, 5), ("t", 3, 9, 4), ("t", 4, 0, 3)]
+    available = spark.createDataFrame(rows, schema)
+    for messages in (0, 1, 2, 7, 500, 1012, 1013, 10**6):
+        plan = {r.partition: (r.start, r.end) for r in plan_offsets(available, messages).collect()}
+        assert sum(end - start for start, end in plan.values()) == min(messages, 1013)
+        for _, partition, start, end in rows:
+            first, last = plan[partition]
+            assert first == start and first <= last <= max(start, end)
+    assert plan_offsets(available.limit(0), 5).count() == 0
+    huge = spark.createDataFrame([("t", 0, 0, 2**62), ("t", 1, 0, 2**62 - 1)], schema)
+    assert sum(r.end - r.start for r in plan_offsets(huge, 2**62).collect()) == 2**62
+    with pytest.raises(ValueError, match="negative"):
+        plan_offsets(available, -1)
+
+
+def test_planned_offsets_are_the_options_of_the_read(spark):
+    available = spark.createDataFrame([("t", 1, 0, 6), ("t", 0, 4, 7)], "topic string, partition int, start long, end long")
+    options = offset_options(plan_offsets(available, 3))
+    assert options == {"startingOffsets": '{"t": {"0": 4, "1": 0}}', "endingOffsets": '{"t": {"0": 5, "1": 2}}'}
+    with pytest.raises(ValueError, match="batch read"):
+        read_kafka(spark, "t", streaming=True, max_messages=3, available=available)
