@@ -109,6 +109,28 @@ def value_of_quick(pair: Column, text: Column) -> Column:
     return F.when(F.try_variant_get(pair, "$[1]", "string") == _end_mark(text), F.try_variant_get(pair, "$[0]", "variant"))
 
 
+# Text in quotes without anything that JSON forbids there; possessive, so that long texts need no stack.
+_QUOTED = r'[^"\\\x00-\x1F]*+(?:\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4})[^"\\\x00-\x1F]*+)*+'
+# A key (opening quote, the rest with its colon), a text (its quotes), or a number between delimiters: one with a
+# fraction (its point), which is never whole beyond 64 bits, or an integer of at most 18 digits.
+_SCALAR = (
+    rf'(")(?:({_QUOTED}"[ \t\n\r]*+:)|{_QUOTED}("))'
+    r"|(?<=[ \t\n\r:,\[])-?(?:(?:0|[1-9][0-9]{0,16}+)(\.)[0-9]{1,21}+(?:[eE][+-]?[0-9]{1,2}+)?+|(?:0|[1-9][0-9]{0,17}+))(?=[ \t\n\r,\]}])"
+)
+#: What ``same_shape`` puts before each key.
+KEY_PREFIX = "11"
+
+
+def same_shape(text: Column) -> Column:
+    """A JSON text with the values that do not tell its shape made equal: texts ``"11"``, integers 11, real numbers 1.1.
+
+    Keys get ``KEY_PREFIX``, which keeps their order. Tokens keep their places and kinds, so the result is well-formed,
+    whole, and an object exactly where the text is. Numbers that may be of another kind (long, or with an exponent
+    only), NaN, true, false and null stay as they are.
+    """
+    return F.regexp_replace(text, F.lit(_SCALAR), F.lit(r"$1\1$4\1$2$3"))
+
+
 def record_of(whole: Column) -> Column:
     return F.get(whole.getField(TEXTS), F.lit(1))
 

@@ -5,9 +5,12 @@ partitions to it, so that a summary is kept as a table and only new records are
 A schema (``schema_of_shapes``) and the widths of arrays (``widths_of_shapes``) follow from it, so
 that neither parsing nor flattening has to read the input for them once more.
 
+JSON texts are first made equal but for their shape and counted, and one text of each shape is opened.
+What is shuffled for it is a text per shape and task.
+
 A record is opened level by level by a generator: each row is a value with its path, a nested
 value becomes a row per member. A node's own line travels with its first member, so all levels are one
-pipeline over the input, and what is shuffled is a line per path and kind and task.
+pipeline, and what is shuffled is a line per path and kind and task.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.jsons import is_object_text, is_whole_object, quick_variant, read_whole, record_of, value_of_quick
+from millrace.functions.jsons import KEY_PREFIX, is_object_text, is_whole_object, quick_variant, read_whole, record_of, same_shape, value_of_quick
 from millrace.operators.schema import check_case
 
 #: Kinds of nodes beside those that ``schema_of_variant`` names for scalars.
@@ -36,7 +39,7 @@ def _kind(value: Column) -> Column:
 
 
 def _opened(df: DataFrame) -> DataFrame:
-    """One level: (path, place, value, lines); a nested value becomes its members."""
+    """One level: (path, place, value, lines, records); a nested value becomes its members."""
     member = df.sparkSession.tvf.variant_explode_outer(F.col("value").outer())
     member = member.select(F.col("pos").alias("_pos"), F.col("key").alias("_key"), F.col("value").alias("_member"))
     rows = df.lateralJoin(member)
@@ -50,6 +53,7 @@ def _opened(df: DataFrame) -> DataFrame:
         F.coalesce(F.col("_pos") + 1, F.col("place")).alias("place"),
         F.col("_member").alias("value"),
         lines.alias("lines"),
+        "records",
     )
 
 
@@ -68,7 +72,8 @@ def shape_summary(df: DataFrame, value: Column, levels: int = 6) -> DataFrame:
     dtype = df.select(value.alias("v")).schema["v"].dataType
     if isinstance(dtype, T.StringType):
         none, any_shape = T.StructType([]), T.VariantType()
-        rows = df.select(value.alias("_text")).where(is_object_text(F.col("_text"))).withColumn("_pair", quick_variant(F.col("_text")))
+        shapes = df.select(value.alias("_text")).where(is_object_text(F.col("_text"))).select(same_shape(F.col("_text")).alias("_text"))
+        rows = shapes.groupBy("_text").agg(F.count("*").alias("records")).withColumn("_pair", quick_variant(F.col("_text")))
         again = read_whole(F.col("_text"), any_shape)
         slow = F.when(is_whole_object(again, F.col("_text"), any_shape), record_of(again))
         read = F.when(F.col("_pair").isNotNull(), value_of_quick(F.col("_pair"), F.col("_text"))).otherwise(slow)
@@ -76,15 +81,19 @@ def shape_summary(df: DataFrame, value: Column, levels: int = 6) -> DataFrame:
         # keys repeated inside a field need spark.sql.variant.allowDuplicateKeys: no record is passed over in silence
         lost = F.col("_read").isNull() & is_whole_object(read_whole(F.col("_text"), none), F.col("_text"), none)
         read = F.when(lost, F.raise_error(F.lit("a record repeats a key: set spark.sql.variant.allowDuplicateKeys")).cast("variant")).otherwise(F.col("_read"))
-        rows = rows.select(read.alias("value"))
+        rows = rows.select(read.alias("value"), "records")
     else:
-        rows = df.select((value if isinstance(dtype, T.VariantType) else F.to_variant_object(value)).alias("value"))
-    rows = rows.select(F.array().cast("array<string>").alias("path"), F.lit(1).alias("place"), "value", F.array().cast(_LINE).alias("lines"))
+        rows = df.select((value if isinstance(dtype, T.VariantType) else F.to_variant_object(value)).alias("value"), F.lit(1).cast("long").alias("records"))
+    rows = rows.select(F.array().cast("array<string>").alias("path"), F.lit(1).alias("place"), "value", F.array().cast(_LINE).alias("lines"), "records")
     for _ in range(levels):
         rows = _opened(rows)
     rest = F.array(F.struct(F.col("path"), F.lit(DEEPER).alias("kind"), F.col("place"))).cast(_LINE)
-    lines = rows.select(F.explode(F.when(F.col("value").isNull(), F.col("lines")).otherwise(F.concat("lines", rest))).alias("l"))
-    return _summed(lines.select("l.path", "l.kind", F.lit(1).cast("long").alias("n"), "l.place"))
+    lines = rows.select(F.explode(F.when(F.col("value").isNull(), F.col("lines")).otherwise(F.concat("lines", rest))).alias("l"), "records")
+    summed = _summed(lines.select("l.path", "l.kind", F.col("records").alias("n"), "l.place"))
+    if not isinstance(dtype, T.StringType):
+        return summed
+    path = F.transform("path", lambda key: F.substring(key, len(KEY_PREFIX) + 1, 2**31 - 1))
+    return summed.select(path.alias("path"), "kind", "n", "place")
 
 
 def merge_shapes(*summaries: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace import flatten, merge_shapes, parse_json_records, schema_of_shapes, shape_summary, shape_table, split_rejects, widths_of_shapes
+from millrace.functions.jsons import is_json, json_parts, same_shape
 from millrace.operators.flatten import array_shapes
 from millrace.operators.schema import discover_text_schema
 
@@ -120,3 +121,34 @@ def test_limits_of_a_summary(spark):
     assert schema_of_shapes(shape_summary(frame(spark, []), F.col("t"))).fields == []
     with pytest.raises(ValueError, match="caseSensitive"):
         schema_of_shapes(shape_summary(frame(spark, ['{"a":1,"A":2}']), F.col("t")))
+
+
+ODD = [
+    '{"a":01}', '{"a":1-2}', '{"a":1 2}', '{"a":"x\ty"}', '{"a":"\\x"}', '{"a":"\\u12"}', '{"a":"b"c}', '{"a:1,":2,"a~":[1, -2,-0,0.0,-1.50]}',
+    '{"a":"q\\"uo,1,te","\\u0061b":"\\\\"}', '{"z":1,"z-":2,"z!":"","":{"":[]}}', '{"k":123456789012345678,"l":1234567890123456789,"m":12345678901234567890}',
+    '{"e":1e5,"f":1.5e5,"g":1.0,"h":12345678901234567890.0,"i":0.00000000000000000000000000000000000000012}', '{"a":1},{"b":2}', '{"a":1}]', '{"a"\x0b:1}',
+    '{"a":tru}', '{"a":.5}', '{"a":5.}', '{"a":+1}', ' {"a" : [ 1 ,\n"x" ] } ', "{'a':1}", '{"a":[1,2,3]},"end~of~value"', '{"a":"}","b":"{\\n"}',
+]
+
+
+def test_texts_of_one_shape_are_opened_once(spark):
+    rows = [json.dumps({"id": i, "v": i + 0.25, "t": str(i), "in": {"l": [i, i + 1]}}) for i in range(500)]
+    same = frame(spark, rows).select(same_shape(F.col("t")).alias("t")).distinct().collect()
+    assert [r.t for r in same] == ['{"11id": 11, "11v": 1.1, "11t": "11", "11in": {"11l": [11, 11]}}']
+    assert lines(shape_summary(frame(spark, rows), F.col("t"))) == plain_lines([json.loads(t) for t in rows])
+
+
+def test_made_equal_or_not_a_text_has_its_shape(spark):
+    """Odd texts, one by one: the same lines as of the VARIANT that Spark reads, none where it reads none."""
+    df = frame(spark, ODD)
+    read = df.select(F.try_parse_json("t").alias("v"), "i")
+    whole = {r.i for r in df.select(is_json(json_parts(F.col("t")), F.col("t")).alias("ok"), "i").where("ok").collect()}
+    for of_text, of_value in ((df.where(f"i = {i}"), read.where(f"i = {i}")) for i in sorted(whole)):
+        assert lines(shape_summary(of_text, F.col("t"))) == lines(shape_summary(of_value, F.col("v")))
+    assert whole == {7, 8, 9, 10, 11, 19, 22}
+    assert lines(shape_summary(df.where(~F.col("i").isin(*whole)), F.col("t"))) == {}
+
+
+def test_long_texts_need_no_stack(spark):
+    text = json.dumps({"a": '"\\' * 200_000, "b": 1})
+    assert lines(shape_summary(frame(spark, [text]), F.col("t"))) == plain_lines([json.loads(text)])
