@@ -105,9 +105,11 @@ def merged_line_shapes(spark, folder):
 def shapes_instead_of_discovery(spark, folder):
     """Schema and widths come from the summary: neither parsing nor flattening reads the lines for them."""
     df = line_messages(spark, folder)
-    summary = shape_summary(df, F.col("raw_value"), 3)
-    good, _ = split_rejects(parse_json_records(df, schema_of_shapes(summary)))
-    flat = flatten(good.drop("raw_text"), widths=widths_of_shapes(summary))
+    summary = shape_summary(df, F.col("raw_value"), 3).persist()  # read twice, for the schema and for the widths
+    schema, widths = schema_of_shapes(summary), widths_of_shapes(summary)
+    summary.unpersist()
+    good, _ = split_rejects(parse_json_records(df, schema))
+    flat = flatten(good.drop("raw_text"), widths=widths)
     return flat.select(F.col("order").alias("order_key"), F.col("`flags[0]`").alias("returnflag"), F.col("`flags[1]`").alias("linestatus"), F.col("`price.gross`").alias("gross"), "note")
 
 
