@@ -33,8 +33,8 @@ from millrace.sources.shared import shared_folder
 MAGIC = b"MRTOKEN1"
 #: Longest code, tokens between checkpoints, tokens after which a block ends (with its document).
 LIMIT, STRIDE, BLOCK = 16, 256, 1 << 20
-#: Distinct pieces of text whose ids a worker remembers.
-REMEMBERED = 1 << 18
+#: Distinct pieces of text whose ids a worker remembers; beyond them the half that it met most often stays.
+REMEMBERED = 1 << 19
 END = 0
 
 
@@ -67,16 +67,30 @@ class Encoder:
     def forget(self) -> None:
         self.known: dict[bytes, int] = {}
         self.ids, self.starts, self.sizes = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.uses = np.zeros(1 << 16, np.int32)  # steps that had the piece
         self.used = 0
 
+    def forget_rare(self) -> None:
+        """Forgets all but the ``REMEMBERED // 2`` pieces met in most steps; what they were met before counts half."""
+        pieces, n = list(self.known), len(self.known)
+        often = np.sort(np.argsort(-self.uses[:n], kind="stable")[: REMEMBERED // 2])
+        sizes, uses = self.sizes[often], self.uses[often] // 2
+        ends = np.cumsum(sizes)
+        ids = self.ids[np.arange(sizes.sum()) + np.repeat(self.starts[often] - (ends - sizes), sizes)]
+        self.forget()
+        self._keep([pieces[i] for i in often.tolist()], ids, sizes)
+        self.uses[: len(uses)] = uses
+
     def _keep(self, pieces: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
         n, more = len(self.known), len(pieces)
         while n + more > len(self.starts):
             self.starts, self.sizes = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.sizes, 2 * len(self.sizes))
+            self.uses = np.resize(self.uses, 2 * len(self.uses))
         while self.used + len(ids) > len(self.ids):
             self.ids = np.resize(self.ids, 2 * len(self.ids))
         self.ids[self.used : self.used + len(ids)] = ids
         self.sizes[n : n + more] = sizes
+        self.uses[n : n + more] = 0
         self.starts[n : n + more] = self.used + np.cumsum(sizes) - sizes
         self.used += len(ids)
         self.known.update(zip(pieces, range(n, n + more)))
@@ -119,12 +133,14 @@ class Encoder:
         coded = pieces.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
         if len(self.known) > REMEMBERED:
-            self.forget()
+            self.forget_rare()
         new = [p for p in distinct if p not in self.known]
         if new:
             self._learn(new)
         known = self.known
-        place = np.fromiter((known[p] for p in distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
+        place = np.fromiter((known[p] for p in distinct), np.int64, len(distinct))
+        self.uses[place] += 1
+        place = place[coded.indices.to_numpy()]
         sizes = self.sizes[place]
         ends = np.cumsum(sizes)
         ids = self.ids[np.arange(ends[-1]) + np.repeat(self.starts[place] - (ends - sizes), sizes)]

@@ -313,3 +313,19 @@ def test_pipeline_stages_keep_columns(spark, docs, tmp_path):
     spark.createDataFrame([(1, 1), (5, 1), (9, 0)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, str(tmp_path)).columns == docs.columns, name
+
+
+def test_an_encoder_that_forgets_keeps_what_it_meets_often(monkeypatch):
+    import public_tokenizers
+
+    monkeypatch.setattr(tokens, "REMEMBERED", 8)
+    own = tokens.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    for i in range(20):
+        texts = [f"often met, word{i} {i * 77} tail{i}", None, "", f"other{i} often"]
+        ids, bounds = own.encode(pa.array(texts))
+        plain = own._encode([t or "" for t in texts])
+        assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == plain
+        assert b" often" in own.known and len(own.known) <= 8 + 4 + 8
+    assert b" met" in own.known and own.uses[own.known[b" met"]] > 0
+    own.forget_rare()
+    assert len(own.known) <= 4 and b" often" in own.known
