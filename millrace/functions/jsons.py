@@ -175,8 +175,10 @@ def rescued(text: Column, schema: T.StructType) -> Column:
     (keys repeated inside a field, too large) is kept whole, as a string.
     """
     names = F.array(*[F.lit(f.name) for f in schema.fields]).cast("array<string>")
+    # the fastest parse; NaN and repeated keys need the other
     members = F.from_json(text, OPEN, OPTIONS)
-    found = F.when(members.isNull(), text.cast("variant")).otherwise(_beyond(open_object(members), schema))
+    slow = F.when(members.isNull(), text.cast("variant")).otherwise(_beyond(open_object(members), schema))
+    found = let(F.try_parse_json(text), lambda quick: F.when(quick.isNotNull(), _beyond(quick, schema)).otherwise(slow))
     if any(_has_struct(f.dataType) for f in schema.fields):
         return found
     # no list of keys (NaN in the text) tells nothing

@@ -368,3 +368,14 @@ def test_variant_numbers_keep_their_kind(spark):
     before = df.select(F.schema_of_variant("p").alias("p"), F.to_json("same").alias("same")).first()
     assert row.v == "OBJECT<_id: STRING, d: DOUBLE, n: BIGINT, w: DOUBLE, x: DECIMAL(2,1), y: STRING>"
     assert row.p == before.p.replace("_id: BIGINT", "_id: STRING") and row.same == before.same
+
+
+def test_rescued_fields_are_read_the_quick_way_first(spark):
+    """NaN and repeated keys, which the quick parse does not read, are rescued as before."""
+    rows = ['{"a":1,"x":{"y":[1,2]}}', '{"a":1,"x":NaN}', '{"a":1,"x":1,"x":2}', '{"a":1}']
+    df = spark.createDataFrame([(t, i) for i, t in enumerate(rows)], "raw_value string, offset bigint")
+    for schema in ("a bigint", "a bigint, c struct<d:int>"):
+        parsed = parse_json_records(df, schema, rescue=True)
+        assert "parse_json" in parsed._jdf.queryExecution().toString()
+        found = {r.offset: r.v for r in parsed.select("_meta.offset", F.try_variant_get("_rescued", "$.x", "string").alias("v")).collect()}
+        assert found == {0: '{"y":[1,2]}', 1: "NaN", 2: "2", 3: None}
