@@ -173,7 +173,8 @@ def near_links(prints: DataFrame) -> DataFrame:
     """
     keys = prints.select("fp", F.explode(ring_keys()).alias("key"))
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    rows = keys.join(shared, "key").withColumn("blocks", F.ceil(F.col("n") / BLOCK))
+    # Spark takes the keys for no larger than the fingerprints they are made of, and would broadcast them
+    rows = keys.join(shared.hint("merge"), "key").withColumn("blocks", F.ceil(F.col("n") / BLOCK))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("fp", F.lit(7)), "blocks"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = rows.select("key", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "fp")

@@ -161,6 +161,11 @@ def test_links_of_large_groups_connect_all(spark):
     assert len({got.get(p, p) for p in own}) == len(set(plain.values()))
 
 
+def test_sixteen_keys_of_each_fingerprint_are_never_broadcast(spark):
+    plan = simhash.near_links(spark.range(100).toDF("fp"))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def kept_plain(rows):
     """Of rows (doc_id first, text second) the set of groups, each the rows of which any one with its smallest doc_id may stay."""
     prints = [fingerprint_plain(r[1]) for r in rows]
