@@ -8,7 +8,8 @@ windows of all orderings merge. That gives each query good neighbours and a scor
 Windows alone find near neighbours only as far as the vectors crowd. So the search is completed
 over blocks of consecutive vectors of the first ordering: a block whose ball (centre, radius)
 cannot hold a better inner product than a query block's scores to beat is passed over, the
-others are compared in full. What windows miss is therefore found, whatever the data.
+others are compared in full. What windows miss is therefore found, whatever the data. Tasks hold
+some query blocks each and read the data blocks from the shared folder: no block is copied.
 """
 
 from __future__ import annotations
@@ -18,17 +19,19 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import stored
+from millrace.llm.files import open_for_ranges
 
 #: Orderings, directions of each, bits per direction; keys on either side of a query.
 ORDERS, AXES, BITS, REACH = 4, 8, 7, 128
 #: Vectors of a data block and of a query block.
 BLOCK, QUERIES = 1024, 256
-#: Query blocks whose finds a task keeps.
-HELD = 256
+#: Query blocks that go through the data blocks together; tasks of the search for each core.
+HELD, TASKS = 64, 4
 #: Scores from matrix products may differ by so much (relative to the norms) from those summed in order.
 SLACK = 1e-9
 
@@ -183,48 +186,71 @@ def _blocks(batches: Iterator[pa.RecordBatch], kind: str, size: int) -> Iterator
                 yield pa.RecordBatch.from_arrays([pa.array([int(dims[a])], pa.int32()), pa.array([part.column("vec_id").to_numpy().tobytes()], pa.binary()), pa.array([vectors.tobytes()], pa.binary()), pa.array([own], pa.binary())], names=["dim", "ids", "vectors", "best"])
 
 
-def _complete(batches: Iterator[pa.RecordBatch], kind: str, k: int) -> Iterator[pa.RecordBatch]:
-    """The best k of each query among the data blocks of a task, found so far in ``state`` by query block.
+def _stretches(files: list[str]) -> Iterator[dict]:
+    """The data blocks in the stored ``files``, a few at a time."""
+    for uri in files:
+        with open_for_ranges(uri) as file:
+            for batch in pq.ParquetFile(file).iter_batches(16, columns=["dim", "ids", "vectors"]):
+                yield from batch.to_pylist()
 
-    What is found raises the score to beat in the blocks that follow. ``HELD`` query blocks are
-    kept at most; then all they have found goes out.
-    """
-    state: dict[bytes, tuple[np.ndarray, list, list]] = {}
 
-    def out():
-        found = [(asks, own[1][r], own[2][r]) for key, own in state.items() for r, asks in enumerate(np.frombuffer(key, np.int64).tolist()) if len(own[1][r])]
+def _complete(batches: Iterator[pa.RecordBatch], kind: str, k: int, files: list[str], held: int) -> Iterator[pa.RecordBatch]:
+    """Of each query the best k among all data blocks that reach its score to beat.
+
+    Query blocks come as rows; every ``held`` of them go through the data blocks in ``files``
+    once. What is found raises the score to beat in the blocks that follow.
+    """
+    waiting: list[dict] = []
+
+    def search():
+        state = []
+        for row in waiting:
+            queries = np.frombuffer(row["vectors"], kind).reshape(-1, row["dim"])
+            asks = np.frombuffer(row["ids"], np.int64)
+            state.append((row["dim"], asks, queries, np.frombuffer(row["best"], np.float64).copy(), [np.zeros(0, np.int64)] * len(asks), [np.zeros(0)] * len(asks)))
+        dims = {own[0] for own in state}
+        for row in _stretches(files):
+            if row["dim"] not in dims:
+                continue
+            ids, data = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["vectors"], kind).reshape(-1, row["dim"]).astype(np.float64)
+            centre = data.mean(0)
+            radius = np.sqrt(((data - centre) ** 2).sum(1).max())
+            for dim, asks, queries, beat, best_ids, best in state:
+                if dim == row["dim"]:
+                    _improve(asks, queries.astype(np.float64), beat, best_ids, best, ids, data, centre, radius, k)
+        found = [(asks, best_ids[r], best[r]) for _, own, _, _, best_ids, best in state for r, asks in enumerate(own.tolist()) if len(best_ids[r])]
+        waiting.clear()
         return [_found(*map(list, zip(*found[a : a + 5000]))) for a in range(0, len(found), 5000)]
 
     for batch in batches:
         for row in batch.to_pylist():
-            dim = row["dim"]
-            ids, data = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["vectors"], kind).reshape(-1, dim).astype(np.float64)
-            asks, queries = np.frombuffer(row["q_ids"], np.int64), np.frombuffer(row["q_vectors"], kind).reshape(-1, dim).astype(np.float64)
-            if row["q_ids"] not in state:
-                if len(state) >= HELD:
-                    yield from out()
-                    state.clear()
-                none = [np.zeros(0, np.int64)] * len(asks), [np.zeros(0)] * len(asks)
-                state[row["q_ids"]] = (np.frombuffer(row["best"], np.float64).copy(), *none)
-            beat, best_ids, best = state[row["q_ids"]]
-            slack = SLACK * (1 + np.abs(np.where(np.isfinite(beat), beat, 0)))
-            centre = data.mean(0)
-            radius = np.sqrt(((data - centre) ** 2).sum(1).max())
-            open_ = np.flatnonzero(queries @ centre + np.linalg.norm(queries, axis=1) * radius * (1 + SLACK) >= beat - slack)
-            if not len(open_):
-                continue
-            rough = queries[open_] @ data.T
-            rough[asks[open_][:, None] == ids[None, :]] = -np.inf
-            hits = (rough >= (beat - slack)[open_, None]) & np.isfinite(rough)
-            for r in np.flatnonzero(hits.any(1)).tolist():
-                q, hit = open_[r], np.flatnonzero(hits[r])
-                own_ids, own = _best(queries[q], ids[hit], data[hit], rough[r][hit], k)
-                own_ids, own = np.concatenate([best_ids[q], own_ids]), np.concatenate([best[q], own])
-                order = np.lexsort((own_ids, -own))[:k]
-                best_ids[q], best[q] = own_ids[order], own[order]
-                if len(order) == k:
-                    beat[q] = max(beat[q], best[q][-1])
-    yield from out()
+            waiting.append(row)
+            if len(waiting) == held:
+                yield from search()
+    if waiting:
+        yield from search()
+
+
+def _improve(asks, queries, beat, best_ids, best, ids, data, centre, radius, k: int) -> None:
+    """Takes a data block's vectors that may be among the best k of a query block into its lists, and raises its scores to beat."""
+    slack = SLACK * (1 + np.abs(np.where(np.isfinite(beat), beat, 0)))
+    open_ = np.flatnonzero(queries @ centre + np.linalg.norm(queries, axis=1) * radius * (1 + SLACK) >= beat - slack)
+    if not len(open_):
+        return
+    rough = queries[open_] @ data.T
+    _, row, col = np.intersect1d(asks[open_], ids, assume_unique=True, return_indices=True)
+    rough[row, col] = -np.inf
+    hits = rough >= (beat - slack)[open_, None]
+    for r in np.flatnonzero(hits.any(1)).tolist():
+        q, hit = open_[r], np.flatnonzero(hits[r] & np.isfinite(rough[r]))
+        if not len(hit):
+            continue
+        own_ids, own = _best(queries[q], ids[hit], data[hit], rough[r][hit], k)
+        own_ids, own = np.concatenate([best_ids[q], own_ids]), np.concatenate([best[q], own])
+        order = np.lexsort((own_ids, -own))[:k]
+        best_ids[q], best[q] = own_ids[order], own[order]
+        if len(order) == k:
+            beat[q] = max(beat[q], best[q][-1])
 
 
 def nearest(vectors: DataFrame, asks, k: int = 20, complete: bool = True) -> DataFrame:
@@ -263,12 +289,11 @@ def nearest(vectors: DataFrame, asks, k: int = 20, complete: bool = True) -> Dat
         data = stored(data.drop("best"), "vector-blocks")
         asked = base.where("asks").join(kth, "vec_id", "left").withColumn("best", F.coalesce("best", F.lit(float("-inf"))))
         asked = asked.repartitionByRange(*line).sortWithinPartitions(*line).mapInArrow(partial(_blocks, kind=kind, size=QUERIES), BLOCKS)
-        count = max(1, data.count())
-        data = data.withColumn("__g", F.pmod(F.xxhash64("ids"), F.lit(count)))
-        asked = stored(asked, "query-blocks").select(F.col("dim").alias("q_dim"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"), "best")
-        asked = asked.withColumn("__q", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long"))))
-        pairs = data.join(asked, (F.col("__g") == F.col("__q")) & (F.col("dim") == F.col("q_dim"))).select("dim", "ids", "vectors", "q_ids", "q_vectors", "best")
-        found = found.union(pairs.mapInArrow(partial(_complete, kind=kind, k=k), FOUND)).distinct()
+        asked = stored(asked, "query-blocks")
+        count = asked.count()
+        tasks = max(1, min(count, max(TASKS * vectors.sparkSession.sparkContext.defaultParallelism, -(-count // HELD))))
+        search = partial(_complete, kind=kind, k=k, files=sorted(data.inputFiles()), held=HELD)
+        found = found.union(asked.repartition(tasks).mapInArrow(search, FOUND)).distinct()
     found = found.withColumn("rank", F.row_number().over(by_query)).where(F.col("rank") <= k)
     for c in ("query_id", "vec_id"):
         found = found.withColumnRenamed(c, "row").join(names.withColumnRenamed("vec_id", c), "row").drop("row")

@@ -93,3 +93,23 @@ def test_rows_that_share_a_vec_id_are_all_candidates_and_queries(spark):
             want.update((i, rank, ids[k], round(float(score[k]), 9)) for rank, k in enumerate(near, 1))
     got = Counter((r["query_id"], r["rank"], r["vec_id"], round(r["score"], 9)) for r in neighbours.nearest(frame, F.col("vec_id") % 20 == 0).collect())
     assert got == want
+
+
+def test_query_blocks_meet_data_blocks_without_copies(spark, monkeypatch):
+    """Small blocks, of which one goes through the data at a time, give the answer of brute force; the plan makes no row per pair of blocks."""
+    for name, size in (("BLOCK", 32), ("QUERIES", 8), ("HELD", 1), ("TASKS", 1)):
+        monkeypatch.setattr(neighbours, name, size)
+    rng = np.random.default_rng(12)
+    data = rng.standard_normal((1500, 16)).astype(np.float32)
+    short = rng.standard_normal((50, 3)).astype(np.float32)
+    rows = [(i, x.tolist()) for i, x in enumerate([*data, *short])]
+    out = neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") % 20 == 0)
+    assert "Generate" not in out._jdf.queryExecution().executedPlan().toString()
+    want = []
+    for first, part in ((0, data), (len(data), short)):
+        wide = part.astype(np.float64)
+        for q in range(-first % 20, len(part), 20):
+            score = sum(wide[q, j] * wide[:, j] for j in range(wide.shape[1]))
+            near = [k for k in np.lexsort((np.arange(len(part)), -score)) if k != q][:20]
+            want += [(first + q, rank, first + int(k), float(score[k])) for rank, k in enumerate(near, 1)]
+    assert sorted(map(tuple, out.collect())) == want
